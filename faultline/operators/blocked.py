@@ -86,11 +86,19 @@ def scan_rounds(n_blocks_max: int) -> int:
     return 0 if n_blocks_max <= 1 else int(math.ceil(math.log2(n_blocks_max)))
 
 
+_MAX_POS: dict[tuple, int] = {}
+
+
 def max_blocks(df: DataFrame, pos: str, block: int) -> int:
-    """Largest number of blocks in any run (one small aggregate action)."""
-    row = df.agg(F.max(F.col(pos)).alias("m")).first()
-    m = row["m"] if row and row["m"] is not None else 0
-    return int((int(m) + block - 1) // block)
+    """Largest number of blocks in any run (one small aggregate action,
+    remembered per logical plan)."""
+    key = (df.select(pos).semanticHash(), pos)
+    m = _MAX_POS.get(key)
+    if m is None:
+        row = df.agg(F.max(F.col(pos)).alias("m")).first()
+        m = int(row["m"]) if row and row["m"] is not None else 0
+        _MAX_POS[key] = m
+    return int((m + block - 1) // block)
 
 
 def doubling_scan(blocks: DataFrame, key: str | Sequence[str], values: Sequence[str],
@@ -188,3 +196,33 @@ def global_prefix(df: DataFrame, order_col: str, values: Sequence[str], buckets:
     for v in values:
         out = out.withColumn(v, F.col(f"_l_{v}") + F.col(f"_c_{v}")).drop(f"_l_{v}", f"_c_{v}")
     return out.drop("_bkt")
+
+
+def running_agg(df: DataFrame, key: str | Sequence[str], pos: str, value: Column, out: str, how: str = "sum",
+                block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Running ``sum`` or ``max`` of ``value`` from the start of the run (inclusive).
+
+    Local running aggregate per (run, block) window, plus the exclusive prefix
+    of the block totals combined by the doubling scan.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    agg = F.sum if how == "sum" else F.max
+    d = df.withColumn(BLK, block_of(pos, block)).withColumn("_v", value)
+    w = Window.partitionBy(*keys, BLK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_loc", agg("_v").over(w))
+    nb = max_blocks(df, pos, block)
+    if nb <= 1:
+        return d.withColumn(out, F.col("_loc")).drop("_v", "_loc", BLK)
+    tot = d.groupBy(*keys, BLK).agg(agg("_v").alias("_t"))
+
+    def comb(e, lt):
+        if how == "sum":
+            return {"_t": F.coalesce(e["_t"], F.lit(0)) + F.coalesce(lt["_t"], F.lit(0))}
+        return {"_t": F.greatest(e["_t"], lt["_t"])}
+    pre = exclusive(doubling_scan(tot, keys, ["_t"], comb, scan_rounds(nb)), keys, ["_t"])
+    res = d.join(pre, keys + [BLK], "left")
+    if how == "sum":
+        val = F.col("_loc") + F.coalesce(F.col("_t"), F.lit(0))
+    else:
+        val = F.greatest(F.col("_loc"), F.col("_t"))
+    return res.withColumn(out, val).drop("_v", "_loc", "_t", BLK)
