@@ -168,7 +168,8 @@ def ordinal_within(df: DataFrame, key: str, order: Sequence[str], out: str = "po
 # --------------------------------------------------------------------------
 # Global cumulative sums without a single-partition window
 # --------------------------------------------------------------------------
-def global_prefix(df: DataFrame, order_col: str, values: Sequence[str], buckets: int = 64) -> DataFrame:
+def global_prefix(df: DataFrame, order_col: str, values: Sequence[str], buckets: int = 64,
+                  bucket_expr: Column | None = None) -> DataFrame:
     """Cumulative sums of ``values`` in ascending ``order_col`` (ties included).
 
     A window with ``orderBy`` and no ``partitionBy`` runs in one task.  Here the
@@ -179,12 +180,14 @@ def global_prefix(df: DataFrame, order_col: str, values: Sequence[str], buckets:
     Output: the input columns with ``values`` replaced by their cumulative
     sums and the original values kept as ``_d_<value>``.
     """
-    qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col), qs, 10000).alias("q")).first()
-    bounds = sorted({float(b) for b in (row["q"] or []) if b is not None})
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    bkt = F.size(F.filter(arr, lambda b: F.col(order_col).cast("double") > b))
-    d = df.withColumn("_bkt", bkt)
+    if bucket_expr is None:
+        qs = [i / buckets for i in range(1, buckets)]
+        row = df.agg(F.percentile_approx(F.col(order_col), qs, 10000).alias("q")).first()
+        bounds = sorted({float(b) for b in (row["q"] or []) if b is not None})
+        arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+        bucket_expr = F.size(F.filter(arr, lambda b: F.col(order_col).cast("double") > b))
+    # bucket_expr must be monotone in order_col
+    d = df.withColumn("_bkt", bucket_expr)
     for v in values:
         d = d.withColumn(f"_d_{v}", F.col(v))
     w = Window.partitionBy("_bkt").orderBy(order_col).rangeBetween(Window.unboundedPreceding, Window.currentRow)
