@@ -159,3 +159,70 @@ NOTIFICATION_CAP = 99
 RECALL_WATCH_BELOW = 0.88
 RECALL_WATCH_HIGH_BELOW = 0.75
 RECALL_WATCH_MAX = 12
+
+# --------------------------------------------------------------------------
+# FIXED VALUES: operator-facing fault catalogue
+# (id, label, description, fault type, affected systems, recommended action, action detail, base failure minutes)
+# --------------------------------------------------------------------------
+OPERATOR_CATALOG = [
+    (0, "Normal behavior", "Normal behavior", "None", ["Plant-wide"], "Maintain steady-state operation",
+     "Continue monitoring key loops and historian QA. No injected benchmark fault.", 120),
+    (1, "Fault 1 — A/C feed ratio", "A/C feed ratio, B composition constant", "Step",
+     ["Feed header", "A/C blending", "FIC loops"], "Verify feed ratio cascade",
+     "Check A and C flow controllers against lab B analysis · confirm ratio SP integrity.", 14),
+    (2, "Fault 2 — B composition", "B composition, A/C ratio constant", "Step", ["B stream", "Composition analyzer"],
+     "Confirm B quality", "Grab sample on B · verify analyzer calibration · review stripper side reactions.", 16),
+    (3, "Fault 3 — D feed temperature", "D feed temperature", "Step", ["D feed", "Pre-heat exchanger"],
+     "Stabilize D feed enthalpy", "Inspect D feed preheat · verify steam trap on trim heater · watch reactor inlet T.",
+     12),
+    (4, "Fault 4 — Reactor CW inlet T", "Reactor cooling water inlet temperature", "Step",
+     ["R-101 jacket", "CW supply", "TIC-101"], "Restore reactor cooling margin",
+     "Verify CW header temperature · inspect isolation valves · stage mechanical on jacket circuit.", 10),
+    (5, "Fault 5 — Condenser CW inlet T", "Condenser cooling water inlet temperature", "Step",
+     ["Overhead condenser", "CW return"], "Recover condensing duty",
+     "Check CW flow to condenser · confirm ΔT across bundle · review tower pressure.", 11),
+    (6, "Fault 6 — A feed loss", "A feed loss", "Step", ["A feed pump", "FIC-204", "Inventory"],
+     "Stabilize A inventory",
+     "Confirm pump run status · check block valves · balance feeds to maintain mass balance.", 18),
+    (7, "Fault 7 — C header pressure loss", "C header pressure loss", "Step", ["C header", "PIC", "Compressor suction"],
+     "Investigate pressure loss",
+     "Walk down C header for leaks/restrictions · verify compressor inlet pressure control.", 9),
+    (8, "Fault 8 — A,B,C composition", "A, B, C feed composition", "Random Variation", ["Feed analyzers", "Blending"],
+     "Tighten analyzer QA",
+     "Compare redundant analyzers · increase lab frequency · alert planning to quality risk.", 40),
+    (9, "Fault 9 — D feed temperature", "D feed temperature", "Random Variation", ["D feed", "Trim heat"],
+     "Dampen D feed thermal noise",
+     "Review TC tuning on D preheat · check steam supply swings · consider feed-forward bias.", 22),
+    (10, "Fault 10 — C feed temperature", "C feed temperature", "Random Variation", ["C feed", "Heat integration"],
+     "Stabilize C feed thermal profile",
+     "Inspect C feed exchanger pass · verify control valve travel · monitor reactor delta-T.", 22),
+    (11, "Fault 11 — Reactor CW inlet T", "Reactor cooling water inlet temperature", "Random Variation",
+     ["CW header", "R-101 jacket"], "Track CW variability",
+     "Correlate CW upset with ambient/utility swings · prep reactor MV limits if needed.", 25),
+    (12, "Fault 12 — Condenser CW inlet T", "Condenser cooling water inlet temperature", "Random Variation",
+     ["Condenser CW", "Tower pressure"], "Mitigate CW noise to tower",
+     "Review condenser CW valve tuning · watch tower pressure CV · coordinate with utilities.", 24),
+    (13, "Fault 13 — Reaction kinetics", "Reaction kinetics", "Slow Drift", ["R-101", "Catalyst system"],
+     "Monitor conversion drift",
+     "Track heat generation vs. feed · schedule catalyst assessment · compare model residuals.", 55),
+    (14, "Fault 14 — Reactor CW valve", "Reactor cooling water valve", "Sticking", ["Reactor CW valve", "TIC cascade"],
+     "Address valve stiction",
+     "Bump-test CW valve · check I/P · plan isolation for bench test or trim replacement.", 15),
+    (15, "Fault 15 — Condenser CW valve", "Condenser cooling water valve", "Sticking",
+     ["Condenser CW valve", "Tower pressure"], "Service condenser CW valve",
+     "Hand-jog valve if safe · verify position feedback · prepare maintenance window.", 15),
+    (16, "Fault 16 — Unknown", "Unknown", "Unknown", ["Plant-wide"], "Broaden diagnostics",
+     "Run multivariate fingerprinting · escalate to engineering · hold major setpoint moves.", 30),
+    (17, "Fault 17 — Unknown", "Unknown", "Unknown", ["Plant-wide"], "Broaden diagnostics",
+     "Cross-check historian vs. lab · review recent maintenance · widen AI monitoring bands.", 30),
+    (18, "Fault 18 — Unknown", "Unknown", "Unknown", ["Plant-wide"], "Broaden diagnostics",
+     "Correlate auxiliary utilities · verify field bus health · preserve event log chain.", 30),
+    (19, "Fault 19 — Unknown", "Unknown", "Unknown", ["Plant-wide"], "Broaden diagnostics",
+     "Engage shift supervisor · prep safe parking procedure if uncertainty persists.", 30),
+    (20, "Fault 20 — Unknown", "Unknown", "Unknown", ["Plant-wide"], "Broaden diagnostics",
+     "Treat as reserved benchmark class · follow site abnormal event protocol.", 30),
+]
+SNAPSHOT_FALLBACK_SYSTEMS = ["R-101", "Catalyst system"]
+CLASS13_DESCRIPTION = "Reaction Kinetics Slow Drift"
+MAINTENANCE_IMPACT_CRITICAL = "Immediate production / safety exposure"
+MAINTENANCE_IMPACT_OTHER = "Elevated downtime probability within predicted window"

@@ -140,12 +140,15 @@ def urgency(severity: Column) -> Column:
     return F.coalesce(F.element_at(_map(K.URGENCY_BY_SEVERITY), severity), F.lit("P4"))
 
 
-def relative_time(minutes_ago: Column) -> Column:
-    """H14: 'Just now' under a minute, 'Nm ago' under an hour, else 'Nh ago'."""
-    m = F.floor(minutes_ago)
-    return (F.when(m < 1, F.lit("Just now"))
-            .when(m < 60, F.concat(m.cast("string"), F.lit("m ago")))
-            .otherwise(F.concat(F.floor(m / 60).cast("string"), F.lit("h ago"))))
+def relative_time(hours_ago: Column) -> Column:
+    """Null -> 'No recent alerts'; under a minute 'Just now'; under an hour
+    'Nm ago'; else 'Nh ago' (half-up rounding)."""
+    mins = F.floor(hours_ago * 60.0 + 0.5).cast("long")
+    hrs = F.floor(hours_ago + 0.5).cast("long")
+    return (F.when(hours_ago.isNull(), F.lit("No recent alerts"))
+            .when(hours_ago < 1.0 / 60.0, F.lit("Just now"))
+            .when(hours_ago < 1.0, F.concat(mins.cast("string"), F.lit("m ago")))
+            .otherwise(F.concat(hrs.cast("string"), F.lit("h ago"))))
 
 
 def recall_in_ten(recall: Column) -> Column:

@@ -216,7 +216,7 @@ def operating_region(sweep: DataFrame, by: Sequence[str] = (), missed_target: fl
         F.min("threshold").alias("min_threshold"), F.max("threshold").alias("max_threshold"),
         F.min_by("recall", "threshold").alias("recall_at_min"), F.max_by("recall", "threshold").alias("recall_at_max"),
         F.min("false_alarm_rate").alias("far_min"), F.max("false_alarm_rate").alias("far_max"),
-        F.count(F.lit(1)).alias("n_feasible"))
+        F.count(F.lit(1)).alias("n_feasible")).where(F.col("n_feasible") > 0)
 
 
 def binary_rates(df: DataFrame, y: str = "y_true", pred: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:

@@ -91,13 +91,37 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     sev = (F.when(F.col("value") >= 150, "CRITICAL").when(F.col("value") >= 100, "HIGH")
            .when(F.col("value") >= 50, "MEDIUM").otherwise("LOW"))
     fault = (F.col("user_id") % 21).cast("int")
+    subsystems = F.array(*[F.lit(x) for x in INCIDENT_SUBSYSTEMS])
+    from ..functions.constants import FAULT_CATALOG
+    actions = F.create_map(*[x for row in FAULT_CATALOG for x in (F.lit(row[0]), F.lit(row[5]))])
     return ev.select(
         F.concat(F.lit("INC-"), F.col("event_id").cast("string")).alias("id"),
         F.col("event_id"),
         F.col("ts"),
         sev.alias("severity"),
+        F.element_at(subsystems, (F.col("user_id") % 5 + 1).cast("int")).alias("subsystem"),
+        F.concat(F.lit("Event "), F.col("event_id").cast("string"), F.lit(" on run "),
+                 F.col("user_id").cast("string")).alias("title"),
+        F.concat(F.lit("Residual on fault class "), fault.cast("string"), F.lit(" · "), sev).alias("diagnosis"),
+        F.element_at(actions, fault).alias("recommendedAction"),
         fault.alias("faultId"),
         (F.col("event_id") % 3 == 0).alias("acknowledged"),
+        F.lit(None).cast("array<struct<id:string,label:string>>").alias("checklist"),
         F.col("value"),
         F.col("user_id").cast("int").alias("simulationRun"),
     )
+
+
+# subsystem names used for the incident view (our own vocabulary)
+INCIDENT_SUBSYSTEMS = ["Reactor", "Separator", "Compressor", "Feed", "DCS / Analytics"]
+
+
+def with_class_probabilities(df: DataFrame, out: str = "probs") -> DataFrame:
+    """Model-free class probabilities for classes 1..20 (no model needed to
+    exercise the alert path): weight_c = 2^((event_id * (c + 3)) % 11),
+    p_c = weight_c / sum(weights).  Integer weights keep every engine's
+    arithmetic bit-identical; ties between classes are common (argmax tests)."""
+    classes = F.sequence(F.lit(1), F.lit(20))
+    w = F.transform(classes, lambda c: F.pow(F.lit(2.0), ((F.col("event_id") * (c + 3)) % 11).cast("double")))
+    tot = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
+    return df.withColumn(out, F.transform(w, lambda x: x / tot))
