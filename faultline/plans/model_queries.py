@@ -1 +1,155 @@
-"""placeholder"""
+"""Model queries over ``sensor_matrix`` and the telemetry features.
+
+Model outputs get a rows-only check (plus invariants in the tests); class
+weights and label encoding are plain SQL and get oracles.  Registered
+queries use small ensembles (tens of trees) so the checks stay quick; the
+library defaults are the upstream sizes.
+"""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.constants import SENSOR_COLUMNS
+from ..operators import features as fe
+from ..operators import models as mo
+from ..operators import prepare as pr
+from ..sources.tables import sensor_matrix
+from . import sql as Q
+from .prepare_queries import split_rows
+from .registry import register
+
+SENS = SENSOR_COLUMNS
+
+
+def r6(c):
+    return F.round(c, 6)
+
+
+def labelled_matrix(spark, sf_dir):
+    m = mo.with_label_text(sensor_matrix(spark, sf_dir), "faultNumber")
+    return mo.balanced_weights(m, "faultNumber")
+
+
+@register("d32_class_weights", "D32", "WITH " + Q.SENSOR_MATRIX + """,
+c AS (SELECT faultNumber, count(*) AS n_c FROM sensor_matrix GROUP BY faultNumber)
+SELECT faultNumber, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight FROM c""")
+def d32(spark, sf_dir):
+    m = mo.balanced_weights(sensor_matrix(spark, sf_dir), "faultNumber")
+    return m.groupBy("faultNumber").agg(F.count(F.lit(1)).alias("n_c"), r6(F.first("weight")).alias("weight"))
+
+
+@register("j4_label_encoding", "J4", "WITH " + Q.SENSOR_MATRIX + """
+SELECT DISTINCT faultNumber, CAST(dense_rank() OVER (ORDER BY faultNumber) - 1 AS DOUBLE) AS label_idx FROM sensor_matrix""")
+def j4(spark, sf_dir):
+    m = mo.with_label_text(sensor_matrix(spark, sf_dir), "faultNumber")
+    idx = mo.label_indexer("faultNumber").fit(m)
+    return idx.transform(m).select("faultNumber", "label_idx").distinct()
+
+
+def _rf(spark, sf_dir, trees: int = 30, depth: int = 8):
+    m = labelled_matrix(spark, sf_dir)
+    idx = mo.label_indexer("faultNumber").fit(m)
+    d = idx.transform(m)
+    model = mo.random_forest(SENS, trees=trees, depth=depth).fit(d)
+    return model, idx, d
+
+
+@register("j5_random_forest_scores", "J5 J9 J4")
+def j5(spark, sf_dir):
+    model, idx, d = _rf(spark, sf_dir)
+    s = mo.score(model, d)
+    s = mo.decode_labels(idx, "prediction", "pred_txt").transform(s)
+    return s.select("sample", "faultNumber", F.col("pred_txt").cast("int").alias("pred_fault"),
+                    r6(F.array_max("probs")).alias("max_prob"))
+
+
+@register("j6_gbt_binary_scores", "J6 J8")
+def j6(spark, sf_dir):
+    m = sensor_matrix(spark, sf_dir).withColumn("y", (F.col("faultNumber") > 0).cast("double"))
+    m = mo.balanced_weights(m, "y")
+    m = m.withColumn("is_val", F.pmod(F.col("sample"), F.lit(5)) == 0)
+    model = mo.gbt_binary(SENS, label="y", iters=20, depth=4, validation="is_val").fit(m)
+    s = mo.score(model, m)
+    return s.select("sample", "y", r6(F.col("probs")[1]).alias("p_fault"))
+
+
+@register("j7_ovr_gbt_probabilities", "J7")
+def j7(spark, sf_dir):
+    m = labelled_matrix(spark, sf_dir)
+    idx = mo.label_indexer("faultNumber").fit(m)
+    d = idx.transform(m)
+    model = mo.ovr_gbt(SENS, iters=8, depth=3).fit(d)
+    p = mo.ovr_probabilities(model, d)
+    return p.select("sample", "faultNumber", F.array_position("probs", F.array_max("probs")).alias("pred_idx"),
+                    r6(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("prob_sum"))
+
+
+@register("j10_probability_tables", "J10 C7 H5 G1")
+def j10(spark, sf_dir):
+    rf, idx, d = _rf(spark, sf_dir, trees=20, depth=6)
+    rf2, _, _ = _rf(spark, sf_dir, trees=10, depth=4)
+    out = None
+    for name, model in (("rf_30", rf), ("rf_10", rf2)):
+        s = mo.score(model, d).select("sample", "faultNumber", "probs")
+        s = s.select("sample", "faultNumber", F.lit(name).alias("model"), F.array_max("probs").alias("max_prob"),
+                     (F.array_position("probs", F.array_max("probs")) - 1).cast("int").alias("pred_idx"))
+        s = s.withColumn("risk_proxy", F.lit(1.0) - F.col("max_prob"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("j11_risk_series", "J11 D9 E13")
+def j11(spark, sf_dir):
+    rows = split_rows(spark, sf_dir)
+    feats = ["xmeas_13", "xmeas_9", "xmv_10"]
+    f = fe.rolling_features(rows, ["xmeas_13"], [10, 20])
+    cols = feats + ["xmeas_13_roll_mean_10", "xmeas_13_roll_std_10", "xmeas_13_roll_mean_20", "xmeas_13_roll_std_20"]
+    f = mo.with_label_text(f, "target_fault_label")
+    idx = mo.label_indexer("target_fault_label").fit(f)
+    train = idx.transform(f.where(F.col("fold") == "train"))
+    model = mo.random_forest(cols, weight=None, trees=20, depth=6).fit(train)
+    ext = pr.run_extent(f.where(F.col("fold") == "test"), 21)
+    rep = ext.orderBy(F.col("n_samples").desc(), "run_key").limit(1).select("run_key")
+    run = f.join(F.broadcast(rep), "run_key", "left_semi")
+    s = mo.score(model, run)
+    onset = F.min(F.when(F.col("target_fault_label") > 0, F.col("sample"))).over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("run_key"))
+    return s.select("run_key", "sample", "target_fault_label", r6(F.array_max("probs")).alias("max_prob"),
+                    r6(F.lit(1.0) - F.array_max("probs")).alias("risk_proxy"), onset.alias("onset_sample"))
+
+
+@register("j12_pca_projection", "J12")
+def j12(spark, sf_dir):
+    m = sensor_matrix(spark, sf_dir)
+    proj, ev = mo.pca_projection(m, SENS, 2, keep=["sample", "faultNumber"])
+    return proj.select("sample", "faultNumber", r6("pc1").alias("pc1"), r6("pc2").alias("pc2"),
+                       F.lit(round(float(ev[0]), 6)).alias("explained_1"), F.lit(round(float(ev[1]), 6)).alias("explained_2"))
+
+
+@register("j13_feature_importances", "J13 F2")
+def j13(spark, sf_dir):
+    model, _, _ = _rf(spark, sf_dir)
+    top = mo.feature_importances(model, SENS, top=25)
+    # the top-n list of a fitted model is bounded by the feature count
+    imp = spark.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(top)],
+                                "feature string, importance double, rank int")
+    return imp.select("feature", r6("importance").alias("importance"), "rank")
+
+
+@register("j14_shapley_importance", "J14")
+def j14(spark, sf_dir):
+    model, idx, d = _rf(spark, sf_dir, trees=15, depth=5)
+    rows = pr.exact_sample(d, min(40, d.count()), ["sample"], seed=7).select(*SENS)
+    bg = pr.exact_sample(d, min(16, d.count()), ["sample"], seed=11).select(*SENS)
+    sh = mo.monte_carlo_shapley(model, rows, bg, SENS, permutations=4)
+    return sh.orderBy(F.col("mean_abs_shap").desc()).limit(20).select("feature", r6("mean_abs_shap").alias("mean_abs_shap"))
+
+
+@register("j18_model_persistence", "J18")
+def j18(spark, sf_dir):
+    model, idx, d = _rf(spark, sf_dir, trees=10, depth=4)
+    path = mo.save_model(model, spark, f"rf_{abs(hash(sf_dir)) % 10_000}")
+    back = mo.load_model(path)
+    a = mo.score(model, d).select("sample", F.col("prediction").alias("p1"))
+    b = mo.score(back, d).select("sample", F.col("prediction").alias("p2"))
+    return a.join(b, "sample").select("sample", (F.col("p1") == F.col("p2")).alias("same_prediction"))
