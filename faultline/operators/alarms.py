@@ -206,6 +206,30 @@ class Latch:
             cur, on, off, lock, latch = self.step(cur, on, off, lock, latch, bool(b), bool(c))
         return self.encode(cur, on, off, lock, latch).astype(np.int32)
 
+    def step_one(self, st: list, b: bool, c: bool) -> list:
+        """One sample for one state ``[cur, on, off, lock, latch]``; returns the new state."""
+        cur, on, off, lock, latch = st
+        if cur == 0:
+            if lock > 0:
+                lock -= 1
+                beff = False
+            else:
+                beff = bool(b)
+            on = on + 1 if beff else 0
+            if on >= self.n_on:
+                cur, on, off, latch = 1, 0, 0, 1
+        else:
+            latch += 1
+            if self.max_latch is not None and latch >= self.max_latch:
+                cur, on, off, latch, lock = 0, 0, 0, 0, self.lockout
+            else:
+                off = off + 1 if c else 0
+                if off >= self.n_off:
+                    cur, on, off, latch, lock = 0, 0, 0, 0, self.lockout
+            if self.max_latch is None and cur == 1:
+                latch = 1
+        return [cur, on, off, lock, latch]
+
     def replay(self, start: int, breach: np.ndarray, clear: np.ndarray) -> np.ndarray:
         """Emitted alarm (after the transition) for each sample from ``start``."""
         cur, on, off, lock, latch = (int(a[0]) for a in self.decode(np.array([start])))
@@ -264,11 +288,27 @@ def deadband_latch(df: DataFrame, tuning: Tuning, breach: str = "breach", clear:
     rows = rows.withColumn("_start", F.coalesce(F.col("_start"), F.lit(0)).cast("int"))
     out_schema = T.StructType([f for f in rows.schema.fields] + [T.StructField(out, T.IntegerType())])
 
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos)
-        pdf[out] = fsm.replay(int(pdf["_start"].iloc[0]), pdf[breach].to_numpy(bool), pdf[clear].to_numpy(bool))
-        return pdf
-    return rows.groupBy(key, BLK).applyInPandas(replay, out_schema).drop(BLK, "_start")
+    def replay(batches):
+        # rows arrive grouped by (run, block) and ordered by position; the state
+        # is re-initialised from the block's start state whenever the group changes
+        group = None
+        st = None
+        for pdf in batches:
+            keys, blks = pdf[key].to_numpy(), pdf[BLK].to_numpy()
+            starts = pdf["_start"].to_numpy()
+            res = np.empty(len(pdf), dtype=np.int32)
+            b_arr, c_arr = pdf[breach].to_numpy(bool), pdf[clear].to_numpy(bool)
+            for i in range(len(pdf)):
+                g = (keys[i], blks[i])
+                if g != group:
+                    group = g
+                    st = [int(a[0]) for a in fsm.decode(np.array([starts[i]]))]
+                st = fsm.step_one(st, b_arr[i], c_arr[i])
+                res[i] = st[0]
+            pdf[out] = res
+            yield pdf
+    ordered = rows.repartition(key, BLK).sortWithinPartitions(key, BLK, pos)
+    return ordered.mapInPandas(replay, out_schema).drop(BLK, "_start")
 
 
 # --------------------------------------------------------------------------

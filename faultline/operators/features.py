@@ -44,15 +44,64 @@ def _rolling_exprs(sensors: Sequence[str], windows: Sequence[int]):
     return build
 
 
-def rolling_features(df: DataFrame, sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS,
-                     key: str = "run_key", pos: str = "sample", block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Trailing mean and sample std over the last ``w`` rows of the run.
+def _prefix_exprs(sensors: Sequence[str], windows: Sequence[int]):
+    """Stage 1: centred running count / sum / sum of squares per sensor."""
+    def build(w: Window) -> list[Column]:
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        exprs: list[Column] = []
+        for s in sensors:
+            x = F.col(s).cast("double")
+            y = x - F.first(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+            exprs += [F.count(x).over(run).alias(f"_n_{s}"), F.sum(y).over(run).alias(f"_s1_{s}"),
+                      F.sum(y * y).over(run).alias(f"_s2_{s}"),
+                      F.first(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding,
+                                                                      Window.unboundedFollowing)).alias(f"_c_{s}")]
+        return exprs
+    return build
+
+
+def _window_from_prefix(sensors: Sequence[str], windows: Sequence[int]):
+    """Stage 2: windowed sums as differences of running sums (lag is O(1))."""
+    def build(w: Window) -> list[Column]:
+        exprs: list[Column] = []
+        for win in windows:
+            for s in sensors:
+                def d(c):
+                    return F.col(c) - F.coalesce(F.lag(c, win).over(w), F.lit(0))
+                n, s1, s2 = d(f"_n_{s}"), d(f"_s1_{s}"), d(f"_s2_{s}")
+                mean = F.when(n > 0, s1 / n + F.col(f"_c_{s}"))
+                var = F.when(n > 1, F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0)))
+                exprs += [mean.alias(f"{s}_roll_mean_{win}"),
+                          F.coalesce(F.sqrt(var), F.lit(0.0)).alias(f"{s}_roll_std_{win}")]
+        return exprs
+    return build
 
-    All frames share one (run, block) partitioning, so the plan has a single
-    exchange and a single sort; the halo is ``max(windows) - 1`` rows.
+
+def rolling_features(df: DataFrame, sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS,
+                     key: str = "run_key", pos: str = "sample", block: int = DEFAULT_BLOCK,
+                     method: str = "prefix") -> DataFrame:
+    """Trailing mean and sample std over the last ``w`` rows of the run
+    (``min_periods = 1``; a single value has std 0).
+
+    All frames share one (run, block) partitioning: one exchange, one sort.
+    ``method="prefix"`` (default) is O(rows): running count / sum / sum of
+    squares of values centred on the group's first value, differenced with
+    ``lag(w)`` - every window size reuses the same three running sums.
+    ``method="frame"`` uses sliding frames, O(rows x w), as a cross-check.
+    The halo is ``max(windows) - 1`` rows.
     """
+    from .blocked import HOME, block_window, with_halo
     halo = max(windows) - 1
-    return halo_select(df, key, pos, _rolling_exprs(sensors, windows), before=halo, block=block)
+    if method == "frame":
+        return halo_select(df, key, pos, _rolling_exprs(sensors, windows), before=halo, block=block)
+    block = max(block, halo, 1)
+    ext = with_halo(df, pos, block, before=halo)
+    w = block_window(key, pos)
+    stage1 = ext.select("*", *_prefix_exprs(sensors, windows)(w))
+    stage2 = stage1.select("*", *_window_from_prefix(sensors, windows)(w))
+    helpers = [f"_{p}_{s}" for s in sensors for p in ("n", "s1", "s2", "c")]
+    from .blocked import BLK
+    return stage2.where(F.col(HOME)).drop(BLK, HOME, *helpers)
 
 
 def first_difference(df: DataFrame, col: str, out: str, key: str = "run_key", pos: str = "sample",

@@ -86,9 +86,19 @@ folds AS (SELECT run_key, faultNumber, simulationRun,
 sf AS (SELECT s.*, f.fold FROM scored s JOIN folds f USING (run_key, faultNumber, simulationRun))"""
 
 
+_FOLDS: dict[tuple, object] = {}
+
+
+def run_folds(spark, sf_dir):
+    """I5 folds (one row per run), materialised once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FOLDS:
+        _FOLDS[key] = pr.stratified_run_split(runs_table(spark, sf_dir)).select("run_key", "fold").checkpoint(eager=True)
+    return _FOLDS[key]
+
+
 def split_rows(spark, sf_dir):
-    folds = pr.stratified_run_split(runs_table(spark, sf_dir))
-    return scored(spark, sf_dir).join(folds.select("run_key", "fold"), "run_key")
+    return scored(spark, sf_dir).join(run_folds(spark, sf_dir), "run_key")
 
 
 @register("i5_run_level_split", "I5", _I5 + """
