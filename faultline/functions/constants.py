@@ -226,3 +226,28 @@ SNAPSHOT_FALLBACK_SYSTEMS = ["R-101", "Catalyst system"]
 CLASS13_DESCRIPTION = "Reaction Kinetics Slow Drift"
 MAINTENANCE_IMPACT_CRITICAL = "Immediate production / safety exposure"
 MAINTENANCE_IMPACT_OTHER = "Elevated downtime probability within predicted window"
+
+# --------------------------------------------------------------------------
+# FIXED VALUES: operator-facing sensor names (tags missing here fall back to
+# "Plant sensor <n>" for xmeas tags, else the tag itself)
+# --------------------------------------------------------------------------
+SENSOR_PLAIN_NAMES = {
+    "xmeas_1": "A feed flow", "xmeas_2": "D feed flow", "xmeas_3": "E feed flow", "xmeas_4": "A and C feed flow",
+    "xmeas_5": "Recycle flow", "xmeas_6": "Reactor feed rate", "xmeas_7": "Reactor pressure",
+    "xmeas_8": "Reactor level", "xmeas_9": "Reactor temperature", "xmeas_10": "Purge rate",
+    "xmeas_11": "Separator temperature", "xmeas_12": "Product separator level", "xmeas_13": "Separator pressure",
+    "xmeas_14": "Product separator level", "xmeas_15": "Stripper level", "xmeas_16": "Stripper pressure",
+    "xmeas_17": "Recycle flow rate", "xmeas_18": "Stripper steam flow", "xmeas_19": "Compressor work",
+    "xmeas_20": "Reactor cooling water outlet temperature", "xmeas_21": "Separator cooling water outlet temperature",
+    "xmeas_22": "Component A in purge", "xmeas_23": "Component B in purge", "xmeas_24": "Component C in purge",
+    "xmeas_25": "Component D in purge", "xmeas_26": "Component E in purge", "xmeas_27": "Component F in purge",
+    "xmeas_28": "Component G in purge", "xmeas_31": "Component A in product", "xmeas_32": "Component B in product",
+    "xmeas_33": "Component C in product", "xmeas_34": "Component D in product", "xmeas_35": "Component E in product",
+    "xmeas_36": "Component F in product", "xmeas_37": "Component G in product", "xmeas_38": "Component H in product",
+    "xmeas_39": "Component A in bottoms", "xmeas_40": "Component B in bottoms", "xmeas_41": "Component C in bottoms",
+    "xmv_1": "D feed flow valve", "xmv_2": "E feed flow valve", "xmv_3": "A feed flow valve",
+    "xmv_4": "A and C feed flow valve", "xmv_5": "Compressor recycle valve", "xmv_6": "Purge valve",
+    "xmv_7": "Separator pot liquid flow valve", "xmv_8": "Stripper liquid product flow valve",
+    "xmv_9": "Stripper steam valve", "xmv_10": "Reactor cooling water flow valve",
+    "xmv_11": "Condenser cooling water flow valve",
+}

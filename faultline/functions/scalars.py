@@ -168,3 +168,14 @@ def parse_fault_id(raw: Column) -> Column:
     n = F.expr("try_cast(NULL AS double)") if raw is None else raw.try_cast("double")
     ok = n.isNotNull() & (n == F.floor(n)) & (n >= 0) & (n <= 20)
     return F.when(ok, n.cast("int")).otherwise(F.lit(1))
+
+
+def plain_sensor_name(tag: Column) -> Column:
+    """Operator-facing sensor name; unknown xmeas tags -> 'Plant sensor <n>'."""
+    return F.coalesce(F.element_at(_map(K.SENSOR_PLAIN_NAMES), F.lower(tag)),
+                      F.regexp_replace(tag, "(?i)^xmeas_", "Plant sensor "))
+
+
+def z_score(x: Column, mean: Column, scale: Column) -> Column:
+    """(imputed value - mean) / scale."""
+    return (x - mean) / scale

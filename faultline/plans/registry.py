@@ -33,4 +33,5 @@ def register(name: str, ids: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from . import (alarm_queries, alert_queries, metric_queries, model_queries,  # noqa: F401
-                   prepare_queries, quality_queries, stream_queries, telemetry_queries)
+                   prepare_queries, quality_queries, report_queries, stream_queries,
+                   telemetry_queries)
