@@ -107,3 +107,28 @@ def a1(spark, sf_dir):
     ing.write_report(t, os.path.join(base, "csv"), fmt="csv")
     out = ing.typed_ingest(spark, os.path.join(base, "csv"), os.path.join(base, "parquet"), sensors=SENS3)
     return out.select("faultNumber", "simulationRun", "sample", *SENS3)
+
+
+@register("a17_dashboard_bundle", "A17 A8 H18", "WITH " + Q.SCORED + """,
+k AS (SELECT count(*) FILTER (WHERE y_true = 1 AND is_fault = 1) AS tp, count(*) FILTER (WHERE y_true = 1) AS pos,
+             count(*) FILTER (WHERE y_true = 0 AND is_fault = 1) AS fp, count(*) FILTER (WHERE y_true = 0) AS neg,
+             count(*) FILTER (WHERE faultNumber = 99) AS never FROM scored)
+SELECT 'notebook' AS source,
+       coalesce(nullif(round(CAST(tp AS DOUBLE) / pos, 4), 0), 0.9) AS recall,
+       coalesce(nullif(round(CAST(fp AS DOUBLE) / neg, 4), 0), 0.2) AS false_alarm_rate,
+       coalesce(nullif(CAST(never AS DOUBLE), 0), 0.35) AS threshold
+FROM k""")
+def a17(spark, sf_dir):
+    """Defaults overridden by artefacts computed from the data; a zero metric
+    counts as missing (the threshold artefact here is deliberately absent)."""
+    s = scored(spark, sf_dir)
+    art = s.agg((F.count_if((F.col("y_true") == 1) & (F.col("is_fault") == 1)) / F.count_if(F.col("y_true") == 1))
+                .alias("recall"),
+                (F.count_if((F.col("y_true") == 0) & (F.col("is_fault") == 1)) / F.count_if(F.col("y_true") == 0))
+                .alias("false_alarm_rate"),
+                F.count_if(F.col("faultNumber") == 99).cast("double").alias("threshold"))
+    art = art.select(F.lit("notebook").alias("source"), F.round("recall", 4).alias("recall"),
+                     F.round("false_alarm_rate", 4).alias("false_alarm_rate"), "threshold")
+    defaults = spark.createDataFrame([("default", 0.9, 0.2, 0.35)],
+                                     "source string, recall double, false_alarm_rate double, threshold double")
+    return ing.dashboard_bundle(defaults, art)
