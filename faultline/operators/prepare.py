@@ -128,7 +128,7 @@ def stratified_run_split(runs: DataFrame, test_pct: int = 20, seed: int = 42, la
     h = runs.withColumn("_h", seeded_hash(key, seed=seed))
     r = ordinal_within(h, label, ["_h"], out="_rank")
     n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(n, label)
+    r = r.join(F.broadcast(n), label)   # one row per label: bounded by the label vocabulary
     n_test = F.ceil(F.col("_n") * F.lit(test_pct) / F.lit(100))
     return r.withColumn("fold", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_h", "_rank", "_n")
 
@@ -139,7 +139,7 @@ def stratified_row_split(df: DataFrame, label: str, row_key: Sequence[str], pcts
     h = df.withColumn("_h", seeded_hash(*row_key, seed=seed))
     r = ordinal_within(h, label, ["_h"], out="_rank")
     n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(n, label)
+    r = r.join(F.broadcast(n), label)   # one row per label: bounded by the label vocabulary
     a, b = pcts
     fold = (F.when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(a) / F.lit(100)), "train")
             .when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(a + b) / F.lit(100)), "val").otherwise("test"))

@@ -317,8 +317,10 @@ FROM inc2 WHERE severity <> 'LOW'""")
 def f4(spark, sf_dir):
     # the view is the filtered incident list (bounded by what an operator pages through)
     inc = incidents(spark, sf_dir).where(F.col("severity") != "LOW")
-    ordered = inc.withColumn("position", F.row_number().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(F.col("ts").desc(), "id")).cast("int"))
+    # newest-first position over the whole view: sort-based ordinal, not a one-task window
+    from ..operators.blocked import ordinal_within
+    keyed = inc.withColumn("_all", F.lit(0)).withColumn("_newest", -F.unix_micros(F.col("ts").cast("timestamp")))
+    ordered = ordinal_within(keyed, "_all", ["_newest", "id"], out="position")
     unacked = inc.agg(F.count_if(~F.col("acknowledged")).alias("unacknowledged_in_view"))
     one = F.lit(1).alias("_k")
     return (ordered.select("*", one).join(F.broadcast(unacked.select("*", one)), "_k")
