@@ -216,3 +216,12 @@ def run_extent(df: DataFrame, onset: int, key: str = "run_key", label: str = "fa
                             F.min_by(label, pos).alias("fault_label"))
     return e.where((F.col("min_sample") < onset) & (F.col("max_sample") >= onset)).withColumn(
         "n_samples", F.col("max_sample") - F.col("min_sample") + 1)
+
+
+def scan_runs(df: DataFrame, fault: int, runs: Sequence[int], fault_col: str = "faultNumber",
+              run_col: str = "simulationRun") -> DataFrame:
+    """A5: one fault's selected runs (filters push down to the scan); error when empty."""
+    out = df.where((F.col(fault_col) == fault) & F.col(run_col).isin(list(runs)))
+    if out.isEmpty():
+        raise ValueError(f"no rows for fault {fault} runs {list(runs)[:10]}")
+    return out

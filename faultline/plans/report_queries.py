@@ -132,3 +132,53 @@ def a17(spark, sf_dir):
     defaults = spark.createDataFrame([("default", 0.9, 0.2, 0.35)],
                                      "source string, recall double, false_alarm_rate double, threshold double")
     return ing.dashboard_bundle(defaults, art)
+
+
+@register("a8_metrics_manifest", "A8", "WITH " + __import__("faultline.plans.metric_queries", fromlist=["x"]).REPORT_SQL[5:] + """
+SELECT round(max(CASE WHEN label = 'accuracy' THEN f1 END), 4) AS accuracy,
+       round(max(CASE WHEN label = 'macro avg' THEN f1 END), 4) AS macro_f1,
+       round(max(CASE WHEN label = 'weighted avg' THEN f1 END), 4) AS weighted_f1,
+       count(*) FILTER (WHERE label NOT IN ('accuracy', 'macro avg', 'weighted avg')) AS n_classes,
+       'cascade' AS best_model
+FROM report""")
+def a8(spark, sf_dir):
+    from ..operators import metrics as me
+    from .metric_queries import cascade
+    rep = me.classification_report(cascade(spark, sf_dir), "y_true_mc", "y_pred")
+    man = ing.metrics_manifest(rep, "cascade")
+    path = os.path.join(ensure_checkpoint_dir(spark), "reports", f"manifest-{uuid.uuid4().hex[:12]}")
+    ing.write_report(man.coalesce(1), path, fmt="json")     # one small document
+    back = spark.read.json(path)
+    return back.select("accuracy", "macro_f1", "weighted_f1", F.size("per_class").cast("long").alias("n_classes"),
+                       "best_model")
+
+
+@register("b5_fault_period_after_features", "B5", "WITH " + Q.SCORED + """,
+f AS (SELECT run_key, sample, target_fault_label,
+             CAST(avg(xmeas_13) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS FLOAT) AS xmeas_13_roll_mean_30
+      FROM scored)
+SELECT run_key, sample, target_fault_label, xmeas_13_roll_mean_30 FROM f WHERE target_fault_label > 0""")
+def b5(spark, sf_dir):
+    """Windows see the pre-fault rows; the fault-period filter comes after them."""
+    from ..operators import features as fe
+    f = fe.rolling_features(scored(spark, sf_dir), ["xmeas_13"], [30])
+    return f.where(F.col("target_fault_label") > 0).select(
+        "run_key", "sample", "target_fault_label", F.col("xmeas_13_roll_mean_30").cast("float").alias("xmeas_13_roll_mean_30"))
+
+
+@register("c7_probability_alignment", "C7", "WITH " + Q.SCORED + """,
+pw AS (SELECT s.run_key, s.sample, CAST(r.cls AS INTEGER) AS cls,
+              CAST(1 << CAST((s.event_id * (r.cls + 3)) % 11 AS INTEGER) AS DOUBLE) AS w
+       FROM scored s, range(1, 21) AS r(cls)),
+pp AS (SELECT run_key, sample, cls, w / sum(w) OVER (PARTITION BY run_key, sample) AS p FROM pw)
+SELECT run_key, sample, 0.0 AS p_0, round(max(CASE WHEN cls = 1 THEN p END), 6) AS p_1,
+       round(max(CASE WHEN cls = 13 THEN p END), 6) AS p_13, 0.0 AS p_21, 22 AS n_labels
+FROM pp GROUP BY run_key, sample""")
+def c7(spark, sf_dir):
+    """Model classes 1..20 aligned to the label list 0..21: absent labels get 0."""
+    from ..operators import alerts as ops
+    s = with_class_probabilities(scored(spark, sf_dir))
+    m = s.withColumn("pm", F.map_from_arrays(F.sequence(F.lit(1), F.lit(20)), F.col("probs")))
+    a = m.withColumn("al", ops.align_probabilities(F.col("pm"), list(range(0, 22))))
+    return a.select("run_key", "sample", F.col("al")[0].alias("p_0"), r6(F.col("al")[1]).alias("p_1"),
+                    r6(F.col("al")[13]).alias("p_13"), F.col("al")[21].alias("p_21"), F.size("al").alias("n_labels"))

@@ -40,21 +40,27 @@ def cached_ingest(spark: SparkSession, sources: dict[str, str], out_path: str, f
     """A2: build the columnar cache once; ``force`` rebuilds it.  Sources whose
     path does not exist are skipped with a warning."""
     import logging
+
+    from pyspark.errors import AnalysisException
     mode = "overwrite" if force else "ignore"
     built = False
     for split, path in sources.items():
-        if not os.path.exists(path):
+        try:    # works for any file system the cluster can read, not just local disk
+            raw = spark.read.option("header", True).csv(path)
+        except AnalysisException:
             logging.getLogger(__name__).warning("skipping missing source %s", path)
             continue
         target = os.path.join(out_path, f"split={split}")
-        raw = spark.read.option("header", True).csv(path)
         raw = raw.toDF(*[c.strip() for c in raw.columns])
         typed = raw.select(F.col("faultNumber").cast("smallint"), F.col("simulationRun").cast("int"),
                            F.col("sample").cast("int"),
                            *[F.col(s).cast("float") for s in SENSOR_COLUMNS if s in raw.columns])
         typed.write.mode(mode).partitionBy("faultNumber").parquet(target)
         built = True
-    return spark.read.parquet(out_path) if built or os.path.exists(out_path) else None
+    try:
+        return spark.read.parquet(out_path)
+    except AnalysisException:
+        return None if not built else spark.read.parquet(out_path)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
