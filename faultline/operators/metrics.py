@@ -229,4 +229,4 @@ def binary_rates(df: DataFrame, y: str = "y_true", pred: str = "y_pred", by: Seq
         *by, "tp", "fp", "fn", "tn",
         F.coalesce(F.try_divide(F.col("fp"), F.col("fp") + F.col("tn")), F.lit(0.0)).alias("false_alarm_rate"),
         F.coalesce(F.try_divide(F.col("fn"), F.col("fn") + F.col("tp")), F.lit(0.0)).alias("missed_fault_rate"),
-        ((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))).alias("accuracy"))
+        F.try_divide(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("accuracy"))

@@ -122,14 +122,15 @@ def sample_runs_per_fault(runs: DataFrame, k: int, seed: int = 42, fault: str =
 
 def stratified_run_split(runs: DataFrame, test_pct: int = 20, seed: int = 42, label: str = "faultNumber",
                          key: str = "run_key") -> DataFrame:
-    """Run-level stratified split.  Per label, the first ``ceil(pct * n / 100)``
-    runs in seeded hash order are ``test``, the rest ``train`` (exact integer
-    arithmetic for the cut)."""
+    """Run-level stratified split.  Per label, the first
+    ``min(ceil(pct * n / 100), n - 1)`` runs in seeded hash order are ``test``,
+    the rest ``train`` (exact integer arithmetic for the cut)."""
     h = runs.withColumn("_h", seeded_hash(key, seed=seed))
     r = ordinal_within(h, label, ["_h"], out="_rank")
     n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     r = r.join(F.broadcast(n), label)   # one row per label: bounded by the label vocabulary
-    n_test = F.ceil(F.col("_n") * F.lit(test_pct) / F.lit(100))
+    # every class keeps at least one training run (a class of one run trains only)
+    n_test = F.least(F.ceil(F.col("_n") * F.lit(test_pct) / F.lit(100)), F.col("_n") - 1)
     return r.withColumn("fold", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_h", "_rank", "_n")
 
 

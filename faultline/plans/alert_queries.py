@@ -352,8 +352,8 @@ def d31(spark, sf_dir):
               F.count_if(F.col("y_true") == 0).alias("normal"), F.max("ts").alias("last_ts"),
               F.max(F.when(F.col("is_fault") == 1, F.col("ts"))).alias("last_alert"), F.avg("health_score").alias("health"))
     hours = (F.unix_micros(F.col("last_ts").cast("timestamp")) - F.unix_micros(F.col("last_alert").cast("timestamp"))) / 3.6e9
-    return k.select(r6(F.col("tp") / F.col("pos")).alias("recall"),
-                    r6(F.col("fa") / (F.col("normal") * 3.0 / 60.0)).alias("false_alarms_per_normal_hour"),
+    return k.select(r6(F.try_divide(F.col("tp"), F.col("pos"))).alias("recall"),
+                    r6(F.try_divide(F.col("fa"), F.col("normal") * 3.0 / 60.0)).alias("false_alarms_per_normal_hour"),
                     r6("health").alias("plant_health_pct"), r6(hours).alias("last_alert_hours_ago"),
                     S.relative_time(hours).alias("last_alert_text"))
 

@@ -82,7 +82,7 @@ runs AS (SELECT DISTINCT run_key, faultNumber, simulationRun FROM telemetry),
 rr AS (SELECT *, row_number() OVER (PARTITION BY faultNumber ORDER BY {MD5}) AS rk,
               count(*) OVER (PARTITION BY faultNumber) AS n FROM runs),
 folds AS (SELECT run_key, faultNumber, simulationRun,
-                 CASE WHEN rk <= ceil(n * 20 / 100) THEN 'test' ELSE 'train' END AS fold FROM rr),
+                 CASE WHEN rk <= least(ceil(n * 20 / 100), n - 1) THEN 'test' ELSE 'train' END AS fold FROM rr),
 sf AS (SELECT s.*, f.fold FROM scored s JOIN folds f USING (run_key, faultNumber, simulationRun))"""
 
 
