@@ -150,3 +150,29 @@ def test_global_prefix(spark):
     agg = df.groupBy("k").agg(F.sum("one").alias("n"))
     got = bl.global_prefix(agg, "k", ["n"], buckets=8).toPandas().sort_values("k")
     assert (got["n"].to_numpy() == np.cumsum(got["_d_n"].to_numpy())).all()
+
+
+def test_hot_run_spreads_and_stays_exact(spark):
+    """One run holding most rows: with 64-row blocks its work is spread over
+    (run, block) groups, and rolling/EWMA/latch still equal sequential loops."""
+    rng = np.random.default_rng(5)
+    n_hot = 3000
+    x = np.concatenate([rng.normal(50, 5, 1200), rng.normal(80, 5, n_hot - 1200)])
+    hot = pd.DataFrame({"run_key": "hot", "sample": np.arange(1, n_hot + 1), "xmeas_13": x})
+    cold = pd.DataFrame({"run_key": [f"c{i}" for i in range(20) for _ in range(30)],
+                         "sample": [s for _ in range(20) for s in range(1, 31)], "xmeas_13": rng.normal(50, 5, 600)})
+    df = spark.createDataFrame(pd.concat([hot, cold]))
+    rf = fe.rolling_features(df, ["xmeas_13"], [50], block=64).toPandas().sort_values(["run_key", "sample"])
+    h = rf[rf.run_key == "hot"]
+    assert np.allclose(h["xmeas_13_roll_mean_50"], pd.Series(x).rolling(50, min_periods=1).mean(), atol=1e-9)
+    t = al.Tuning(alpha=0.2, sigma=1.0, pad=2.0, n_on=2, n_off=3, lockout=4, max_latch=6, hysteresis=1.0)
+    sig = al.alarm_signals(df, "xmeas_13", 100, t, block=64)
+    got = al.deadband_latch(sig, t, block=64).toPandas().sort_values(["run_key", "sample"])
+    g = got[got.run_key == "hot"]
+    assert np.allclose(g["z"], _ewma_ref(x, 0.2), rtol=1e-11)
+    ref = _latch_ref(g["breach"].to_numpy(), g["in_clear"].to_numpy(), t.n_on, t.n_off, t.lockout, t.max_latch)
+    assert (g["alarm"].to_numpy() == ref).all()
+    # the hot run is processed as ~47 (run, block) groups, not one
+    parts = (sig.withColumn("_b", F.floor((F.col("sample") - 1) / 64)).where(F.col("run_key") == "hot")
+             .select("_b").distinct().count())
+    assert parts == (n_hot + 63) // 64
