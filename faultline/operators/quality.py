@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import OUTLIER_Z
@@ -118,8 +118,13 @@ def correlation_long(df: DataFrame, sensors: Sequence[str]) -> DataFrame:
 
 
 def median_trajectory(df: DataFrame, sensors: Sequence[str], by: Sequence[str] = ("faultNumber", "sample")) -> DataFrame:
-    """Exact median per (fault, sample) for the chosen sensors."""
-    return df.groupBy(*by).agg(*[F.median(F.col(s).cast("double")).alias(f"{s}_median") for s in sensors])
+    """Exact median per (fault, sample) for the chosen sensors (bracketed,
+    so a fault holding most rows is not gathered in one task)."""
+    by = list(by)
+    long = df.select(*by, *[F.col(s).cast("double").alias(s) for s in sensors]).unpivot(by, list(sensors), "sensor", "value")
+    med = exact_median_long(long, by + ["sensor"])
+    return med.groupBy(*by).pivot("sensor", list(sensors)).agg(F.first("median")).select(
+        *by, *[F.col(s).alias(f"{s}_median") for s in sensors])
 
 
 # --------------------------------------------------------------------------
@@ -128,10 +133,10 @@ def median_trajectory(df: DataFrame, sensors: Sequence[str], by: Sequence[str] =
 def fit_preprocessor(train: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """J1/J2 parameters, one row per sensor: exact median (imputation; all-null
     -> 0), mean and population std of the imputed values (std 0 -> 1)."""
-    med = train.agg(*[F.median(F.col(s).cast("double")).alias(f"md_{s}") for s in sensors])
-    med_long = _unpivot_one_row(med, sensors, "median", "md_").withColumn(
-        "median", F.coalesce(F.col("median"), F.lit(0.0)))
-    meds = {r["sensor"]: r["median"] for r in med_long.collect()}   # bounded by #sensors
+    long = train.select(*[F.col(s).cast("double").alias(s) for s in sensors]).unpivot([], list(sensors), "sensor", "value")
+    med_long = exact_median_long(long, ["sensor"])
+    meds = {s: 0.0 for s in sensors}          # all-missing sensor -> 0
+    meds.update({r["sensor"]: r["median"] for r in med_long.collect() if r["median"] is not None})   # bounded by #sensors
     imputed = train.select(*[F.coalesce(F.col(s).cast("double"), F.lit(meds[s])).alias(s) for s in sensors])
     mom = imputed.agg(*[x for s in sensors for x in (F.avg(s).alias(f"mu_{s}"), F.stddev_pop(s).alias(f"sd_{s}"))])
     stacked = F.explode(F.array(*[F.struct(F.lit(s).alias("sensor"), F.lit(meds[s]).alias("median"),
@@ -149,3 +154,45 @@ def apply_preprocessor(df: DataFrame, params: DataFrame, sensors: Sequence[str],
         med, mu, sc = p[s]
         cols.append(((F.coalesce(F.col(s).cast("double"), F.lit(med)) - F.lit(mu)) / F.lit(sc)).alias(s))
     return df.select(*keep, *cols)
+
+
+def exact_median_long(long: DataFrame, by: Sequence[str], value: str = "value", accuracy: int = 100_000) -> DataFrame:
+    """Exact median of ``value`` per group (even counts: mean of the two middle
+    values), without gathering a group's values in one task.
+
+    1. One aggregate per group: count and an approximate bracket
+       [q(0.5 - 2/A), q(0.5 + 2/A)] from ``percentile_approx`` (rank error <= n/A),
+       which therefore contains both middle ranks.
+    2. Rows below the bracket are only counted; rows inside are reduced to
+       (value, multiplicity) pairs - about 4n/A rows per group, ties collapsed.
+    3. A cumulative count over the in-bracket values (a window over that small
+       table) finds the values at the middle ranks.
+    Groups whose bracket would miss (not expected) fall back to ``median``.
+    """
+    by = list(by)
+    eps = 2.0 / accuracy
+    v = F.col(value).cast("double")
+    stats = long.groupBy(*by).agg(
+        F.count(v).alias("_n"),
+        F.percentile_approx(v, [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_br"))
+    stats = stats.select(*by, "_n", F.col("_br")[0].alias("_lo"), F.col("_br")[1].alias("_hi"),
+                         (F.floor((F.col("_n") - 1) / 2) + 1).alias("_k1"), (F.floor(F.col("_n") / 2) + 1).alias("_k2"))
+    j = long.select(*by, v.alias("_v")).where(F.col("_v").isNotNull()).join(stats, by)
+    below = j.groupBy(*by).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
+    band = (j.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+            .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_m")))
+    w = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    band = band.join(below, by).join(stats.select(*by, "_k1", "_k2"), by)
+    band = band.withColumn("_cum", F.col("_below") + F.sum("_m").over(w))
+    picks = band.groupBy(*by).agg(
+        F.min(F.when(F.col("_cum") >= F.col("_k1"), F.col("_v"))).alias("_v1"),
+        F.min(F.when(F.col("_cum") >= F.col("_k2"), F.col("_v"))).alias("_v2"),
+        F.first("_below").alias("_below"), F.max("_cum").alias("_top"), F.first("_k1").alias("_k1"),
+        F.first("_k2").alias("_k2"))
+    ok = (F.col("_below") < F.col("_k1")) & (F.col("_top") >= F.col("_k2"))
+    res = stats.select(*by, "_n").join(picks, by, "left").select(
+        *by, F.when(ok, (F.col("_v1") + F.col("_v2")) / 2.0).alias("median"), "_n", ok.alias("_ok"))
+    good = res.where(F.col("_ok") | (F.col("_n") == 0)).select(*by, "median")
+    bad_keys = res.where(~F.coalesce(F.col("_ok"), F.lit(False)) & (F.col("_n") > 0)).select(*by)
+    fallback = long.join(bad_keys, by, "left_semi").groupBy(*by).agg(F.median(v).alias("median"))
+    return good.unionByName(fallback)

@@ -206,3 +206,22 @@ def test_scan_runs_and_cache(spark, tmp_path):
     assert again.count() == n and dict(again.dtypes)["xmeas_13"] == "float"
     forced = ing.cached_ingest(spark, {"training": csv}, out, force=True)
     assert forced.count() == n
+
+
+@pytest.mark.parametrize("accuracy", [50, 100_000])
+def test_exact_median_long(spark, accuracy):
+    rng = np.random.default_rng(11)
+    parts = [pd.DataFrame({"g": "big", "value": rng.normal(0, 1, 20001)}),
+             pd.DataFrame({"g": "even", "value": rng.normal(5, 2, 1000)}),
+             pd.DataFrame({"g": "ties", "value": rng.integers(0, 3, 5000).astype(float)}),
+             pd.DataFrame({"g": "one", "value": [4.0]}),
+             pd.DataFrame({"g": "nulls", "value": [np.nan, np.nan]})]
+    pdf = pd.concat(parts, ignore_index=True)
+    df = spark.createDataFrame(pdf).withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    got = {r.g: r.median for r in qa.exact_median_long(df, ["g"], accuracy=accuracy).collect()}
+    for g, part in pdf.groupby("g"):
+        ref = part["value"].median()
+        if np.isnan(ref):
+            assert got[g] is None
+        else:
+            assert got[g] == ref
