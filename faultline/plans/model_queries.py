@@ -112,10 +112,10 @@ def j11(spark, sf_dir):
     rep = ext.orderBy(F.col("n_samples").desc(), "run_key").limit(1).select("run_key")
     run = f.join(F.broadcast(rep), "run_key", "left_semi")
     s = mo.score(model, run)
-    onset = F.min(F.when(F.col("target_fault_label") > 0, F.col("sample"))).over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("run_key"))
-    return s.select("run_key", "sample", "target_fault_label", r6(F.array_max("probs")).alias("max_prob"),
-                    r6(F.lit(1.0) - F.array_max("probs")).alias("risk_proxy"), onset.alias("onset_sample"))
+    onset = fe.fault_onset(run, "target_fault_label")          # one row (grouped, partial aggregation)
+    return s.join(F.broadcast(onset), "run_key").select(
+        "run_key", "sample", "target_fault_label", r6(F.array_max("probs")).alias("max_prob"),
+        r6(F.lit(1.0) - F.array_max("probs")).alias("risk_proxy"), "onset_sample")
 
 
 @register("j12_pca_projection", "J12")
