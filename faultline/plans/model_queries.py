@@ -153,3 +153,18 @@ def j18(spark, sf_dir):
     a = mo.score(model, d).select("sample", F.col("prediction").alias("p1"))
     b = mo.score(back, d).select("sample", F.col("prediction").alias("p2"))
     return a.join(b, "sample").select("sample", (F.col("p1") == F.col("p2")).alias("same_prediction"))
+
+
+@register("j8_early_stopping_report", "J8")
+def j8(spark, sf_dir):
+    """Validation log-loss after every boosting iteration of an early-stopped
+    GBT, with the best iteration flagged (training stops once the validation
+    improvement falls below ``validationTol``)."""
+    m = sensor_matrix(spark, sf_dir).withColumn("y", (F.col("faultNumber") > 0).cast("double"))
+    m = m.withColumn("is_val", F.pmod(F.col("sample"), F.lit(5)) == 0)
+    model = mo.gbt_binary(SENS, label="y", weight=None, iters=30, depth=3, validation="is_val").fit(m)
+    val = model.stages[0].transform(m.where("is_val"))
+    losses = model.stages[-1].evaluateEachIteration(val)          # one value per tree (bounded by maxIter)
+    best = int(min(range(len(losses)), key=lambda i: losses[i]))
+    rows = [(i + 1, float(v), i == best, i == len(losses) - 1) for i, v in enumerate(losses)]
+    return spark.createDataFrame(rows, "iteration int, validation_loss double, is_best boolean, is_final boolean")
