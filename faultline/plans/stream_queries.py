@@ -116,9 +116,9 @@ def k6(spark, sf_dir):
 
     def overwrite(batch, _):
         batch.write.mode("overwrite").parquet(sink)
-    q = (counts.writeStream.outputMode("complete").foreachBatch(overwrite)
-         .option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True).start())
-    q.awaitTermination()
+    w = (counts.writeStream.outputMode("complete").foreachBatch(overwrite)
+         .option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True))
+    st.start_with_state_partitions(w, spark, None).awaitTermination()
     r = spark.read.parquet(sink)
     return r.select(F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss").alias("window_start"), "severity", "n")
 
@@ -126,7 +126,7 @@ def k6(spark, sf_dir):
 @register("k7_stream_dedup", "K7", "WITH " + Q.TELEMETRY + """
 SELECT run_key, sample FROM telemetry""")
 def k7(spark, sf_dir):
-    base = publish(spark, sf_dir, "k7", copies=2, by_days=2)
+    base = publish(spark, sf_dir, "k7", copies=2, by_days=6)
     s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_SLICE)
     d = st.dedup_samples(s, watermark="1 day").select("run_key", "sample")
     st.run_to_completion(d, os.path.join(base, "out"), os.path.join(base, "chk"))

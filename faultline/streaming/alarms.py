@@ -53,12 +53,28 @@ def write_slices(df: DataFrame, path: str, slice_len: int = 20, pos: str = "samp
        .write.mode("overwrite").partitionBy("slice").parquet(path))
 
 
+def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a streaming query with an explicit number of state partitions.
+
+    A stateful query takes its partition count from ``spark.sql.shuffle.partitions``
+    when it first starts and keeps it in the checkpoint for its lifetime; it
+    is set for the start only and the session value restored."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def run_to_completion(stream: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
-                      fmt: str = "parquet") -> None:
+                      fmt: str = "parquet", state_partitions: int | None = None) -> None:
     """Drive a streaming query over everything available (AvailableNow) into a
     file sink with a reliable checkpoint; blocks until done."""
-    q = (stream.writeStream.format(fmt).outputMode(mode).option("path", sink_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    w = (stream.writeStream.format(fmt).outputMode(mode).option("path", sink_path)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    q = start_with_state_partitions(w, stream.sparkSession, state_partitions)
     q.awaitTermination()
 
 
