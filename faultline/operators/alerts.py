@@ -173,8 +173,7 @@ def maintenance_items(active: DataFrame, fault_col: str = "fault_id", stage: str
     Severity: emergency or stage >= 5 CRITICAL, >= 3 HIGH, else MEDIUM;
     failure window ``max(3, base - floor(tick / 8))``; progress ``min(95, 22 + 12 * stage)``."""
     cat = operator_catalog(active.sparkSession)
-    d = active.join(F.broadcast(cat), F.col(fault_col) == F.col("fault_id"), "left") if fault_col != "fault_id" \
-        else active.join(F.broadcast(cat), "fault_id", "left")
+    d = active.withColumnRenamed(fault_col, "fault_id").join(F.broadcast(cat), "fault_id", "left")
     sev = (F.when(F.col(emergency) | (F.col(stage) >= 5), "CRITICAL").when(F.col(stage) >= 3, "HIGH")
            .otherwise("MEDIUM"))
     d = d.withColumn("risk", sev)

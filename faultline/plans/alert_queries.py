@@ -1,6 +1,7 @@
 """Alert, snapshot, incident and maintenance queries."""
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -378,7 +379,7 @@ def a12(spark, sf_dir):
     zero = last.select("run_key", F.lit(0).alias("class_id"),
                        (F.floor(F.greatest(F.lit(0.0), F.lit(1.0) - total) * 10000 + 0.5) / 100).alias("pct"))
     c = cls.unionByName(zero)
-    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("run_key").orderBy(F.col("pct").desc(), "class_id")
+    w = Window.partitionBy("run_key").orderBy(F.col("pct").desc(), "class_id")   # 21 rows per run
     return c.withColumn("rank", F.row_number().over(w).cast("int"))
 
 

@@ -15,6 +15,7 @@ from ..sources.tables import sensor_matrix, telemetry, with_class_probabilities
 from ..session import ensure_checkpoint_dir
 from . import sql as Q
 from .alert_queries import _q
+from .metric_queries import REPORT_SQL
 from .registry import register
 from .telemetry_queries import scored
 
@@ -134,7 +135,7 @@ def a17(spark, sf_dir):
     return ing.dashboard_bundle(defaults, art)
 
 
-@register("a8_metrics_manifest", "A8", "WITH " + __import__("faultline.plans.metric_queries", fromlist=["x"]).REPORT_SQL[5:] + """
+@register("a8_metrics_manifest", "A8", REPORT_SQL + """
 SELECT round(max(CASE WHEN label = 'accuracy' THEN f1 END), 4) AS accuracy,
        round(max(CASE WHEN label = 'macro avg' THEN f1 END), 4) AS macro_f1,
        round(max(CASE WHEN label = 'weighted avg' THEN f1 END), 4) AS weighted_f1,
