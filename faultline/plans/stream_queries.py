@@ -44,7 +44,10 @@ def publish(spark, sf_dir: str, name: str, copies: int = 1, by_days: int | None
 
 
 def _params(spark, sf_dir):
-    return alq.signals(spark, sf_dir).select("run_key", "mu_z", "sig_z", "roc_thr", "t_max").dropDuplicates(["run_key"])
+    """Batch-fitted baselines, materialised once: the static side of a
+    stream-static join is otherwise re-evaluated in every micro-batch."""
+    p = alq.signals(spark, sf_dir).select("run_key", "mu_z", "sig_z", "roc_thr", "t_max").dropDuplicates(["run_key"])
+    return p.checkpoint(eager=True)
 
 
 def _alarm_stream(spark, sf_dir, name):
@@ -87,7 +90,8 @@ def k5(spark, sf_dir):
 @register("k2_stream_alerts", "K2 J16", aq._j16_sql())
 def k2(spark, sf_dir):
     rows, params, imp = aq._fit(spark, sf_dir)
-    test_runs = rows.where(F.col("fold") == "test").select("run_key").distinct()
+    from .prepare_queries import run_folds
+    test_runs = run_folds(spark, sf_dir).where(F.col("fold") == "test").select("run_key")   # materialised
     base = publish(spark, sf_dir, "k2")
     s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_SLICE)
     s = s.join(test_runs, "run_key", "left_semi").where((F.col("sample") - 1) % 5 == 0)
