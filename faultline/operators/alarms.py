@@ -61,38 +61,53 @@ def ewma_block_len(alpha: float, block: int) -> int:
 
 
 def ewma(df: DataFrame, col: str, out: str, alpha: float, key: str = "run_key", pos: str = "sample",
-         block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Exponentially weighted moving average per run (z_0 = x_0)."""
+         block: int = DEFAULT_BLOCK, diff_out: str | None = None) -> DataFrame:
+    """Exponentially weighted moving average per run (z_0 = x_0).
+
+    ``diff_out`` also adds |z_i - z_(i-1)| (0 on the run's first row, E3 on the
+    EWMA) inside the same (run, block) window: the previous value is ``lag(z)``,
+    or, on a block's first row, the carry entering the block - no halo and no
+    extra exchange."""
     x = F.col(col).cast("double")
     if alpha >= 1.0:
-        return df.withColumn(out, x)
+        res = df.withColumn(out, x)
+        if diff_out:
+            from .blocked import halo_select
+            res = halo_select(res, key, pos, lambda w: [F.abs(F.coalesce(F.col(out) - F.lag(out, 1).over(w),
+                                                                         F.lit(0.0))).alias(diff_out)], before=1)
+        return res
     d = 1.0 - alpha
     b = ewma_block_len(alpha, block)
     r = ((F.col(pos) - 1) % b).cast("double")
     rows = df.withColumn(BLK, block_of(pos, b)).withColumn("_r", r)
-    w = Window.partitionBy(key, BLK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.lit(alpha) * F.pow(F.lit(d), F.col("_r")) * F.sum(x * F.pow(F.lit(d), -F.col("_r"))).over(w)
+    w = Window.partitionBy(key, BLK).orderBy(pos)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = F.lit(alpha) * F.pow(F.lit(d), F.col("_r")) * F.sum(x * F.pow(F.lit(d), -F.col("_r"))).over(running)
     rows = rows.withColumn("_loc", local)
     nb = max_blocks(df, pos, b)
     if nb <= 1:
         # single block: the carry is the run's first value
-        x0 = F.first(x).over(w)
-        return rows.withColumn(out, F.col("_loc") + F.pow(F.lit(d), F.col("_r") + 1) * x0).drop(BLK, "_r", "_loc")
-    # affine map of each block: c -> a*c + b  with a = d^len, b = local value at the block end
-    maps = rows.groupBy(key, BLK).agg(F.pow(F.lit(d), F.count(F.lit(1)).cast("double")).alias("_a"),
-                                      F.max_by("_loc", pos).alias("_b"))
-    x0 = rows.where(F.col(pos) == 1).select(key, x.alias("_x0"))
-
-    def comb(e, lt):
-        return {"_a": lt["_a"] * e["_a"], "_b": lt["_a"] * e["_b"] + lt["_b"]}
-    pre = exclusive(doubling_scan(maps, key, ["_a", "_b"], comb, scan_rounds(nb)), key, ["_a", "_b"])
-    # carries are per (run, block): joins keyed by (run, block) never gather a run
-    carry = (pre.join(x0, key).select(key, BLK, (F.col("_a") * F.col("_x0") + F.col("_b")).alias("_c")))
-    res = rows.join(carry, [key, BLK], "left")
-    # block 0 has no carry: its carry is the run's first value, the first value of the block
-    c = F.coalesce(F.col("_c"), F.first(x).over(w))
-    return (res.withColumn(out, F.col("_loc") + F.pow(F.lit(d), F.col("_r") + 1) * c)
-            .drop(BLK, "_r", "_loc", "_c"))
+        res = rows.withColumn("_c", F.lit(None).cast("double")).withColumn(
+            out, F.col("_loc") + F.pow(F.lit(d), F.col("_r") + 1) * F.first(x).over(running))
+    else:
+        # affine map of each block: c -> a*c + b  with a = d^len, b = local value at the block end
+        maps = rows.groupBy(key, BLK).agg(F.pow(F.lit(d), F.count(F.lit(1)).cast("double")).alias("_a"),
+                                          F.max_by("_loc", pos).alias("_b"))
+        x0 = rows.where(F.col(pos) == 1).select(key, x.alias("_x0"))
+
+        def comb(e, lt):
+            return {"_a": lt["_a"] * e["_a"], "_b": lt["_a"] * e["_b"] + lt["_b"]}
+        pre = exclusive(doubling_scan(maps, key, ["_a", "_b"], comb, scan_rounds(nb)), key, ["_a", "_b"])
+        # carries are per (run, block): joins keyed by (run, block) never gather a run
+        carry = pre.join(x0, key).select(key, BLK, (F.col("_a") * F.col("_x0") + F.col("_b")).alias("_c"))
+        res = rows.join(carry, [key, BLK], "left")
+        # block 0 has no carry: its carry is the run's first value, the first value of the block
+        c = F.coalesce(F.col("_c"), F.first(x).over(running))
+        res = res.withColumn(out, F.col("_loc") + F.pow(F.lit(d), F.col("_r") + 1) * c)
+    if diff_out:
+        prev = F.coalesce(F.lag(out, 1).over(w), F.col("_c"))
+        res = res.withColumn(diff_out, F.abs(F.coalesce(F.col(out) - prev, F.lit(0.0))))
+    return res.drop(BLK, "_r", "_loc", "_c")
 
 
 # --------------------------------------------------------------------------
@@ -103,12 +118,12 @@ def alarm_signals(df: DataFrame, col: str, inject: int, tuning: Tuning, key: str
     """Per row: ``z`` (EWMA), ``roc_abs``, band limits, ``breach_naive``,
     ``breach`` (EWMA outside the padded band), ``in_clear`` (inside the inner
     hysteresis band), ``roc_pre`` (rate-of-change pre-alarm)."""
-    z = ewma(df, col, "z", tuning.alpha, key, pos, block)
-
-    def lag_exprs(w: Window) -> list[Column]:
-        return [F.abs(F.coalesce(F.col("z") - F.lag("z", 1).over(w), F.lit(0.0))).alias("roc_abs")]
-    z = halo_select(z, key, pos, lag_exprs, before=1, block=block)
-    base = baselines(z, col, inject, tuning, key, pos)
+    z = ewma(df, col, "z", tuning.alpha, key, pos, block, diff_out="roc_abs")
+    # EWMA and ROC are causal: the baselines need only each run's pre-injection
+    # prefix (filter pushed to the scan), plus the run length
+    pre = ewma(df.where(F.col(pos) <= inject), col, "z", tuning.alpha, key, pos, block, diff_out="roc_abs")
+    base = baselines(pre, col, inject, tuning, key, pos).drop("t_max").join(
+        df.groupBy(key).agg(F.max(pos).alias("t_max")), key, "right")
     j = z.join(base, key)
     ramp = F.least(F.greatest((F.col(pos).cast("double") - F.lit(inject)) /
                               F.greatest(F.col("t_max").cast("double") - F.lit(inject), F.lit(1.0)), F.lit(0.0)),

@@ -169,7 +169,9 @@ def test_hot_run_spreads_and_stays_exact(spark):
     sig = al.alarm_signals(df, "xmeas_13", 100, t, block=64)
     got = al.deadband_latch(sig, t, block=64).toPandas().sort_values(["run_key", "sample"])
     g = got[got.run_key == "hot"]
-    assert np.allclose(g["z"], _ewma_ref(x, 0.2), rtol=1e-11)
+    zr = _ewma_ref(x, 0.2)
+    assert np.allclose(g["z"], zr, rtol=1e-11)
+    assert np.allclose(g["roc_abs"], np.abs(np.diff(zr, prepend=zr[0])), atol=1e-9)
     ref = _latch_ref(g["breach"].to_numpy(), g["in_clear"].to_numpy(), t.n_on, t.n_off, t.lockout, t.max_latch)
     assert (g["alarm"].to_numpy() == ref).all()
     # the hot run is processed as ~47 (run, block) groups, not one
