@@ -101,7 +101,20 @@ def f6(spark, sf_dir):
 # --------------------------------------------------------------------------
 # J16 / J17 alerts
 # --------------------------------------------------------------------------
+_FITTED: dict[tuple, tuple] = {}
+
+
 def _fit(spark, sf_dir):
+    """Train-fold preprocessor (medians, means, scales) and importances: a fitted
+    artefact, computed once per session and data set, then applied to every
+    alert (bounded by the feature count)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = _fit_now(spark, sf_dir)
+    return _FITTED[key]
+
+
+def _fit_now(spark, sf_dir):
     rows = split_rows(spark, sf_dir)
     train = rows.where(F.col("fold") == "train")
     params = {r["sensor"]: (r["median"], r["mean"], r["scale"]) for r in qa.fit_preprocessor(train, FEATS).collect()}
