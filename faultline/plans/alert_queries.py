@@ -36,7 +36,8 @@ OPCAT_CTE = "opcat(fault_id, label, description, systems, first_system, recommen
               for r in K.OPERATOR_CATALOG) + ")"
 STATUS_SQL = "CASE {s} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.SEVERITY_TO_STATUS.items()) + " ELSE 'WARNING' END"
 RANK_SQL = "CASE {s} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in K.SEVERITY_RANK.items()) + " END"
-WEIGHT_SQL = "CASE {s} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in K.RISK_SEVERITY_WEIGHT.items()) + " ELSE 0.6 END"
+WEIGHT_SQL = "CAST(CASE {s} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in K.RISK_SEVERITY_WEIGHT.items()) + \
+    " ELSE 0.6 END AS DOUBLE)"
 OPRISK_SQL = ("CASE WHEN {c} = 13 THEN CASE WHEN {p} > 0.8 THEN 'HIGH' ELSE 'MEDIUM' END "
               "WHEN {c} BETWEEN 16 AND 20 THEN 'LOW' " +
               " ".join(f"WHEN {{c}} = {k} THEN '{v}'" for k, v in K.OPERATIONAL_RISK.items()) + " ELSE 'LOW' END")
@@ -435,7 +436,7 @@ SELECT s.run_key, s.sample,
        CASE WHEN CAST(faultNumber + 1 AS INTEGER) BETWEEN 0 AND 20 THEN CAST(faultNumber + 1 AS INTEGER) ELSE 1 END AS parsed_fault_id,
        CASE WHEN faultNumber = 0 THEN CAST(faultNumber AS VARCHAR) || ': ' || o.description || ' (' || o.fault_type || ')'
             ELSE CAST(faultNumber AS VARCHAR) || ': ' || o.description || ' · ' || o.fault_type END AS fault_label_text,
-       len(string_split(o.action_detail, ' · ')) AS n_action_steps
+       CAST(len(string_split(o.action_detail, ' · ')) AS INTEGER) AS n_action_steps
 FROM scored s JOIN (SELECT fault_id, description, action_detail,
                            CASE fault_id """ + " ".join(f"WHEN {r[0]} THEN {_q(r[3])}" for r in K.OPERATOR_CATALOG) + """ END AS fault_type
                     FROM opcat) o ON o.fault_id = s.faultNumber""")
@@ -481,7 +482,7 @@ SELECT 'm-live-' || CAST(a.fault_id AS VARCHAR) AS id, o.first_system AS equipme
        o.label || ' — model-driven finding' AS issue,
        CASE WHEN a.emergency OR a.stage >= 5 THEN 'CRITICAL' WHEN a.stage >= 3 THEN 'HIGH' ELSE 'MEDIUM' END AS risk,
        CASE WHEN a.emergency OR a.stage >= 5 THEN 'P1' WHEN a.stage >= 3 THEN 'P2' ELSE 'P3' END AS urgency,
-       len(string_split(o.action_detail, ' · ')) + 2 AS n_steps,
+       CAST(len(string_split(o.action_detail, ' · ')) + 2 AS INTEGER) AS n_steps,
        greatest(3, o.base_min - CAST(floor(a.tick / 8) AS INTEGER)) AS failure_window_minutes,
        least(95, 22 + a.stage * 12) AS progress_pct, a.fault_id
 FROM act a LEFT JOIN opcat o USING (fault_id)""")
@@ -549,5 +550,5 @@ def a15(spark, sf_dir):
     loop = packed.select("run_key", F.col("_s.xmeas_13").alias("separator_pressure"),
                          F.col("_s.xmeas_9").alias("condenser_cw_flow"))
     rows = loop.select("run_key", F.posexplode(F.arrays_zip("separator_pressure", "condenser_cw_flow")).alias("tick", "z"))
-    return rows.select("run_key", F.col("tick").cast("bigint").alias("tick"), F.col("z.separator_pressure").alias("separator_pressure"),
+    return rows.select("run_key", F.col("tick").cast("int").alias("tick"), F.col("z.separator_pressure").alias("separator_pressure"),
                        F.col("z.condenser_cw_flow").alias("condenser_cw_flow"))
