@@ -92,7 +92,8 @@ _MAX_POS: dict[tuple, int] = {}
 def max_blocks(df: DataFrame, pos: str, block: int) -> int:
     """Largest number of blocks in any run (one small aggregate action,
     remembered per logical plan)."""
-    key = (df.select(pos).semanticHash(), pos)
+    # the plan hash alone would not see new files under an unchanged path
+    key = (df.select(pos).semanticHash(), pos, hash(tuple(sorted(df.inputFiles()))))
     m = _MAX_POS.get(key)
     if m is None:
         row = df.agg(F.max(F.col(pos)).alias("m")).first()
