@@ -139,7 +139,7 @@ def j13(spark, sf_dir):
 @register("j14_shapley_importance", "J14")
 def j14(spark, sf_dir):
     model, idx, d = _rf(spark, sf_dir, trees=15, depth=5)
-    rows = pr.exact_sample(d, min(40, d.count()), ["sample"], seed=7).select(*SENS)
+    rows = pr.exact_sample(d, min(1000, d.count()), ["sample"], seed=7).select(*SENS)   # upstream sample size
     bg = pr.exact_sample(d, min(16, d.count()), ["sample"], seed=11).select(*SENS)
     sh = mo.monte_carlo_shapley(model, rows, bg, SENS, permutations=4)
     return sh.orderBy(F.col("mean_abs_shap").desc()).limit(20).select("feature", r6("mean_abs_shap").alias("mean_abs_shap"))

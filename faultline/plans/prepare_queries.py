@@ -229,6 +229,9 @@ SELECT faultNumber FROM telemetry WHERE simulationRun % 2 = 0 AND faultNumber <
 UNION
 SELECT faultNumber FROM telemetry WHERE simulationRun % 2 = 1 AND faultNumber > 5""")
 def g4(spark, sf_dir):
+    """Fault ids present in either of two archives.  The whole table is split
+    into two archives (even / odd run ids, each keeping part of the fault
+    range) and the union of their distinct fault ids is taken."""
     t = telemetry(spark, sf_dir)
     a = t.where((F.col("simulationRun") % 2 == 0) & (F.col("faultNumber") < 15)).select("faultNumber")
     b = t.where((F.col("simulationRun") % 2 == 1) & (F.col("faultNumber") > 5)).select("faultNumber")
