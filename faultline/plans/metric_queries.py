@@ -107,14 +107,16 @@ c AS (SELECT threshold, pos, neg, sum(pos) OVER (ORDER BY threshold DESC) AS tp,
 @register("d17_roc_curve", "D17", ROC_SQL + """
 SELECT round(threshold, 6) AS threshold, round(tp / P, 6) AS tpr, round(fp / N, 6) AS fpr FROM c, t""")
 def d17c(spark, sf_dir):
-    r = me.roc_curve(cascade(spark, sf_dir), "y_true", "p_fault")
+    from .telemetry_queries import scored
+    r = me.roc_curve(scored(spark, sf_dir), "y_true", "p_fault")
     return r.select(r6("threshold").alias("threshold"), r6("tpr").alias("tpr"), r6("fpr").alias("fpr"))
 
 
 @register("d17_roc_auc", "D17", ROC_SQL + """
 SELECT round(sum(neg * (2 * (tp - pos) + pos) / 2.0) / (max(P) * max(N)), 6) AS auc FROM c, t""")
 def d17a(spark, sf_dir):
-    return me.roc_auc(cascade(spark, sf_dir), "y_true", "p_fault").select(r6("auc").alias("auc"))
+    from .telemetry_queries import scored
+    return me.roc_auc(scored(spark, sf_dir), "y_true", "p_fault").select(r6("auc").alias("auc"))
 
 
 SWEEP_SQL = CASCADE + """,
@@ -138,7 +140,9 @@ sweep AS (SELECT threshold, recall, precision,
 
 
 def sweep_df(spark, sf_dir):
-    return me.threshold_sweep(cascade(spark, sf_dir), "y_true", "p_fault")
+    # the sweep covers every row, so it reads the scored view directly (no fold join)
+    from .telemetry_queries import scored
+    return me.threshold_sweep(scored(spark, sf_dir), "y_true", "p_fault")
 
 
 @register("d18_threshold_sweep", "D18 Q12", SWEEP_SQL + "\nSELECT * FROM sweep")
