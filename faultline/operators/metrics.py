@@ -156,25 +156,26 @@ def threshold_grid(spark) -> DataFrame:
 def threshold_sweep(df: DataFrame, y: str = "y_true", score: str = "p_fault", by: Sequence[str] = ()) -> DataFrame:
     """Recall, precision, F1, false-alarm and missed-fault rates for each grid threshold.
 
-    One scan: every row is reduced to the index of the highest grid threshold
-    it reaches (``bucket``); the per-bucket label counts (<= 44 rows per group)
-    are joined with the 43-point grid and summed over ``bucket >= threshold``.
+    One scan: every row is reduced to the number of grid thresholds it reaches
+    (``bucket``, 0..43) and label counts are pre-aggregated per bucket (map-side
+    partial aggregation: at most 44 rows per group leave each task).  Those
+    rows are crossed with the 43 grid indexes by an ``explode`` and summed
+    once more - two exchanges, no window, no join.
     """
     by = list(by)
-    spark = df.sparkSession
-    grid = threshold_grid(spark)
-    # number of grid points <= score  (exact: compares with the same doubles as the grid)
-    arr = F.array(*[F.lit(p / 100.0) for p in SWEEP_GRID_PERCENT])
+    grid = [p / 100.0 for p in SWEEP_GRID_PERCENT]
+    arr = F.array(*[F.lit(t) for t in grid])
+    # number of grid points <= score (exact: compares with the same doubles as the grid)
     bucket = F.size(F.filter(arr, lambda t: F.col(score) >= t))
     pre = df.groupBy(*by, bucket.alias("bucket")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    totals = pre.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    idx = grid.withColumn("gi", F.row_number().over(Window.orderBy("pct")))
-    j = pre.join(F.broadcast(idx), F.col("bucket") >= F.col("gi"))
-    hits = j.groupBy(*by, "pct", "threshold").agg(F.sum("pos").alias("tp"), F.sum("neg").alias("fp"))
-    full = (totals.join(F.broadcast(grid), how="cross") if not by else totals.crossJoin(F.broadcast(grid)))
-    res = full.join(hits, by + ["pct", "threshold"], "left").select(
-        *by, "threshold", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("fp", F.lit(0)).alias("fp"), "P", "N")
+    ex = pre.select(*by, "bucket", "pos", "neg", F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("gi"))
+    hit = F.col("bucket") >= F.col("gi")
+    res = ex.groupBy(*by, "gi").agg(
+        F.sum(F.when(hit, F.col("pos")).otherwise(F.lit(0))).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(F.lit(0))).alias("fp"),
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    res = res.withColumn("threshold", F.element_at(arr, F.col("gi").cast("int")))
     tp, fp = F.col("tp"), F.col("fp")
     fn, tn = F.col("P") - tp, F.col("N") - fp
     recall = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
