@@ -30,7 +30,8 @@ def main() -> None:
            "replay. That last one is kept on purpose, because it guarantees that a (run, block) group is never split",
            "by AQE skew handling. The baseline branch reads only each run's pre-injection prefix, with the filter",
            "pushed into the scan. Every other exchange (for example the flagship's per-run joins) moves per-partition partial",
-           "aggregates or tables bounded by the class, threshold or bucket vocabularies.",
+           "aggregates, per-run summary tables (one row per run), or tables bounded by the class, threshold or",
+           "bucket vocabularies.",
            ""]
     for name in HEADLINE:
         df = registry.QUERIES[name](spark, sf)
