@@ -225,3 +225,14 @@ def test_exact_median_long(spark, accuracy):
             assert got[g] is None
         else:
             assert got[g] == ref
+
+
+def test_plan_shapes(spark):
+    """D18 has two exchanges; the alarm baselines read only the pre-injection
+    prefix with the filter pushed into the parquet scan."""
+    from faultline.plans.alarm_queries import signals
+    from faultline.plans.metric_queries import sweep_df
+    d18 = sweep_df(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert d18.count("Exchange") <= 2
+    e8 = signals(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(sample,20)" in e8.replace(" ", "")
