@@ -123,12 +123,15 @@ def roc_curve(df: DataFrame, y: str = "y_true", score: str = "p_fault", buckets:
     """
     agg = df.groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    tot = df.agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) != 1).alias("N"))
+    P, N = _label_totals(df, y)
     cum = global_prefix(agg.withColumn("_neg_thr", -F.col("threshold")), "_neg_thr", ["pos", "neg"], buckets)
-    pts = cum.crossJoin(F.broadcast(tot)).select(
-        F.col("threshold"),
-        (F.col("pos") / F.col("P")).alias("tpr"), (F.col("neg") / F.col("N")).alias("fpr"))
-    return pts
+    return cum.select(F.col("threshold"), (F.col("pos") / F.lit(P)).alias("tpr"), (F.col("neg") / F.lit(N)).alias("fpr"))
+
+
+def _label_totals(df: DataFrame, y: str) -> tuple[int, int]:
+    """Positive and negative counts: one aggregate, two numbers to the driver."""
+    t = df.agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) != 1).alias("N")).first()
+    return int(t["P"]), int(t["N"])
 
 
 def roc_auc(df: DataFrame, y: str = "y_true", score: str = "p_fault", buckets: int = 64) -> DataFrame:
@@ -139,9 +142,8 @@ def roc_auc(df: DataFrame, y: str = "y_true", score: str = "p_fault", buckets: i
     # trapezoid between the previous cumulative point and this one:
     # area = neg_s * (2 * tp_before + pos_s) / 2 ; tp_before = tp_cum - pos_s
     part = cum.select((F.col("_d_neg") * (2 * (F.col("pos") - F.col("_d_pos")) + F.col("_d_pos")) / 2.0).alias("a"))
-    tot = df.agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) != 1).alias("N"))
-    return part.agg(F.sum("a").alias("a")).crossJoin(tot).select(
-        (F.col("a") / (F.col("P") * F.col("N"))).alias("auc"))
+    P, N = _label_totals(df, y)
+    return part.agg((F.sum("a") / F.lit(float(P) * float(N))).alias("auc"))
 
 
 # --------------------------------------------------------------------------

@@ -336,10 +336,8 @@ def f4(spark, sf_dir):
     from ..operators.blocked import ordinal_within
     keyed = inc.withColumn("_all", F.lit(0)).withColumn("_newest", -F.unix_micros(F.col("ts").cast("timestamp")))
     ordered = ordinal_within(keyed, "_all", ["_newest", "id"], out="position")
-    unacked = inc.agg(F.count_if(~F.col("acknowledged")).alias("unacknowledged_in_view"))
-    one = F.lit(1).alias("_k")
-    return (ordered.select("*", one).join(F.broadcast(unacked.select("*", one)), "_k")
-            .select("id", "position", "unacknowledged_in_view"))
+    unacked = inc.agg(F.count_if(~F.col("acknowledged")).alias("n")).first()["n"]   # one number
+    return ordered.select("id", "position", F.lit(unacked).cast("long").alias("unacknowledged_in_view"))
 
 
 # --------------------------------------------------------------------------

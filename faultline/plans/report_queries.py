@@ -130,8 +130,7 @@ def a17(spark, sf_dir):
                 F.count_if(F.col("faultNumber") == 99).cast("double").alias("threshold"))
     art = art.select(F.lit("notebook").alias("source"), F.round("recall", 4).alias("recall"),
                      F.round("false_alarm_rate", 4).alias("false_alarm_rate"), "threshold")
-    defaults = spark.createDataFrame([("default", 0.9, 0.2, 0.35)],
-                                     "source string, recall double, false_alarm_rate double, threshold double")
+    defaults = {"source": "default", "recall": 0.9, "false_alarm_rate": 0.2, "threshold": 0.35}
     return ing.dashboard_bundle(defaults, art)
 
 

@@ -76,26 +76,27 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def metrics_manifest(report: DataFrame, best_model: str, by: Sequence[str] = ()) -> DataFrame:
     """One document: summary (accuracy, macro and weighted F1), per-class
-    metrics rounded to 4 dp, and the best model's name."""
-    per = report.where(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))
-    cls = per.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(
-        "label", F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"),
-        F.round("f1", 4).alias("f1"), "support"))).alias("per_class"))
-    summ = report.groupBy(*by).agg(
+    metrics rounded to 4 dp (a list bounded by the class count), and the best
+    model's name - one aggregate over the report."""
+    per_class = ~F.col("label").isin("accuracy", "macro avg", "weighted avg")
+    cls = F.struct("label", F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"),
+                   F.round("f1", 4).alias("f1"), "support")
+    return report.groupBy(*by).agg(
         F.round(F.max(F.when(F.col("label") == "accuracy", F.col("f1"))), 4).alias("accuracy"),
         F.round(F.max(F.when(F.col("label") == "macro avg", F.col("f1"))), 4).alias("macro_f1"),
-        F.round(F.max(F.when(F.col("label") == "weighted avg", F.col("f1"))), 4).alias("weighted_f1"))
-    out = summ.crossJoin(cls) if not by else summ.join(cls, list(by))
-    return out.withColumn("best_model", F.lit(best_model))
+        F.round(F.max(F.when(F.col("label") == "weighted avg", F.col("f1"))), 4).alias("weighted_f1"),
+        F.array_sort(F.collect_list(F.when(per_class, cls))).alias("per_class"),
+    ).withColumn("best_model", F.lit(best_model))
 
 
-def dashboard_bundle(defaults: DataFrame, artefacts: DataFrame) -> DataFrame:
-    """One-row bundle; every metric present in ``artefacts`` overrides the
-    default, a zero binary metric counts as missing (null).  Both inputs are
-    one row with the same column names."""
-    d = defaults.select(*[F.col(c).alias(f"d_{c}") for c in defaults.columns])
-    a = artefacts.select(*[F.col(c).alias(f"a_{c}") for c in artefacts.columns])
-    j = d.crossJoin(a)
-    return j.select(*[F.coalesce(F.nullif(F.col(f"a_{c}"), F.lit(0)) if dict(defaults.dtypes)[c] in
-                                 ("double", "float", "int", "bigint") else F.col(f"a_{c}"), F.col(f"d_{c}")).alias(c)
-                      for c in defaults.columns])
+def dashboard_bundle(defaults: dict, artefacts: DataFrame) -> DataFrame:
+    """One-row bundle; every metric present in ``artefacts`` overrides its
+    default, and a zero numeric metric counts as missing (null)."""
+    types = dict(artefacts.dtypes)
+    cols = []
+    for c, v in defaults.items():
+        a = F.col(c)
+        if types.get(c) in ("double", "float", "int", "bigint"):
+            a = F.nullif(a, F.lit(0))
+        cols.append(F.coalesce(a, F.lit(v)).alias(c))
+    return artefacts.select(*cols)
