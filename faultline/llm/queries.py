@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import contamination, url_rules
+from . import contamination, pii, secret_scan, url_rules
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -47,3 +47,13 @@ def op6_url_rules(spark, sf_dir):
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(rule_host, path, verdict)")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op1_secret_scan")
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan.summary(secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark, sf_dir):
+    return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), carry_text=False))
