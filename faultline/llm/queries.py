@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import contamination, pii, secret_scan, url_rules
+from . import bpe, contamination, pii, secret_scan, url_rules
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -57,3 +57,19 @@ def op1_secret_scan(spark, sf_dir):
 @query("op2_personal_data")
 def op2_personal_data(spark, sf_dir):
     return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), carry_text=False))
+
+
+def bpe_digests(docs, vocabulary):
+    """Encode and decode the texts; digests of the ids and of the decoded text."""
+    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def bpe_vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op10_bpe")
+def op10_bpe(spark, sf_dir):
+    return bpe_digests(table(spark, sf_dir, "documents"), bpe_vocabulary())
