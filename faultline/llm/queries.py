@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, pii, secret_scan, url_rules
+from . import bpe, contamination, pii, quality, secret_scan, toxicity, url_rules
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -59,6 +59,27 @@ def op2_personal_data(spark, sf_dir):
     return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), carry_text=False))
 
 
+def fold(modulus: int, id_col: str = "doc_id"):
+    """crc32 of the id as text, modulo."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = quality.fit(docs, table(spark, sf_dir, "labels").where(fold(3) != 1))
+    return quality.score(docs, forest, carry=["doc_id"]).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold(3) != 1))
+    return toxicity.score(docs, model, carry=["doc_id"]).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "offending")
+
+
 def bpe_digests(docs, vocabulary):
     """Encode and decode the texts; digests of the ids and of the decoded text."""
     both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
