@@ -68,17 +68,28 @@ def noisy_or(scores: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(scores, 1 - 1e-12)), minlength=n))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int, epochs: int = 12, batch: int = 256, rate: float = 0.3, ridge: float = 1e-6) -> Model:
+def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int, epochs: int = 15, batch: int = 256, rate: float = 1.0, ridge: float = 1e-6, min_docs: int = 4, min_z: float = 4.0) -> Model:
     """Adagrad on the likelihood of the document labels.
 
     bags: (features, sentence sizes) of each document.  The derivative of the noisy-or
-    gives every sentence its share of the document's error."""
+    gives every sentence its share of the document's error.  Features keep weight 0
+    unless they occur in ``min_docs`` documents and their share of toxic documents is
+    ``min_z`` standard errors off the overall share: the rest would only learn single
+    documents by heart.  Copies of a document count once."""
+    once = list({(f.tobytes(), int(label)): i for i, ((f, _), label) in enumerate(zip(bags, y, strict=True))}.values())
+    bags, y = [bags[i] for i in once], np.asarray(y)[once]
     weight = np.zeros(1 << bits)
     squares = np.full(1 << bits, 1e-3)
     y = np.asarray(y, dtype=np.float64)
     bias, bias_squares = -5.0, 1e-3
     if not len(y) or y.min() == y.max():
         return Model(bits, 5.0 if len(y) and y.max() == 1 else bias, weight.astype(np.float32))
+    seen, toxic = np.zeros(1 << bits), np.zeros(1 << bits)
+    for (feature, _), label in zip(bags, y, strict=True):
+        own = np.unique(feature)
+        seen[own] += 1
+        toxic[own] += label
+    kept = (seen >= min_docs) & (np.abs(toxic - seen * y.mean()) >= min_z * np.sqrt(seen * y.mean() * (1 - y.mean())))
     rng = np.random.default_rng(7)
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -95,7 +106,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int
             share = np.where(y[own] == 1, -np.exp(none) / np.maximum(-np.expm1(none), 1e-9), 1.0)
             d = p * share[doc] / len(own)
             used, at = np.unique(feature, return_inverse=True)
-            step = np.bincount(at, weights=np.repeat(d, size)) + ridge * weight[used]
+            step = (np.bincount(at, weights=np.repeat(d, size)) + ridge * weight[used]) * kept[used]
             squares[used] += step**2
             weight[used] -= rate * step / np.sqrt(squares[used])
             db = d.sum()
