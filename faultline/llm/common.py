@@ -69,3 +69,40 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         star = keep(small.where("u <> v").distinct())
     low = star.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.select("id").join(low.withColumnRenamed("u", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def grouped(batches, key: str):
+    """The rows of each key, as tables, from batches of a partition that is sorted by ``key``.
+
+    Only the rows of one key are held."""
+    import numpy as np
+    import pyarrow as pa
+    held: list = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            if held and keys[a] != current:
+                yield current, pa.Table.from_batches(held)
+                held = []
+            current = keys[a]
+            held.append(batch.slice(a, z - a))
+    if held:
+        yield current, pa.Table.from_batches(held)
+
+
+def smallest_in_reach(n: int, a, b):
+    """For the undirected edges (a, b) over 0..n-1, the smallest vertex reachable from each (inside one task)."""
+    import numpy as np
+    low = np.arange(n)
+    while True:
+        before = low.copy()
+        m = np.minimum(low[a], low[b])
+        np.minimum.at(low, a, m)
+        np.minimum.at(low, b, m)
+        low = low[low]
+        if (low == before).all():
+            return low

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, pii, quality, secret_scan, toxicity, url_rules
+from . import bpe, contamination, pii, quality, secret_scan, toxicity, url_rules, vectors
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -94,3 +94,9 @@ def bpe_vocabulary() -> str:
 @query("op10_bpe")
 def op10_bpe(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"), bpe_vocabulary())
+
+
+@query("op9_embedding_dedup")
+def op9_embedding_dedup(spark, sf_dir):
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
