@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, pii, quality, secret_scan, toxicity, url_rules, vectors
+from . import bpe, contamination, jaccard, pii, quality, secret_scan, toxicity, url_rules, vectors
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -100,3 +100,9 @@ def op10_bpe(spark, sf_dir):
 def op9_embedding_dedup(spark, sf_dir):
     found = vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+
+
+@query("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark, sf_dir):
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_links", F.col("component").alias("class_id"), (F.col("id") == F.col("component")).alias("kept"))
