@@ -106,3 +106,11 @@ def smallest_in_reach(n: int, a, b):
         low = low[low]
         if (low == before).all():
             return low
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write as a table of the shared checkpoint folder and read it back (compressed, unlike a checkpoint)."""
+    import uuid
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

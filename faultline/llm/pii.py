@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, stored
 from .spans import apart, find_all, let, written
 
 # Base patterns.  Possessive repeats and look-behind keep long runs linear and change no match.
@@ -164,11 +164,12 @@ def find_personal_data(docs: DataFrame, *, text_col: str = "text", least: float
     classifier gives at least ``least`` and that overlap no base span.
 
     A null text has no spans; other columns pass through; repeated rows stay.  The text
-    is scanned once: spans and votes are kept in the checkpoint folder, and the driver
+    is scanned once: spans and votes (and the text, if carried) are kept in the checkpoint folder, and the driver
     sees only the counts of vote patterns (kinds x 32).  No shuffle of documents.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = keep(docs.select(*[F.col(c) for c in docs.columns if carry_text or c != text_col], candidates(text).alias("seen")))
+    found = docs.select(*[F.col(c) for c in docs.columns if carry_text or c != text_col], candidates(text).alias("seen"))
+    found = stored(found, "personal-data") if carry_text else keep(found)
     rows = found.select(F.explode("seen").alias("s")).groupBy("s.kind", "s.votes").count().collect()
     counts = {(r["kind"], r["votes"]): r["count"] for r in rows}
     post, _ = estimate(counts)

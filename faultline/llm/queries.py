@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, jaccard, pii, quality, secret_scan, toxicity, url_rules, vectors
+from . import bpe, contamination, jaccard, language_model, pii, quality, secret_scan, toxicity, url_rules, vectors
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -106,3 +106,9 @@ def op9_embedding_dedup(spark, sf_dir):
 def op3_ngram_jaccard(spark, sf_dir):
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_links", F.col("component").alias("class_id"), (F.col("id") == F.col("component")).alias("kept"))
+
+
+@query("op7_hmm_language_model")
+def op7_hmm_language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.score_texts(docs, fold(7) == 2).withColumnRenamed("id", "doc_id")

@@ -1,6 +1,6 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences.  A sentence's score is logistic in its distinct
+A document is a bag of sentences.  A sentence's score is logistic in its
 words and word beginnings (hashed); a document is toxic if any sentence is, so its
 score is the noisy-or of theirs.  Weights are trained from document labels alone,
 and the sentence scores then say which sentences offend.
@@ -26,28 +26,30 @@ BEGINNINGS = (4, 6)
 
 class Sentences(NamedTuple):
     """Features of the sentences of some documents, sentence by sentence."""
-    feature: np.ndarray      # hashed features, distinct within a sentence
-    first: np.ndarray        # index of each sentence's first feature (sentences + 1)
+    feature: np.ndarray      # hashed features, a row for each word
+    first: np.ndarray        # index of each sentence's first word (sentences + 1)
     doc: np.ndarray          # document of each sentence
     start: np.ndarray        # byte range of each sentence
     end: np.ndarray
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray, bits: int) -> Sentences:
-    """Sentences (ended by . ! ? or a line break) that have words, with their features."""
+    """Sentences (ended by . ! ? or a line break) that have words, with the features of each word:
+    the word, and its first 4 and 6 bytes."""
     part, rel = data[offsets[0]:offsets[-1]], offsets - offsets[0]
     start, end = tx.edges(~_BREAK[part], rel)
     w = tx.words(data, offsets)
-    sentence = np.searchsorted(start, w.start, "right") - 1
-    codes = [w.code]
-    for k, n in enumerate(BEGINNINGS):
-        codes.append(tx.fingerprints(part, w.start, np.minimum(w.end, w.start + n)) + np.uint64(k + 1))
-    mask = np.uint64((1 << bits) - 1)
-    key = np.concatenate([(sentence.astype(np.uint64) << np.uint64(bits)) | (tx.mix(c) & mask) for c in codes])
-    key = np.unique(key)
-    own = (key >> np.uint64(bits)).astype(np.int64)
-    used, first = np.unique(own, return_index=True)
-    return Sentences((key & mask).astype(np.int32), np.append(first, len(key)), np.searchsorted(rel, start[used], "right") - 1, start[used], end[used])
+    used, first = np.unique(np.searchsorted(start, w.start, "right") - 1, return_index=True)
+    codes, head, k = [w.code], np.zeros(len(w.start), dtype=np.uint64), 0
+    folded = tx.FOLD[part]
+    for n in BEGINNINGS:
+        for k in range(k, n):
+            at = np.minimum(w.start + k, w.end - 1)
+            head |= np.where(w.start + k < w.end, folded[at], 0).astype(np.uint64) << np.uint64(8 * k)
+        codes.append(tx.mix(head + (np.uint64(n) << np.uint64(56))))
+        k = n
+    feature = np.stack([(c >> np.uint64(64 - bits)).astype(np.int32) for c in codes], axis=1)
+    return Sentences(feature, np.append(first, len(feature)), np.searchsorted(rel, start[used], "right") - 1, start[used], end[used])
 
 
 class Model(NamedTuple):
@@ -59,7 +61,7 @@ class Model(NamedTuple):
 def sentence_scores(s: Sentences, m: Model) -> np.ndarray:
     if not len(s.doc):
         return np.zeros(0)
-    z = np.add.reduceat(m.weight[s.feature].astype(np.float64), s.first[:-1]) + m.bias
+    z = np.add.reduceat(m.weight[s.feature].sum(1, dtype=np.float64), s.first[:-1]) + m.bias
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -68,10 +70,10 @@ def noisy_or(scores: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(scores, 1 - 1e-12)), minlength=n))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int, epochs: int = 15, batch: int = 256, rate: float = 1.0, ridge: float = 1e-6, min_docs: int = 4, min_z: float = 4.0) -> Model:
-    """Adagrad on the likelihood of the document labels.
+def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int, epochs: int = 15, steps: int = 400, batch: int = 256, rate: float = 1.0, ridge: float = 1e-6, min_docs: int = 4, min_z: float = 4.0) -> Model:
+    """Adagrad on the likelihood of the document labels, for ``epochs`` passes and ``steps`` batches at least.
 
-    bags: (features, sentence sizes) of each document.  The derivative of the noisy-or
+    bags: (features, a row for each word, and words a sentence) of each document.  The derivative of the noisy-or
     gives every sentence its share of the document's error.  Features keep weight 0
     unless they occur in ``min_docs`` documents and their share of toxic documents is
     ``min_z`` standard errors off the overall share: the rest would only learn single
@@ -91,7 +93,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int
         toxic[own] += label
     kept = (seen >= min_docs) & (np.abs(toxic - seen * y.mean()) >= min_z * np.sqrt(seen * y.mean() * (1 - y.mean())))
     rng = np.random.default_rng(7)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * batch // len(y)))):
         order = rng.permutation(len(y))
         for k in range(0, len(order), batch):
             own = [i for i in order[k:k + batch] if len(bags[i][1])]
@@ -101,14 +103,16 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int
             size = np.concatenate([bags[i][1] for i in own])
             doc = np.repeat(np.arange(len(own)), [len(bags[i][1]) for i in own])
             first = np.cumsum(size) - size
-            p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(weight[feature], first) + bias, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(np.add.reduceat(weight[feature].sum(1), first) + bias, -30, 30)))
             none = np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(own))
             share = np.where(y[own] == 1, -np.exp(none) / np.maximum(-np.expm1(none), 1e-9), 1.0)
             d = p * share[doc] / len(own)
-            used, at = np.unique(feature, return_inverse=True)
-            step = (np.bincount(at, weights=np.repeat(d, size)) + ridge * weight[used]) * kept[used]
-            squares[used] += step**2
-            weight[used] -= rate * step / np.sqrt(squares[used])
+            step = np.zeros(1 << bits)
+            for column in feature.T:
+                step += np.bincount(column, weights=np.repeat(d, size), minlength=1 << bits)
+            step = (step + ridge * weight) * kept
+            squares += step**2
+            weight -= rate * step / np.sqrt(squares)
             db = d.sum()
             bias_squares += db**2
             bias -= 0.3 * rate * db / np.sqrt(bias_squares)
@@ -137,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", id_col: s
 
     got = rows.select(F.col(id_col).cast("string").alias("id"), "label", F.col(text_col)).mapInArrow(featurise, schema).toArrow()
     got = got.sort_by("id")               # whatever order the tasks ended in
-    bags = [(np.frombuffer(f, dtype=np.int32), np.frombuffer(s, dtype=np.int32)) for f, s in zip(got["feature"].to_pylist(), got["size"].to_pylist(), strict=True)]
+    bags = [(np.frombuffer(f, dtype=np.int32).reshape(-1, 1 + len(BEGINNINGS)), np.frombuffer(s, dtype=np.int32)) for f, s in zip(got["feature"].to_pylist(), got["size"].to_pylist(), strict=True)]
     return train(bags, np.array(got["label"].to_pylist()), bits=bits, **options)
 
 
