@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -25,6 +26,12 @@ from . import text as tx
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+# Letters, digits and spaces up to U+00FF. Texts without later characters take the
+# standard library's engine, which is faster but knows no Unicode classes.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\\t-\\r \x85\xa0"
+LATIN_PATTERN = rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+
+
 def byte_names() -> list[str]:
     """The printable character that stands for each byte in vocabulary files."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -54,7 +61,7 @@ class WordCache(dict):
 class Bpe:
     """A vocabulary file of byte-level BPE (vocab, merges in rank order, special tokens)."""
 
-    def __init__(self, spec: bytes, cache_words: int = 250_000):
+    def __init__(self, spec: bytes, cache_words: int = 100_000):
         spec = json.loads(spec)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         names = byte_names()
@@ -86,19 +93,9 @@ class Bpe:
         self.automaton.make_automaton()
         self.special = {t["content"]: int(t["id"]) for t in spec.get("added_tokens", [])}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words = regex.compile(PATTERN)
+        self.all_words, self.latin_words = regex.compile(PATTERN), re.compile(LATIN_PATTERN)
         self.fits: dict[int, bool] = {}
         self.cache = WordCache(self.encode_word, cache_words)
-        self._offsets(vocab, byte_of)
-
-    def _offsets(self, vocab: dict[str, int], byte_of: dict[str, int]) -> None:
-        pieces = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for token, i in vocab.items():
-            pieces[i] = bytes(byte_of[c] for c in token) if token not in self.special else token.encode()
-        for token, i in self.special.items():
-            pieces[i] = token.encode()
-        self.blob = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the merges leave the border between two neighbouring tokens alone.
@@ -167,9 +164,35 @@ class Bpe:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; special tokens in the text are themselves."""
         if self.split is None or not any(s in text for s in self.special):
-            return b"".join(map(self.cache.__getitem__, self.words.findall(text)))
+            return b"".join(map(self.cache.__getitem__, self.words(text)))
         parts = self.split.split(text)
-        return b"".join(self.special[p].to_bytes(4, "little") if k % 2 else b"".join(map(self.cache.__getitem__, self.words.findall(p))) for k, p in enumerate(parts))
+        return b"".join(self.special[p].to_bytes(4, "little") if k % 2 else b"".join(map(self.cache.__getitem__, self.words(p))) for k, p in enumerate(parts))
+
+    def words(self, text: str) -> list[str]:
+        """The text cut into the words that are encoded on their own."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.all_words.findall(text)
+        return self.latin_words.findall(text)
+
+
+class OffsetTable:
+    """The bytes of all tokens in one buffer, and where each begins."""
+
+    def __init__(self, spec: bytes):
+        spec = json.loads(spec)
+        vocab = spec["model"]["vocab"]
+        special = {t["content"]: int(t["id"]) for t in spec.get("added_tokens", [])}
+        byte_of = {c: b for b, c in enumerate(byte_names())}
+        pieces = [b""] * (max([*vocab.values(), *special.values()]) + 1)
+        for token, i in vocab.items():
+            if token not in special:
+                pieces[i] = bytes(byte_of[c] for c in token)
+        for token, i in special.items():
+            pieces[i] = token.encode()
+        self.blob = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the tokens, gathered by offset."""
@@ -177,50 +200,58 @@ class Bpe:
         at = np.cumsum(size)
         return self.blob[np.arange(at[-1] if len(at) else 0) + np.repeat(start - at + size, size)].tobytes()
 
+    def text(self, ids: bytes) -> str:
+        """Text of ids given as little-endian unsigned 32-bit integers; invalid UTF-8 is replaced."""
+        return self.decode(np.frombuffer(ids, dtype="<u4").astype(np.int64)).decode("utf-8", "replace")
+
 
-_LOADED: dict[str, Bpe] = {}
+_LOADED: dict[tuple[type, str], Bpe | OffsetTable] = {}
 
 
-def _loaded(spec: bytes) -> Bpe:
-    """One per Python worker and file; what it caches is bounded."""
-    key = hashlib.sha256(spec).hexdigest()
+def _loaded(kind, spec: bytes):
+    """One per Python worker, kind and file; what it caches is bounded."""
+    key = (kind, hashlib.sha256(spec).hexdigest())
     if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Bpe(spec)
+        for old in [k for k in _LOADED if k[0] is kind]:
+            del _LOADED[old]
+        _LOADED[key] = kind(spec)
     return _LOADED[key]
 
 
-def _encode(batches: Iterable[pa.RecordBatch], spec: bytes, text_col: str, carry: list[str], shard_bytes: int) -> Iterator[pa.RecordBatch]:
-    bpe = _loaded(spec)
+def _encode(batches: Iterable[pa.RecordBatch], spec: bytes, text_col: str, carry: list[str], shard_bytes: int, decoded: bool) -> Iterator[pa.RecordBatch]:
+    bpe, table = _loaded(Bpe, spec), _loaded(OffsetTable, spec) if decoded else None
     for batch in batches:
         column = batch.column(text_col)
         _, offsets = tx.utf8(column)
         for i, j in tx.groups(offsets, shard_bytes):
             ids = [bpe.encode(t or "") for t in column.slice(i, j - i).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(i, j - i) for c in carry], pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], [*carry, "ids", "n_tokens"])
+            columns = [*[batch.column(c).slice(i, j - i) for c in carry], pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array([table.text(x) for x in ids], pa.string())] if table else []), [*carry, "ids", "n_tokens"] + (["decoded"] if table else []))
 
 
 def _decode(batches: Iterable[pa.RecordBatch], spec: bytes) -> Iterator[pa.RecordBatch]:
-    bpe = _loaded(spec)
+    tokens = _loaded(OffsetTable, spec)
     for batch in batches:
-        texts = [bpe.decode(np.frombuffer(x or b"", dtype="<u4").astype(np.int64)).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
+        texts = [tokens.text(x or b"") for x in batch.column("ids").to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
 
-def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", carry: list[str] | None = None, shard_bytes: int = 4 << 20) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", carry: list[str] | None = None, decoded: bool = False, shard_bytes: int = 4 << 20) -> DataFrame:
     """The ``carry`` columns of ``docs`` (all but the text unless given) with ids and n_tokens.
 
     vocabulary: path of a byte-level BPE file; the driver reads it (a few MB, fixed with
-    the tokenizer) and broadcasts it.  ids: little-endian unsigned 32-bit integers.  A
-    null or empty text has no ids; repeated rows stay.  Carried columns must not be
-    named ids or n_tokens.  No shuffle; a task holds a batch of texts and the caches.
+    the tokenizer) and broadcasts it.  ids: little-endian unsigned 32-bit integers.
+    ``decoded`` adds the text that they decode to, in the same pass.  A null or empty text
+    has no ids; repeated rows stay.  Carried columns must not be named like an added one
+    (by default such columns are left out).  No shuffle; a task holds a batch of texts
+    and caches of bounded size.
     """
-    carry = [c for c in docs.columns if c not in (text_col, "ids", "n_tokens")] if carry is None else carry
+    carry = [c for c in docs.columns if c not in (text_col, "ids", "n_tokens", "decoded")] if carry is None else carry
     with open(vocabulary, "rb") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
-    schema = T.StructType([docs.schema[c] for c in carry] + [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
-    return docs.select(*carry, text_col).mapInArrow(lambda it: _encode(it, spec.value, text_col, carry, shard_bytes), schema) if text_col not in carry else docs.mapInArrow(
-        lambda it: _encode(it, spec.value, text_col, carry, shard_bytes), schema)
+    added = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())] + [T.StructField("decoded", T.StringType())] * decoded
+    return docs.select(*dict.fromkeys([*carry, text_col])).mapInArrow(
+        lambda it: _encode(it, spec.value, text_col, carry, shard_bytes, decoded), T.StructType([docs.schema[c] for c in carry] + added))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

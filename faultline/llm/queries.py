@@ -82,7 +82,7 @@ def op8_toxicity(spark, sf_dir):
 
 def bpe_digests(docs, vocabulary):
     """Encode and decode the texts; digests of the ids and of the decoded text."""
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
+    both = bpe.encode(docs.select("doc_id", "text"), vocabulary, decoded=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
