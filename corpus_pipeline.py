@@ -11,26 +11,35 @@ lets it through.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import contamination, jaccard, pii, quality, queries
 from faultline.llm.common import stored, table
 
 
-def _with_text(df: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``; n_chars follows a changed text."""
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        df = df.withColumn("n_chars", F.when(F.col("changed"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return df.select(*docs.columns)
+def _plain(docs: DataFrame) -> DataFrame:
+    """doc_id and text, and all else under names that no operator uses."""
+    return docs.select("doc_id", "text", *[F.col(c).alias(f"other_column_{c}") for c in docs.columns if c not in ("doc_id", "text")])
+
+
+def _restored(df: DataFrame, docs: DataFrame, changed: Column) -> DataFrame:
+    """The columns of ``docs`` from those of _plain; n_chars follows a changed text."""
+    columns = []
+    for c in docs.columns:
+        if c in ("doc_id", "text"):
+            columns.append(F.col(c))
+        elif c == "n_chars":
+            columns.append(F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(f"other_column_{c}")).alias(c))
+        else:
+            columns.append(F.col(f"other_column_{c}").alias(c))
+    return df.select(*columns)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives 0.5 or more; labels are learned as in the query of its own."""
     forest = quality.fit(docs, table(spark, sf_dir, "labels").where(queries.fold(3) != 1))
-    scored = quality.score(docs, forest)
-    return scored.where("score >= 0.5").select(*docs.columns)
+    return _restored(quality.score(_plain(docs), forest).where("score >= 0.5"), docs, F.lit(False))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +51,14 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the passages that occur in the benchmark."""
-    found = contamination.benchmark_spans(docs, table(spark, sf_dir, "benchmark"))
-    return _with_text(contamination.remove_spans(found.withColumn("changed", F.col("n_hit") > 0)), docs)
+    found = contamination.benchmark_spans(_plain(docs), table(spark, sf_dir, "benchmark"))
+    return _restored(contamination.remove_spans(found), docs, F.col("n_hit") > 0)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With personal data replaced by its kind in brackets."""
-    found = pii.find_personal_data(docs)
-    return _with_text(pii.redact(found.withColumn("changed", F.size("base") + F.size("added") > 0)), docs)
+    found = pii.find_personal_data(_plain(docs)).withColumn("changed", F.size("base") + F.size("added") > 0)
+    return _restored(pii.redact(found), docs, F.col("changed"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -260,14 +260,14 @@ def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
 
     A null text or item text has no words; a null item id reads as the empty string;
     repeated documents are rows of their own, repeated items count once.  An empty
-    benchmark hits nothing.  Every other column passes through unchanged; input
-    columns named like an added one are not allowed to reach here (select first).
+    benchmark hits nothing.  Every other column passes through unchanged; an input
+    column named like an added one is replaced.
 
     The benchmark is read in blocks of at most about ``block_bytes`` of text (chosen by
     item hash from its measured size); each block's windows travel with one pass, and
     the passes are chained in one stage.  No shuffle of documents takes place.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop("n_words", "n_hit", "removal", "items")
     b = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(item_text_col).alias("t")).where("t IS NOT NULL")
     total = b.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))

@@ -163,11 +163,12 @@ def find_personal_data(docs: DataFrame, *, text_col: str = "text", least: float
     non-overlapping per kind, failing matches dropped.  added: looser forms that the
     classifier gives at least ``least`` and that overlap no base span.
 
-    A null text has no spans; other columns pass through; repeated rows stay.  The text
+    A null text has no spans; other columns pass through, one named like an added one is
+    replaced; repeated rows stay.  The text
     is scanned once: spans and votes (and the text, if carried) are kept in the checkpoint folder, and the driver
     sees only the counts of vote patterns (kinds x 32).  No shuffle of documents.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs, text = docs.drop("base", "added", "seen"), F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(*[F.col(c) for c in docs.columns if carry_text or c != text_col], candidates(text).alias("seen"))
     found = stored(found, "personal-data") if carry_text else keep(found)
     rows = found.select(F.explode("seen").alias("s")).groupBy("s.kind", "s.votes").count().collect()

@@ -52,9 +52,10 @@ def _battery(codes: Column, size: Column) -> Column:
     n = F.size(codes).cast("double")
 
     def chi_squared(c: Column) -> Column:
-        text = F.concat(F.lit(","), F.array_join(F.transform(c, lambda x: F.concat(x.cast("string"), F.lit(","))), ""))
-        # the number of equal codes, summed over all places, is the sum of squared counts
-        squares = let(text, lambda t: F.aggregate(F.array_distinct(c), F.lit(0.0), lambda s, x: s + F.pow((F.length(t) - F.length(F.replace(t, F.concat(x.cast("string"), F.lit(",")), F.lit("")))) / (F.length(x.cast("string")) + 1), F.lit(2.0))))
+        # every code between two commas: what is left without a code tells how often it occurs
+        name = lambda x: F.concat(F.lit(","), x.cast("string"), F.lit(","))
+        squares = let(F.array_join(F.transform(c, name), ""), lambda text: F.aggregate(F.array_distinct(c), F.lit(0.0), lambda s, x: s + F.pow(
+            (F.length(text) - F.length(F.replace(text, name(x), F.lit("")))) / F.length(name(x)), F.lit(2.0))))
         df = size - 1.0
         x2 = size / n * squares - n
         return _upper((F.pow(x2 / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
@@ -133,17 +134,17 @@ def discovery_levels(counts: list[tuple[int, int, bool, int]], rate: float, leas
 
 
 def find_secrets(docs: DataFrame, *, text_col: str = "text", false_discovery_rate: float = 0.05) -> DataFrame:
-    """``docs`` with base (array of begin, order, end, kind) and random (the same).
+    """``docs`` without the text, with base (array of begin, order, end, kind) and random (the same).
 
     base: assign, access and hex patterns over the whole text, leftmost non-overlapping
     per kind.  random: tokens that pass the randomness tests and overlap no base span.
 
-    A null text has no spans; other columns pass through; repeated rows stay.  Without
-    controls in the corpus nothing is added.  The text is scanned once: the spans and
+    A null text has no spans; other columns but the text pass through, one named like an
+    added one is replaced; repeated rows stay.  Without controls in the corpus nothing is added.  The text is scanned once: the spans and
     scores are kept in the checkpoint folder, and the driver sees only the histogram of
     scores (bins x levels x 2 numbers).  No shuffle of documents.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs, text = docs.drop("base", "random", "scored"), F.coalesce(F.col(text_col), F.lit(""))
     assign = F.filter(find_all(text, ASSIGN), lambda h: F.length(F.regexp_extract(h["hit"], "^" + ASSIGN_KEY + "(.*)$", 1)) >= 6)
     base = F.concat(tagged(assign, "assign", 0), tagged(find_all(text, ACCESS), "access", 1), tagged(find_all(text, HEX), "hex", 2))
     found = keep(docs.select(*[F.col(c) for c in docs.columns if c != text_col], base.alias("base"), scored_tokens(text).alias("scored")))

@@ -83,7 +83,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", defa
     join that brings the stack back.
     """
     rules = rules.select("rule_host", "path", "verdict").na.drop().where("rule_host <> ''")
-    pages = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).drop("rule", "verdict", "stack")
+    pages = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).drop("rule", "verdict", "stack", "best")
     stacks = sweep(pages.select("host").distinct(), rules)
     fit = F.transform(F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"])), lambda r: F.struct(
         (F.length(r["rule_host"]) + F.length(r["path"])).alias("length"), F.length(r["rule_host"]).alias("host_length"),

@@ -1,0 +1,16 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A documents table of texts, with columns whose names operators use themselves."""
+    def make(texts, start=1):
+        rows = [(i, t, "en", "s", 0, 0.5, "x", "y", "z", "w") for i, t in enumerate(texts, start)]
+        return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, items string, base string, label string, id string")
+    return make
+
