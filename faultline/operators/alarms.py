@@ -1,20 +1,20 @@
 """Alarm management: EWMA, baselines, tail-widened bands, breach/clear/ROC
 flags, the deadband latch, KPIs and alarm episodes.
 
-Everything is per run and ordered by a dense 1-based position (``sample``),
-and everything runs on (run, block) groups:
+Everything is per run and ordered by a position (``sample``), which may
+start anywhere and have gaps, and everything runs on (run, block) groups:
 
 * EWMA ``z_i = a x_i + (1-a) z_{i-1}``, ``z_0 = x_0`` is an affine recurrence.
   Inside a block it has the closed form ``a d^r * sum_j d^-r_j x_j`` (a running
-  window sum; ``d = 1 - a``, ``r`` = offset in the block); the value entering a
+  window sum; ``d = 1 - a``, ``r`` = values before it in the block); the value entering a
   block is the composition of the earlier blocks' affine maps, combined by the
   doubling scan.  The block length is capped so ``d^-r`` stays below e^600.
 * The deadband latch is a finite-state machine with a bounded state space.
   Every block's transition table (end state for every start state) is
   computed from the block's rows alone; tables compose associatively
   (doubling scan on the JVM with ``transform``/``element_at``); finally each
-  block is replayed from its now-known start state.  Runs that fit in one
-  block skip straight to the replay.
+  block is replayed from its now-known start state.  Batch and stream step
+  through the same array of moves.
 """
 from __future__ import annotations
 
@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import BASELINE_EPS, SAMPLE_MINUTES
-from .blocked import (BLK, DEFAULT_BLOCK, block_of, doubling_scan, exclusive, halo_select, max_blocks,
-                      running_agg, scan_rounds)
+from .blocked import BLK, DEFAULT_BLOCK, block_of, doubling_scan, halo_select, running_agg
 
 
 @dataclass(frozen=True)
@@ -62,52 +61,40 @@ def ewma_block_len(alpha: float, block: int) -> int:
 
 def ewma(df: DataFrame, col: str, out: str, alpha: float, key: str = "run_key", pos: str = "sample",
          block: int = DEFAULT_BLOCK, diff_out: str | None = None) -> DataFrame:
-    """Exponentially weighted moving average per run (z_0 = x_0).
+    """Exponentially weighted moving average per run, seeded by the run's first value.
 
-    ``diff_out`` also adds |z_i - z_(i-1)| (0 on the run's first row, E3 on the
-    EWMA) inside the same (run, block) window: the previous value is ``lag(z)``,
-    or, on a block's first row, the carry entering the block - no halo and no
-    extra exchange."""
+    The recurrence steps from row to row in ``pos`` order; gaps in ``pos`` have no
+    weight.  A null value leaves the average as it is, and rows before the first
+    value have none.
+
+    ``diff_out`` also adds |z_i - z_(i-1)| (0 on the first row and where there is
+    no average yet, E3 on the EWMA) inside the same (run, block) window: the previous
+    value is ``lag(z)``, or, on a block's first row, the carry entering the block."""
     x = F.col(col).cast("double")
-    if alpha >= 1.0:
-        res = df.withColumn(out, x)
-        if diff_out:
-            from .blocked import halo_select
-            res = halo_select(res, key, pos, lambda w: [F.abs(F.coalesce(F.col(out) - F.lag(out, 1).over(w),
-                                                                         F.lit(0.0))).alias(diff_out)], before=1)
-        return res
     d = 1.0 - alpha
     b = ewma_block_len(alpha, block)
-    r = ((F.col(pos) - 1) % b).cast("double")
-    rows = df.withColumn(BLK, block_of(pos, b)).withColumn("_r", r)
     w = Window.partitionBy(key, BLK).orderBy(pos)
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = F.lit(alpha) * F.pow(F.lit(d), F.col("_r")) * F.sum(x * F.pow(F.lit(d), -F.col("_r"))).over(running)
-    rows = rows.withColumn("_loc", local)
-    nb = max_blocks(df, pos, b)
-    if nb <= 1:
-        # single block: the carry is the run's first value
-        res = rows.withColumn("_c", F.lit(None).cast("double")).withColumn(
-            out, F.col("_loc") + F.pow(F.lit(d), F.col("_r") + 1) * F.first(x).over(running))
+    # _m: values so far in the block; _loc: what they add up to, had the block begun at 0
+    rows = df.withColumn(BLK, block_of(pos, b)).withColumn("_m", F.count(x).over(running).cast("double"))
+    decay = F.pow(F.lit(d), F.col("_m")) if d > 0 else F.when(F.col("_m") > 0, F.lit(0.0)).otherwise(F.lit(1.0))
+    if d > 0:
+        local = F.lit(alpha) * F.pow(F.lit(d), F.col("_m") - 1) * F.coalesce(F.sum(x * F.pow(F.lit(d), 1 - F.col("_m"))).over(running), F.lit(0.0))
     else:
-        # affine map of each block: c -> a*c + b  with a = d^len, b = local value at the block end
-        maps = rows.groupBy(key, BLK).agg(F.pow(F.lit(d), F.count(F.lit(1)).cast("double")).alias("_a"),
-                                          F.max_by("_loc", pos).alias("_b"))
-        x0 = rows.where(F.col(pos) == 1).select(key, x.alias("_x0"))
-
-        def comb(e, lt):
-            return {"_a": lt["_a"] * e["_a"], "_b": lt["_a"] * e["_b"] + lt["_b"]}
-        pre = exclusive(doubling_scan(maps, key, ["_a", "_b"], comb, scan_rounds(nb)), key, ["_a", "_b"])
-        # carries are per (run, block): joins keyed by (run, block) never gather a run
-        carry = pre.join(x0, key).select(key, BLK, (F.col("_a") * F.col("_x0") + F.col("_b")).alias("_c"))
-        res = rows.join(carry, [key, BLK], "left")
-        # block 0 has no carry: its carry is the run's first value, the first value of the block
-        c = F.coalesce(F.col("_c"), F.first(x).over(running))
-        res = res.withColumn(out, F.col("_loc") + F.pow(F.lit(d), F.col("_r") + 1) * c)
+        local = F.coalesce(F.last(x, ignorenulls=True).over(running), F.lit(0.0))
+    rows = (rows.withColumn("_loc", local).withColumn("_dec", decay)
+            .withColumn("_seeded", F.col("_loc") + F.col("_dec") * F.first(x, ignorenulls=True).over(running)))
+    # a block maps the value that enters it, c, to a c + b; without one it ends at s
+    maps = rows.groupBy(key, BLK).agg(F.max_by("_dec", pos).alias("_a"), F.max_by("_loc", pos).alias("_b"), F.max_by("_seeded", pos).alias("_s"))
+
+    def comb(e, lt):
+        return {"_a": lt["_a"] * e["_a"], "_b": lt["_a"] * e["_b"] + lt["_b"], "_s": F.coalesce(lt["_a"] * e["_s"] + lt["_b"], lt["_s"])}
+    carry = doubling_scan(maps, key, ["_a", "_b", "_s"], comb).select(key, BLK, F.col("_s").alias("_c"))
+    res = rows.join(carry, [key, BLK], "left").withColumn(out, F.coalesce(F.col("_loc") + F.col("_dec") * F.col("_c"), F.col("_seeded")))
     if diff_out:
         prev = F.coalesce(F.lag(out, 1).over(w), F.col("_c"))
         res = res.withColumn(diff_out, F.abs(F.coalesce(F.col(out) - prev, F.lit(0.0))))
-    return res.drop(BLK, "_r", "_loc", "_c")
+    return res.drop(BLK, "_m", "_loc", "_dec", "_seeded", "_c")
 
 
 # --------------------------------------------------------------------------
@@ -216,113 +203,77 @@ class Latch:
         latch2 = np.where(raise_, 1, np.where(reset, 0, latch_n))
         return cur2, on2, off2, lock2, latch2
 
-    def table(self, breach: np.ndarray, clear: np.ndarray) -> np.ndarray:
-        """End state for every start state after consuming the block."""
-        cur, on, off, lock, latch = self.decode(np.arange(self.S))
-        for b, c in zip(breach, clear):
-            cur, on, off, lock, latch = self.step(cur, on, off, lock, latch, bool(b), bool(c))
-        return self.encode(cur, on, off, lock, latch).astype(np.int32)
-
-    def step_one(self, st: list, b: bool, c: bool) -> list:
-        """One sample for one state ``[cur, on, off, lock, latch]``; returns the new state."""
-        cur, on, off, lock, latch = st
-        if cur == 0:
-            if lock > 0:
-                lock -= 1
-                beff = False
-            else:
-                beff = bool(b)
-            on = on + 1 if beff else 0
-            if on >= self.n_on:
-                cur, on, off, latch = 1, 0, 0, 1
-        else:
-            latch += 1
-            if self.max_latch is not None and latch >= self.max_latch:
-                cur, on, off, latch, lock = 0, 0, 0, 0, self.lockout
-            else:
-                off = off + 1 if c else 0
-                if off >= self.n_off:
-                    cur, on, off, latch, lock = 0, 0, 0, 0, self.lockout
-            if self.max_latch is None and cur == 1:
-                latch = 1
-        return [cur, on, off, lock, latch]
-
-    def replay(self, start: int, breach: np.ndarray, clear: np.ndarray) -> np.ndarray:
-        """Emitted alarm (after the transition) for each sample from ``start``."""
-        cur, on, off, lock, latch = (int(a[0]) for a in self.decode(np.array([start])))
-        out = np.zeros(len(breach), dtype=np.int32)
-        n_on, n_off, lockout, max_latch = self.n_on, self.n_off, self.lockout, self.max_latch
-        for i in range(len(breach)):
-            if cur == 0:
-                if lock > 0:
-                    lock -= 1
-                    beff = False
-                else:
-                    beff = bool(breach[i])
-                on = on + 1 if beff else 0
-                if on >= n_on:
-                    cur, on, off, latch = 1, 0, 0, 1
-            else:
-                latch += 1
-                if max_latch is not None and latch >= max_latch:
-                    cur, on, off, latch, lock = 0, 0, 0, 0, lockout
-                else:
-                    off = off + 1 if bool(clear[i]) else 0
-                    if off >= n_off:
-                        cur, on, off, latch, lock = 0, 0, 0, 0, lockout
-                if max_latch is None:
-                    latch = 1
-            out[i] = cur
-        return out
+    def moves(self) -> np.ndarray:
+        """Next state for every state and input; the input is 2 * breach + clear."""
+        parts = self.decode(np.arange(self.S))
+        return np.stack([self.encode(*self.step(*parts, bool(k & 2), bool(k & 1))) for k in range(4)]).astype(np.int32)
+
+
+def latch_inputs(breach, clear) -> np.ndarray:
+    """2 * breach + clear; a missing flag counts as false."""
+    return 2 * (np.asarray(breach) == True) + (np.asarray(clear) == True)  # noqa: E712
+
+
+def through(moves: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+    """End state for every start state."""
+    state = np.arange(moves.shape[1])
+    for k in inputs:
+        state = moves[k][state]
+    return state
+
+
+def visited(moves: list[list[int]], start: int, inputs) -> list[int]:
+    """States after each input."""
+    out, state = [], start
+    for k in inputs:
+        state = moves[k][state]
+        out.append(state)
+    return out
 
 
 def deadband_latch(df: DataFrame, tuning: Tuning, breach: str = "breach", clear: str = "in_clear",
                    key: str = "run_key", pos: str = "sample", out: str = "alarm",
                    block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Latched alarm per row (see module doc for the blocked scan)."""
+    """Latched alarm per row (see module doc for the blocked scan).  A null flag counts as false."""
     fsm = Latch(tuning.n_on, tuning.n_off, tuning.lockout, tuning.max_latch)
+    moves, latched = fsm.moves(), fsm.S0
     rows = df.withColumn(BLK, block_of(pos, block))
-    nb = max_blocks(df, pos, block)
-    if nb > 1:
-        last = rows.groupBy(key).agg(F.max(BLK).alias("_last"))
-        need = rows.join(last, key).where(F.col(BLK) < F.col("_last")).select(key, BLK, pos, breach, clear)
-
-        def tables(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(pos)
-            tab = fsm.table(pdf[breach].to_numpy(bool), pdf[clear].to_numpy(bool))
-            return pd.DataFrame({key: [pdf[key].iloc[0]], BLK: [int(pdf[BLK].iloc[0])], "_f": [tab.tolist()]})
-        key_type = df.schema[key].dataType.simpleString()
-        tabs = need.groupBy(key, BLK).applyInPandas(tables, f"{key} {key_type}, {BLK} long, _f array<int>")
-
-        def comb(e, lt):
-            later = lt["_f"]
-            return {"_f": F.transform(e["_f"], lambda s: F.element_at(later, s + 1))}
-        pre = exclusive(doubling_scan(tabs, key, ["_f"], comb, scan_rounds(nb)), key, ["_f"])
-        starts = pre.select(key, BLK, F.element_at("_f", 1).alias("_start"))
-        rows = rows.join(starts, [key, BLK], "left")
-    else:
-        rows = rows.withColumn("_start", F.lit(None).cast("int"))
-    rows = rows.withColumn("_start", F.coalesce(F.col("_start"), F.lit(0)).cast("int"))
+    # only blocks with a successor need their table
+    last = rows.groupBy(key).agg(F.max(BLK).alias("_last"))
+    need = rows.join(last, key).where(F.col(BLK) < F.col("_last")).select(key, BLK, pos, breach, clear)
+
+    def tables(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(pos)
+        end = through(moves, latch_inputs(pdf[breach], pdf[clear]))
+        return pd.DataFrame({key: [pdf[key].iloc[0]], BLK: [int(pdf[BLK].iloc[0])], "_f": [end.tolist()]})
+    key_type = df.schema[key].dataType.simpleString()
+    tabs = need.groupBy(key, BLK).applyInPandas(tables, f"{key} {key_type}, {BLK} long, _f array<int>")
+
+    def comb(e, lt):
+        later = lt["_f"]
+        return {"_f": F.transform(e["_f"], lambda s: F.element_at(later, s + 1))}
+    # a run's last block has no table but does have a predecessor
+    ends = tabs.unionByName(last.select(key, F.col("_last").alias(BLK), F.lit(None).cast("array<int>").alias("_f")))
+    starts = doubling_scan(ends, key, ["_f"], comb).select(key, BLK, F.element_at("_f", 1).alias("_start"))
+    rows = rows.join(starts, [key, BLK], "left").withColumn("_start", F.coalesce(F.col("_start"), F.lit(0)).cast("int"))
     out_schema = T.StructType([f for f in rows.schema.fields] + [T.StructField(out, T.IntegerType())])
+    as_lists = moves.tolist()
 
     def replay(batches):
-        # rows arrive grouped by (run, block) and ordered by position; the state
-        # is re-initialised from the block's start state whenever the group changes
-        group = None
-        st = None
+        # rows arrive grouped by (run, block) and ordered by position; a group may go on in the next batch
+        group, state = None, 0
         for pdf in batches:
-            keys, blks = pdf[key].to_numpy(), pdf[BLK].to_numpy()
-            starts = pdf["_start"].to_numpy()
-            res = np.empty(len(pdf), dtype=np.int32)
-            b_arr, c_arr = pdf[breach].to_numpy(bool), pdf[clear].to_numpy(bool)
-            for i in range(len(pdf)):
-                g = (keys[i], blks[i])
-                if g != group:
-                    group = g
-                    st = [int(a[0]) for a in fsm.decode(np.array([starts[i]]))]
-                st = fsm.step_one(st, b_arr[i], c_arr[i])
-                res[i] = st[0]
-            pdf[out] = res
+            keys, blks, starts = pdf[key].to_numpy(), pdf[BLK].to_numpy(), pdf["_start"].to_numpy()
+            inputs = latch_inputs(pdf[breach], pdf[clear]).tolist()
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]) | (blks[1:] != blks[:-1])) + 1).tolist(), len(pdf)]
+            states: list[int] = []
+            for a, z in zip(edges[:-1], edges[1:]):
+                if a < z:
+                    if (keys[a], blks[a]) != group:
+                        group, state = (keys[a], blks[a]), int(starts[a])
+                    states += visited(as_lists, state, inputs[a:z])
+                    state = states[-1]
+            pdf[out] = (np.array(states, dtype=np.int64) >= latched).astype(np.int32)
             yield pdf
     ordered = rows.repartition(key, BLK).sortWithinPartitions(key, BLK, pos)
     return ordered.mapInPandas(replay, out_schema).drop(BLK, "_start")
@@ -331,34 +282,25 @@ def deadband_latch(df: DataFrame, tuning: Tuning, breach: str = "breach", clear:
 # --------------------------------------------------------------------------
 # E9 / D23 / D24 KPIs, E10 episodes, D33 display domain
 # --------------------------------------------------------------------------
-def transitions(df: DataFrame, flag: str, out: str, key: str = "run_key", pos: str = "sample",
-                block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Per row: 1 where the flag differs from the previous sample's."""
-    def build(w: Window) -> list[Column]:
-        prev = F.lag(F.col(flag).cast("int"), 1).over(w)
-        return [F.when(prev.isNotNull() & (prev != F.col(flag).cast("int")), 1).otherwise(0).alias(out)]
-    return halo_select(df, key, pos, build, before=1, block=block)
-
-
 def alarm_kpis(df: DataFrame, methods: dict[str, str], inject: int, key: str = "run_key",
-               pos: str = "sample", block: int = DEFAULT_BLOCK) -> DataFrame:
+               pos: str = "sample", block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """D23/E9 per run and method: false trips at t <= inject, transitions,
-    0-based offset of the first post-injection trip (null if none)."""
-    d = df
-    for m, c in methods.items():
-        d = transitions(d, c, f"_tr_{m}", key, pos, block)
-    parts = []
+    0-based offset of the first post-injection trip (null if none).
+
+    One pass marks the changes of all flags, one aggregate sums all methods, and the
+    aggregated rows are spread out by method."""
+    def build(w: Window) -> list[Column]:
+        flags = [F.col(c).cast("int") for c in methods.values()]
+        return [F.when(F.lag(f, 1).over(w) != f, 1).otherwise(0).alias(f"_tr_{m}") for m, f in zip(methods, flags)]
+    marked = halo_select(df, key, pos, build, before=1, block=block, dense=dense)
+    columns = []
     for m, c in methods.items():
         on = F.col(c).cast("int") == 1
-        parts.append(d.groupBy(key).agg(
-            F.count_if(on & (F.col(pos) <= inject)).alias("false_alarms_pre"),
-            F.sum(f"_tr_{m}").cast("long").alias("transitions"),
-            (F.min(F.when(on & (F.col(pos) > inject), F.col(pos))) - F.lit(inject + 1)).cast("int").alias("ttf_post"),
-        ).withColumn("method", F.lit(m)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        columns += [F.count_if(on & (F.col(pos) <= inject)).alias(f"_fa_{m}"), F.sum(f"_tr_{m}").alias(f"_ch_{m}"),
+                    F.min(F.when(on & (F.col(pos) > inject), F.col(pos))).alias(f"_ft_{m}")]
+    rows = F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"_fa_{m}").alias("false_alarms_pre"), F.col(f"_ch_{m}").cast("long").alias("transitions"),
+                              (F.col(f"_ft_{m}") - F.lit(inject + 1)).cast("int").alias("ttf_post")) for m in methods])
+    return marked.groupBy(key).agg(*columns).select(key, F.inline(rows))
 
 
 def first_trips(df: DataFrame, inject: int, key: str = "run_key", pos: str = "sample") -> DataFrame:
@@ -373,7 +315,7 @@ def first_trips(df: DataFrame, inject: int, key: str = "run_key", pos: str = "sa
 
 
 def episodes(df: DataFrame, alarm: str = "alarm", breach: str = "breach", key: str = "run_key",
-             pos: str = "sample", block: int = DEFAULT_BLOCK) -> DataFrame:
+             pos: str = "sample", block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """Maximal runs of alarm = 1, split into breach part and linger part.
 
     Positions are reported 0-based like the upstream arrays.  The episode of
@@ -383,7 +325,7 @@ def episodes(df: DataFrame, alarm: str = "alarm", breach: str = "breach", key: s
         prev = F.lag(F.col(alarm), 1).over(w)
         start = (F.col(alarm) == 1) & (prev.isNull() | (prev != 1))
         return [F.when(start, F.col(pos)).alias("_start_pos")]
-    s = halo_select(df, key, pos, build, before=1, block=block)
+    s = halo_select(df, key, pos, build, before=1, block=block, dense=dense)
     s = running_agg(s, key, pos, F.col("_start_pos"), "_ep", how="max", block=block)
     on = s.where(F.col(alarm) == 1)
     ep = on.groupBy(key, "_ep").agg(

@@ -119,11 +119,11 @@ def build_alerts(df: DataFrame, probs: str, base_ts: Column, features: Sequence[
 # E11 rising edges
 # --------------------------------------------------------------------------
 def rising_edges(df: DataFrame, flag: str = "is_fault", key: str = "run_key", pos: str = "sample",
-                 block: int = DEFAULT_BLOCK) -> DataFrame:
+                 block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """Rows where the flag goes 0 -> 1 (never the run's first row)."""
     def build(w: Window) -> list[Column]:
         return [F.lag(F.col(flag), 1).over(w).alias("_prev")]
-    e = halo_select(df, key, pos, build, before=1, block=block)
+    e = halo_select(df, key, pos, build, before=1, block=block, dense=dense)
     return e.where((F.col("_prev") == 0) & (F.col(flag) == 1)).drop("_prev")
 
 

@@ -11,17 +11,19 @@ is a fixed span of ``block`` consecutive positions of the run:
   the (run, block) group, and keep only the block's own rows;
 * look-ahead frames (``lead``) duplicate the first rows of the next block;
 * prefix quantities (running sums, running max, EWMA carries, state-machine
-  states) are computed locally per block and combined across blocks with a
-  pointer-doubling scan: ``ceil(log2(max blocks per run))`` rounds of an
-  equi-join on (run key, block - 2^r).  Joins keyed by (run, block) never
-  concentrate a run in one task.  Runs with a single block need zero rounds.
+  states) are computed locally per block and combined on the table of blocks
+  (one row for ``block`` rows of data): by a window where a sum or maximum
+  will do, else with a pointer-doubling scan of equi-joins on (run key, rank -
+  2^r).  Joins of rows keyed by (run, block) never concentrate a run in one task.
+
+Every run takes the same path, whatever its length.  Positions may start
+anywhere and have gaps unless a caller asserts that they are dense.
 
 All of it is built from DataFrame operators (windows, joins, ``explode``);
 no group ever holds more than ``block + halo`` rows.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,76 +66,66 @@ def block_window(key: str | Sequence[str], pos: str) -> Window:
     return Window.partitionBy(*keys, BLK).orderBy(pos)
 
 
+def dense_rows(df: DataFrame, key: str | Sequence[str], pos: str, out: str = "_row", block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``df`` with ``out``, the row's 1-based place in its run ordered by ``pos`` (which may
+    start anywhere and have gaps): the place inside the (run, block of positions) plus
+    the rows of the run's earlier blocks, summed on the table of blocks."""
+    keys = [key] if isinstance(key, str) else list(key)
+    d = df.withColumn(BLK, block_of(pos, block))
+    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = d.groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("_n")).select(*keys, BLK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    d = d.withColumn("_local", F.row_number().over(block_window(key, pos)))
+    return d.join(offsets, keys + [BLK]).withColumn(out, F.col("_off") + F.col("_local")).drop("_off", "_local", BLK)
+
+
 def halo_select(df: DataFrame, key: str | Sequence[str], pos: str,
                 exprs: Callable[[Window], list[Column]], before: int = 0, after: int = 0,
-                block: int = DEFAULT_BLOCK) -> DataFrame:
+                block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """``df`` plus the columns ``exprs(w)``, where ``w`` is the run window.
 
     The result equals ``df.select("*", *exprs(Window.partitionBy(key).orderBy(pos)))``
-    for frames reaching at most ``before`` rows back and ``after`` rows ahead,
-    provided ``pos`` is the dense 1-based position of the row in its run.
+    for frames reaching at most ``before`` rows back and ``after`` rows ahead.
+    ``dense=True`` asserts that the positions of a run have no gaps (they may
+    start anywhere) and saves the numbering of the rows, one exchange.
     """
     block = max(block, before, after, 1)
-    ext = with_halo(df, pos, block, before, after)
-    w = block_window(key, pos)
-    return ext.select("*", *exprs(w)).where(F.col(HOME)).drop(BLK, HOME)
+    place = pos
+    if not dense:
+        df, place = dense_rows(df, key, pos, block=block), "_row"
+    ext = with_halo(df, place, block, before, after)
+    w = block_window(key, place)
+    out = ext.select("*", *exprs(w)).where(F.col(HOME)).drop(BLK, HOME)
+    return out if dense else out.drop(place)
 
 
 # --------------------------------------------------------------------------
 # Prefix scans across blocks
 # --------------------------------------------------------------------------
-def scan_rounds(n_blocks_max: int) -> int:
-    return 0 if n_blocks_max <= 1 else int(math.ceil(math.log2(n_blocks_max)))
-
-
-_MAX_POS: dict[tuple, int] = {}
-
-
-def max_blocks(df: DataFrame, pos: str, block: int) -> int:
-    """Largest number of blocks in any run (one small aggregate action,
-    remembered per logical plan)."""
-    # the plan hash alone would not see new files under an unchanged path
-    key = (df.select(pos).semanticHash(), pos, hash(tuple(sorted(df.inputFiles()))))
-    m = _MAX_POS.get(key)
-    if m is None:
-        row = df.agg(F.max(F.col(pos)).alias("m")).first()
-        m = int(row["m"]) if row and row["m"] is not None else 0
-        _MAX_POS[key] = m
-    return int((m + block - 1) // block)
-
-
 def doubling_scan(blocks: DataFrame, key: str | Sequence[str], values: Sequence[str],
-                  combine: Callable[[dict[str, Column], dict[str, Column]], dict[str, Column]],
-                  rounds: int, checkpoint: bool = True) -> DataFrame:
-    """Inclusive prefix over blocks: ``P_k = v_0 (+) v_1 (+) ... (+) v_k``.
+                  combine: Callable[[dict[str, Column], dict[str, Column]], dict[str, Column]]) -> DataFrame:
+    """Exclusive prefix over blocks: row k gets ``v_0 (+) ... (+) v_(k-1)``, null for the first block.
 
     ``blocks`` has one row per (key, ``_blk``) with columns ``values``.
     ``combine(earlier, later)`` returns the combined values as Column
-    expressions (it must be associative).  Each round joins every block with
-    the one ``2^r`` positions earlier; after ``rounds`` rounds every block holds
-    its full prefix.  Rounds are checkpointed so lineage stays linear.
+    expressions (it must be associative).  The blocks that exist are ranked in
+    their run (a window over the table of blocks, one row for ``block`` rows of
+    data), so block numbers may have gaps.  Each round joins every block with the one
+    ``2^r`` ranks earlier, and the rounds end when no block has an unread
+    predecessor.  Rounds are checkpointed so lineage stays linear.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    cur = blocks.select(*keys, BLK, *values)
-    for r in range(rounds):
-        step = 1 << r
-        earlier = cur.select(*keys, (F.col(BLK) + F.lit(step)).alias(BLK),
+    in_run = Window.partitionBy(*keys).orderBy(BLK)
+    cur = blocks.select(*keys, BLK, F.row_number().over(in_run).alias("_rank"), *values).checkpoint(eager=True)
+    longest = cur.agg(F.max("_rank")).first()[0] or 0
+    step = 1
+    while step < longest - 1:        # the last block's own value is never needed
+        earlier = cur.select(*keys, (F.col("_rank") + F.lit(step)).alias("_rank"), F.lit(True).alias("_met"),
                              *[F.col(v).alias(f"_e_{v}") for v in values])
-        joined = cur.join(earlier, on=keys + [BLK], how="left")
-        e = {v: F.col(f"_e_{v}") for v in values}
-        lt = {v: F.col(v) for v in values}
-        comb = combine(e, lt)
-        has = F.col(f"_e_{values[0]}").isNotNull()
-        cur = joined.select(*keys, BLK, *[F.when(has, comb[v]).otherwise(lt[v]).alias(v) for v in values])
-        if checkpoint:
-            cur = cur.checkpoint(eager=True)
-    return cur
-
-
-def exclusive(prefix: DataFrame, key: str | Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Shift an inclusive prefix by one block: row k gets ``P_{k-1}``."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return prefix.select(*keys, (F.col(BLK) + F.lit(1)).alias(BLK), *values)
+        joined = cur.join(earlier, on=keys + ["_rank"], how="left")
+        comb = combine({v: F.col(f"_e_{v}") for v in values}, {v: F.col(v) for v in values})
+        cur = joined.select(*keys, BLK, "_rank", *[F.when(F.col("_met"), comb[v]).otherwise(F.col(v)).alias(v) for v in values]).checkpoint(eager=True)
+        step *= 2
+    return cur.select(*keys, BLK, *[F.lag(v).over(Window.partitionBy(*keys).orderBy("_rank")).alias(v) for v in values])
 
 
 # --------------------------------------------------------------------------
@@ -206,27 +198,16 @@ def running_agg(df: DataFrame, key: str | Sequence[str], pos: str, value: Column
                 block: int = DEFAULT_BLOCK) -> DataFrame:
     """Running ``sum`` or ``max`` of ``value`` from the start of the run (inclusive).
 
-    Local running aggregate per (run, block) window, plus the exclusive prefix
-    of the block totals combined by the doubling scan.
+    Local running aggregate per (run, block) window, plus that of the run's
+    earlier blocks (a window over the table of block totals).  Nulls are skipped.
     """
     keys = [key] if isinstance(key, str) else list(key)
     agg = F.sum if how == "sum" else F.max
     d = df.withColumn(BLK, block_of(pos, block)).withColumn("_v", value)
     w = Window.partitionBy(*keys, BLK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_loc", agg("_v").over(w))
-    nb = max_blocks(df, pos, block)
-    if nb <= 1:
-        return d.withColumn(out, F.col("_loc")).drop("_v", "_loc", BLK)
-    tot = d.groupBy(*keys, BLK).agg(agg("_v").alias("_t"))
-
-    def comb(e, lt):
-        if how == "sum":
-            return {"_t": F.coalesce(e["_t"], F.lit(0)) + F.coalesce(lt["_t"], F.lit(0))}
-        return {"_t": F.greatest(e["_t"], lt["_t"])}
-    pre = exclusive(doubling_scan(tot, keys, ["_t"], comb, scan_rounds(nb)), keys, ["_t"])
-    res = d.join(pre, keys + [BLK], "left")
-    if how == "sum":
-        val = F.col("_loc") + F.coalesce(F.col("_t"), F.lit(0))
-    else:
-        val = F.greatest(F.col("_loc"), F.col("_t"))
+    earlier = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy(*keys, BLK).agg(agg("_v").alias("_t")).select(*keys, BLK, agg("_t").over(earlier).alias("_t"))
+    res = d.withColumn("_loc", agg("_v").over(w)).join(totals, keys + [BLK], "left")
+    val = (F.when(F.col("_loc").isNotNull() | F.col("_t").isNotNull(), F.coalesce("_loc", F.lit(0)) + F.coalesce("_t", F.lit(0)))
+           if how == "sum" else F.greatest(F.col("_loc"), F.col("_t")))
     return res.withColumn(out, val).drop("_v", "_loc", "_t", BLK)

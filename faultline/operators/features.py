@@ -1,7 +1,7 @@
 """Per-run features: rolling statistics, first differences, trailing history.
 
-Every function takes a telemetry-shaped DataFrame with a run key and a dense
-1-based position column (``sample``) and runs on (run, block) groups via
+Every function takes a telemetry-shaped DataFrame with a run key and a
+position column (``sample``) and runs on (run, block) groups via
 :mod:`faultline.operators.blocked`, so a hot run is spread over many tasks.
 Sensors are cast to double before any aggregate.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import ROLLING_WINDOWS
-from .blocked import DEFAULT_BLOCK, halo_select
+from .blocked import BLK, DEFAULT_BLOCK, HOME, block_window, dense_rows, halo_select, with_halo
 
 
 def rolling_names(sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS) -> list[str]:
@@ -79,7 +79,7 @@ def _window_from_prefix(sensors: Sequence[str], windows: Sequence[int]):
 
 def rolling_features(df: DataFrame, sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS,
                      key: str = "run_key", pos: str = "sample", block: int = DEFAULT_BLOCK,
-                     method: str = "prefix") -> DataFrame:
+                     method: str = "prefix", dense: bool = False) -> DataFrame:
     """Trailing mean and sample std over the last ``w`` rows of the run
     (``min_periods = 1``; a single value has std 0).
 
@@ -88,37 +88,39 @@ def rolling_features(df: DataFrame, sensors: Sequence[str], windows: Sequence[in
     squares of values centred on the group's first value, differenced with
     ``lag(w)`` - every window size reuses the same three running sums.
     ``method="frame"`` uses sliding frames, O(rows x w), as a cross-check.
-    The halo is ``max(windows) - 1`` rows.
+    The halo is ``max(windows) - 1`` rows.  Windows count rows, so gaps in ``pos`` don't
+    matter; ``dense=True`` asserts that there are none and saves the numbering.
     """
-    from .blocked import HOME, block_window, with_halo
     halo = max(windows) - 1
     if method == "frame":
-        return halo_select(df, key, pos, _rolling_exprs(sensors, windows), before=halo, block=block)
+        return halo_select(df, key, pos, _rolling_exprs(sensors, windows), before=halo, block=block, dense=dense)
     block = max(block, halo, 1)
-    ext = with_halo(df, pos, block, before=halo)
-    w = block_window(key, pos)
+    place = pos
+    if not dense:
+        df, place = dense_rows(df, key, pos, block=block), "_row"
+    ext = with_halo(df, place, block, before=halo)
+    w = block_window(key, place)
     stage1 = ext.select("*", *_prefix_exprs(sensors, windows)(w))
     stage2 = stage1.select("*", *_window_from_prefix(sensors, windows)(w))
     helpers = [f"_{p}_{s}" for s in sensors for p in ("n", "s1", "s2", "c")]
-    from .blocked import BLK
-    return stage2.where(F.col(HOME)).drop(BLK, HOME, *helpers)
+    return stage2.where(F.col(HOME)).drop(BLK, HOME, *helpers, *([] if dense else [place]))
 
 
 def first_difference(df: DataFrame, col: str, out: str, key: str = "run_key", pos: str = "sample",
-                     block: int = DEFAULT_BLOCK) -> DataFrame:
+                     block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """``x - lag(x)``, first row of the run 0."""
     def build(w: Window) -> list[Column]:
         return [F.coalesce(F.col(col) - F.lag(col, 1).over(w), F.lit(0.0)).alias(out)]
-    return halo_select(df, key, pos, build, before=1, block=block)
+    return halo_select(df, key, pos, build, before=1, block=block, dense=dense)
 
 
 def trailing_history(df: DataFrame, cols: Sequence[str], n: int = 48, key: str = "run_key",
-                     pos: str = "sample", out: str = "history", block: int = DEFAULT_BLOCK) -> DataFrame:
+                     pos: str = "sample", out: str = "history", block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """The last ``n`` points (inclusive) of each row's run as an ordered array of structs."""
     def build(w: Window) -> list[Column]:
         frame = w.rowsBetween(-(n - 1), 0)
         return [F.collect_list(F.struct(F.col(pos), *[F.col(c) for c in cols])).over(frame).alias(out)]
-    return halo_select(df, key, pos, build, before=n - 1, block=block)
+    return halo_select(df, key, pos, build, before=n - 1, block=block, dense=dense)
 
 
 def fault_onset(df: DataFrame, label: str = "faultNumber", key: str = "run_key", pos: str = "sample",

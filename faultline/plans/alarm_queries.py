@@ -165,7 +165,7 @@ FROM d GROUP BY run_key, method"""
 @register("d23_alarm_kpis", "D23 E9", _KPI_SQL)
 def d23(spark, sf_dir):
     a = latched(spark, sf_dir)
-    return al.alarm_kpis(a, {"naive": "breach_naive", "ewma": "breach", "deadband": "alarm"}, INJ).select(
+    return al.alarm_kpis(a, {"naive": "breach_naive", "ewma": "breach", "deadband": "alarm"}, INJ, dense=True).select(
         "run_key", "method", "false_alarms_pre", "transitions", "ttf_post")
 
 
@@ -196,7 +196,7 @@ SELECT run_key, CAST(s0 - 1 AS INTEGER) AS start, CAST(l0 AS INTEGER) AS end_exc
        round(CAST(l0 + 1 - coalesce(fi, s0) AS DOUBLE) * 3.0, 1) AS linger_minutes
 FROM e""")
 def e10(spark, sf_dir):
-    return al.episodes(latched(spark, sf_dir))
+    return al.episodes(latched(spark, sf_dir), dense=True)
 
 
 @register("d33_display_domain", "D33", _oracle_prefix() + """,

@@ -226,7 +226,7 @@ SELECT run_key, sample, pred_fault,
        CASE WHEN {OPRISK_SQL.format(c='pred_fault', p='p_fault')} = 'HIGH' THEN 'HIGH' ELSE 'MEDIUM' END AS severity
 FROM l WHERE prev = 0 AND is_fault = 1""")
 def e11(spark, sf_dir):
-    e = al.rising_edges(scored(spark, sf_dir))
+    e = al.rising_edges(scored(spark, sf_dir), dense=True)
     sev = F.when(S.operational_risk(F.col("pred_fault"), F.col("p_fault")) == "HIGH", "HIGH").otherwise("MEDIUM")
     return e.select("run_key", "sample", "pred_fault", sev.alias("severity"))
 

@@ -102,7 +102,7 @@ def j10(spark, sf_dir):
 def j11(spark, sf_dir):
     rows = split_rows(spark, sf_dir)
     feats = ["xmeas_13", "xmeas_9", "xmv_10"]
-    f = fe.rolling_features(rows, ["xmeas_13"], [10, 20])
+    f = fe.rolling_features(rows, ["xmeas_13"], [10, 20], dense=True)
     cols = feats + ["xmeas_13_roll_mean_10", "xmeas_13_roll_std_10", "xmeas_13_roll_mean_20", "xmeas_13_roll_std_20"]
     f = mo.with_label_text(f, "target_fault_label")
     idx = mo.label_indexer("target_fault_label").fit(f)

@@ -161,7 +161,7 @@ SELECT run_key, sample, target_fault_label, xmeas_13_roll_mean_30 FROM f WHERE t
 def b5(spark, sf_dir):
     """Windows see the pre-fault rows; the fault-period filter comes after them."""
     from ..operators import features as fe
-    f = fe.rolling_features(scored(spark, sf_dir), ["xmeas_13"], [30])
+    f = fe.rolling_features(scored(spark, sf_dir), ["xmeas_13"], [30], dense=True)
     return f.where(F.col("target_fault_label") > 0).select(
         "run_key", "sample", "target_fault_label", F.col("xmeas_13_roll_mean_30").cast("float").alias("xmeas_13_roll_mean_30"))
 

@@ -34,7 +34,7 @@ def r6(c) -> F.Column:
 # --------------------------------------------------------------------------
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scored(spark, sf_dir)
-    f = fe.rolling_features(s, ["xmeas_13"], [10, 20])
+    f = fe.rolling_features(s, ["xmeas_13"], [10, 20], dense=True)
     det = me.run_detection_metrics(f, ONSET)
     extra = f.groupBy("run_key").agg(
         F.min("health_score").alias("min_health"),
@@ -99,7 +99,7 @@ def _rolling_sql() -> str:
 @register("e1_rolling_features", "E1 B11", _rolling_sql())
 def e1(spark, sf_dir):
     t = telemetry(spark, sf_dir).select("run_key", "sample", *SENSORS)
-    f = fe.rolling_features(t, SENSORS)
+    f = fe.rolling_features(t, SENSORS, dense=True)
     names = fe.rolling_names(SENSORS)
     # features are stored as float32, like the model matrix
     return f.select("run_key", "sample", *[F.col(n).cast("float").alias(n) for n in names])
@@ -111,7 +111,7 @@ SELECT run_key, sample, round(avg(xmeas_13) OVER (PARTITION BY run_key ORDER BY
 FROM telemetry""")
 def e2(spark, sf_dir):
     t = telemetry(spark, sf_dir).select("run_key", "sample", "xmeas_13")
-    f = fe.rolling_features(t, ["xmeas_13"], [10])
+    f = fe.rolling_features(t, ["xmeas_13"], [10], dense=True)
     return f.select("run_key", "sample", r6("xmeas_13_roll_mean_10").alias("xmeas_13_smooth"))
 
 
@@ -120,28 +120,66 @@ SELECT run_key, sample, round(coalesce(xmeas_13 - lag(xmeas_13) OVER (PARTITION
 FROM telemetry""")
 def e3(spark, sf_dir):
     t = telemetry(spark, sf_dir).select("run_key", "sample", "xmeas_13")
-    return fe.first_difference(t, "xmeas_13", "dx").select("run_key", "sample", r6("dx").alias("dx"))
+    return fe.first_difference(t, "xmeas_13", "dx", dense=True).select("run_key", "sample", r6("dx").alias("dx"))
+
+
+# Runs as they come: with missing values, cut at the front, and with every third sample missing.
+ROUGH = Q.TELEMETRY + """,
+rough AS (
+  SELECT 'nulls' AS variant, run_key, sample, CASE WHEN event_id % 17 = 0 THEN NULL ELSE xmeas_13 END AS x FROM telemetry
+  UNION ALL SELECT 'trimmed', run_key, sample, xmeas_13 FROM telemetry WHERE sample > 20
+  UNION ALL SELECT 'gaps', run_key, sample, xmeas_13 FROM telemetry WHERE sample % 3 <> 0)"""
+
+
+def rough_runs(spark, sf_dir):
+    t = telemetry(spark, sf_dir).select("run_key", "sample", "event_id", "xmeas_13")
+    nulls = t.select(F.lit("nulls").alias("variant"), "run_key", "sample", F.when(F.col("event_id") % 17 != 0, F.col("xmeas_13")).alias("x"))
+    rest = t.select("run_key", "sample", F.col("xmeas_13").alias("x"))
+    return (nulls.unionByName(rest.where("sample > 20").withColumn("variant", F.lit("trimmed")))
+            .unionByName(rest.where("sample % 3 <> 0").withColumn("variant", F.lit("gaps")))
+            .withColumn("run", F.concat_ws("/", "variant", "run_key")))
+
+
+@register("e1_rolling_rough_runs", "E1", "WITH " + ROUGH + """
+SELECT variant, run_key, sample,
+       round(avg(x) OVER (PARTITION BY variant, run_key ORDER BY sample ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS mean_10,
+       round(coalesce(stddev_samp(x) OVER (PARTITION BY variant, run_key ORDER BY sample ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 0.0), 6) AS std_10
+FROM rough""")
+def e1_rough(spark, sf_dir):
+    f = fe.rolling_features(rough_runs(spark, sf_dir), ["x"], [10], key="run", block=16)
+    return f.select("variant", "run_key", "sample", r6("x_roll_mean_10").alias("mean_10"), r6("x_roll_std_10").alias("std_10"))
+
+
+@register("e4_ewma_rough_runs", "E4", "WITH RECURSIVE " + ROUGH + """,
+n AS (SELECT *, row_number() OVER (PARTITION BY variant, run_key ORDER BY sample) AS rn FROM rough),
+ew(variant, run_key, sample, rn, z) AS (
+  SELECT variant, run_key, sample, rn, x FROM n WHERE rn = 1
+  UNION ALL
+  SELECT n.variant, n.run_key, n.sample, n.rn, CASE WHEN n.x IS NULL THEN ew.z WHEN ew.z IS NULL THEN n.x ELSE 0.2 * n.x + 0.8 * ew.z END
+  FROM ew JOIN n ON n.variant = ew.variant AND n.run_key = ew.run_key AND n.rn = ew.rn + 1)
+SELECT variant, run_key, sample, round(z, 6) AS z FROM ew""")
+def e4_rough(spark, sf_dir):
+    from ..operators import alarms as al
+    z = al.ewma(rough_runs(spark, sf_dir), "x", "z", 0.2, key="run", block=16)
+    return z.select("variant", "run_key", "sample", r6("z").alias("z"))
 
 
 @register("e12_trailing_history", "E12", "WITH " + Q.TELEMETRY + """,
-h AS (SELECT run_key, sample, xmeas_13,
-        count(*) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS hist_len,
-        first_value(sample) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS hist_first_sample,
-        sum(xmeas_13) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS hist_sum,
-        row_number() OVER (PARTITION BY run_key ORDER BY sample DESC) AS rn_desc
+h AS (SELECT run_key, sample,
+        list(sample) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS samples,
+        list(xmeas_13) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS xs,
+        count(*) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 71 PRECEDING AND CURRENT ROW) AS n_72
       FROM telemetry)
-SELECT run_key, sample, CAST(hist_len AS INTEGER) AS hist_len, hist_first_sample, round(hist_sum, 6) AS hist_sum
-FROM h WHERE rn_desc <= 48""")
+SELECT run_key, sample, array_to_string(samples, ',') AS samples, array_to_string([printf('%.3f', v) for v in xs], ',') AS points,
+       CAST(n_72 AS INTEGER) AS n_72 FROM h""")
 def e12(spark, sf_dir):
-    """Snapshot form of the trailing 48-point history: for the last 48 samples of
-    every run, the history array's length, first sample and sum."""
+    """The trailing 48-point history at every sample, and the length of the 72-point one."""
     t = telemetry(spark, sf_dir).select("run_key", "sample", "xmeas_13")
-    h = fe.trailing_history(t, ["xmeas_13"], 48)
-    last = t.groupBy("run_key").agg(F.max("sample").alias("_last"))
-    h = h.join(last, "run_key").where(F.col("sample") > F.col("_last") - 48)
-    return h.select("run_key", "sample", F.size("history").alias("hist_len"),
-                    F.col("history")[0]["sample"].alias("hist_first_sample"),
-                    r6(F.aggregate(F.col("history"), F.lit(0.0), lambda a, p: a + p["xmeas_13"])).alias("hist_sum"))
+    h = fe.trailing_history(t, ["xmeas_13"], 48, dense=True)
+    h = fe.trailing_history(h, ["xmeas_13"], 72, out="history_72", dense=True)
+    return h.select("run_key", "sample", F.array_join(F.transform("history", lambda p: p["sample"].cast("string")), ",").alias("samples"),
+                    F.array_join(F.transform("history", lambda p: F.format_string("%.3f", p["xmeas_13"])), ",").alias("points"),
+                    F.size("history_72").alias("n_72"))
 
 
 @register("e13_fault_onset", "E13", "WITH " + Q.SCORED + """

@@ -118,23 +118,26 @@ def test_latch_hand_traces():
     f = al.Latch(n_on=5, n_off=32, lockout=90, max_latch=72)
     n = 300
     # breach all through: raise on the 5th sample, 71 ones, lockout swallows 90, re-raise
-    out = f.replay(0, np.ones(n, bool), np.zeros(n, bool))
+    moves = f.moves().tolist()
+
+    def run(start, breach, clear):
+        return np.array([int(x >= f.S0) for x in al.visited(moves, start, al.latch_inputs(breach, clear).tolist())])
+    out = run(0, np.ones(n, bool), np.zeros(n, bool))
     assert out[:4].sum() == 0 and out[4] == 1
     assert out[4:75].sum() == 71 and out[75] == 0
     assert out[76:166].sum() == 0
     assert out[166 + 4] == 1 and out[166 + 3] == 0
     # breach streak of exactly n_on - 1 never raises
     b = np.array([1, 1, 1, 1, 0] * 10, bool)
-    assert f.replay(0, b, ~b).sum() == 0
+    assert run(0, b, ~b).sum() == 0
     # transition table agrees with replay from every start state
     rng = np.random.default_rng(0)
     br, cl = rng.random(40) < 0.5, rng.random(40) < 0.5
-    tab = f.table(br, cl)
+    tab = al.through(f.moves(), al.latch_inputs(br, cl))
     for s in rng.integers(0, f.S, 25):
-        cur, on, off, lock, latch = (int(v[0]) for v in f.decode(np.array([s])))
         end = tab[s]
         # replaying the block from s then reading the final emitted value must match the table's cur bit
-        assert f.replay(int(s), br, cl)[-1] == int(end >= f.S0)
+        assert run(int(s), br, cl)[-1] == int(end >= f.S0)
 
 
 def test_running_max_blocked(tele):
@@ -178,3 +181,36 @@ def test_hot_run_spreads_and_stays_exact(spark):
     parts = (sig.withColumn("_b", F.floor((F.col("sample") - 1) / 64)).where(F.col("run_key") == "hot")
              .select("_b").distinct().count())
     assert parts == (n_hot + 63) // 64
+
+
+@pytest.mark.parametrize("block", [4, 16, 1024])
+def test_rough_runs_match_sequential_loops(spark, block):
+    """Nulls, gaps and runs that start late: the same results for any block length."""
+    rng = np.random.default_rng(block)
+    frames = []
+    for k in range(12):
+        sample = np.sort(rng.choice(np.arange(1 + 30 * (k % 3), 300), 120, replace=False))
+        x = np.where(rng.random(120) < 0.15, np.nan, rng.normal(50, 5, 120) + 20 * (sample > 200))
+        if k % 4 == 0:
+            x[:3] = np.nan
+        frames.append(pd.DataFrame({"run_key": f"r{k}", "sample": sample, "xmeas_13": x}))
+    pdf = pd.concat(frames)
+    df = spark.createDataFrame([(r, int(s), None if np.isnan(v) else float(v)) for r, s, v in pdf.itertuples(index=False)], "run_key string, sample int, xmeas_13 double")
+    t = al.Tuning(alpha=0.2, sigma=1.0, pad=2.0, n_on=2, n_off=3, lockout=4, max_latch=6, hysteresis=1.0)
+    got = al.deadband_latch(al.alarm_signals(df, "xmeas_13", 120, t, block=block), t, block=block).toPandas().sort_values(["run_key", "sample"])
+    roll = fe.rolling_features(df, ["xmeas_13"], [10], block=block).toPandas().sort_values(["run_key", "sample"])
+    for run, g in pdf.groupby("run_key"):
+        z, ref = None, []
+        for v in g["xmeas_13"]:
+            z = z if np.isnan(v) else v if z is None else 0.2 * v + 0.8 * z
+            ref.append(np.nan if z is None else z)
+        own = got[got.run_key == run]
+        assert np.allclose(own["z"].astype(float), ref, equal_nan=True)
+        flags = [own[c].to_numpy() == True for c in ("breach", "in_clear")]  # noqa: E712
+        assert (own["alarm"].to_numpy() == _latch_ref(*flags, t.n_on, t.n_off, t.lockout, t.max_latch)).all()
+        mean = g["xmeas_13"].rolling(10, min_periods=1).mean()
+        assert np.allclose(roll[roll.run_key == run]["xmeas_13_roll_mean_10"].astype(float), mean, equal_nan=True)
+    kpis = al.alarm_kpis(got_df := spark.createDataFrame(got[["run_key", "sample", "alarm"]]), {"deadband": "alarm"}, 120, block=block).toPandas().set_index("run_key")
+    for run, g in got.groupby("run_key"):
+        assert kpis.loc[run, "transitions"] == int((g["alarm"].diff().fillna(0) != 0).sum())
+    assert got_df.count() == len(pdf)
