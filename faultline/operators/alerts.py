@@ -213,13 +213,15 @@ def live_incidents(active: DataFrame, ts: str = "ts", stage: str = "severity_sta
 # --------------------------------------------------------------------------
 # D27-D31 incident and overview KPIs
 # --------------------------------------------------------------------------
-def incident_kpis(incidents: DataFrame) -> DataFrame:
-    """Open unacknowledged, open HIGH/CRITICAL, notifications capped at 99."""
+def incident_kpis(incidents: DataFrame, show_at_most: int | None = None) -> DataFrame:
+    """Open unacknowledged, open HIGH/CRITICAL, notifications.  A display can ask
+    for a greatest number of notifications (K.NOTIFICATION_CAP); by default all count."""
+    shown = (lambda n: n) if show_at_most is None else (lambda n: F.least(n, F.lit(show_at_most)))
     open_ = ~F.col("acknowledged")
     return incidents.agg(
         F.count_if(open_).alias("open_unacknowledged"),
         F.count_if(open_ & F.col("severity").isin("HIGH", "CRITICAL")).alias("open_high_critical"),
-        F.least(F.count_if(open_), F.lit(K.NOTIFICATION_CAP)).alias("notifications"))
+        shown(F.count_if(open_)).alias("notifications"))
 
 
 def checklist_backlog(incidents: DataFrame, checked: DataFrame) -> DataFrame:
@@ -249,18 +251,23 @@ def hardest_fault(per_class: DataFrame) -> DataFrame:
                     n.alias("caught_of_10"))
 
 
-def recall_watch(per_class: DataFrame) -> DataFrame:
-    """Incidents for classes with recall < .88 in label order (at most 12):
-    HIGH below .75, dated 2026-03-(1 + n) capped at day 28, the first two
+def recall_watch(per_class: DataFrame, show_at_most: int | None = None) -> DataFrame:
+    """Incidents for classes with recall < .88 in label order (a display can ask
+    for the first K.RECALL_WATCH_MAX; by default all): HIGH below .75, dated 2026-03-(1 + n) capped at day 28, the first two
     unacknowledged.  The class table is bounded by the label vocabulary."""
     w = Window.orderBy("label")
     d = per_class.where(F.col("recall") < K.RECALL_WATCH_BELOW).withColumn("n", F.row_number().over(w))
-    d = d.where(F.col("n") <= K.RECALL_WATCH_MAX)
+    if show_at_most is not None:
+        d = d.where(F.col("n") <= show_at_most)
     day = F.least(F.lit(28), F.lit(1) + F.col("n"))
+    actions = F.create_map(*[x for row in K.FAULT_CATALOG for x in (F.lit(row[0]), F.lit(row[5]))])
+    action = F.coalesce(F.try_element_at(actions, F.col("label").cast("int")), F.lit(K.UNKNOWN_FAULT_ACTION))
     return d.select(
         F.concat(F.lit("nb-fault-"), F.col("label").cast("string"), F.lit("-"), F.col("n").cast("string")).alias("id"),
         F.make_timestamp_ntz(F.lit(2026), F.lit(3), day, F.lit(0), F.lit(0), F.lit(0)).alias("ts"),
         F.when(F.col("recall") < K.RECALL_WATCH_HIGH_BELOW, "HIGH").otherwise("MEDIUM").alias("severity"),
         F.lit("DCS / Analytics").alias("subsystem"),
+        F.concat(F.lit("Class "), F.col("label").cast("string"), F.lit(" recall "), F.format_string("%.1f", F.col("recall") * 100), F.lit("%")).alias("diagnosis"),
+        action.alias("recommendedAction"),
         F.concat(F.lit("Holdout recall watch · TEP fault class "), F.col("label").cast("string")).alias("title"),
         F.col("label").alias("faultId"), (F.col("n") > 2).alias("acknowledged"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import MAX_FAR_ALLOWED, MISSED_FAULT_TARGET, SWEEP_GRID_PERCENT
+from ..session import ensure_checkpoint_dir
 from .blocked import global_prefix
 
 
@@ -40,16 +41,24 @@ def run_detection_metrics(scored: DataFrame, onset: int, fault_col: str = "fault
 # --------------------------------------------------------------------------
 # D13-D15 confusion matrix, classification report, accuracy
 # --------------------------------------------------------------------------
+def cell_counts(df: DataFrame, y: str = "y_true", pred: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
+    """(by, y, pred, n): the only pass over the rows that matrix and report need.
+
+    At most classes^2 rows a group; checkpointed, because several small results read it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.groupBy(*by, y, pred).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+
+
 def confusion_matrix(df: DataFrame, y: str = "y_true", pred: str = "y_pred",
-                     by: Sequence[str] = ()) -> DataFrame:
+                     by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
     """Long-form confusion matrix with zero cells over the union of classes.
 
-    The class grid is built by exploding the (bounded) class set twice; the
-    cell counts are one grouped aggregate.
+    The cells are counted once; the class grid is built from the counts by
+    exploding the (bounded) class set twice.
     """
     by = list(by)
-    counts = df.groupBy(*by, y, pred).agg(F.count(F.lit(1)).alias("n"))
-    classes = (df.select(*by, F.col(y).alias("c")).union(df.select(*by, F.col(pred).alias("c")))
+    counts = cell_counts(df, y, pred, by) if counts is None else counts
+    classes = (counts.select(*by, F.explode(F.array(y, pred)).alias("c"))
                .groupBy(*by).agg(F.array_sort(F.collect_set("c")).alias("cs")))
     grid = (classes.select(*by, F.explode("cs").alias(y), F.col("cs"))
             .select(*by, y, F.explode("cs").alias(pred)))
@@ -63,13 +72,16 @@ def classification_report(df: DataFrame, y: str = "y_true", pred: str = "y_pred"
     """Per-class precision/recall/F1/support plus accuracy, macro and weighted avg.
 
     Zero division yields 0.  Classes are the union of true and predicted labels.
+    One pass over the rows; the rest works on the table of cells.
     """
     by = list(by)
-    cm = confusion_matrix(df, y, pred, by)
-    tp = cm.where(F.col(y) == F.col(pred)).select(*by, F.col(y).alias("label"), F.col("n").alias("tp"))
-    sup = cm.groupBy(*by, F.col(y).alias("label")).agg(F.sum("n").alias("support"))
-    prd = cm.groupBy(*by, F.col(pred).alias("label")).agg(F.sum("n").alias("predicted"))
-    per = (tp.join(sup, by + ["label"]).join(prd, by + ["label"])
+    counts = cell_counts(df, y, pred, by)
+    # a cell adds to its true label's support and to its predicted label's predictions
+    per = counts.select(*by, F.inline(F.array(
+        F.struct(F.col(y).alias("label"), F.when(F.col(y) == F.col(pred), F.col("n")).otherwise(0).alias("tp"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col(pred).alias("label"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted")))))
+    per = per.groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
+    per = (per
            .withColumn("precision", F.coalesce(F.try_divide(F.col("tp"), F.col("predicted")), F.lit(0.0)))
            .withColumn("recall", F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0)))
            .withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
@@ -83,14 +95,11 @@ def classification_report(df: DataFrame, y: str = "y_true", pred: str = "y_pred"
         (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    acc = tot.select(*by, F.lit("accuracy").alias("label"), (F.col("tp") / F.col("n")).alias("precision"),
-                     (F.col("tp") / F.col("n")).alias("recall"), (F.col("tp") / F.col("n")).alias("f1"),
-                     F.col("n").cast("long").alias("support"))
-    macro = tot.select(*by, F.lit("macro avg").alias("label"), F.col("mp").alias("precision"),
-                       F.col("mr").alias("recall"), F.col("mf").alias("f1"), F.col("n").cast("long").alias("support"))
-    weighted = tot.select(*by, F.lit("weighted avg").alias("label"), F.col("wp").alias("precision"),
-                          F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("n").cast("long").alias("support"))
-    return per_out.unionByName(acc).unionByName(macro).unionByName(weighted)
+    row = lambda name, *v: F.struct(F.lit(name).alias("label"), *[x.alias(c) for x, c in zip(v, ("precision", "recall", "f1"))], F.col("n").cast("long").alias("support"))
+    rate = F.col("tp") / F.col("n")
+    averages = tot.select(*by, F.inline(F.array(row("accuracy", rate, rate, rate), row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+                                                row("weighted avg", F.col("wp"), F.col("wr"), F.col("wf")))))
+    return per_out.unionByName(averages)
 
 
 def accuracy_by(df: DataFrame, y: str = "y_true", pred: str = "y_pred", by: Sequence[str] = ("fold",)) -> DataFrame:

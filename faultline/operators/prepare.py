@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import LEAKAGE_WORDS_BINARY, LEAKAGE_WORDS_MULTICLASS
 from .blocked import global_prefix, ordinal_within
@@ -53,24 +54,37 @@ def align_schema(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
                               for c in columns])
 
 
+def feature_problems(schema: T.StructType, columns: Sequence[str], words: Sequence[str] = ()) -> dict[str, str]:
+    """What is wrong with each requested feature: absent from the schema, of a type that is
+    not a number, or named after the target (contains one of ``words``)."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    problems: dict[str, list[str]] = {}
+    for name in columns:
+        if name not in kinds:
+            problems.setdefault(name, []).append("absent")
+        elif not isinstance(kinds[name], T.NumericType):
+            problems.setdefault(name, []).append(f"type {kinds[name].simpleString()}")
+        named = [w for w in words if w in name.lower()]
+        if named:
+            problems.setdefault(name, []).append("named like the target: " + ", ".join(named))
+    return {name: "; ".join(why) for name, why in problems.items()}
+
+
+def _raise_for(problems: dict[str, str]) -> None:
+    if problems:
+        raise ValueError(f"{len(problems)} unusable features: " + ", ".join(f"{name} ({why})" for name, why in problems.items()))
+
+
 def check_features(df: DataFrame, columns: Sequence[str]) -> None:
-    """Every feature present and numeric, else ValueError."""
-    types = dict(df.dtypes)
-    missing = [c for c in columns if c not in types]
-    if missing:
-        raise ValueError(f"missing features: {missing[:10]}")
-    bad = [c for c in columns if not any(t in types[c] for t in ("int", "double", "float", "long", "short",
-                                                                  "decimal", "tinyint", "bigint", "smallint"))]
-    if bad:
-        raise ValueError(f"non-numeric features: {bad[:10]}")
+    """ValueError that lists every feature that is absent or no number."""
+    _raise_for(feature_problems(df.schema, columns))
 
 
 def check_no_leakage(columns: Sequence[str], words: Sequence[str] | None = None) -> None:
-    """Reject feature names containing a suspicious word (union of both lists)."""
-    words = list(words) if words is not None else sorted(set(LEAKAGE_WORDS_BINARY) | set(LEAKAGE_WORDS_MULTICLASS))
-    bad = [c for c in columns if any(w in str(c).lower() for w in words)]
-    if bad:
-        raise ValueError(f"potential leakage columns: {bad[:10]}")
+    """ValueError that lists every feature named after the target."""
+    words = {*LEAKAGE_WORDS_BINARY, *LEAKAGE_WORDS_MULTICLASS} if words is None else words
+    numbers = T.StructType([T.StructField(str(c), T.DoubleType()) for c in columns])
+    _raise_for(feature_problems(numbers, [str(c) for c in columns], sorted(words)))
 
 
 def every_kth(df: DataFrame, k: int, pos: str = "sample") -> DataFrame:
@@ -128,7 +142,7 @@ def stratified_run_split(runs: DataFrame, test_pct: int = 20, seed: int = 42, la
     h = runs.withColumn("_h", seeded_hash(key, seed=seed))
     r = ordinal_within(h, label, ["_h"], out="_rank")
     n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(F.broadcast(n), label)   # one row per label: bounded by the label vocabulary
+    r = r.join(n, label)
     # every class keeps at least one training run (a class of one run trains only)
     n_test = F.least(F.ceil(F.col("_n") * F.lit(test_pct) / F.lit(100)), F.col("_n") - 1)
     return r.withColumn("fold", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_h", "_rank", "_n")
@@ -140,7 +154,7 @@ def stratified_row_split(df: DataFrame, label: str, row_key: Sequence[str], pcts
     h = df.withColumn("_h", seeded_hash(*row_key, seed=seed))
     r = ordinal_within(h, label, ["_h"], out="_rank")
     n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(F.broadcast(n), label)   # one row per label: bounded by the label vocabulary
+    r = r.join(n, label)
     a, b = pcts
     fold = (F.when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(a) / F.lit(100)), "train")
             .when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(a + b) / F.lit(100)), "val").otherwise("test"))
@@ -153,17 +167,25 @@ def exact_sample(df: DataFrame, n: int, row_key: Sequence[str], seed: int = 42,
         have = df.count()
         if have < n:
             raise ValueError(f"need {n} rows, have {have}")
-    return df.withColumn("_h", seeded_hash(*row_key, seed=seed)).orderBy("_h").limit(n).drop("_h")
+    ranked = ordinal_within(df.withColumn("_h", seeded_hash(*row_key, seed=seed)).withColumn("_all", F.lit(0)), "_all", ["_h"], out="_rank")
+    return ranked.where(F.col("_rank") <= n).drop("_h", "_all", "_rank")
 
 
 def capped_composition(df: DataFrame, label: str, caps: dict[int, int], row_key: Sequence[str],
                        seed: int = 42) -> DataFrame:
-    """At most ``caps[c]`` rows of each class c (shrink to what exists), by seeded hash."""
-    keep = df.where(F.col(label).isin(list(caps)))
+    """At most ``caps[c]`` rows of each class c (shrink to what exists), by seeded hash.
+
+    Rows of other classes (a null label too) are left out.  The rank in the class comes
+    from one range sort, so a hot class is spread over many tasks."""
+    keep = df.where(F.col(label).isin(list(caps))).withColumn("_h", seeded_hash(*row_key, seed=seed))
     cap = F.element_at(F.create_map(*[x for c, v in caps.items() for x in (F.lit(c), F.lit(v))]), F.col(label))
-    ranked = top_k_per_group(keep.withColumn("_cap", cap), [label], seeded_hash(*row_key, seed=seed),
-                             max(caps.values()))
-    return ranked.where(F.col("rank") <= F.col("_cap")).drop("_cap", "rank")
+    return ordinal_within(keep, label, ["_h"], out="_rank").where(F.col("_rank") <= cap).drop("_h", "_rank")
+
+
+def composition_class(fault: str = "faultNumber", label: str = "y_true") -> Column:
+    """0 for every row of a fault-free run, 1 for the fault rows of a faulty run, else
+    null: what a faulty run shows before its fault is neither."""
+    return F.when(F.col(fault) == 0, 0).when(F.col(label) == 1, 1)
 
 
 def complete_runs_until(runs: DataFrame, target: int, n_col: str = "n_rows", seed: int = 42,
@@ -209,20 +231,24 @@ def split_report(df: DataFrame, fold: str = "fold", label: str = "y_true", key:
         F.count_distinct(key).alias("n_runs"))
 
 
-def run_extent(df: DataFrame, onset: int, key: str = "run_key", label: str = "faultNumber",
+def run_extent(df: DataFrame, cutoff: int, key: str = "run_key", label: str = "faultNumber",
                pos: str = "sample") -> DataFrame:
-    """min/max sample and first label per run; keep runs spanning the onset;
-    longest first, ties by run key."""
+    """min/max sample and first label per run, of the faulty runs that begin by the cutoff."""
     e = df.groupBy(key).agg(F.min(pos).alias("min_sample"), F.max(pos).alias("max_sample"),
                             F.min_by(label, pos).alias("fault_label"))
-    return e.where((F.col("min_sample") < onset) & (F.col("max_sample") >= onset)).withColumn(
+    return e.where((F.col("fault_label") > 0) & (F.col("min_sample") <= cutoff)).withColumn(
         "n_samples", F.col("max_sample") - F.col("min_sample") + 1)
 
 
+def longest_run(extents: DataFrame, key: str = "run_key") -> DataFrame:
+    """The run that ends last, then begins first, then has the smallest key: one row."""
+    return extents.orderBy(F.col("max_sample").desc(), "min_sample", key).limit(1)
+
+
 def scan_runs(df: DataFrame, fault: int, runs: Sequence[int], fault_col: str = "faultNumber",
               run_col: str = "simulationRun") -> DataFrame:
     """A5: one fault's selected runs (filters push down to the scan); error when empty."""
     out = df.where((F.col(fault_col) == fault) & F.col(run_col).isin(list(runs)))
     if out.isEmpty():
-        raise ValueError(f"no rows for fault {fault} runs {list(runs)[:10]}")
+        raise ValueError(f"no rows for fault {fault} runs {list(runs)}")
     return out

@@ -6,6 +6,8 @@ the Spark side.
 """
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,14 +138,15 @@ def e8(spark, sf_dir):
 @register("a16_alarm_series", "A16", _oracle_prefix() + """
 SELECT run_key, sample, round(z, 6) AS z, round(lo_t, 6) AS loT, round(hi_t, 6) AS hiT,
        round(lo_pad, 6) AS loPad, round(hi_pad, 6) AS hiPad, alarm,
-       CAST(breach AS INTEGER) AS breach, CAST(roc_pre AS INTEGER) AS rocPre, 20 AS inject
+       CAST(breach AS INTEGER) AS breach, CAST(roc_pre AS INTEGER) AS rocPre, 20 AS inject,
+       '""" + ";".join(f"{k}={v}" for k, v in sorted(ALARM_TUNING_EVENTS.items())) + """' AS tuning
 FROM alarmed""")
 def a16(spark, sf_dir):
     a = latched(spark, sf_dir)
     return a.select("run_key", "sample", r6("z").alias("z"), r6("lo_t").alias("loT"), r6("hi_t").alias("hiT"),
                     r6("lo_pad").alias("loPad"), r6("hi_pad").alias("hiPad"), "alarm",
                     F.col("breach").cast("int").alias("breach"), F.col("roc_pre").cast("int").alias("rocPre"),
-                    F.lit(INJ).alias("inject"))
+                    F.lit(INJ).alias("inject"), F.lit(";".join(f"{k}={v}" for k, v in sorted(asdict(TUNING).items()))).alias("tuning"))
 
 
 _KPI_SQL = _oracle_prefix() + """,

@@ -11,7 +11,7 @@ from ..operators import features as fe
 from ..operators import metrics as me
 from ..operators import prepare as pr
 from ..operators import quality as qa
-from ..sources.tables import EVENTS_INJECTION, incidents, telemetry, with_class_probabilities
+from ..sources.tables import EVENTS_INJECTION, incidents, sensor_matrix, telemetry, with_class_probabilities
 from . import sql as Q
 from .prepare_queries import _I5, split_rows
 from .registry import register
@@ -286,7 +286,7 @@ inc2 AS (SELECT i.*, 'Residual on fault class ' || CAST(i.faultId AS VARCHAR) ||
 @register("d27_incident_kpis", "D27", "WITH " + INCIDENTS_SQL + """
 SELECT count(*) FILTER (WHERE NOT acknowledged) AS open_unacknowledged,
        count(*) FILTER (WHERE NOT acknowledged AND severity IN ('HIGH', 'CRITICAL')) AS open_high_critical,
-       least(count(*) FILTER (WHERE NOT acknowledged), 99) AS notifications
+       count(*) FILTER (WHERE NOT acknowledged) AS notifications
 FROM inc2""")
 def d27(spark, sf_dir):
     return al.incident_kpis(incidents(spark, sf_dir))
@@ -395,17 +395,23 @@ def a12(spark, sf_dir):
     return c.withColumn("rank", F.row_number().over(w).cast("int"))
 
 
-@register("b15_normal_range_check", "B15", "WITH " + Q.TELEMETRY + """,
-f AS (SELECT run_key, sample, CASE WHEN xmeas_13 < 0.0 OR xmeas_13 > 150.0 THEN 1 ELSE 0 END AS o FROM telemetry)
-SELECT run_key, sample, max(o) OVER (PARTITION BY run_key ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS out_of_range
-FROM f""")
+# the embedding-derived sensors lie around 0; the check's sensors are moved to the height of their nominal bands
+_RANGE_SHIFT = {"xmeas_13": (500.0, 2620.0), "xmv_11": (40.0, 19.0), "xmeas_22": (20.0, 78.0)}
+_RANGE_SQL = ",\n".join(f"CASE WHEN {s} * {_RANGE_SHIFT[s][0]} + {_RANGE_SHIFT[s][1]} NOT BETWEEN {lo} AND {hi} THEN 1 ELSE 0 END AS o_{s}" for s, lo, hi in K.NORMAL_RANGES)
+
+
+@register("b15_normal_range_check", "B15", "WITH " + Q.SENSOR_MATRIX + f""",
+f AS (SELECT faultNumber, sample, {_RANGE_SQL} FROM sensor_matrix)
+SELECT faultNumber, sample, """ + ",\n".join(
+    f"max(o_{s}) OVER (PARTITION BY faultNumber ORDER BY sample ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS {s}_out" for s, _, _ in K.NORMAL_RANGES) + " FROM f")
 def b15(spark, sf_dir):
-    t = telemetry(spark, sf_dir).select("run_key", "sample", "xmeas_13")
-    o = ((F.col("xmeas_13") < 0.0) | (F.col("xmeas_13") > 150.0)).cast("int")
+    """Whether each of the three watched sensors left its nominal band within the last 48 samples of its run."""
     from ..operators.blocked import halo_select
-    return halo_select(t.withColumn("_o", o), "run_key", "sample",
-                       lambda w: [F.max("_o").over(w.rowsBetween(-47, 0)).alias("out_of_range")],
-                       before=47).select("run_key", "sample", "out_of_range")
+    m = sensor_matrix(spark, sf_dir)
+    flags = {s: (~(F.col(s) * _RANGE_SHIFT[s][0] + _RANGE_SHIFT[s][1]).between(lo, hi)).cast("int") for s, lo, hi in K.NORMAL_RANGES}
+    m = m.select("faultNumber", "sample", *[f.alias(f"o_{s}") for s, f in flags.items()])
+    out = halo_select(m, "faultNumber", "sample", lambda w: [F.max(f"o_{s}").over(w.rowsBetween(-47, 0)).alias(f"{s}_out") for s in flags], before=47)
+    return out.select("faultNumber", "sample", *[f"{s}_out" for s in flags])
 
 
 @register("b16_maintenance_visibility", "B16 H12", "WITH " + Q.SCORED + """,
@@ -508,6 +514,17 @@ def j21(spark, sf_dir):
 # --------------------------------------------------------------------------
 # A13 / D25 replay summary, A14 / A15 sensor loop export and ingest
 # --------------------------------------------------------------------------
+@register("a13_replay_rows", "A13", "WITH " + Q.SCORED + """
+SELECT run_key, sample, round(p_fault, 6) AS p_fault, round(health_score, 6) AS health_score, is_fault,
+       CASE WHEN is_fault = 1 THEN pred_fault ELSE 0 END AS fault_type, round(xmeas_13, 6) AS xmeas_13, round(xmeas_9, 6) AS xmeas_9, xmv_10
+FROM scored""")
+def a13_rows(spark, sf_dir):
+    """The replay's rows: every sample of every run with its scores and sensors."""
+    s = scored(spark, sf_dir)
+    return s.select("run_key", "sample", r6("p_fault").alias("p_fault"), r6("health_score").alias("health_score"), "is_fault",
+                    F.when(F.col("is_fault") == 1, F.col("pred_fault")).otherwise(0).alias("fault_type"), r6("xmeas_13").alias("xmeas_13"), r6("xmeas_9").alias("xmeas_9"), "xmv_10")
+
+
 @register("a13_replay_summary", "A13 D25", "WITH " + Q.SCORED + """
 SELECT run_key, count(*) AS n_rows, min(CASE WHEN is_fault = 1 THEN sample END) AS first_alert_sample,
        round(max(p_fault), 6) AS max_p_fault, round(min(health_score), 6) AS min_health_score,
@@ -540,15 +557,14 @@ def a14(spark, sf_dir):
 
 
 @register("a15_sensor_loop_ingest", "A15", "WITH " + Q.TELEMETRY + """
-SELECT run_key, sample - 1 AS tick, xmeas_13 AS separator_pressure, xmeas_9 AS condenser_cw_flow FROM telemetry
-WHERE sample <= 240""")
+SELECT run_key, sample - 1 AS tick, xmeas_13 AS separator_pressure, xmeas_9 AS condenser_cw_flow FROM telemetry""")
 def a15(spark, sf_dir):
-    """Round trip: export each run's loop (first 240 samples, a bounded group) as
-    parallel arrays, then ingest the arrays back to rows."""
-    t = telemetry(spark, sf_dir).where(F.col("sample") <= 240)
-    packed = t.groupBy("run_key").agg(F.array_sort(F.collect_list(F.struct("sample", "xmeas_13", "xmeas_9"))).alias("_s"))
-    loop = packed.select("run_key", F.col("_s.xmeas_13").alias("separator_pressure"),
+    """Round trip: export each run's loop as parallel arrays, a document for every 1024
+    samples of a run so that no document grows with the run, then ingest the arrays back."""
+    t = telemetry(spark, sf_dir)
+    packed = t.groupBy("run_key", F.floor((F.col("sample") - 1) / 1024).alias("part")).agg(F.array_sort(F.collect_list(F.struct("sample", "xmeas_13", "xmeas_9"))).alias("_s"))
+    loop = packed.select("run_key", "part", F.col("_s.xmeas_13").alias("separator_pressure"),
                          F.col("_s.xmeas_9").alias("condenser_cw_flow"))
-    rows = loop.select("run_key", F.posexplode(F.arrays_zip("separator_pressure", "condenser_cw_flow")).alias("tick", "z"))
-    return rows.select("run_key", F.col("tick").cast("int").alias("tick"), F.col("z.separator_pressure").alias("separator_pressure"),
+    rows = loop.select("run_key", "part", F.posexplode(F.arrays_zip("separator_pressure", "condenser_cw_flow")).alias("tick", "z"))
+    return rows.select("run_key", (F.col("part") * 1024 + F.col("tick")).cast("int").alias("tick"), F.col("z.separator_pressure").alias("separator_pressure"),
                        F.col("z.condenser_cw_flow").alias("condenser_cw_flow"))

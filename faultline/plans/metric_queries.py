@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..operators import metrics as me
 from ..sources.tables import with_class_probabilities
 from .prepare_queries import _I5, split_rows
@@ -267,8 +268,10 @@ f AS (SELECT *, row_number() OVER (ORDER BY label) AS n FROM w WHERE recall < 0.
 SELECT 'nb-fault-' || CAST(label AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS id,
        make_timestamp(2026, 3, CAST(least(28, 1 + n) AS BIGINT), 0, 0, 0) AS ts,
        CASE WHEN recall < 0.75 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, 'DCS / Analytics' AS subsystem,
-       'Holdout recall watch · TEP fault class ' || CAST(label AS VARCHAR) AS title, label AS faultId, n > 2 AS acknowledged
-FROM f WHERE n <= 12""")
+       'Holdout recall watch · TEP fault class ' || CAST(label AS VARCHAR) AS title, label AS faultId, n > 2 AS acknowledged,
+       'Class ' || CAST(label AS VARCHAR) || ' recall ' || printf('%.1f', recall * 100) || '%' AS diagnosis,
+       coalesce(a.action, '""" + K.UNKNOWN_FAULT_ACTION.replace("'", "''") + """') AS "recommendedAction"
+FROM f LEFT JOIN (VALUES """ + ", ".join(f"({row[0]}, '{row[5].replace(chr(39), chr(39) * 2)}')" for row in K.FAULT_CATALOG) + """) AS a(id, action) ON a.id = f.label""")
 def d30(spark, sf_dir):
     from ..operators.alerts import recall_watch
     return recall_watch(per_class_recall(spark, sf_dir))

@@ -108,8 +108,7 @@ def j11(spark, sf_dir):
     idx = mo.label_indexer("target_fault_label").fit(f)
     train = idx.transform(f.where(F.col("fold") == "train"))
     model = mo.random_forest(cols, weight=None, trees=20, depth=6).fit(train)
-    ext = pr.run_extent(f.where(F.col("fold") == "test"), 21)
-    rep = ext.orderBy(F.col("n_samples").desc(), "run_key").limit(1).select("run_key")
+    rep = pr.longest_run(pr.run_extent(f.where(F.col("fold") == "test"), 20)).select("run_key")
     run = f.join(F.broadcast(rep), "run_key", "left_semi")
     s = mo.score(model, run)
     onset = fe.fault_onset(run, "target_fault_label")          # one row (grouped, partial aggregation)

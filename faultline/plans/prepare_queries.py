@@ -154,11 +154,10 @@ def d10(spark, sf_dir):
 e AS (SELECT run_key, min(sample) AS min_sample, max(sample) AS max_sample,
              arg_min(faultNumber, sample) AS fault_label FROM telemetry GROUP BY run_key)
 SELECT run_key, min_sample, max_sample, fault_label, max_sample - min_sample + 1 AS n_samples
-FROM e WHERE min_sample < 21 AND max_sample >= 21
-ORDER BY n_samples DESC, run_key LIMIT 1""")
+FROM e WHERE fault_label > 0 AND min_sample <= 20
+ORDER BY max_sample DESC, min_sample, run_key LIMIT 1""")
 def d9(spark, sf_dir):
-    e = pr.run_extent(telemetry(spark, sf_dir), 21)
-    return e.orderBy(F.col("n_samples").desc(), "run_key").limit(1).select(
+    return pr.longest_run(pr.run_extent(telemetry(spark, sf_dir), 20)).select(
         "run_key", "min_sample", "max_sample", "fault_label", "n_samples")
 
 
@@ -181,13 +180,41 @@ def i6(spark, sf_dir):
 
 
 @register("i7_capped_composition", "I7", "WITH " + Q.SCORED + """,
-h AS (SELECT run_key, sample, y_true,
-             row_number() OVER (PARTITION BY y_true ORDER BY md5(run_key || '|' || CAST(sample AS VARCHAR) || '|42')) AS rk
-      FROM scored)
-SELECT run_key, sample, y_true FROM h WHERE (y_true = 0 AND rk <= 1500) OR (y_true = 1 AND rk <= 1500)""")
+pool AS (SELECT run_key, sample, 0 AS class FROM scored WHERE faultNumber = 0
+         UNION ALL SELECT run_key, sample, 1 FROM scored WHERE faultNumber > 0 AND sample > 20),
+h AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY md5(run_key || '|' || CAST(sample AS VARCHAR) || '|42')) AS rk FROM pool),
+caps(composition, class, cap) AS (VALUES ('balanced_50_50', 0, 300), ('balanced_50_50', 1, 300), ('imbalanced_90_10', 0, 2700), ('imbalanced_90_10', 1, 300))
+SELECT composition, run_key, sample, class FROM h JOIN caps USING (class) WHERE rk <= cap""")
 def i7(spark, sf_dir):
-    c = pr.capped_composition(scored(spark, sf_dir), "y_true", {0: 1500, 1: 1500}, ["run_key", "sample"])
-    return c.select("run_key", "sample", "y_true")
+    """Both class compositions; the second asks for more normal rows than small tables have."""
+    pool = scored(spark, sf_dir).withColumn("class", pr.composition_class())
+    out = [pr.capped_composition(pool, "class", caps, ["run_key", "sample"]).select(F.lit(name).alias("composition"), "run_key", "sample", "class")
+           for name, caps in (("balanced_50_50", {0: 300, 1: 300}), ("imbalanced_90_10", {0: 2700, 1: 300}))]
+    return out[0].unionByName(out[1])
+
+
+@register("i2_pooled_run_sample", "I2", "WITH " + Q.TELEMETRY + """,
+runs AS (SELECT DISTINCT faultNumber, simulationRun,
+                CASE WHEN simulationRun % 2 = 0 THEN 'A' ELSE 'B' END || '_fault_' || CAST(faultNumber AS VARCHAR) || '_run_' || CAST(simulationRun AS VARCHAR) AS run_key
+         FROM telemetry),
+h AS (SELECT *, row_number() OVER (PARTITION BY faultNumber ORDER BY md5(run_key || '|42')) AS rk FROM runs)
+SELECT run_key, faultNumber, simulationRun FROM h WHERE rk <= 3""")
+def i2(spark, sf_dir):
+    """Three runs a fault from two archives (runs with an even and an odd number) pooled under (source, run) keys."""
+    t = telemetry(spark, sf_dir).select("faultNumber", "simulationRun")
+    archives = [pr.with_run_key(t.where(F.col("simulationRun") % 2 == k), source) for k, source in enumerate("AB")]
+    runs = pr.distinct_runs(archives[0].unionByName(archives[1]))
+    return pr.sample_runs_per_fault(runs, 3).select("run_key", "faultNumber", "simulationRun")
+
+
+@register("i3_fault_run_sample", "I3", "WITH " + Q.TELEMETRY + """,
+runs AS (SELECT DISTINCT faultNumber, run_key FROM telemetry WHERE faultNumber > 0),
+h AS (SELECT *, row_number() OVER (PARTITION BY faultNumber ORDER BY md5(run_key || '|42')) AS rk FROM runs)
+SELECT run_key, faultNumber FROM h WHERE rk <= 2""")
+def i3(spark, sf_dir):
+    """Two runs of each non-zero label."""
+    runs = pr.distinct_runs(pr.active_faults(telemetry(spark, sf_dir)))
+    return pr.sample_runs_per_fault(runs, 2).select("run_key", "faultNumber")
 
 
 _E14 = "WITH " + Q.SCORED + f""",
@@ -225,16 +252,14 @@ def a6(spark, sf_dir):
 
 
 @register("g4_fault_ids_either_archive", "G4", "WITH " + Q.TELEMETRY + """
-SELECT faultNumber FROM telemetry WHERE simulationRun % 2 = 0 AND faultNumber < 15
+SELECT faultNumber FROM telemetry WHERE simulationRun % 2 = 0
 UNION
-SELECT faultNumber FROM telemetry WHERE simulationRun % 2 = 1 AND faultNumber > 5""")
+SELECT faultNumber FROM telemetry WHERE simulationRun % 2 = 1""")
 def g4(spark, sf_dir):
-    """Fault ids present in either of two archives.  The whole table is split
-    into two archives (even / odd run ids, each keeping part of the fault
-    range) and the union of their distinct fault ids is taken."""
+    """Fault ids present in either of two archives, the runs with an even and an odd number."""
     t = telemetry(spark, sf_dir)
-    a = t.where((F.col("simulationRun") % 2 == 0) & (F.col("faultNumber") < 15)).select("faultNumber")
-    b = t.where((F.col("simulationRun") % 2 == 1) & (F.col("faultNumber") > 5)).select("faultNumber")
+    a = t.where(F.col("simulationRun") % 2 == 0).select("faultNumber")
+    b = t.where(F.col("simulationRun") % 2 == 1).select("faultNumber")
     return a.union(b).distinct()
 
 
@@ -251,7 +276,7 @@ FROM telemetry WHERE faultNumber = 5 AND simulationRun = (SELECT r FROM c)""")
 def a9(spark, sf_dir):
     t = telemetry(spark, sf_dir)
     meta = t.select("faultNumber", "simulationRun")          # A3: metadata-only scan
-    canon = meta.where(F.col("faultNumber") == 5).agg(F.min("simulationRun").alias("simulationRun"))
-    run = t.where(F.col("faultNumber") == 5).join(canon, "simulationRun", "left_semi")
+    canon = meta.where(F.col("faultNumber") == 5).agg(F.min("simulationRun")).first()[0]
+    run = pr.scan_runs(t, 5, [canon])
     return run.orderBy("sample").select("faultNumber", "simulationRun", "sample",
                                         F.round("xmeas_13", 6).alias("xmeas_13"))

@@ -138,7 +138,8 @@ def a17(spark, sf_dir):
 SELECT round(max(CASE WHEN label = 'accuracy' THEN f1 END), 4) AS accuracy,
        round(max(CASE WHEN label = 'macro avg' THEN f1 END), 4) AS macro_f1,
        round(max(CASE WHEN label = 'weighted avg' THEN f1 END), 4) AS weighted_f1,
-       count(*) FILTER (WHERE label NOT IN ('accuracy', 'macro avg', 'weighted avg')) AS n_classes,
+       string_agg(label || ':' || printf('%.4f/%.4f/%.4f/%d', round(precision, 4), round(recall, 4), round(f1, 4), support), ' ' ORDER BY label)
+           FILTER (WHERE label NOT IN ('accuracy', 'macro avg', 'weighted avg')) AS per_class,
        'cascade' AS best_model
 FROM report""")
 def a8(spark, sf_dir):
@@ -149,8 +150,9 @@ def a8(spark, sf_dir):
     path = os.path.join(ensure_checkpoint_dir(spark), "reports", f"manifest-{uuid.uuid4().hex[:12]}")
     ing.write_report(man.coalesce(1), path, fmt="json")     # one small document
     back = spark.read.json(path)
-    return back.select("accuracy", "macro_f1", "weighted_f1", F.size("per_class").cast("long").alias("n_classes"),
-                       "best_model")
+    text = F.transform("per_class", lambda c: F.concat(c["label"], F.lit(":"), F.format_string(
+        "%.4f/%.4f/%.4f/%d", c["precision"], c["recall"], c["f1"], c["support"])))
+    return back.select("accuracy", "macro_f1", "weighted_f1", F.array_join(text, " ").alias("per_class"), "best_model")
 
 
 @register("b5_fault_period_after_features", "B5", "WITH " + Q.SCORED + """,

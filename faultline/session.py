@@ -37,8 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when nothing is configured (local tests) a private folder under
-    the system temp dir is set.
+    is.  Only a session on one machine (local tests) may go without: it gets a
+    private folder under the system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="faultline-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
