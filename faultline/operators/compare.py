@@ -24,12 +24,14 @@ def fault_vs_normal(df: DataFrame, sensors: Sequence[str], onset: int, fault: st
                     pos: str = "sample") -> DataFrame:
     """Per fault class and variable, the post-onset mean in fault runs,
     the mean in normal runs, and the % deviation (0 when the normal mean is 0),
-    largest |deviation| first.  Both sides are grouped in long form and equi-joined."""
-    long = unpivot_sensors(df.select(fault, pos, *sensors), [fault, pos], sensors)
-    faulty = (long.where((F.col(fault) > 0) & (F.col(pos) > onset))
-              .groupBy(fault, "variable").agg(F.avg("value").alias("fault_mean")))
-    normal = long.where(F.col(fault) == 0).groupBy("variable").agg(F.avg("value").alias("normal_mean"))
-    j = faulty.join(F.broadcast(normal), "variable")   # one row per variable: bounded
+    largest |deviation| first.  One wide aggregate by fault class; only its rows are
+    unpivoted (classes x variables)."""
+    counts_in = (F.col(fault) == 0) | (F.col(pos) > onset)
+    means = df.where(F.col(fault) >= 0).groupBy(fault).agg(*[F.avg(F.when(counts_in, F.col(s))).alias(s) for s in sensors],
+                                                           F.count_if(counts_in).alias("_rows")).where("_rows > 0")
+    long = unpivot_sensors(means.select(fault, *sensors), [fault], sensors)
+    normal = long.where(F.col(fault) == 0).select("variable", F.col("value").alias("normal_mean"))
+    j = long.where(F.col(fault) > 0).withColumnRenamed("value", "fault_mean").join(normal, "variable")
     dev = F.when(F.col("normal_mean") == 0, F.lit(0.0)).otherwise(
         (F.col("fault_mean") - F.col("normal_mean")) / F.col("normal_mean") * 100.0)
     return j.withColumn("deviation_pct", dev)

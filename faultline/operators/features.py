@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import ROLLING_WINDOWS
 from .blocked import BLK, DEFAULT_BLOCK, HOME, block_window, dense_rows, halo_select, with_halo
@@ -106,6 +109,60 @@ def rolling_features(df: DataFrame, sensors: Sequence[str], windows: Sequence[in
     return stage2.where(F.col(HOME)).drop(BLK, HOME, *helpers, *([] if dense else [place]))
 
 
+def rolling_matrix(df: DataFrame, sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS, key: str = "run_key",
+                   pos: str = "sample", keep: Sequence[str] = (), block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
+    """The full model matrix - base sensors and all their rolling features - as float32.
+
+    Hundreds of window columns make a plan that no code generator takes, so a (run,
+    block) group with its halo is one array and all windows of all sensors are
+    differences of three running sums.  Same results as ``rolling_features``.
+    One exchange (two if the rows have to be numbered first)."""
+    sensors, windows, keep = list(sensors), list(windows), list(keep)
+    halo = max(windows) - 1
+    block = max(block, halo, 1)
+    place = pos
+    if not dense:
+        df, place = dense_rows(df, key, pos, block=block), "_row"
+    ext = with_halo(df.select(key, pos, *({place} - {pos}), *keep, *[F.col(s).cast("double").alias(s) for s in sensors]), place, block, before=halo)
+    names = rolling_names(sensors, windows)
+    ids = [key, pos, *keep]
+    schema = T.StructType([ext.schema[c] for c in ids] + [T.StructField(c, T.FloatType()) for c in sensors + names])
+
+    def group_features(rows: pd.DataFrame) -> pd.DataFrame:
+        x = rows[sensors].to_numpy(dtype=float)
+        known = ~np.isnan(x)
+        with np.errstate(all="ignore"):
+            centre = np.where(known.any(0), np.where(known, x, 0).sum(0) / np.maximum(known.sum(0), 1), 0)
+        y = np.where(known, x - centre, 0)
+        zero = np.zeros((1, len(sensors)))
+        n, s1, s2 = (np.concatenate([zero, np.cumsum(v, axis=0)]) for v in (known.astype(float), y, y * y))
+        home = np.flatnonzero(rows[HOME].to_numpy(bool))
+        out = [x[home]]
+        for w in windows:
+            first = np.maximum(home + 1 - w, 0)
+            m, a, b = (v[home + 1] - v[first] for v in (n, s1, s2))
+            with np.errstate(all="ignore"):
+                mean = np.where(m > 0, a / m + centre, np.nan)
+                std = np.where(m > 1, np.sqrt(np.maximum((b - a * a / m) / (m - 1), 0)), 0.0)
+            out.append(np.stack([mean, std], axis=2).reshape(len(home), -1))
+        features = pd.DataFrame(np.concatenate(out, axis=1).astype(np.float32), columns=sensors + names)
+        return pd.concat([rows.iloc[home][ids].reset_index(drop=True), features], axis=1)
+
+    def run(batches):
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, part in batch.groupby([key, BLK], sort=False):
+                if held and (held[-1][key].iloc[0] != part[key].iloc[0] or held[-1][BLK].iloc[0] != part[BLK].iloc[0]):
+                    yield group_features(pd.concat(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield group_features(pd.concat(held))
+
+    ordered = ext.repartition(key, BLK).sortWithinPartitions(key, BLK, place)
+    return ordered.mapInPandas(run, schema)
+
+
 def first_difference(df: DataFrame, col: str, out: str, key: str = "run_key", pos: str = "sample",
                      block: int = DEFAULT_BLOCK, dense: bool = False) -> DataFrame:
     """``x - lag(x)``, first row of the run 0."""

@@ -130,13 +130,40 @@ def median_trajectory(df: DataFrame, sensors: Sequence[str], by: Sequence[str] =
 # --------------------------------------------------------------------------
 # J1-J3 preprocessing fitted on the training fold
 # --------------------------------------------------------------------------
+def wide_medians(df: DataFrame, sensors: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
+    """Exact median of every sensor in three narrow passes over the wide table.
+
+    1. One aggregate: counts, and a bracket round the middle from a sketch.
+    2. One aggregate: how many values lie below each bracket.
+    3. Only the values inside the brackets (about 4 / accuracy of them) are spread
+       out, reduced to (sensor, value, multiplicity), and ranked by a running count.
+    A sensor whose bracket misses (not expected) is taken by Spark's ``median``."""
+    sensors = list(sensors)
+    x = {s: F.col(s).cast("double") for s in sensors}
+    eps = 2.0 / accuracy
+    one = df.agg(*[c for s in sensors for c in (F.count(x[s]).alias(f"n_{s}"), F.percentile_approx(x[s], [0.5 - eps, 0.5 + eps], accuracy).alias(f"b_{s}"))]).first()
+    known = [s for s in sensors if one[f"n_{s}"]]
+    if not known:
+        return dict.fromkeys(sensors)
+    bracket = {s: (F.lit(one[f"b_{s}"][0]), F.lit(one[f"b_{s}"][1])) for s in known}
+    below = df.agg(*[F.count_if(x[s] < bracket[s][0]).alias(s) for s in known]).first()
+    inside = F.array_compact(F.array(*[F.when(x[s].between(*bracket[s]), F.struct(F.lit(s).alias("sensor"), x[s].alias("value"))) for s in known]))
+    band = df.select(F.inline(inside)).groupBy("sensor", "value").agg(F.count(F.lit(1)).alias("m"))
+    up_to = F.sum("m").over(Window.partitionBy("sensor").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ranks = F.create_map(*[v for s in known for v in (F.lit(s), F.array(*[F.lit((one[f"n_{s}"] - 1) // 2 + 1 - below[s]), F.lit(one[f"n_{s}"] // 2 + 1 - below[s])]))])
+    picks = band.withColumn("up_to", up_to).withColumn("k", F.element_at(ranks, F.col("sensor"))).groupBy("sensor").agg(
+        *[F.min(F.when(F.col("up_to") >= F.col("k")[i], F.col("value"))).alias(f"v{i}") for i in (0, 1)], F.min(F.col("k")[0]).alias("k")).collect()    # one row a sensor
+    out: dict[str, float | None] = {r["sensor"]: (r["v0"] + r["v1"]) / 2 for r in picks if r["k"] >= 1 and r["v1"] is not None}
+    missed = [s for s in known if s not in out]
+    if missed:
+        out |= df.agg(*[F.median(x[s]).alias(s) for s in missed]).first().asDict()
+    return {s: out.get(s) for s in sensors}
+
+
 def fit_preprocessor(train: DataFrame, sensors: Sequence[str]) -> DataFrame:
     """J1/J2 parameters, one row per sensor: exact median (imputation; all-null
     -> 0), mean and population std of the imputed values (std 0 -> 1)."""
-    long = train.select(*[F.col(s).cast("double").alias(s) for s in sensors]).unpivot([], list(sensors), "sensor", "value")
-    med_long = exact_median_long(long, ["sensor"])
-    meds = {s: 0.0 for s in sensors}          # all-missing sensor -> 0
-    meds.update({r["sensor"]: r["median"] for r in med_long.collect() if r["median"] is not None})   # bounded by #sensors
+    meds = {s: 0.0 if m is None else m for s, m in wide_medians(train, sensors).items()}          # all-missing sensor -> 0
     imputed = train.select(*[F.coalesce(F.col(s).cast("double"), F.lit(meds[s])).alias(s) for s in sensors])
     mom = imputed.agg(*[x for s in sensors for x in (F.avg(s).alias(f"mu_{s}"), F.stddev_pop(s).alias(f"sd_{s}"))])
     stacked = F.explode(F.array(*[F.struct(F.lit(s).alias("sensor"), F.lit(meds[s]).alias("median"),

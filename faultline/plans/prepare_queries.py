@@ -35,7 +35,7 @@ def g2(spark, sf_dir):
     return pr.distinct_runs(pr.with_run_key(t, "EVENTS"))
 
 
-@register("b8_schema_alignment", "B8 B7", "WITH " + Q.TELEMETRY + """
+@register("b8_schema_alignment", "B8", "WITH " + Q.TELEMETRY + """
 SELECT run_key, sample, xmeas_9, round(xmeas_13, 6) AS xmeas_13, CAST(NULL AS DOUBLE) AS xmeas_22, xmv_10
 FROM telemetry""")
 def b8(spark, sf_dir):

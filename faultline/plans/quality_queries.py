@@ -106,16 +106,13 @@ def d7(spark, sf_dir):
 
 
 def _params_sql() -> str:
-    meds = ",\n".join(f"SELECT '{s}' AS sensor, coalesce(median({s}), 0.0) AS median FROM gm WHERE fold = 'train'"
-                      for s in SENS)
-    meds = "\nUNION ALL\n".join(meds.split(",\n"))
-    imp = "\nUNION ALL\n".join(
-        f"SELECT '{s}' AS sensor, coalesce({s}, (SELECT median FROM med WHERE sensor = '{s}')) AS v FROM gm WHERE fold = 'train'"
-        for s in SENS)
+    # a map per row keeps missing values in the long form, which UNPIVOT would drop
+    cols = ", ".join(f"'{s}': {s}" for s in SENS)
     return GAPPY + f""",
-med AS ({meds}),
-imp AS ({imp}),
-mom AS (SELECT sensor, avg(v) AS mean, stddev_pop(v) AS sd FROM imp GROUP BY sensor),
+long AS (SELECT unnest(map_entries(MAP {{{cols}}})) AS e FROM gm WHERE fold = 'train'),
+lv AS (SELECT e.key AS sensor, e.value AS v FROM long),
+med AS (SELECT sensor, coalesce(median(v), 0.0) AS median FROM lv GROUP BY sensor),
+mom AS (SELECT sensor, avg(coalesce(v, median)) AS mean, stddev_pop(coalesce(v, median)) AS sd FROM lv JOIN med USING (sensor) GROUP BY sensor),
 params AS (SELECT m.sensor, m.median, o.mean, CASE WHEN o.sd = 0 THEN 1.0 ELSE o.sd END AS scale
            FROM med m JOIN mom o USING (sensor))"""
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import scalars as S
 from ..operators import features as fe
 from ..operators import metrics as me
-from ..sources.tables import EVENTS_INJECTION, telemetry
+from ..operators import prepare as pr
+from ..sources.tables import EVENTS_INJECTION, sensor_matrix, telemetry
 from . import sql as Q
 from .registry import register
 
@@ -105,6 +107,27 @@ def e1(spark, sf_dir):
     return f.select("run_key", "sample", *[F.col(n).cast("float").alias(n) for n in names])
 
 
+MATRIX_SENSORS = [*K.XMEAS_COLUMNS, *K.XMV_COLUMNS]
+
+
+def _matrix_sql() -> str:
+    frames = {w: f"OVER (PARTITION BY faultNumber ORDER BY sample ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)" for w in K.ROLLING_WINDOWS}
+    cols = [f"CAST({s} AS FLOAT) AS {s}" for s in MATRIX_SENSORS]
+    for w, frame in frames.items():
+        for s in MATRIX_SENSORS:
+            cols += [f"CAST(avg({s}) {frame} AS FLOAT) AS {s}_roll_mean_{w}", f"CAST(coalesce(stddev_samp({s}) {frame}, 0.0) AS FLOAT) AS {s}_roll_std_{w}"]
+    return "WITH " + Q.SENSOR_MATRIX + "\nSELECT faultNumber, sample, " + ",\n".join(cols) + "\nFROM sensor_matrix"
+
+
+@register("e1_full_feature_matrix", "E1 B11 B7", _matrix_sql())
+def e1_full(spark, sf_dir):
+    """52 sensors and 520 rolling features: the 572 model columns, in order; a run is a fault class, ordered by sample."""
+    m = sensor_matrix(spark, sf_dir)
+    sensors = pr.sensor_columns(m)
+    out = fe.rolling_matrix(m, sensors, key="faultNumber")
+    return out.select("faultNumber", "sample", *fe.model_feature_columns(sensors))
+
+
 @register("e2_display_smoothing", "E2", "WITH " + Q.TELEMETRY + """
 SELECT run_key, sample, round(avg(xmeas_13) OVER (PARTITION BY run_key ORDER BY sample
        ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS xmeas_13_smooth

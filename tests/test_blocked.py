@@ -214,3 +214,13 @@ def test_rough_runs_match_sequential_loops(spark, block):
     for run, g in got.groupby("run_key"):
         assert kpis.loc[run, "transitions"] == int((g["alarm"].diff().fillna(0) != 0).sum())
     assert got_df.count() == len(pdf)
+
+
+def test_rolling_matrix_equals_rolling_features(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"r{k % 3}", int(s), None if rng.random() < 0.1 else float(rng.normal()), float(rng.normal() + 1e4)) for k in range(3) for s in np.sort(rng.choice(500, 200, replace=False))]
+    df = spark.createDataFrame(rows, "run_key string, sample int, a double, b double")
+    names = fe.rolling_names(["a", "b"], [5, 20])
+    x = _pdf(fe.rolling_matrix(df, ["a", "b"], [5, 20], block=32), ["run_key", "sample", *names])
+    y = _pdf(fe.rolling_features(df, ["a", "b"], [5, 20], block=64), ["run_key", "sample", *names])
+    pd.testing.assert_frame_equal(x, y, check_dtype=False, rtol=1e-5, atol=1e-4)
