@@ -47,7 +47,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return centre
 
 
-def fit_index(sample: np.ndarray, cells: int, radius: float, *, subspaces: int = 8, codewords: int = 256, margin: float = 4.0, seed: int = 11) -> Index:
+def fit_index(sample: np.ndarray, cells: int, radius: float, *, subspaces: int = 8, codewords: int = 256, margin: float = 3.0, seed: int = 11) -> Index:
     """Centroids and codebooks from sampled unit vectors.
 
     gap: a neighbour's offset of length ``radius`` in an unrelated direction has a component of
