@@ -195,7 +195,7 @@ def flat_alerts(a):
         "severity", "severity_rank", "risk_score", "risk_level", "recommended_action", "description", *tops)
 
 
-@register("j16_alert_stream", "J16 F1 H1 H2 H3 H6 H7 J9", _j16_sql())
+@register("j16_alert_stream", "J16 F1 H1 H2 H3 H6 H7", _j16_sql())
 def j16(spark, sf_dir):
     return flat_alerts(alert_stream(spark, sf_dir))
 
@@ -220,7 +220,7 @@ def j17(spark, sf_dir):
 # --------------------------------------------------------------------------
 # E11 rising edges, J19 snapshot
 # --------------------------------------------------------------------------
-@register("e11_rising_edge_alerts", "E11 K4", "WITH " + Q.SCORED + f""",
+@register("e11_rising_edge_alerts", "E11", "WITH " + Q.SCORED + f""",
 l AS (SELECT *, lag(is_fault) OVER (PARTITION BY run_key ORDER BY sample) AS prev FROM scored)
 SELECT run_key, sample, pred_fault,
        CASE WHEN {OPRISK_SQL.format(c='pred_fault', p='p_fault')} = 'HIGH' THEN 'HIGH' ELSE 'MEDIUM' END AS severity

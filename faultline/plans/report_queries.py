@@ -94,7 +94,7 @@ def c8(spark, sf_dir):
     return j.select("sample", "xmeas_13_fault", "xmeas_13_normal", r6("diff").alias("diff"))
 
 
-@register("a1_typed_ingest", "A1 A2 A7", "WITH " + Q.TELEMETRY + """
+@register("a1_typed_ingest", "A1 A7", "WITH " + Q.TELEMETRY + """
 SELECT CAST(faultNumber AS SMALLINT) AS faultNumber, simulationRun, sample,
        CAST(xmeas_13 AS FLOAT) AS xmeas_13, CAST(xmeas_9 AS FLOAT) AS xmeas_9, CAST(xmv_10 AS FLOAT) AS xmv_10
 FROM telemetry""")
@@ -110,7 +110,7 @@ def a1(spark, sf_dir):
     return out.select("faultNumber", "simulationRun", "sample", *SENS3)
 
 
-@register("a17_dashboard_bundle", "A17 A8 H18", "WITH " + Q.SCORED + """,
+@register("a17_dashboard_bundle", "A17", "WITH " + Q.SCORED + """,
 k AS (SELECT count(*) FILTER (WHERE y_true = 1 AND is_fault = 1) AS tp, count(*) FILTER (WHERE y_true = 1) AS pos,
              count(*) FILTER (WHERE y_true = 0 AND is_fault = 1) AS fp, count(*) FILTER (WHERE y_true = 0) AS neg,
              count(*) FILTER (WHERE faultNumber = 99) AS never FROM scored)

@@ -17,27 +17,26 @@ from . import alarm_queries as alq
 from . import sql as Q
 from .registry import register
 
-SLICE = 20
-FILES_PER_SLICE = 4
+SLICES = 6
+FILES_PER_TRIGGER = 8
+IDLE_MS = 90 * 86_400_000      # the slices are cut by sample, not by time: no run is idle before the end
 
 
-def publish(spark, sf_dir: str, name: str, copies: int = 1, by_days: int | None = None) -> str:
+def publish(spark, sf_dir: str, name: str, copies: int = 1, by_time: bool = False) -> str:
     """Write telemetry slice by slice (oldest first) into one folder; returns it.
 
-    Slices are sample ranges of every run, or, with ``by_days``, event-time
+    Slices are sample ranges of every run, or, with ``by_time``, event-time
     ranges (what a watermark expects).  ``copies`` > 1 re-sends each slice
     (duplicate delivery)."""
     base = st.scratch(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     src = os.path.join(base, "in")
     t = telemetry(spark, sf_dir).select(*[f.name for f in st.TELEMETRY_STREAM_SCHEMA.fields])
-    if by_days:
-        day = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(0)) / F.lit(86_400_000_000 * by_days))
-        t = t.withColumn("_slice", day.cast("long"))
-    else:
-        t = t.withColumn("_slice", F.floor((F.col("sample") - 1) / SLICE).cast("long"))
-    bounds = t.agg(F.min("_slice").alias("lo"), F.max("_slice").alias("hi")).first()
-    for k in range(int(bounds["lo"]), int(bounds["hi"]) + 1):
-        part = t.where(F.col("_slice") == k).drop("_slice").repartition(FILES_PER_SLICE, "run_key")
+    order = F.unix_micros(F.col("ts").cast("timestamp")) if by_time else F.col("sample").cast("long")
+    t = t.withColumn("_order", order)
+    lo, hi = t.agg(F.min("_order"), F.max("_order")).first()
+    t = t.withColumn("_slice", F.least(F.floor((F.col("_order") - lo) * SLICES / (hi - lo + 1)), F.lit(SLICES - 1)).cast("int"))
+    for k in range(SLICES):                       # as many writes as slices, whatever the size of the data
+        part = t.where(F.col("_slice") == k).drop("_slice", "_order").repartition("run_key")
         for _ in range(copies):
             part.write.mode("append").parquet(src)
     return base
@@ -52,8 +51,8 @@ def _params(spark, sf_dir):
 
 def _alarm_stream(spark, sf_dir, name):
     base = publish(spark, sf_dir, name)
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_SLICE)
-    out = st.stateful_alarms(s, _params(spark, sf_dir), alq.TUNING, EVENTS_INJECTION)
+    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    out = st.stateful_alarms(s, _params(spark, sf_dir), alq.TUNING, EVENTS_INJECTION, idle_ms=IDLE_MS)
     st.run_to_completion(out, os.path.join(base, "out"), os.path.join(base, "chk"))
     return spark.read.parquet(os.path.join(base, "out"))
 
@@ -80,8 +79,8 @@ SELECT run_key, sample,
 FROM telemetry""")
 def k5(spark, sf_dir):
     base = publish(spark, sf_dir, "k5")
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_SLICE)
-    out = st.stateful_rolling(s, "xmeas_13", (10, 20))
+    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    out = st.stateful_rolling(s, "xmeas_13", (10, 20), idle_ms=IDLE_MS)
     st.run_to_completion(out, os.path.join(base, "out"), os.path.join(base, "chk"))
     r = spark.read.parquet(os.path.join(base, "out"))
     return r.select("run_key", "sample", *[F.round(c, 6).alias(c) for c in r.columns if c.startswith("xmeas_13_")])
@@ -93,7 +92,7 @@ def k2(spark, sf_dir):
     from .prepare_queries import run_folds
     test_runs = run_folds(spark, sf_dir).where(F.col("fold") == "test").select("run_key")   # materialised
     base = publish(spark, sf_dir, "k2")
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_SLICE)
+    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
     s = s.join(test_runs, "run_key", "left_semi").where((F.col("sample") - 1) % 5 == 0)
     from ..operators import alerts as ops
     from ..sources.tables import with_class_probabilities
@@ -130,8 +129,8 @@ def k6(spark, sf_dir):
 @register("k7_stream_dedup", "K7", "WITH " + Q.TELEMETRY + """
 SELECT run_key, sample FROM telemetry""")
 def k7(spark, sf_dir):
-    base = publish(spark, sf_dir, "k7", copies=2, by_days=6)
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_SLICE)
-    d = st.dedup_samples(s, watermark="1 day").select("run_key", "sample")
+    base = publish(spark, sf_dir, "k7", copies=2, by_time=True)
+    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    d = st.dedup_samples(s, watermark="6 days").select("run_key", "sample")
     st.run_to_completion(d, os.path.join(base, "out"), os.path.join(base, "chk"))
     return spark.read.parquet(os.path.join(base, "out"))

@@ -69,7 +69,7 @@ SELECT run_key, faultNumber, simulationRun, count(*) AS n_samples,
 FROM f GROUP BY run_key, faultNumber, simulationRun
 """
 
-register("flagship_run_report", "E1 H4 B1 B3 B6 D11", FLAGSHIP_SQL)(flagship)
+register("flagship_run_report", "E1 H4 B3 B6 D11", FLAGSHIP_SQL)(flagship)
 
 
 @register("d11_run_detection_metrics", "D11", "WITH " + Q.SCORED + """

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.alarms import Tuning
+from ..operators.alarms import Latch, Tuning, latch_inputs, visited
 
 TELEMETRY_STREAM_SCHEMA = T.StructType([
     T.StructField("run_key", T.StringType()), T.StructField("faultNumber", T.IntegerType()),
@@ -46,13 +46,6 @@ def telemetry_stream(spark: SparkSession, path: str, files_per_trigger: int = 1,
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path))
 
 
-def write_slices(df: DataFrame, path: str, slice_len: int = 20, pos: str = "sample") -> None:
-    """Publish telemetry as files in sample slices (one folder per slice), the
-    shape a plant historian would drop them in.  Used to feed K1."""
-    (df.withColumn("slice", F.floor((F.col(pos) - 1) / slice_len).cast("int"))
-       .write.mode("overwrite").partitionBy("slice").parquet(path))
-
-
 def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None):
     """Start a streaming query with an explicit number of state partitions.
 
@@ -78,22 +71,16 @@ def run_to_completion(stream: DataFrame, sink_path: str, checkpoint: str, mode:
     q.awaitTermination()
 
 
-def run_to_memory(stream: DataFrame, name: str, checkpoint: str, mode: str = "append"):
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
-
-
 # --------------------------------------------------------------------------
 # K3 / K4 keyed state: EWMA, ROC, latch, rising edge
 # --------------------------------------------------------------------------
 ALARM_STATE = T.StructType([
-    T.StructField("last", T.LongType()), T.StructField("z", T.DoubleType()), T.StructField("cur", T.IntegerType()),
-    T.StructField("on", T.IntegerType()), T.StructField("off", T.IntegerType()), T.StructField("lock", T.IntegerType()),
-    T.StructField("latch", T.IntegerType()), T.StructField("prev_fault", T.IntegerType()),
-    T.StructField("dropped", T.LongType()),
+    T.StructField("last", T.LongType()), T.StructField("z", T.DoubleType()), T.StructField("latch", T.IntegerType()),
+    T.StructField("prev_fault", T.IntegerType()), T.StructField("late", T.LongType()),
+    T.StructField("held_sample", T.ArrayType(T.LongType())), T.StructField("held_x", T.ArrayType(T.DoubleType())),
+    T.StructField("held_fault", T.ArrayType(T.IntegerType())), T.StructField("params", T.ArrayType(T.DoubleType())),
 ])
+START = (0, None, 0, None, 0, [], [], [], [])          # runs begin at sample 1; one that begins later waits as if for a gap
 
 ALARM_OUT = T.StructType([
     T.StructField("run_key", T.StringType()), T.StructField("sample", T.IntegerType()),
@@ -101,85 +88,100 @@ ALARM_OUT = T.StructType([
     T.StructField("breach", T.BooleanType()), T.StructField("in_clear", T.BooleanType()),
     T.StructField("roc_pre", T.BooleanType()), T.StructField("alarm", T.IntegerType()),
     T.StructField("is_fault", T.IntegerType()), T.StructField("rising_edge", T.IntegerType()),
+    T.StructField("late_samples", T.LongType()),
 ])
+PARAMS = ("mu_z", "sig_z", "roc_thr", "t_max")
+
+
+def due(sample: np.ndarray, last: int, reorder: int) -> int:
+    """How many of the sorted waiting samples can go on: those that follow the last one
+    without a gap, and those that lie ``reorder`` or more behind the newest."""
+    if not len(sample):
+        return 0
+    in_order = sample == last + 1 + np.arange(len(sample))
+    ready = len(sample) if in_order.all() else int(np.argmin(in_order))
+    return max(ready, int(np.searchsorted(sample, sample[-1] - reorder, "right")))
 
 
-def _alarm_fn(t: Tuning, inject: int, col: str):
-    a, d = t.alpha, 1.0 - t.alpha
+def _alarm_fn(t: Tuning, inject: int, col: str, reorder: int, idle_ms: int):
+    fsm = Latch(t.n_on, t.n_off, t.lockout, t.max_latch)
+    moves, latched = fsm.moves().tolist(), fsm.S0
+
+    def averages(x: np.ndarray, z: float | None) -> tuple[np.ndarray, np.ndarray]:
+        """EWMA after each value, and its change; a missing value leaves it as it is."""
+        out, change = np.full(len(x), np.nan), np.zeros(len(x))
+        for i, v in enumerate(x):
+            new = z if np.isnan(v) else v if z is None else t.alpha * v + (1 - t.alpha) * z
+            change[i] = 0.0 if z is None or new is None else abs(new - z)
+            z = new
+            out[i] = np.nan if z is None else z
+        return out, change
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("sample")
-        if state.exists:
-            last, z, cur, on, off, lock, latch, prev_fault, dropped = state.get
-        else:
-            last, z, cur, on, off, lock, latch, prev_fault, dropped = -1, None, 0, 0, 0, 0, 0, None, 0
-        fresh = pdf[pdf["sample"] > last].drop_duplicates("sample")
-        dropped += len(pdf) - len(fresh)
-        out = {k: [] for k in ("sample", "z", "roc_abs", "breach", "in_clear", "roc_pre", "alarm", "is_fault",
-                               "rising_edge")}
-        for r in fresh.itertuples(index=False):
-            x = float(getattr(r, col))
-            zn = x if z is None else a * x + d * z
-            roc = 0.0 if z is None else abs(zn - z)
-            z = zn
-            ramp = min(max((r.sample - inject) / max(float(r.t_max) - inject, 1.0), 0.0), 1.0)
-            sm = t.sigma + t.tail * ramp
-            hi, lo = r.mu_z + sm * r.sig_z, r.mu_z - sm * r.sig_z
-            lo_pad, hi_pad = lo - t.pad, hi + t.pad
-            breach = bool(z < lo_pad or z > hi_pad)
-            clear = bool(z >= lo_pad + t.hysteresis and z <= hi_pad - t.hysteresis) if t.hysteresis is not None \
-                else not breach
-            # deadband latch (same transition as the batch operator)
-            if cur == 0:
-                if lock > 0:
-                    lock -= 1
-                    beff = False
-                else:
-                    beff = breach
-                on = on + 1 if beff else 0
-                if on >= t.n_on:
-                    cur, on, off, latch = 1, 0, 0, 1
-            else:
-                latch += 1
-                if t.max_latch is not None and latch >= t.max_latch:
-                    cur, on, off, latch, lock = 0, 0, 0, 0, t.lockout
-                else:
-                    off = off + 1 if clear else 0
-                    if off >= t.n_off:
-                        cur, on, off, latch, lock = 0, 0, 0, 0, t.lockout
-            f = int(r.is_fault)
-            edge = int(prev_fault == 0 and f == 1)
-            prev_fault = f
-            last = int(r.sample)
-            for k, v in (("sample", int(r.sample)), ("z", z), ("roc_abs", roc), ("breach", breach), ("in_clear", clear),
-                         ("roc_pre", bool(roc > r.roc_thr and not breach)), ("alarm", cur), ("is_fault", f),
-                         ("rising_edge", edge)):
-                out[k].append(v)
-        state.update((last, z, cur, on, off, lock, latch, prev_fault, dropped))
-        res = pd.DataFrame(out)
-        res.insert(0, "run_key", key[0])
-        yield res.astype({"sample": "int32", "alarm": "int32", "is_fault": "int32", "rising_edge": "int32"})
+        last, z, latch, prev_fault, late, held_s, held_x, held_f, params = state.get if state.exists else START
+        waiting = pd.DataFrame({"sample": np.array(held_s, dtype=np.int64), col: np.array(held_x, dtype=float), "is_fault": np.array(held_f, dtype=np.int64)})
+        expired = state.hasTimedOut
+        if not expired:
+            arrived = pd.concat(list(batches), ignore_index=True)
+            params = [float(arrived[p].iloc[0]) for p in PARAMS]
+            newest = arrived["event_ms"].max()
+            fresh = arrived[arrived["sample"] > last]
+            waiting = pd.concat([waiting, fresh[["sample", col, "is_fault"]]]).drop_duplicates("sample").sort_values("sample")
+            late += len(arrived) - len(fresh)
+        n = len(waiting) if expired else due(waiting["sample"].to_numpy(), last, reorder)
+        go, rest = waiting.iloc[:n], waiting.iloc[n:]
+        if expired:
+            state.remove()
+        if n:
+            mu, sig, roc_thr, t_max = params
+            sample = go["sample"].to_numpy()
+            zs, roc = averages(go[col].to_numpy(dtype=float), z)
+            width = (t.sigma + t.tail * np.clip((sample - inject) / max(t_max - inject, 1.0), 0, 1)) * sig
+            low, high = mu - width - t.pad, mu + width + t.pad
+            breach = (zs < low) | (zs > high)
+            clear = ~breach if t.hysteresis is None else (zs >= low + t.hysteresis) & (zs <= high - t.hysteresis)
+            states = visited(moves, latch, latch_inputs(breach, clear).tolist())
+            fault = go["is_fault"].to_numpy()
+            before = np.concatenate([[-1 if prev_fault is None else prev_fault], fault[:-1]])
+            yield pd.DataFrame({
+                "run_key": key[0], "sample": sample.astype("int32"), "z": zs, "roc_abs": roc, "breach": breach, "in_clear": clear, "roc_pre": (roc > roc_thr) & ~breach,
+                "alarm": (np.array(states) >= latched).astype("int32"), "is_fault": fault.astype("int32"), "rising_edge": ((before == 0) & (fault == 1)).astype("int32"), "late_samples": late})
+            last, z, latch, prev_fault = int(sample[-1]), None if np.isnan(zs[-1]) else float(zs[-1]), states[-1], int(fault[-1])
+        if not expired:
+            state.update((last, z, latch, prev_fault, late, rest["sample"].tolist(), rest[col].tolist(), [int(f) for f in rest["is_fault"]], params))
+            expire_after(state, newest, idle_ms)
     return fn
 
 
+def expire_after(state: GroupState, newest: float, idle_ms: int) -> None:
+    """Let the state expire once the watermark is ``idle_ms`` past the run's newest event time."""
+    now = state.getCurrentWatermarkMs()
+    state.setTimeoutTimestamp(int(max(now, newest if newest == newest else now)) + idle_ms)
+
+
 def stateful_alarms(stream: DataFrame, params: DataFrame, tuning: Tuning, inject: int, col: str = "xmeas_13",
-                    threshold: float = 0.35) -> DataFrame:
+                    threshold: float = 0.35, reorder: int = 8, idle_ms: int = 86_400_000, ts: str = "ts") -> DataFrame:
     """K3/K4: per-run EWMA, ROC, band flags, latched alarm and rising edge,
     with state carried across micro-batches.  ``params``: run_key, mu_z, sig_z,
-    roc_thr, t_max (batch-fitted baselines)."""
-    s = stream.join(params.select("run_key", "mu_z", "sig_z", "roc_thr", "t_max"), "run_key")
-    s = s.withColumn("is_fault", (F.col("p_fault") >= threshold).cast("int"))
-    s = s.select("run_key", "sample", col, "mu_z", "sig_z", "roc_thr", "t_max", "is_fault")
+    roc_thr, t_max (batch-fitted baselines).
+
+    Samples that arrive out of order wait until the gap before them is filled or they lie
+    ``reorder`` samples behind the newest.  A sample that comes after its successor
+    went on is dropped and counted in ``late_samples``.  A run that falls ``idle_ms`` of
+    event time behind the watermark is closed: what waits goes out and its state is removed."""
+    s = watermarked(stream, ts, idle_ms).join(params.select("run_key", *PARAMS), "run_key")
+    s = s.withColumn("is_fault", F.coalesce((F.col("p_fault") >= threshold).cast("int"), F.lit(0)))
+    s = s.select("run_key", F.col("sample").cast("long").alias("sample"), F.col(col).cast("double").alias(col), *[F.col(p).cast("double").alias(p) for p in PARAMS], "is_fault", "event_time", "event_ms")
     return s.groupBy("run_key").applyInPandasWithState(
-        _alarm_fn(tuning, inject, col), ALARM_OUT, ALARM_STATE, "append", GroupStateTimeout.NoTimeout)
+        _alarm_fn(tuning, inject, col, reorder, idle_ms), ALARM_OUT, ALARM_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --------------------------------------------------------------------------
 # K5 rolling features from a ring buffer
 # --------------------------------------------------------------------------
-def stateful_rolling(stream: DataFrame, col: str, windows: Sequence[int] = (10, 20)) -> DataFrame:
+def stateful_rolling(stream: DataFrame, col: str, windows: Sequence[int] = (10, 20), idle_ms: int = 86_400_000, ts: str = "ts") -> DataFrame:
     """K5: trailing mean and sample std per window for each new sample; the
-    state keeps the last ``max(windows)`` values of the run."""
+    state keeps the last ``max(windows)`` values of the run, until the run is ``idle_ms`` behind the watermark."""
     wmax = max(windows)
     out_fields = [T.StructField("run_key", T.StringType()), T.StructField("sample", T.IntegerType())]
     for w in windows:
@@ -189,6 +191,9 @@ def stateful_rolling(stream: DataFrame, col: str, windows: Sequence[int] = (10,
     state_schema = T.StructType([T.StructField("last", T.LongType()), T.StructField("buf", T.ArrayType(T.DoubleType()))])
 
     def fn(key, batches, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         pdf = pd.concat(list(batches), ignore_index=True).sort_values("sample")
         last, buf = state.get if state.exists else (-1, [])
         buf = list(buf)
@@ -202,10 +207,11 @@ def stateful_rolling(stream: DataFrame, col: str, windows: Sequence[int] = (10,
             rows.append(rec)
             last = int(r.sample)
         state.update((last, buf))
+        expire_after(state, pdf["event_ms"].max(), idle_ms)
         yield pd.DataFrame(rows, columns=[f.name for f in out_fields]).astype({"sample": "int32"})
 
-    return stream.select("run_key", "sample", col).groupBy("run_key").applyInPandasWithState(
-        fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    return watermarked(stream, ts, idle_ms).select("run_key", "sample", col, "event_time", "event_ms").groupBy("run_key").applyInPandasWithState(
+        fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --------------------------------------------------------------------------
@@ -229,6 +235,12 @@ def dedup_samples(stream: DataFrame, ts: str = "ts", keys: Sequence[str] = ("run
     return with_event_time(stream, ts).withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def watermarked(stream: DataFrame, ts: str, delay_ms: int) -> DataFrame:
+    """With event_time as the watermark column, and event_ms."""
+    s = with_event_time(stream, ts).withWatermark("event_time", f"{delay_ms} milliseconds")
+    return s.withColumn("event_ms", F.unix_millis("event_time").cast("double"))
+
+
 def with_event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP; wall-clock TIMESTAMP_NTZ columns are cast."""
     is_ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)

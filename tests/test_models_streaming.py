@@ -84,3 +84,29 @@ def test_stream_dedup_keeps_each_sample_once(spark):
     got = sq.k7(spark, SF001)
     assert got.count() == telemetry(spark, SF001).count()
     assert got.groupBy("run_key", "sample").count().where("count > 1").count() == 0
+
+
+def test_samples_out_of_order_wait_and_late_ones_are_counted(spark, tmp_path):
+    import datetime
+    import time
+
+    from faultline.operators import alarms as al
+    from faultline.streaming import alarms as st
+    t = al.Tuning(alpha=0.5, sigma=1.0, pad=1.0, n_on=1, n_off=1, lockout=0, max_latch=None, hysteresis=0.5)
+    params = spark.createDataFrame([("a", 10.0, 1.0, 5.0, 20)], "run_key string, mu_z double, sig_z double, roc_thr double, t_max int").checkpoint()
+    batches = [[1, 2, 4, 5], [3, 6], [2, 7, 9], [18], [8, 19]]          # 3 fills a gap; 2 is late; 18 pushes 9 out, so 8 is late
+    for k, samples in enumerate(batches):
+        rows = [("a", 0, 0, s, float(s), 0.0, 0.0, 0.9 if s > 3 else 0.1, 1, s, datetime.datetime(2026, 1, 1, 0, s)) for s in samples]
+        spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1)                                                   # files are read in the order of their times
+    s = st.telemetry_stream(spark, f"{tmp_path}/in")
+    st.run_to_completion(st.stateful_alarms(s, params, t, 3, reorder=5), f"{tmp_path}/out", f"{tmp_path}/chk", state_partitions=2)
+    out = spark.read.parquet(f"{tmp_path}/out").orderBy("sample").collect()
+    assert [r["sample"] for r in out] == [1, 2, 3, 4, 5, 6, 7, 9]
+    z, want = None, []
+    for r in out:
+        z = r["sample"] if z is None else 0.5 * r["sample"] + 0.5 * z
+        want.append(z)
+    assert np.allclose([r["z"] for r in out], want)
+    assert [r["sample"] for r in out if r["rising_edge"]] == [4]
+    assert max(r["late_samples"] for r in out) == 1
