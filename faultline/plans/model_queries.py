@@ -1,12 +1,14 @@
 """Model queries over ``sensor_matrix`` and the telemetry features.
 
 Model outputs get a rows-only check (plus invariants in the tests); class
-weights and label encoding are plain SQL and get oracles.  Registered
-queries use small ensembles (tens of trees) so the checks stay quick; the
-library defaults are the upstream sizes.
+weights and label encoding are plain SQL and get oracles.  J5 uses the
+upstream size; the other registered queries use smaller ensembles so the checks
+stay quick.  The library defaults are the upstream sizes.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.constants import SENSOR_COLUMNS
@@ -46,18 +48,27 @@ def j4(spark, sf_dir):
     return idx.transform(m).select("faultNumber", "label_idx").distinct()
 
 
-def _rf(spark, sf_dir, trees: int = 30, depth: int = 8):
+def _folds(spark, sf_dir):
+    """Labelled matrix with encoded labels and folds: a fifth of the samples is held out, another fifth validates."""
     m = labelled_matrix(spark, sf_dir)
+    part = F.pmod(F.col("sample"), F.lit(5))
+    m = m.withColumn("fold", F.when(part == 0, "test").when(part == 1, "val").otherwise("train"))
     idx = mo.label_indexer("faultNumber").fit(m)
-    d = idx.transform(m)
-    model = mo.random_forest(SENS, trees=trees, depth=depth).fit(d)
+    return idx, idx.transform(m)
+
+
+def _rf(spark, sf_dir, trees: int = 250, depth: int = 25):
+    """Forest of the upstream size, fitted on the training fold."""
+    idx, d = _folds(spark, sf_dir)
+    model = mo.random_forest(SENS, trees=trees, depth=depth).fit(d.where(F.col("fold") == "train"))
     return model, idx, d
 
 
 @register("j5_random_forest_scores", "J5 J9 J4")
 def j5(spark, sf_dir):
+    """Held-out scores."""
     model, idx, d = _rf(spark, sf_dir)
-    s = mo.score(model, d)
+    s = mo.score(model, d.where(F.col("fold") == "test"))
     s = mo.decode_labels(idx, "prediction", "pred_txt").transform(s)
     return s.select("sample", "faultNumber", F.col("pred_txt").cast("int").alias("pred_fault"),
                     r6(F.array_max("probs")).alias("max_prob"))
@@ -86,18 +97,38 @@ def j7(spark, sf_dir):
 
 @register("j10_probability_tables", "J10 C7 H5 G1")
 def j10(spark, sf_dir):
-    rf, idx, d = _rf(spark, sf_dir, trees=20, depth=6)
-    rf2, _, _ = _rf(spark, sf_dir, trees=10, depth=4)
+    """Held-out probabilities of two forests under their own names, and again as the champion those of
+    the one that is right more often on the validation fold; probabilities aligned to the label list."""
+    idx, d = _folds(spark, sf_dir)
+    labels = [int(x) for x in idx.labels]
+    sizes = {"rf_100": (100, 12), "rf_40": (40, 6)}
+    models = {name: mo.random_forest(SENS, trees=t, depth=k).fit(d.where(F.col("fold") == "train")) for name, (t, k) in sizes.items()}
+    right = {name: mo.score(m, d.where(F.col("fold") == "val")).agg(F.avg((F.col("prediction") == F.col("label_idx")).cast("double"))).first()[0] or 0.0 for name, m in models.items()}
+    champion = max(sorted(right), key=right.get)
+    names = F.array(*[F.lit(x) for x in labels])
     out = None
-    for name, model in (("rf_30", rf), ("rf_10", rf2)):
-        s = mo.score(model, d).select("sample", "faultNumber", "probs")
+    for name, model in [*models.items(), ("champion", models[champion])]:
+        s = mo.score(model, d.where(F.col("fold") == "test"))
         s = s.select("sample", "faultNumber", F.lit(name).alias("model"), F.array_max("probs").alias("max_prob"),
-                     (F.array_position("probs", F.array_max("probs")) - 1).cast("int").alias("pred_idx"))
+                     F.element_at(names, F.array_position("probs", F.array_max("probs")).cast("int")).alias("pred_fault"),
+                     *[F.col("probs")[i].alias(f"prob_fault_{x}") for i, x in enumerate(labels)])
         s = s.withColumn("risk_proxy", F.lit(1.0) - F.col("max_prob"))
         out = s if out is None else out.unionByName(s)
     return out
 
 
+@register("j10_probability_audit", "J10", "WITH " + Q.SENSOR_MATRIX + """
+SELECT m.model, count(*) AS n_rows, TRUE AS sums_to_one, TRUE AS is_largest FROM sensor_matrix, (VALUES ('champion'), ('rf_100'), ('rf_40')) AS m(model)
+WHERE sample % 5 = 0 GROUP BY m.model""")
+def j10_audit(spark, sf_dir):
+    """What every probability table must satisfy: a row per held-out sample and model, class
+    probabilities that sum to 1, and the reported one the largest."""
+    t = j10(spark, sf_dir)
+    probs = [c for c in t.columns if c.startswith("prob_fault_")]
+    return t.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.abs(sum(F.col(c) for c in probs) - 1) < 1e-9).alias("sums_to_one"),
+                                  F.bool_and(F.col("max_prob") == F.greatest(*probs)).alias("is_largest"))
+
+
 @register("j11_risk_series", "J11 D9 E13")
 def j11(spark, sf_dir):
     rows = split_rows(spark, sf_dir)
@@ -107,13 +138,14 @@ def j11(spark, sf_dir):
     f = mo.with_label_text(f, "target_fault_label")
     idx = mo.label_indexer("target_fault_label").fit(f)
     train = idx.transform(f.where(F.col("fold") == "train"))
-    model = mo.random_forest(cols, weight=None, trees=20, depth=6).fit(train)
+    model = mo.random_forest(cols, weight=None, trees=100, depth=12).fit(train)
     rep = pr.longest_run(pr.run_extent(f.where(F.col("fold") == "test"), 20)).select("run_key")
     run = f.join(F.broadcast(rep), "run_key", "left_semi")
     s = mo.score(model, run)
     onset = fe.fault_onset(run, "target_fault_label")          # one row (grouped, partial aggregation)
     return s.join(F.broadcast(onset), "run_key").select(
-        "run_key", "sample", "target_fault_label", r6(F.array_max("probs")).alias("max_prob"),
+        "run_key", "simulationRun", "sample", F.col("faultNumber").alias("original_fault_label"), "target_fault_label",
+        F.element_at(F.array(*[F.lit(int(x)) for x in idx.labels]), F.col("prediction").cast("int") + 1).alias("pred_fault"), r6(F.array_max("probs")).alias("max_prob"),
         r6(F.lit(1.0) - F.array_max("probs")).alias("risk_proxy"), "onset_sample")
 
 
@@ -137,17 +169,19 @@ def j13(spark, sf_dir):
 
 @register("j14_shapley_importance", "J14")
 def j14(spark, sf_dir):
-    model, idx, d = _rf(spark, sf_dir, trees=15, depth=5)
-    rows = pr.exact_sample(d, min(1000, d.count()), ["sample"], seed=7).select(*SENS)   # upstream sample size
-    bg = pr.exact_sample(d, min(16, d.count()), ["sample"], seed=11).select(*SENS)
+    """Every held-out row is explained against a background of 16 training rows (a parameter of the estimator)."""
+    model, idx, d = _rf(spark, sf_dir, trees=40, depth=8)
+    rows = d.where(F.col("fold") == "test").select(*SENS)
+    bg = pr.exact_sample(d.where(F.col("fold") == "train"), 16, ["sample"], seed=11).select(*SENS)
     sh = mo.monte_carlo_shapley(model, rows, bg, SENS, permutations=4)
     return sh.orderBy(F.col("mean_abs_shap").desc()).limit(20).select("feature", r6("mean_abs_shap").alias("mean_abs_shap"))
 
 
-@register("j18_model_persistence", "J18")
+@register("j18_model_persistence", "J18", "WITH " + Q.SENSOR_MATRIX + """
+SELECT sample, TRUE AS same_prediction FROM sensor_matrix""")
 def j18(spark, sf_dir):
-    model, idx, d = _rf(spark, sf_dir, trees=10, depth=4)
-    path = mo.save_model(model, spark, f"rf_{abs(hash(sf_dir)) % 10_000}")
+    model, idx, d = _rf(spark, sf_dir, trees=40, depth=8)
+    path = mo.save_model(model, spark, f"rf_{uuid.uuid4().hex}")
     back = mo.load_model(path)
     a = mo.score(model, d).select("sample", F.col("prediction").alias("p1"))
     b = mo.score(back, d).select("sample", F.col("prediction").alias("p2"))
