@@ -25,6 +25,12 @@ HEADLINE = {
     "alert_construction_J16": "j16_alert_stream",
     "run_detection_metrics_D11": "d11_run_detection_metrics",
     "flagship": "flagship_run_report",
+    "feature_matrix_572_E1": "e1_full_feature_matrix",
+    "alarm_episodes_E10": "e10_alarm_episodes",
+    "alarm_kpis_D23": "d23_alarm_kpis",
+    "model_comparison_D26": "d26_model_comparison",
+    "median_trajectory_D7": "d7_median_trajectory",
+    "stream_latch_K3": "k3_stream_deadband_latch",
 }
 
 

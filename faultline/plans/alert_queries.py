@@ -442,7 +442,7 @@ SELECT s.run_key, s.sample,
        CASE WHEN CAST(faultNumber + 1 AS INTEGER) BETWEEN 0 AND 20 THEN CAST(faultNumber + 1 AS INTEGER) ELSE 1 END AS parsed_fault_id,
        CASE WHEN faultNumber = 0 THEN CAST(faultNumber AS VARCHAR) || ': ' || o.description || ' (' || o.fault_type || ')'
             ELSE CAST(faultNumber AS VARCHAR) || ': ' || o.description || ' · ' || o.fault_type END AS fault_label_text,
-       CAST(len(string_split(o.action_detail, ' · ')) AS INTEGER) AS n_action_steps
+       array_to_string([trim(x) for x in string_split(o.action_detail, ' · ') if length(trim(x)) > 0], '|') AS action_steps
 FROM scored s JOIN (SELECT fault_id, description, action_detail,
                            CASE fault_id """ + " ".join(f"WHEN {r[0]} THEN {_q(r[3])}" for r in K.OPERATOR_CATALOG) + """ END AS fault_type
                     FROM opcat) o ON o.fault_id = s.faultNumber""")
@@ -461,7 +461,17 @@ def hmisc(spark, sf_dir):
                     S.urgency(sev).alias("urgency"), S.recall_in_ten(F.col("p_fault")).alias("recall_in_ten"),
                     S.parse_fault_id((F.col("faultNumber") + 1).cast("string")).alias("parsed_fault_id"),
                     label.alias("fault_label_text"),
-                    F.size(F.split("action_detail", " · ")).alias("n_action_steps"))
+                    F.array_join(S.action_steps(F.col("action_detail")), "|").alias("action_steps"))
+
+
+@register("h18_z_scores", "H18", "WITH " + Q.TELEMETRY + """,
+p AS (SELECT avg(xmeas_13) AS m, stddev_pop(xmeas_13) AS s FROM telemetry WHERE faultNumber = 0)
+SELECT run_key, sample, round((coalesce(xmeas_13, p.m) - p.m) / p.s, 6) AS z FROM telemetry, p""")
+def h18(spark, sf_dir):
+    """Every sample against the mean and spread of the fault-free runs (two numbers, fitted once)."""
+    t = telemetry(spark, sf_dir)
+    m, sd = t.where(F.col("faultNumber") == 0).agg(F.avg("xmeas_13"), F.stddev_pop("xmeas_13")).first()
+    return t.select("run_key", "sample", r6(S.z_score(F.coalesce("xmeas_13", F.lit(m)), F.lit(m), F.lit(sd))).alias("z"))
 
 
 # --------------------------------------------------------------------------

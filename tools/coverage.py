@@ -12,7 +12,7 @@ from faultline.plans import registry  # noqa: E402
 
 # inventory ids realised as driver-side checks or library functions rather than queries
 EXTRA = {
-    "B9": "`operators.prepare.check_features` (raises on missing / non-numeric features); tests",
+    "B9": "`operators.prepare.check_features` (lists features that are absent or no number); tests",
     "B10": "`operators.prepare.check_no_leakage` (union of both word lists); tests",
     "A2": "`sources.ingest.cached_ingest` (build once, `force` rebuilds, missing sources skipped); tests",
 }
