@@ -57,30 +57,46 @@ def _rare(batches: Iterable[pa.RecordBatch], frequent: np.ndarray, parts: int) -
     """The tokens of all other words, packed by part of the vocabulary."""
     for rows, w in _shards(batches, 8 << 20):
         size = np.diff(w.first)
-        rare = _position(frequent, w.code) < 0
-        part = (w.code % np.uint64(parts)).astype(np.int64)
-        order = np.flatnonzero(rare)
-        order = order[np.argsort(part[order], kind="stable")]
-        uid = np.repeat(rows.column("uid").to_numpy(), size)[order]
-        held = np.repeat(rows.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint8), size)[order]
-        code, part = w.code[order], part[order]
-        used, edge = np.unique(part, return_index=True)
-        edge = np.append(edge, len(part))
-        cut = lambda x: pa.array([x[a:z].tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)], pa.binary())  # noqa: B023,E731
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), cut(code), cut(uid), cut(held)], ["part", "code", "uid", "held"])
-
-
-def _look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum of log10(count + 1) and number of known tokens, by document, in one part of the vocabulary."""
+        rare = np.flatnonzero(_position(frequent, w.code) < 0)
+        uid = np.repeat(rows.column("uid").to_numpy(), size)[rare]
+        held = np.repeat(rows.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint8), size)[rare]
+        code = w.code[rare]
+        yield _packed((code % np.uint64(parts)).astype(np.int64), {"code": code, "uid": uid, "held": held}, "part")
+
+
+def _packed(key: np.ndarray, columns: dict[str, np.ndarray], name: str) -> pa.RecordBatch:
+    """One row for each value of ``key``, with its entries of all columns as binary arrays."""
+    order = np.argsort(key, kind="stable")
+    used, edge = np.unique(key[order], return_index=True)
+    edge = np.append(edge, len(key))
+    cut = lambda x: pa.array([x[a:z].tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *[cut(c[order]) for c in columns.values()]], [name, *columns])
+
+
+def _unpacked(table: pa.Table, kinds: dict[str, type]) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(table[c].to_pylist()), dtype=t) for c, t in kinds.items()]
+
+
+def _look_up(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sum of log10(count + 1) and number of known tokens by document in one part of the
+    vocabulary, packed by bucket of documents."""
     for _, table in grouped(batches, "part"):
-        code, uid, held = (np.frombuffer(b"".join(table[c].to_pylist()), dtype=t) for c, t in (("code", np.uint64), ("uid", np.int64), ("held", np.uint8)))
+        code, uid, held = _unpacked(table, {"code": np.uint64, "uid": np.int64, "held": np.uint8})
         _, at = np.unique(code, return_inverse=True)
         count = np.bincount(at, weights=1 - held)
         del code
         docs, own = np.unique(uid, return_inverse=True)
         log = np.bincount(own, weights=np.log10(count + 1)[at])
         known = np.bincount(own, weights=(count > 0)[at]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(log), pa.array(known)], ["uid", "log", "known"])
+        yield _packed(docs % buckets, {"uid": docs, "log": log, "known": known}, "bucket")
+
+
+def _sum_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of each document over all parts of the vocabulary."""
+    for _, table in grouped(batches, "bucket"):
+        uid, log, known = _unpacked(table, {"uid": np.int64, "log": np.float64, "known": np.int64})
+        docs, own = np.unique(uid, return_inverse=True)
+        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.bincount(own, weights=log)), pa.array(np.bincount(own, weights=known).astype(np.int64))], ["uid", "rare_log", "rare_known"])
 
 
 def _classes(batches: Iterable[pa.RecordBatch], frequent: np.ndarray, count: np.ndarray, class_log: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -262,7 +278,8 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
 
     Words with 1/65536 of all tokens or more, at most 65536 of them, are broadcast with
     their counts; no other word can be a hot key.  The tokens of the others are
-    shuffled once, packed by part of the vocabulary, to where their word is counted.
+    shuffled packed by part of the vocabulary, to where their word is counted, and the
+    sums come back packed by bucket of documents.
     """
     spark = docs.sparkSession
     rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("uid"), F.col(id_col).alias("id"), held_out.cast("boolean").alias("held_out"), F.col(text_col).alias("text"))
@@ -284,8 +301,8 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
     known_words = spark.sparkContext.broadcast((frequent, count, class_log))
     parts = max(1, -(-n_rare // part_tokens))
     sums = (rows.select("uid", "held_out", "text").mapInArrow(lambda it: _rare(it, known_words.value[0], parts), "part int, code binary, uid binary, held binary")
-            .repartition("part").sortWithinPartitions("part").mapInArrow(_look_up, "uid long, log double, known long")
-            .groupBy("uid").agg(F.sum("log").alias("rare_log"), F.sum("known").alias("rare_known")))
+            .repartition("part").sortWithinPartitions("part").mapInArrow(lambda it: _look_up(it, parts), "bucket int, uid binary, log binary, known binary")
+            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum_up, "uid long, rare_log double, rare_known long"))
     sequences = keep(rows.mapInArrow(lambda it: _classes(it, *known_words.value), _sequence_schema(rows)))
     unigram = (in_class + 0.5) / (in_class + 0.5).sum()
     model = spark.sparkContext.broadcast(train(sequences.where(~F.col("held_out")), unigram, rounds))
