@@ -205,17 +205,12 @@ class OffsetTable:
         return self.decode(np.frombuffer(ids, dtype="<u4").astype(np.int64)).decode("utf-8", "replace")
 
 
-_LOADED: dict[tuple[type, str], Bpe | OffsetTable] = {}
-
-
 def _loaded(kind, spec: bytes):
-    """One per Python worker, kind and file; what it caches is bounded."""
-    key = (kind, hashlib.sha256(spec).hexdigest())
-    if key not in _LOADED:
-        for old in [k for k in _LOADED if k[0] is kind]:
-            del _LOADED[old]
-        _LOADED[key] = kind(spec)
-    return _LOADED[key]
+    """One per Python worker and kind, for the file used last; what it caches is bounded."""
+    cache, digest = tx.process_cache(), hashlib.sha256(spec).hexdigest()
+    if cache.get(kind.__name__, ("",))[0] != digest:
+        cache[kind.__name__] = (digest, kind(spec))
+    return cache[kind.__name__][1]
 
 
 def _encode(batches: Iterable[pa.RecordBatch], spec: bytes, text_col: str, carry: list[str], shard_bytes: int, decoded: bool) -> Iterator[pa.RecordBatch]:

@@ -7,12 +7,23 @@ pairs is about V^2 / 2^65.
 """
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
+
+def process_cache() -> dict:
+    """A dictionary that lives as long as the Python process.
+
+    Tasks get this package's functions by value, with module variables of their own,
+    so what should outlast a task can't be one."""
+    return sys.modules.setdefault("_faultline_process_cache", types.ModuleType("_faultline_process_cache")).__dict__
+
+
 # Byte classes. Bytes from 0x80 on (parts of non-ASCII letters) always belong to words.
 _ALL = np.arange(256)
 ALNUM = ((_ALL >= 0x30) & (_ALL <= 0x39)) | ((_ALL >= 0x41) & (_ALL <= 0x5A)) | ((_ALL >= 0x61) & (_ALL <= 0x7A)) | (_ALL >= 0x80)
@@ -22,7 +33,6 @@ FOLD = np.where((_ALL >= 0x41) & (_ALL <= 0x5A), _ALL + 32, _ALL).astype(np.uint
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)[FOLD]
 _BASE = 0x9E3779B97F4A7C15
 _SEGMENT = 1 << 20
-_POWERS: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,14 +43,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> list[np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, _SEGMENT)
-        _POWERS[:] = []
+    """Powers of the base and of its inverse, at least n of each."""
+    powers = process_cache().get("powers")
+    if powers is None or len(powers[0]) < n:
+        powers = []
         for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, dtype=np.uint64)
+            p = np.full(max(n, _SEGMENT), b, dtype=np.uint64)
             p[0] = 1
-            _POWERS.append(np.cumprod(p))
-    return _POWERS
+            powers.append(np.cumprod(p))
+        process_cache()["powers"] = powers
+    return powers
 
 
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
