@@ -38,7 +38,7 @@ def test_rolling_edge_cases(spark):
 def test_e1_plan_has_one_exchange(spark):
     from faultline.sources.tables import telemetry
     t = telemetry(spark, SF001).select("run_key", "sample", "xmeas_13", "xmeas_9")
-    plan = fe.rolling_features(t, ["xmeas_13", "xmeas_9"])._jdf.queryExecution().executedPlan().toString()
+    plan = fe.rolling_features(t, ["xmeas_13", "xmeas_9"], dense=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
 
 
@@ -236,3 +236,56 @@ def test_plan_shapes(spark):
     assert d18.count("Exchange") <= 2
     e8 = signals(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(sample,20)" in e8.replace(" ", "")
+
+
+def _plan_counts(df) -> tuple[int, int]:
+    """File scans and pandas stages of the plan before it is adapted."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("FileScan"), plan.count("MapInPandas")
+
+
+def test_reports_read_their_rows_once(spark):
+    """Matrix and report work on one checkpointed table of cells; KPIs run the latch once."""
+    from faultline.plans import alarm_queries as alq
+    from faultline.plans.metric_queries import cascade
+    rows = cascade(spark, SF001)
+    for df in (me.confusion_matrix(rows, "y_true_mc", "y_pred"), me.classification_report(rows, "y_true_mc", "y_pred")):
+        assert _plan_counts(df)[0] == 0
+    kpis = alq.d23(spark, SF001)
+    assert _plan_counts(kpis)[1] == 1
+
+
+def test_feature_problems_lists_everything(spark):
+    df = spark.createDataFrame([(1, [1], "a", 2.0)], "xmeas_1 int, xmeas_2 array<int>, xmeas_3 string, fault_flag double")
+    found = pr.feature_problems(df.schema, [*df.columns, *[f"gone_{i}" for i in range(20)]], ("fault",))
+    assert set(found) == {"xmeas_2", "xmeas_3", "fault_flag", *[f"gone_{i}" for i in range(20)]}
+    assert "array<int>" in found["xmeas_2"] and "target" in found["fault_flag"]
+
+
+def test_wide_medians_equal_exact_medians(spark):
+    rng = np.random.default_rng(3)
+    n = 5001
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 3, n).astype(float), "c": np.where(rng.random(n) < 0.5, np.nan, rng.exponential(size=n)), "d": np.full(n, np.nan), "e": np.full(n, 7.0)})
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    for accuracy in (20, 10_000):
+        got = qa.wide_medians(df, list(pdf), accuracy=accuracy)
+        for c in pdf:
+            assert (got[c] is None and c == "d") or got[c] == pdf[c].median()
+
+
+def test_cluster_without_a_checkpoint_folder_raises():
+    from faultline import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
