@@ -58,13 +58,13 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if mark == before or not mark["n"]:
             break
         before = mark
-        # large-star: larger neighbours of x go to the least of x and its neighbours
+        # large-star: larger neighbours of x go to the least of x and its neighbours.
+        # The least is kept first: a join of two plain shuffles is one whose hot keys Spark can split.
         both = star.select("u", "v").union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = keep(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        large = keep(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small-star: smaller neighbours of x, and x, go to the least of them
-        large = keep(large.distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = keep(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         star = keep(small.where("u <> v").distinct())
     low = star.groupBy("u").agg(F.min("v").alias("component"))
