@@ -195,6 +195,13 @@ def maintenance_items(active: DataFrame, fault_col: str = "fault_id", stage: str
         F.col("fault_id"))
 
 
+def maintenance_list(live: DataFrame, cases: DataFrame, active: DataFrame) -> DataFrame:
+    """Live items (part 0), then the cases of active faults (1), then all other cases (2)."""
+    faults = active.select("fault_id").distinct().withColumn("_active", F.lit(True))
+    ordered = cases.join(faults, "fault_id", "left").withColumn("part", F.when(F.col("_active"), 1).otherwise(2)).drop("_active")
+    return live.withColumn("part", F.lit(0)).unionByName(ordered, allowMissingColumns=True)
+
+
 def live_incidents(active: DataFrame, ts: str = "ts", stage: str = "severity_stage",
                    emergency: str = "emergency") -> DataFrame:
     """Incident record for an active fault (emergency CRITICAL, stage >= 4 HIGH, else MEDIUM)."""

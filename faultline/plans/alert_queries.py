@@ -200,21 +200,13 @@ def j16(spark, sf_dir):
     return flat_alerts(alert_stream(spark, sf_dir))
 
 
-@register("j17_alert_panel", "J17", "WITH " + CATALOG_CTE + ", " + _I5[len("WITH "):] + PROBS_SQL.replace(
-    "FROM scored s,", "FROM sf s,") + f""",
-st AS (SELECT * FROM sf WHERE faultNumber IN (0, 1, 4, 6, 11, 14) AND (sample - 1) % 10 = 0),
-a AS (SELECT s.faultNumber, coalesce(c.severity, 'MEDIUM') AS severity, p.max_prob AS conf
-      FROM st s JOIN pred p USING (run_key, sample) LEFT JOIN catalog c ON c.fault_id = p.pred_class),
-b AS (SELECT faultNumber, round(conf * {WEIGHT_SQL.format(s='severity')}, 4) AS risk_score FROM a)
-SELECT faultNumber AS ground_truth_fault_id, count(*) AS n_alerts,
-       count(*) FILTER (WHERE risk_score >= 0.75) AS n_high_risk, round(avg(risk_score), 6) AS avg_risk_score,
-       max(risk_score) AS max_risk_score
-FROM b GROUP BY faultNumber""")
+PANEL_FAULTS = (0, 1, 4, 6, 11, 14)
+
+
+@register("j17_alert_panel", "J17", _j16_sql().replace("WHERE fold = 'test' AND (sample - 1) % 5 = 0", f"WHERE faultNumber IN {PANEL_FAULTS} AND (sample - 1) % 10 = 0"))
 def j17(spark, sf_dir):
-    a = alert_stream(spark, sf_dir, every=10, faults=[0, 1, 4, 6, 11, 14])
-    return a.groupBy(F.col("faultNumber").alias("ground_truth_fault_id")).agg(
-        F.count(F.lit(1)).alias("n_alerts"), F.count_if(F.col("risk_level") == "HIGH").alias("n_high_risk"),
-        r6(F.avg("risk_score")).alias("avg_risk_score"), F.max("risk_score").alias("max_risk_score"))
+    """The alerts of the panel's faults, every tenth sample of all their runs."""
+    return flat_alerts(alert_stream(spark, sf_dir, every=10, faults=PANEL_FAULTS))
 
 
 # --------------------------------------------------------------------------
@@ -493,32 +485,45 @@ def active_faults(spark, sf_dir):
     ).where(F.col("_n") > 0).withColumn("emergency", F.col("fault_id").isin(6, 14)).drop("_n")
 
 
-@register("j20_maintenance_items", "J20 H13 H17", ACTIVE_SQL + """
-SELECT 'm-live-' || CAST(a.fault_id AS VARCHAR) AS id, o.first_system AS equipment,
-       o.label || ' — model-driven finding' AS issue,
-       CASE WHEN a.emergency OR a.stage >= 5 THEN 'CRITICAL' WHEN a.stage >= 3 THEN 'HIGH' ELSE 'MEDIUM' END AS risk,
-       CASE WHEN a.emergency OR a.stage >= 5 THEN 'P1' WHEN a.stage >= 3 THEN 'P2' ELSE 'P3' END AS urgency,
-       CAST(len(string_split(o.action_detail, ' · ')) + 2 AS INTEGER) AS n_steps,
-       greatest(3, o.base_min - CAST(floor(a.tick / 8) AS INTEGER)) AS failure_window_minutes,
-       least(95, 22 + a.stage * 12) AS progress_pct, a.fault_id
-FROM act a LEFT JOIN opcat o USING (fault_id)""")
+@register("j20_maintenance_items", "J20 H13 H17", ACTIVE_SQL + """,
+live AS (
+  SELECT 0 AS part, 'm-live-' || CAST(a.fault_id AS VARCHAR) AS id, o.first_system AS equipment,
+         o.label || ' — model-driven finding' AS issue,
+         CASE WHEN a.emergency OR a.stage >= 5 THEN 'CRITICAL' WHEN a.stage >= 3 THEN 'HIGH' ELSE 'MEDIUM' END AS risk,
+         CASE WHEN a.emergency OR a.stage >= 5 THEN 'P1' WHEN a.stage >= 3 THEN 'P2' ELSE 'P3' END AS urgency,
+         o.recommended_action || '|' || replace(o.action_detail, ' · ', '|') || '|Digital twin tick ' || CAST(a.tick AS VARCHAR) || ': confirm field readings' AS steps,
+         greatest(3, o.base_min - CAST(floor(a.tick / 8) AS INTEGER)) AS failure_window_minutes,
+         least(95, 22 + a.stage * 12) AS progress_pct, a.fault_id
+  FROM act a LEFT JOIN opcat o USING (fault_id)),
+cases AS (
+  SELECT CASE WHEN faultNumber IN (SELECT fault_id FROM act) THEN 1 ELSE 2 END AS part, 'case-' || CAST(simulationRun AS VARCHAR) AS id, NULL, NULL, NULL, NULL, NULL,
+         CASE WHEN d IS NULL OR d < 0 THEN 45 ELSE greatest(3, 11 + 3 * d) END, NULL, faultNumber
+  FROM (SELECT simulationRun, faultNumber, min(CASE WHEN is_fault = 1 THEN sample END) - 21 AS d FROM scored GROUP BY simulationRun, faultNumber))
+SELECT CAST(part AS INTEGER) AS part, id, equipment, issue, risk, urgency, steps, failure_window_minutes, progress_pct, fault_id FROM live UNION ALL SELECT * FROM cases""")
 def j20(spark, sf_dir):
-    m = al.maintenance_items(active_faults(spark, sf_dir))
-    return m.select("id", "equipment", "issue", "risk", "urgency", F.size("steps").alias("n_steps"),
-                    "failure_window_minutes", "progress_pct", "fault_id")
+    """Live items first, then a case a run: those of active faults, then the others."""
+    active = active_faults(spark, sf_dir).checkpoint()
+    live = al.maintenance_items(active).withColumn("steps", F.array_join("steps", "|"))
+    runs = scored(spark, sf_dir).groupBy("simulationRun", F.col("faultNumber").alias("fault_id")).agg((F.min(F.when(F.col("is_fault") == 1, F.col("sample"))) - 21).alias("delay"))
+    cases = runs.select(F.concat(F.lit("case-"), F.col("simulationRun").cast("string")).alias("id"), S.case_failure_window(F.col("delay")).alias("failure_window_minutes"), "fault_id")
+    return al.maintenance_list(live, cases, active).select(
+        "part", "id", "equipment", "issue", "risk", "urgency", "steps", "failure_window_minutes", "progress_pct", "fault_id")
 
 
-@register("j21_live_incidents", "J21", ACTIVE_SQL + """
-SELECT 'live-' || CAST(a.fault_id AS VARCHAR) AS id,
+@register("j21_live_incidents", "J21", ACTIVE_SQL + ", " + INCIDENTS_SQL + """
+SELECT 0 AS part, 'live-' || CAST(a.fault_id AS VARCHAR) AS id, strftime(a.ts, '%Y-%m-%dT%H:%M:%S') AS ts,
        CASE WHEN a.emergency THEN 'CRITICAL' WHEN a.stage >= 4 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
        o.first_system AS subsystem, o.label || ' — simulation active' AS title,
        'AI twin: elevated residual on ' || o.systems || ' · severity stage ' || CAST(a.stage AS VARCHAR) AS diagnosis,
        o.recommended_action AS recommendedAction, a.fault_id AS faultId, false AS acknowledged
-FROM act a LEFT JOIN opcat o USING (fault_id)""")
+FROM act a LEFT JOIN opcat o USING (fault_id)
+UNION ALL
+SELECT 1, id, strftime(ts, '%Y-%m-%dT%H:%M:%S'), severity, subsystem, title, diagnosis, recommendedAction, faultId, acknowledged FROM inc2""")
 def j21(spark, sf_dir):
-    i = al.live_incidents(active_faults(spark, sf_dir))
-    return i.select("id", "severity", "subsystem", "title", "diagnosis", F.col("recommended_action").alias("recommendedAction"),
-                    "faultId", "acknowledged")
+    """Live incidents in front of the history."""
+    live = al.live_incidents(active_faults(spark, sf_dir)).withColumnRenamed("recommended_action", "recommendedAction")
+    cols = ["id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), "severity", "subsystem", "title", "diagnosis", "recommendedAction", "faultId", "acknowledged"]
+    return live.select(F.lit(0).alias("part"), *cols).unionByName(incidents(spark, sf_dir).select(F.lit(1).alias("part"), *cols))
 
 
 # --------------------------------------------------------------------------
