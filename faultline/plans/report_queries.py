@@ -110,6 +110,20 @@ def a1(spark, sf_dir):
     return out.select("faultNumber", "simulationRun", "sample", *SENS3)
 
 
+@register("a2_cached_ingest", "A2", "WITH " + Q.TELEMETRY + """
+SELECT 'test' AS split, faultNumber, simulationRun, sample, CAST(xmeas_13 AS FLOAT) AS xmeas_13 FROM telemetry""")
+def a2(spark, sf_dir):
+    """The cache is built from CSV once; a second call with a source that now differs reads the same
+    cache, and a source that doesn't exist is skipped."""
+    base = os.path.join(ensure_checkpoint_dir(spark), "a2", uuid.uuid4().hex)
+    t = telemetry(spark, sf_dir).select("faultNumber", "simulationRun", "sample", "xmeas_13")
+    t.write.option("header", True).csv(f"{base}/csv")
+    ing.cached_ingest(spark, {"test": f"{base}/csv", "train": f"{base}/absent"}, f"{base}/cache")
+    t.where("sample = 1").write.option("header", True).csv(f"{base}/other")
+    out = ing.cached_ingest(spark, {"test": f"{base}/other"}, f"{base}/cache")
+    return out.select("split", F.col("faultNumber").cast("int").alias("faultNumber"), "simulationRun", "sample", "xmeas_13")
+
+
 @register("a17_dashboard_bundle", "A17", "WITH " + Q.SCORED + """,
 k AS (SELECT count(*) FILTER (WHERE y_true = 1 AND is_fault = 1) AS tp, count(*) FILTER (WHERE y_true = 1) AS pos,
              count(*) FILTER (WHERE y_true = 0 AND is_fault = 1) AS fp, count(*) FILTER (WHERE y_true = 0) AS neg,

@@ -103,18 +103,17 @@ def k2(spark, sf_dir):
     return spark.read.parquet(os.path.join(base, "out"))
 
 
-@register("k6_stream_windowed_alert_counts", "K6", """
-SELECT strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS window_start,
-       CASE WHEN value >= 150 THEN 'CRITICAL' WHEN value >= 100 THEN 'HIGH' WHEN value >= 50 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
-       count(*) AS n
-FROM events WHERE event_type = 'error' GROUP BY ALL""")
-def k6(spark, sf_dir):
+_SEVERITY_SQL = "CASE WHEN value >= 150 THEN 'CRITICAL' WHEN value >= 100 THEN 'HIGH' WHEN value >= 50 THEN 'MEDIUM' ELSE 'LOW' END"
+
+
+def _windowed(spark, sf_dir, **kind):
+    """Counts by window and severity over a stream of incidents; the sink holds the complete result."""
     base = st.scratch(spark, f"k6-{uuid.uuid4().hex[:12]}")
     inc = incidents(spark, sf_dir).select("id", "ts", "severity")
     src = os.path.join(base, "in")
     inc.repartition(4).write.parquet(src)
     s = spark.readStream.schema(inc.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    counts = st.windowed_counts(s, size="1 hour")
+    counts = st.windowed_counts(s, watermark="60 days", **kind)
     sink = os.path.join(base, "out")
 
     def overwrite(batch, _):
@@ -123,7 +122,34 @@ def k6(spark, sf_dir):
          .option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True))
     st.start_with_state_partitions(w, spark, None).awaitTermination()
     r = spark.read.parquet(sink)
-    return r.select(F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss").alias("window_start"), "severity", "n")
+    at = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c)
+    return r.select(at("window_start"), at("window_end"), "severity", "n")
+
+
+@register("k6_stream_windowed_alert_counts", "K6", f"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS window_start, strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS window_end,
+       {_SEVERITY_SQL} AS severity, count(*) AS n
+FROM events WHERE event_type = 'error' GROUP BY ALL""")
+def k6(spark, sf_dir):
+    return _windowed(spark, sf_dir, size="1 hour")
+
+
+@register("k6_stream_sliding_alert_counts", "K6", f"""
+WITH e AS (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w, {_SEVERITY_SQL} AS severity FROM events WHERE event_type = 'error')
+SELECT strftime(w, '%Y-%m-%dT%H:%M:%S') AS window_start, strftime(w + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') AS window_end, severity, count(*) AS n
+FROM e GROUP BY ALL""")
+def k6_sliding(spark, sf_dir):
+    return _windowed(spark, sf_dir, size="2 hours", slide="1 hour")
+
+
+@register("k6_stream_session_alert_counts", "K6", f"""
+WITH e AS (SELECT ts, {_SEVERITY_SQL} AS severity FROM events WHERE event_type = 'error'),
+m AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY severity ORDER BY ts) < INTERVAL 20 MINUTE THEN 0 ELSE 1 END AS opens FROM e),
+g AS (SELECT *, sum(opens) OVER (PARTITION BY severity ORDER BY ts ROWS UNBOUNDED PRECEDING) AS grp FROM m)
+SELECT strftime(min(ts), '%Y-%m-%dT%H:%M:%S') AS window_start, strftime(max(ts) + INTERVAL 20 MINUTE, '%Y-%m-%dT%H:%M:%S') AS window_end, severity, count(*) AS n
+FROM g GROUP BY severity, grp""")
+def k6_session(spark, sf_dir):
+    return _windowed(spark, sf_dir, session_gap="20 minutes")
 
 
 @register("k7_stream_dedup", "K7", "WITH " + Q.TELEMETRY + """
