@@ -123,47 +123,42 @@ def log_loss(df: DataFrame, y: str, probs: str, classes: str, by: Sequence[str]
 # --------------------------------------------------------------------------
 # D17 ROC curve and AUC
 # --------------------------------------------------------------------------
-def roc_curve(df: DataFrame, y: str = "y_true", score: str = "p_fault", buckets: int = 64) -> DataFrame:
-    """ROC points at every distinct score (descending) plus the (0, 0) origin.
+ROC_RANGE = 100_000      # distinct scores in a range of the cumulative sums, about
 
-    Scores are pre-aggregated to (score, positives, negatives); the cumulative
-    sums over the descending score order use :func:`global_prefix`, which
-    range-buckets the distinct scores so no single task sees all of them.
-    """
-    agg = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    P, N = _label_totals(df, y)
-    cum = global_prefix(agg.withColumn("_neg_thr", -F.col("threshold")), "_neg_thr", ["pos", "neg"], buckets)
-    return cum.select(F.col("threshold"), (F.col("pos") / F.lit(P)).alias("tpr"), (F.col("neg") / F.lit(N)).alias("fpr"))
 
+def score_table(df: DataFrame, y: str, score: str) -> tuple[DataFrame, int, int, int]:
+    """(score, pos, neg) for every distinct score, from one pass and checkpointed, with the
+    totals of both labels and the number of ranges that its size asks for."""
+    ensure_checkpoint_dir(df.sparkSession)
+    table = df.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")).checkpoint()
+    t = table.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("n")).first()
+    return table, int(t["P"] or 0), int(t["N"] or 0), max(16, -(-int(t["n"]) // ROC_RANGE))
 
-def _label_totals(df: DataFrame, y: str) -> tuple[int, int]:
-    """Positive and negative counts: one aggregate, two numbers to the driver."""
-    t = df.agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) != 1).alias("N")).first()
-    return int(t["P"]), int(t["N"])
 
+def roc_curve(df: DataFrame, y: str = "y_true", score: str = "p_fault") -> DataFrame:
+    """ROC points at every distinct score (descending).
 
-def roc_auc(df: DataFrame, y: str = "y_true", score: str = "p_fault", buckets: int = 64) -> DataFrame:
+    The cumulative sums over the descending score order use :func:`global_prefix`,
+    which range-buckets the distinct scores so no single task sees all of them.
+    """
+    table, P, N, ranges = score_table(df, y, score)
+    cum = global_prefix(table.withColumn("_neg_thr", -F.col("threshold")), "_neg_thr", ["pos", "neg"], ranges)
+    return cum.select(F.col("threshold"), (F.col("pos") / F.lit(P)).alias("tpr"), (F.col("neg") / F.lit(N)).alias("fpr"))
+
+
+def roc_auc(df: DataFrame, y: str = "y_true", score: str = "p_fault") -> DataFrame:
     """Trapezoid area under the ROC curve over distinct thresholds (exact)."""
-    agg = df.groupBy(F.col(score).alias("s")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    cum = global_prefix(agg.withColumn("_o", -F.col("s")), "_o", ["pos", "neg"], buckets)
+    table, P, N, ranges = score_table(df, y, score)
+    cum = global_prefix(table.withColumn("_o", -F.col("threshold")), "_o", ["pos", "neg"], ranges)
     # trapezoid between the previous cumulative point and this one:
     # area = neg_s * (2 * tp_before + pos_s) / 2 ; tp_before = tp_cum - pos_s
     part = cum.select((F.col("_d_neg") * (2 * (F.col("pos") - F.col("_d_pos")) + F.col("_d_pos")) / 2.0).alias("a"))
-    P, N = _label_totals(df, y)
     return part.agg((F.sum("a") / F.lit(float(P) * float(N))).alias("auc"))
 
 
 # --------------------------------------------------------------------------
 # D18-D21 threshold sweep and choice
 # --------------------------------------------------------------------------
-def threshold_grid(spark) -> DataFrame:
-    """The 43-point grid 0.10 .. 0.94 (integer percent / 100)."""
-    return spark.createDataFrame([(p,) for p in SWEEP_GRID_PERCENT], "pct int").select(
-        "pct", (F.col("pct") / F.lit(100.0)).alias("threshold"))
-
-
 def threshold_sweep(df: DataFrame, y: str = "y_true", score: str = "p_fault", by: Sequence[str] = ()) -> DataFrame:
     """Recall, precision, F1, false-alarm and missed-fault rates for each grid threshold.
 

@@ -193,8 +193,12 @@ def complete_runs_until(runs: DataFrame, target: int, n_col: str = "n_rows", see
     """Shuffle runs (seeded hash) and take whole runs until the row
     target is reached, including the run that crosses it."""
     h = runs.withColumn("_h", seeded_hash(key, seed=seed))
-    # md5 is uniform, so its first two hex digits make 256 balanced, ordered ranges
-    cum = global_prefix(h, "_h", [n_col], bucket_expr=F.conv(F.substring("_h", 1, 2), 16, 10).cast("int"))
+    # md5 is uniform, so its first hex digits make balanced, ordered ranges of a few thousand runs
+    digits = 1
+    runs_in_all = runs.count()
+    while 16**digits * 4096 < runs_in_all:
+        digits += 1
+    cum = global_prefix(h, "_h", [n_col], bucket_expr=F.conv(F.substring("_h", 1, digits), 16, 10).cast("long"))
     return cum.where(F.col(n_col) - F.col(f"_d_{n_col}") < target).select(
         key, F.col(f"_d_{n_col}").alias(n_col), F.col(n_col).alias("cum_rows"), "_h")
 

@@ -106,12 +106,13 @@ def test_confusion_and_report_invariants(spark):
     assert np.allclose(sw["missed_fault_rate"] + sw["recall"], 1.0, atol=2e-4)
 
 
-def test_auc_matches_mann_whitney(spark):
+def test_auc_matches_mann_whitney(spark, monkeypatch):
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 400)
     s = np.round(rng.random(400) * 0.5 + y * 0.3, 2)      # ties on purpose
     df = spark.createDataFrame(pd.DataFrame({"y_true": y.astype(int), "p_fault": s}))
-    got = me.roc_auc(df, buckets=8).first()["auc"]
+    monkeypatch.setattr(me, "ROC_RANGE", 5)
+    got = me.roc_auc(df).first()["auc"]
     pos, neg = s[y == 1], s[y == 0]
     ref = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
     assert abs(got - ref) < 1e-12
