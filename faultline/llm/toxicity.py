@@ -93,7 +93,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int
         toxic[own] += label
     kept = (seen >= min_docs) & (np.abs(toxic - seen * y.mean()) >= min_z * np.sqrt(seen * y.mean() * (1 - y.mean())))
     rng = np.random.default_rng(7)
-    for _ in range(max(epochs, -(-steps * batch // len(y)))):
+    for _ in range(max(epochs, -(-steps // -(-len(y) // batch)))):
         order = rng.permutation(len(y))
         for k in range(0, len(order), batch):
             own = [i for i in order[k:k + batch] if len(bags[i][1])]

@@ -1,10 +1,6 @@
-import os
-import sys
-
+"""Shared by the tests of this folder (a second conftest would hide the one above)."""
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 
 @pytest.fixture(scope="session")
 def docs_of(spark):

@@ -14,6 +14,7 @@ import __spark_entry__
 import corpus_pipeline
 from faultline.llm import common, jaccard, language_model, quality, text, toxicity, vectors
 
+from llm_fixtures import docs_of  # noqa: F401
 from test_text_operators import words
 
 SF = "/root/testdata/sf0.01"

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from faultline.llm import bpe, contamination, pii, queries, secret_scan, url_rules
 
+from llm_fixtures import docs_of  # noqa: F401
+
 
 def words(text):
     low = re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")
