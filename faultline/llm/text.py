@@ -32,7 +32,7 @@ FOLD = np.where((_ALL >= 0x41) & (_ALL <= 0x5A), _ALL + 32, _ALL).astype(np.uint
 
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=np.uint64)[FOLD]
 _BASE = 0x9E3779B97F4A7C15
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
