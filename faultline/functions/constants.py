@@ -10,13 +10,10 @@ from __future__ import annotations
 # --------------------------------------------------------------------------
 # FIXED VALUES: telemetry schema
 # --------------------------------------------------------------------------
-META_COLUMNS = ["faultNumber", "simulationRun", "sample"]
 XMEAS_COLUMNS = [f"xmeas_{i}" for i in range(1, 42)]
 XMV_COLUMNS = [f"xmv_{i}" for i in range(1, 12)]
 SENSOR_COLUMNS = XMEAS_COLUMNS + XMV_COLUMNS
 
-# fault is active only after this sample (1-based), per split
-INJECTION_SAMPLE = {"training": 20, "testing": 160}
 ROLLING_WINDOWS = [10, 20, 30, 50, 100]
 SAMPLE_MINUTES = 3
 BINARY_THRESHOLD = 0.35
@@ -121,8 +118,6 @@ ACTION_NORMAL = "Maintain steady-state operation"
 # --------------------------------------------------------------------------
 # FIXED VALUES: alarm management tuning (code values; prose values differ)
 # --------------------------------------------------------------------------
-ALARM_TUNING_DEFAULT = dict(alpha=0.05, sigma=4.5, pad=55.0, n_on=5, n_off=32, lockout=90, max_latch=72,
-                            roc_mult=3.0, hysteresis=28.0, tail=0.35)
 # tuning for the events-derived telemetry view (value has mean ~50, sd ~49)
 ALARM_TUNING_EVENTS = dict(alpha=0.2, sigma=1.0, pad=2.0, n_on=2, n_off=3, lockout=4, max_latch=6,
                            roc_mult=3.0, hysteresis=1.0, tail=0.35)
@@ -143,10 +138,6 @@ LEAKAGE_WORDS_BINARY = ["fault", "label", "binary", "source", "run", "sample", "
 LEAKAGE_WORDS_MULTICLASS = ["fault", "label", "target", "source", "run", "sample", "time", "prediction",
                             "probability", "alarm", "health", "severity"]
 
-# default operator checklist (the duplicate id "dcs" is intentional: checking one checks both)
-DEFAULT_INCIDENT_CHECKLIST = [("review", "check CW inlet temperature"), ("notes", "inspect CWS supply line"),
-                              ("dcs", "monitor separtor pressure"), ("dcs", "schedule inspection within 24h")]
-
 # nominal sensor bands (separator pressure XMEAS_13, condenser CW flow XMV_11, CW outlet temp XMEAS_22)
 NORMAL_RANGES = [("xmeas_13", 2540.0, 2700.0), ("xmv_11", 12.0, 26.0), ("xmeas_22", 75.0, 81.0)]
 
@@ -154,12 +145,30 @@ NORMAL_RANGES = [("xmeas_13", 2540.0, 2700.0), ("xmv_11", 12.0, 26.0), ("xmeas_2
 # FIXED VALUES: incident and maintenance ladders
 # --------------------------------------------------------------------------
 URGENCY_BY_SEVERITY = {"CRITICAL": "P1", "HIGH": "P2", "MEDIUM": "P3", "LOW": "P4"}
-INCIDENT_SEVERITY_BY_VALUE = [(150.0, "CRITICAL"), (100.0, "HIGH"), (50.0, "MEDIUM")]  # else LOW
 NOTIFICATION_CAP = 99
 RECALL_WATCH_BELOW = 0.88
 RECALL_WATCH_HIGH_BELOW = 0.75
 RECALL_WATCH_MAX = 12
 
+# --------------------------------------------------------------------------
+# FIXED VALUES: item ids of the default operator checklist (the repeated id is
+# intentional: checking one of the two checks both)
+# --------------------------------------------------------------------------
+DEFAULT_CHECKLIST_IDS = ["review", "notes", "dcs", "dcs"]
+
+# --------------------------------------------------------------------------
+# FIXED VALUES: texts of generated records
+# --------------------------------------------------------------------------
+TEXT_DETECTED = ("⚠ Fault IDV(", ") detected — ")
+TEXT_CONFIRM_READINGS = ("Digital twin tick ", ": confirm field readings")
+TEXT_FINDING = " — model-driven finding"
+TEXT_LIVE_TITLE = " — simulation active"
+TEXT_LIVE_DIAGNOSIS = ("AI twin: elevated residual on ", " · severity stage ")
+TEXT_RECALL_WATCH = "Holdout recall watch · TEP fault class "
+STRATEGY_BOTH = "recall>90% AND FAR<50%"
+STRATEGY_RECALL = "recall>90% only"
+STRATEGY_BEST = "best recall available"
+
 # --------------------------------------------------------------------------
 # FIXED VALUES: operator-facing fault catalogue
 # (id, label, description, fault type, affected systems, recommended action, action detail, base failure minutes)

@@ -154,7 +154,7 @@ def operator_snapshot(df: DataFrame, p: str = "p_fault", is_fault: str = "is_fau
         F.when(fault, F.col("_risk")).otherwise(F.lit("LOW")).alias("risk_level"),
         F.when(fault, S.failure_window_snapshot(F.col(pos))).alias("failure_window_minutes"),
         F.when(fault, action).otherwise(F.lit(K.ACTION_NORMAL)).alias("recommended_action"),
-        F.when(fault, F.concat(F.lit("⚠ Fault IDV("), F.col("_cls").cast("string"), F.lit(") detected — "), desc))
+        F.when(fault, F.concat(F.lit(K.TEXT_DETECTED[0]), F.col("_cls").cast("string"), F.lit(K.TEXT_DETECTED[1]), desc))
         .otherwise(F.lit("Plant running normally")).alias("detected_fault"),
         F.when(fault, F.coalesce("_sys", F.array(*[F.lit(s) for s in K.SNAPSHOT_FALLBACK_SYSTEMS])))
         .otherwise(F.array(F.lit("Plant-wide"))).alias("affected_systems"),
@@ -178,12 +178,12 @@ def maintenance_items(active: DataFrame, fault_col: str = "fault_id", stage: str
            .otherwise("MEDIUM"))
     d = d.withColumn("risk", sev)
     steps = F.concat(F.array(F.col("recommended_action")), F.split(F.col("action_detail"), " · "),
-                     F.array(F.concat(F.lit("Digital twin tick "), F.col(tick).cast("string"),
-                                      F.lit(": confirm field readings"))))
+                     F.array(F.concat(F.lit(K.TEXT_CONFIRM_READINGS[0]), F.col(tick).cast("string"),
+                                      F.lit(K.TEXT_CONFIRM_READINGS[1]))))
     return d.select(
         F.concat(F.lit("m-live-"), F.col("fault_id").cast("string")).alias("id"),
         F.coalesce(F.element_at("affected_systems", 1), F.lit("Critical asset")).alias("equipment"),
-        F.concat(F.col("label"), F.lit(" — model-driven finding")).alias("issue"),
+        F.concat(F.col("label"), F.lit(K.TEXT_FINDING)).alias("issue"),
         "risk",
         F.when(F.col("risk") == "CRITICAL", F.lit(K.MAINTENANCE_IMPACT_CRITICAL))
         .otherwise(F.lit(K.MAINTENANCE_IMPACT_OTHER)).alias("impact"),
@@ -211,9 +211,9 @@ def live_incidents(active: DataFrame, ts: str = "ts", stage: str = "severity_sta
     return d.select(
         F.concat(F.lit("live-"), F.col("fault_id").cast("string")).alias("id"), F.col(ts).alias("ts"),
         sev.alias("severity"), F.element_at("affected_systems", 1).alias("subsystem"),
-        F.concat(F.col("label"), F.lit(" — simulation active")).alias("title"),
-        F.concat(F.lit("AI twin: elevated residual on "), F.array_join("affected_systems", ", "),
-                 F.lit(" · severity stage "), F.col(stage).cast("string")).alias("diagnosis"),
+        F.concat(F.col("label"), F.lit(K.TEXT_LIVE_TITLE)).alias("title"),
+        F.concat(F.lit(K.TEXT_LIVE_DIAGNOSIS[0]), F.array_join("affected_systems", ", "),
+                 F.lit(K.TEXT_LIVE_DIAGNOSIS[1]), F.col(stage).cast("string")).alias("diagnosis"),
         F.col("recommended_action"), F.col("fault_id").alias("faultId"), F.lit(False).alias("acknowledged"))
 
 
@@ -235,8 +235,7 @@ def checklist_backlog(incidents: DataFrame, checked: DataFrame) -> DataFrame:
     """Unchecked steps per unacknowledged incident.  Incidents without a
     checklist use the default list of four (two share the id 'dcs', so
     checking one checks both).  ``checked``: (incident_id, item_id)."""
-    default = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(lab).alias("label"))
-                        for i, lab in K.DEFAULT_INCIDENT_CHECKLIST])
+    default = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(None).cast("string").alias("label")) for i in K.DEFAULT_CHECKLIST_IDS])
     items = incidents.select(F.col("id").alias("incident_id"), "acknowledged",
                              F.explode(F.when(F.size(F.coalesce("checklist", F.array())) > 0, F.col("checklist"))
                                        .otherwise(default)).alias("item"))
@@ -276,5 +275,5 @@ def recall_watch(per_class: DataFrame, show_at_most: int | None = None) -> DataF
         F.lit("DCS / Analytics").alias("subsystem"),
         F.concat(F.lit("Class "), F.col("label").cast("string"), F.lit(" recall "), F.format_string("%.1f", F.col("recall") * 100), F.lit("%")).alias("diagnosis"),
         action.alias("recommendedAction"),
-        F.concat(F.lit("Holdout recall watch · TEP fault class "), F.col("label").cast("string")).alias("title"),
+        F.concat(F.lit(K.TEXT_RECALL_WATCH), F.col("label").cast("string")).alias("title"),
         F.col("label").alias("faultId"), (F.col("n") > 2).alias("acknowledged"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions.constants import MAX_FAR_ALLOWED, MISSED_FAULT_TARGET, SWEEP_GRID_PERCENT
 from ..session import ensure_checkpoint_dir
 from .blocked import global_prefix
@@ -209,9 +210,9 @@ def choose_threshold(sweep: DataFrame, by: Sequence[str] = (), missed_target: fl
         F.min_by(F.col("threshold"), F.struct(F.col("missed_fault_rate"), F.col("threshold"))).alias("t_best"))
     chosen = agg.select(
         *by, F.coalesce("t_both", "t_recall", "t_best").alias("threshold"),
-        F.when(F.col("t_both").isNotNull(), F.lit("recall>90% AND FAR<50%"))
-        .when(F.col("t_recall").isNotNull(), F.lit("recall>90% only"))
-        .otherwise(F.lit("best recall available")).alias("strategy"))
+        F.when(F.col("t_both").isNotNull(), F.lit(K.STRATEGY_BOTH))
+        .when(F.col("t_recall").isNotNull(), F.lit(K.STRATEGY_RECALL))
+        .otherwise(F.lit(K.STRATEGY_BEST)).alias("strategy"))
     return chosen.join(sweep, by + ["threshold"])
 
 

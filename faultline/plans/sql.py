@@ -36,4 +36,3 @@ sensor_matrix AS (
   {SENSOR_MATRIX_COLS}
   FROM embeddings)"""
 
-CATALOG_VALUES = None  # filled by alert_queries (built from the constants module)

@@ -6,15 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.constants import SENSOR_COLUMNS
 
-TELEMETRY_SCHEMA = T.StructType(
-    [T.StructField("faultNumber", T.ShortType()), T.StructField("simulationRun", T.IntegerType()),
-     T.StructField("sample", T.IntegerType())] + [T.StructField(c, T.FloatType()) for c in SENSOR_COLUMNS])
-
-
 def typed_ingest(spark: SparkSession, csv_path: str, out_path: str, sensors: Sequence[str] = SENSOR_COLUMNS,
                  split: str | None = None, mode: str = "errorifexists") -> DataFrame:
     """A1: read CSV (no schema inference: everything as string), strip the
