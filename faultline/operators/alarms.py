@@ -237,7 +237,8 @@ def deadband_latch(df: DataFrame, tuning: Tuning, breach: str = "breach", clear:
     """Latched alarm per row (see module doc for the blocked scan).  A null flag counts as false."""
     fsm = Latch(tuning.n_on, tuning.n_off, tuning.lockout, tuning.max_latch)
     moves, latched = fsm.moves(), fsm.S0
-    rows = df.withColumn(BLK, block_of(pos, block))
+    # read by the block tables, the list of last blocks and the replay: computed once
+    rows = df.withColumn(BLK, block_of(pos, block)).checkpoint()
     # only blocks with a successor need their table
     last = rows.groupBy(key).agg(F.max(BLK).alias("_last"))
     need = rows.join(last, key).where(F.col(BLK) < F.col("_last")).select(key, BLK, pos, breach, clear)
