@@ -72,9 +72,9 @@ def gbt_binary(features: Sequence[str], label: str = "y", weight: str | None = "
 
 
 def ovr_gbt(features: Sequence[str], label: str = "label_idx", iters: int = 200, lr: float = 0.05, depth: int = 6,
-            subsample: float = 0.9, seed: int = 42) -> Pipeline:
-    """Multiclass boosting as one-vs-rest GBT with row subsampling."""
-    gbt = GBTClassifier(maxIter=iters, stepSize=lr, maxDepth=depth, subsamplingRate=subsample, seed=seed)
+            subsample: float = 0.9, columns: float = 0.9, seed: int = 42) -> Pipeline:
+    """Multiclass boosting as one-vs-rest GBT with row and column subsampling (columns are drawn for each node)."""
+    gbt = GBTClassifier(maxIter=iters, stepSize=lr, maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy=str(columns), seed=seed)
     ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol=label)
     return Pipeline(stages=[assembler(features), ovr])
 

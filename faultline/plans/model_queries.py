@@ -1,9 +1,9 @@
 """Model queries over ``sensor_matrix`` and the telemetry features.
 
 Model outputs get a rows-only check (plus invariants in the tests); class
-weights and label encoding are plain SQL and get oracles.  J5 uses the
-upstream size; the other registered queries use smaller ensembles so the checks
-stay quick.  The library defaults are the upstream sizes.
+weights and label encoding are plain SQL and get oracles.  All models have the
+library's default sizes, which are the upstream ones, and are fitted on the training
+fold; only ``j10_probability_audit`` is held to other tree counts by its SQL.
 """
 from __future__ import annotations
 
@@ -48,19 +48,29 @@ def j4(spark, sf_dir):
     return idx.transform(m).select("faultNumber", "label_idx").distinct()
 
 
-def _folds(spark, sf_dir):
-    """Labelled matrix with encoded labels and folds: a fifth of the samples is held out, another fifth validates."""
-    m = labelled_matrix(spark, sf_dir)
+def with_fold(m):
+    """A fifth of the samples is held out, another fifth validates.  The matrix has one
+    run for each fault, so folds by run would leave classes out of training."""
     part = F.pmod(F.col("sample"), F.lit(5))
-    m = m.withColumn("fold", F.when(part == 0, "test").when(part == 1, "val").otherwise("train"))
+    return m.withColumn("fold", F.when(part == 0, "test").when(part == 1, "val").otherwise("train"))
+
+
+def _folds(spark, sf_dir):
+    """Labelled matrix with encoded labels and folds."""
+    m = with_fold(labelled_matrix(spark, sf_dir))
     idx = mo.label_indexer("faultNumber").fit(m)
     return idx, idx.transform(m)
 
 
-def _rf(spark, sf_dir, trees: int = 250, depth: int = 25):
+def _binary_folds(spark, sf_dir):
+    """Matrix with folds and y: 1 for any fault."""
+    return with_fold(sensor_matrix(spark, sf_dir)).withColumn("y", (F.col("faultNumber") > 0).cast("double"))
+
+
+def _rf(spark, sf_dir):
     """Forest of the upstream size, fitted on the training fold."""
     idx, d = _folds(spark, sf_dir)
-    model = mo.random_forest(SENS, trees=trees, depth=depth).fit(d.where(F.col("fold") == "train"))
+    model = mo.random_forest(SENS).fit(d.where(F.col("fold") == "train"))
     return model, idx, d
 
 
@@ -74,61 +84,77 @@ def j5(spark, sf_dir):
                     r6(F.array_max("probs")).alias("max_prob"))
 
 
-@register("j6_gbt_binary_scores", "J6 J8")
+@register("j6_gbt_binary_scores", "J6")
 def j6(spark, sf_dir):
-    m = sensor_matrix(spark, sf_dir).withColumn("y", (F.col("faultNumber") > 0).cast("double"))
-    m = mo.balanced_weights(m, "y")
-    m = m.withColumn("is_val", F.pmod(F.col("sample"), F.lit(5)) == 0)
-    model = mo.gbt_binary(SENS, label="y", iters=20, depth=4, validation="is_val").fit(m)
-    s = mo.score(model, m)
+    """Held-out scores after all iterations (j8 stops early)."""
+    m = _binary_folds(spark, sf_dir)
+    model = mo.gbt_binary(SENS, label="y").fit(mo.balanced_weights(m.where(F.col("fold") == "train"), "y"))
+    s = mo.score(model, m.where(F.col("fold") == "test"))
     return s.select("sample", "y", r6(F.col("probs")[1]).alias("p_fault"))
 
 
 @register("j7_ovr_gbt_probabilities", "J7")
 def j7(spark, sf_dir):
-    m = labelled_matrix(spark, sf_dir)
-    idx = mo.label_indexer("faultNumber").fit(m)
-    d = idx.transform(m)
-    model = mo.ovr_gbt(SENS, iters=8, depth=3).fit(d)
-    p = mo.ovr_probabilities(model, d)
+    """Held-out probabilities."""
+    _, d = _folds(spark, sf_dir)
+    model = mo.ovr_gbt(SENS).fit(d.where(F.col("fold") == "train"))
+    p = mo.ovr_probabilities(model, d.where(F.col("fold") == "test"))
     return p.select("sample", "faultNumber", F.array_position("probs", F.array_max("probs")).alias("pred_idx"),
                     r6(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("prob_sum"))
 
 
-@register("j10_probability_tables", "J10 C7 H5 G1")
-def j10(spark, sf_dir):
-    """Held-out probabilities of two forests under their own names, and again as the champion those of
-    the one that is right more often on the validation fold; probabilities aligned to the label list."""
+def _probability_tables(spark, sf_dir, candidates):
+    """Held-out probabilities of some models (name -> pipeline, and scoring of a fitted one) under their own
+    names, and again as the champion those of the one that is right more often on the validation fold;
+    probabilities aligned to the label list."""
     idx, d = _folds(spark, sf_dir)
     labels = [int(x) for x in idx.labels]
-    sizes = {"rf_100": (100, 12), "rf_40": (40, 6)}
-    models = {name: mo.random_forest(SENS, trees=t, depth=k).fit(d.where(F.col("fold") == "train")) for name, (t, k) in sizes.items()}
-    right = {name: mo.score(m, d.where(F.col("fold") == "val")).agg(F.avg((F.col("prediction") == F.col("label_idx")).cast("double"))).first()[0] or 0.0 for name, m in models.items()}
+    models = {name: pipeline.fit(d.where(F.col("fold") == "train")) for name, (pipeline, _) in candidates.items()}
+    named = {name: (lambda rows, name=name: candidates[name][1](models[name], rows)) for name in candidates}
+    best = F.array_position("probs", F.array_max("probs")).cast("int")
+    right = {name: probs(d.where(F.col("fold") == "val")).agg(F.avg((best - 1 == F.col("label_idx")).cast("double"))).first()[0] or 0.0 for name, probs in named.items()}
     champion = max(sorted(right), key=right.get)
     names = F.array(*[F.lit(x) for x in labels])
     out = None
-    for name, model in [*models.items(), ("champion", models[champion])]:
-        s = mo.score(model, d.where(F.col("fold") == "test"))
+    for name, probs in [*named.items(), ("champion", named[champion])]:
+        s = probs(d.where(F.col("fold") == "test"))
         s = s.select("sample", "faultNumber", F.lit(name).alias("model"), F.array_max("probs").alias("max_prob"),
-                     F.element_at(names, F.array_position("probs", F.array_max("probs")).cast("int")).alias("pred_fault"),
+                     F.element_at(names, best).alias("pred_fault"),
                      *[F.col("probs")[i].alias(f"prob_fault_{x}") for i, x in enumerate(labels)])
         s = s.withColumn("risk_proxy", F.lit(1.0) - F.col("max_prob"))
         out = s if out is None else out.unionByName(s)
     return out
 
 
-@register("j10_probability_audit", "J10", "WITH " + Q.SENSOR_MATRIX + """
-SELECT m.model, count(*) AS n_rows, TRUE AS sums_to_one, TRUE AS is_largest FROM sensor_matrix, (VALUES ('champion'), ('rf_100'), ('rf_40')) AS m(model)
-WHERE sample % 5 = 0 GROUP BY m.model""")
-def j10_audit(spark, sf_dir):
+def _probability_audit(t):
     """What every probability table must satisfy: a row per held-out sample and model, class
     probabilities that sum to 1, and the reported one the largest."""
-    t = j10(spark, sf_dir)
     probs = [c for c in t.columns if c.startswith("prob_fault_")]
     return t.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.abs(sum(F.col(c) for c in probs) - 1) < 1e-9).alias("sums_to_one"),
                                   F.bool_and(F.col("max_prob") == F.greatest(*probs)).alias("is_largest"))
 
 
+@register("j10_probability_tables", "J10 C7 H5 G1")
+def j10(spark, sf_dir):
+    """The forest and the boosted trees, both of the upstream size, compete for champion."""
+    return _probability_tables(spark, sf_dir, {"random_forest": (mo.random_forest(SENS), mo.score), "ovr_gbt": (mo.ovr_gbt(SENS), mo.ovr_probabilities)})
+
+
+@register("j10_probability_tables_audit", "J10", "WITH " + Q.SENSOR_MATRIX + """
+SELECT m.model, count(*) AS n_rows, TRUE AS sums_to_one, TRUE AS is_largest FROM sensor_matrix, (VALUES ('champion'), ('random_forest'), ('ovr_gbt')) AS m(model)
+WHERE sample % 5 = 0 GROUP BY m.model""")
+def j10_tables_audit(spark, sf_dir):
+    return _probability_audit(j10(spark, sf_dir))
+
+
+@register("j10_probability_audit", "J10", "WITH " + Q.SENSOR_MATRIX + """
+SELECT m.model, count(*) AS n_rows, TRUE AS sums_to_one, TRUE AS is_largest FROM sensor_matrix, (VALUES ('champion'), ('rf_100'), ('rf_40')) AS m(model)
+WHERE sample % 5 = 0 GROUP BY m.model""")
+def j10_audit(spark, sf_dir):
+    """The same for forests of 100 and 40 trees: the SQL names them by their counts."""
+    return _probability_audit(_probability_tables(spark, sf_dir, {f"rf_{n}": (mo.random_forest(SENS, trees=n), mo.score) for n in (100, 40)}))
+
+
 @register("j11_risk_series", "J11 D9 E13")
 def j11(spark, sf_dir):
     rows = split_rows(spark, sf_dir)
@@ -138,7 +164,7 @@ def j11(spark, sf_dir):
     f = mo.with_label_text(f, "target_fault_label")
     idx = mo.label_indexer("target_fault_label").fit(f)
     train = idx.transform(f.where(F.col("fold") == "train"))
-    model = mo.random_forest(cols, weight=None, trees=100, depth=12).fit(train)
+    model = mo.random_forest(cols, weight=None).fit(train)
     rep = pr.longest_run(pr.run_extent(f.where(F.col("fold") == "test"), 20)).select("run_key")
     run = f.join(F.broadcast(rep), "run_key", "left_semi")
     s = mo.score(model, run)
@@ -170,7 +196,7 @@ def j13(spark, sf_dir):
 @register("j14_shapley_importance", "J14")
 def j14(spark, sf_dir):
     """Every held-out row is explained against a background of 16 training rows (a parameter of the estimator)."""
-    model, idx, d = _rf(spark, sf_dir, trees=40, depth=8)
+    model, idx, d = _rf(spark, sf_dir)
     rows = d.where(F.col("fold") == "test").select(*SENS)
     bg = pr.exact_sample(d.where(F.col("fold") == "train"), 16, ["sample"], seed=11).select(*SENS)
     sh = mo.monte_carlo_shapley(model, rows, bg, SENS, permutations=4)
@@ -180,7 +206,7 @@ def j14(spark, sf_dir):
 @register("j18_model_persistence", "J18", "WITH " + Q.SENSOR_MATRIX + """
 SELECT sample, TRUE AS same_prediction FROM sensor_matrix""")
 def j18(spark, sf_dir):
-    model, idx, d = _rf(spark, sf_dir, trees=40, depth=8)
+    model, idx, d = _rf(spark, sf_dir)
     path = mo.save_model(model, spark, f"rf_{uuid.uuid4().hex}")
     back = mo.load_model(path)
     a = mo.score(model, d).select("sample", F.col("prediction").alias("p1"))
@@ -193,9 +219,8 @@ def j8(spark, sf_dir):
     """Validation log-loss after every boosting iteration of an early-stopped
     GBT, with the best iteration flagged (training stops once the validation
     improvement falls below ``validationTol``)."""
-    m = sensor_matrix(spark, sf_dir).withColumn("y", (F.col("faultNumber") > 0).cast("double"))
-    m = m.withColumn("is_val", F.pmod(F.col("sample"), F.lit(5)) == 0)
-    model = mo.gbt_binary(SENS, label="y", weight=None, iters=30, depth=3, validation="is_val").fit(m)
+    m = _binary_folds(spark, sf_dir).where(F.col("fold") != "test").withColumn("is_val", F.col("fold") == "val")
+    model = mo.gbt_binary(SENS, label="y", weight=None, validation="is_val").fit(m)
     val = model.stages[0].transform(m.where("is_val"))
     losses = model.stages[-1].evaluateEachIteration(val)          # one value per tree (bounded by maxIter)
     best = int(min(range(len(losses)), key=lambda i: losses[i]))

@@ -110,3 +110,44 @@ def test_samples_out_of_order_wait_and_late_ones_are_counted(spark, tmp_path):
     assert np.allclose([r["z"] for r in out], want)
     assert [r["sample"] for r in out if r["rising_edge"]] == [4]
     assert max(r["late_samples"] for r in out) == 1
+
+
+FULL_FOREST, FULL_BOOSTING = (250, 25), (200, 6)
+
+
+@pytest.fixture
+def sizes(monkeypatch):
+    """Sizes of the models that queries ask for; what they get is small."""
+    asked = []
+
+    def spied(make, trees, of=lambda stage: stage):
+        def build(*args, **kwargs):
+            pipeline = make(*args, **kwargs)
+            stage = of(pipeline.getStages()[-1])
+            asked.append((stage.getOrDefault(trees), stage.getMaxDepth()))
+            stage.set(stage.getParam(trees), 2)
+            stage.set(stage.maxDepth, 2)
+            return pipeline
+        return build
+
+    monkeypatch.setattr(mo, "random_forest", spied(mo.random_forest, "numTrees"))
+    monkeypatch.setattr(mo, "gbt_binary", spied(mo.gbt_binary, "maxIter"))
+    monkeypatch.setattr(mo, "ovr_gbt", spied(mo.ovr_gbt, "maxIter", lambda stage: stage.getClassifier()))
+    return asked
+
+
+@pytest.mark.parametrize("name, want, held_out", [
+    ("j6_gbt_binary_scores", [FULL_BOOSTING], True), ("j7_ovr_gbt_probabilities", [FULL_BOOSTING], True), ("j8_early_stopping_report", [FULL_BOOSTING], False),
+    ("j10_probability_tables", [FULL_FOREST, FULL_BOOSTING], True), ("j10_probability_audit", [(100, 25), (40, 25)], False),
+    ("j11_risk_series", [FULL_FOREST], False), ("j14_shapley_importance", [FULL_FOREST], False), ("j18_model_persistence", [FULL_FOREST], False)])
+def test_registered_models_have_the_full_size(spark, sizes, name, want, held_out):
+    import __spark_entry__
+    out = __spark_entry__.queries()[name](spark, SF001)
+    assert sizes == want
+    if held_out:
+        assert out.count() and out.where("sample % 5 <> 0").count() == 0
+
+
+def test_boosting_draws_rows_and_columns():
+    gbt = mo.ovr_gbt(FEATS).getStages()[-1].getClassifier()
+    assert gbt.getSubsamplingRate() == 0.9 and gbt.getFeatureSubsetStrategy() == "0.9"
