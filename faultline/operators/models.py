@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .blocked import ordinal_within
 
 
 # --------------------------------------------------------------------------
@@ -139,17 +140,18 @@ def monte_carlo_shapley(model: PipelineModel, rows: DataFrame, background: DataF
     takes j from ``x``.  All points are scored by ONE ``transform``.  The
     Shapley value of (row, j, class) is the mean signed difference over the
     permutations; its absolute value is averaged over rows and then classes
-    with grouped aggregates.  ``background`` is a small sample (broadcast).
+    with grouped aggregates.  Every (row, permutation) draws its own row of the
+    whole ``background``, which may have any size, by an equi-join on the rows' numbers.
     """
     features = list(features)
     k = len(features)
     r = rows.select(F.monotonically_increasing_id().alias("_rid"), *[F.col(f).alias(f"x_{f}") for f in features])
-    bg = background.select(*[F.col(f).alias(f"z_{f}") for f in features]).withColumn(
-        "_bid", F.row_number().over(Window.orderBy(*[f"z_{f}" for f in features])))
+    ensure_checkpoint_dir(rows.sparkSession)
+    bg = ordinal_within(background.select(F.lit(0).alias("_all"), *[F.col(f).alias(f"z_{f}") for f in features]), "_all", [f"z_{f}" for f in features], out="_bid").drop("_all")
     nb = bg.count()
     rp = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("_perm"))
     rp = rp.withColumn("_bid", (F.pmod(F.xxhash64("_rid", "_perm", F.lit(seed)), F.lit(nb)) + 1).cast("int"))
-    rp = rp.join(F.broadcast(bg), "_bid")
+    rp = rp.join(bg, "_bid").checkpoint(eager=True)              # both points of a pair are built from the same draw
     rp = rp.withColumn("_rank", F.array(*[F.xxhash64("_rid", "_perm", F.lit(i), F.lit(seed)) for i in range(k)]))
     pts = rp.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     rank_j = F.element_at("_rank", F.col("_j") + 1)

@@ -151,3 +151,20 @@ def test_registered_models_have_the_full_size(spark, sizes, name, want, held_out
 def test_boosting_draws_rows_and_columns():
     gbt = mo.ovr_gbt(FEATS).getStages()[-1].getClassifier()
     assert gbt.getSubsamplingRate() == 0.9 and gbt.getFeatureSubsetStrategy() == "0.9"
+
+
+def test_shapley_query_draws_from_the_whole_training_fold(spark, sizes, monkeypatch):
+    import inspect
+
+    from faultline.plans import model_queries as mq
+    seen, real = {}, mo.monte_carlo_shapley
+    few = inspect.signature(real).parameters["permutations"].default
+
+    def spied(model, rows, background, features, permutations=few):
+        seen.update(rows=rows.count(), background=background.count(), permutations=permutations)
+        return real(model, rows.limit(5), background, features, 1)
+
+    monkeypatch.setattr(mo, "monte_carlo_shapley", spied)
+    assert mq.j14(spark, SF001).count()
+    m = mq.with_fold(sensor_matrix(spark, SF001))
+    assert seen == {"rows": m.where("fold = 'test'").count(), "background": m.where("fold = 'train'").count(), "permutations": few}
