@@ -168,3 +168,26 @@ def test_shapley_query_draws_from_the_whole_training_fold(spark, sizes, monkeypa
     assert mq.j14(spark, SF001).count()
     m = mq.with_fold(sensor_matrix(spark, SF001))
     assert seen == {"rows": m.where("fold = 'test'").count(), "background": m.where("fold = 'train'").count(), "permutations": few}
+
+
+def test_rolling_waits_for_samples_out_of_order_and_skips_nulls(spark, tmp_path):
+    import datetime
+    import time
+
+    import pandas as pd
+
+    from faultline.streaming import alarms as st
+    batches = [[1, 2, 4, 5], [3, 6], [2, 7, 9], [18], [8, 19]]          # 3 fills a gap; 2 is late; 18 pushes 9 out, so 8 is late
+    for samples in batches:
+        rows = [("a", 0, 0, s, None if s in (1, 4) else float(s * s), 0.0, 0.0, 0.1, 1, s, datetime.datetime(2026, 1, 1, 0, s)) for s in samples]
+        spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1)                                                   # files are read in the order of their times
+    s = st.telemetry_stream(spark, f"{tmp_path}/in")
+    st.run_to_completion(st.stateful_rolling(s, "xmeas_13", (2, 3), reorder=5), f"{tmp_path}/out", f"{tmp_path}/chk", state_partitions=2)
+    out = spark.read.parquet(f"{tmp_path}/out").orderBy("sample").toPandas()
+    want = [1, 2, 3, 4, 5, 6, 7, 9]
+    assert out["sample"].tolist() == want and out["late_samples"].max() == 1
+    x = pd.Series([np.nan if v in (1, 4) else float(v * v) for v in want])
+    for w in (2, 3):
+        assert np.allclose(out[f"xmeas_13_roll_mean_{w}"], x.rolling(w, min_periods=1).mean(), equal_nan=True)
+        assert np.allclose(out[f"xmeas_13_roll_std_{w}"], x.rolling(w, min_periods=2).std().fillna(0.0))
