@@ -193,6 +193,34 @@ def i7(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+# upstream's caps of each composition, as (fold, class) -> rows.
+COMPOSITIONS = {"balanced_50_50": {("train", 0): 200_000, ("train", 1): 200_000, ("val", 0): 50_000, ("val", 1): 50_000},
+                "imbalanced_90_10": {("train", 0): 450_000, ("train", 1): 50_000, ("val", 0): 50_000, ("val", 1): 50_000},
+                "test_90_10": {("test", 0): 450_000, ("test", 1): 50_000}}
+
+
+@register("i7_full_compositions", "I7", "WITH " + Q.SCORED + f""",
+runs AS (SELECT DISTINCT run_key FROM scored),
+folds AS (SELECT run_key, CASE WHEN ('0x' || substr({MD5}, 1, 7))::BIGINT % 20 < 14 THEN 'train'
+                               WHEN ('0x' || substr({MD5}, 1, 7))::BIGINT % 20 < 17 THEN 'val' ELSE 'test' END AS fold FROM runs),
+pool AS (SELECT run_key, sample, fold, 0 AS class FROM scored JOIN folds USING (run_key) WHERE faultNumber = 0
+         UNION ALL SELECT run_key, sample, fold, 1 FROM scored JOIN folds USING (run_key) WHERE faultNumber > 0 AND sample > 20),
+h AS (SELECT *, row_number() OVER (PARTITION BY fold, class ORDER BY md5(run_key || '|' || CAST(sample AS VARCHAR) || '|42')) AS rk FROM pool),
+caps(composition, fold, class, cap) AS (VALUES {", ".join(str((name, *key, cap)) for name, caps in COMPOSITIONS.items() for key, cap in caps.items())})
+SELECT composition, fold, run_key, sample, class FROM h JOIN caps USING (fold, class) WHERE rk <= cap""")
+def i7_full(spark, sf_dir):
+    """The three class compositions with upstream's caps, shrunk to what exists in each fold of runs (70/15/15 by hash)."""
+    part = F.conv(F.substring(pr.seeded_hash("run_key"), 1, 7), 16, 10).cast("long") % 20
+    pool = scored(spark, sf_dir).withColumn("class", pr.composition_class()).withColumn("fold", F.when(part < 14, "train").when(part < 17, "val").otherwise("test"))
+    out = None
+    for name, caps in COMPOSITIONS.items():
+        for fold in dict.fromkeys(f for f, _ in caps):
+            rows = pr.capped_composition(pool.where(F.col("fold") == fold), "class", {c: n for (f, c), n in caps.items() if f == fold}, ["run_key", "sample"])
+            rows = rows.select(F.lit(name).alias("composition"), "fold", "run_key", "sample", "class")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("i2_pooled_run_sample", "I2", "WITH " + Q.TELEMETRY + """,
 runs AS (SELECT DISTINCT faultNumber, simulationRun,
                 CASE WHEN simulationRun % 2 = 0 THEN 'A' ELSE 'B' END || '_fault_' || CAST(faultNumber AS VARCHAR) || '_run_' || CAST(simulationRun AS VARCHAR) AS run_key

@@ -290,3 +290,15 @@ def test_cluster_without_a_checkpoint_folder_raises():
         sparkContext, conf = Context(), {}
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_full_compositions_have_all_folds_and_no_small_cap(spark):
+    from conftest import SF01
+    from faultline.plans import prepare_queries as pq
+    from faultline.plans.telemetry_queries import scored
+    assert pq.COMPOSITIONS["test_90_10"] == {("test", 0): 450_000, ("test", 1): 50_000}
+    got = pq.i7_full(spark, SF01)
+    assert {(r[0], r[1]) for r in got.select("composition", "fold").distinct().collect()} == {(c, f) for c, caps in pq.COMPOSITIONS.items() for f, _ in caps}
+    every = scored(spark, SF01).where("faultNumber = 0 or sample > 20").count()     # all caps are above what this table has
+    assert got.where("composition <> 'imbalanced_90_10'").count() == every
+    assert got.groupBy("run_key").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
