@@ -24,7 +24,7 @@ from .common import grouped, keep
 CLASS_BITS = 10
 END = 1 << CLASS_BITS                # the class of the end token
 STATES = 4
-PIECE = 256                          # training sequences are pieces of at most so many tokens
+PIECE = 256                          # training runs pieces of so many tokens side by side
 SPAN = 1024                          # scoring runs spans of so many tokens side by side
 FREQUENT = 65_536                    # words with at least a share of 1/65536 of all tokens: there are at most so many
 
@@ -194,34 +194,74 @@ def log_likelihoods(seq: np.ndarray, first: np.ndarray, length: np.ndarray, m: H
     return total
 
 
+def borders(seq: np.ndarray, of: np.ndarray, at: np.ndarray, size: np.ndarray, m: Hmm) -> tuple[np.ndarray, np.ndarray]:
+    """Messages over the borders of pieces: the state distribution after the piece before (zeros for a first
+    piece), and for each state after a piece the scaled likelihood of all that follows (ones for a last piece).
+
+    Every later piece is run once from each state, all side by side, and the results are chained both ways."""
+    s, n = len(m.start), len(of)
+    come, go = np.zeros((n, s)), np.ones((n, s))
+    later = np.flatnonzero(of[1:] == of[:-1]) + 1
+    if not len(later):
+        return come, go
+    first = np.searchsorted(of, of[later])
+    rank = later - first
+    run = np.concatenate([np.unique(first), np.repeat(later, s)])
+    heads = len(run) - len(later) * s
+    before = np.concatenate([np.repeat(m.start[None, :], heads, 0), np.tile(m.step, (len(later), 1))])
+    order = np.argsort(-size[run], kind="stable")
+    state, log = np.empty((len(run), s)), np.empty(len(run))
+    state[order], log[order] = forward(seq, at[run[order]], size[run[order]], before[order], m)
+    come[run[:heads] + 1] = state[:heads]                 # each of these has a piece after it
+    through = log[heads:].reshape(-1, s)
+    through = 10 ** (through - through.max(1, keepdims=True))[:, :, None] * state[heads:].reshape(-1, s, s)     # from state to state over a piece
+    by_rank = np.argsort(rank, kind="stable")
+    edge = np.searchsorted(rank[by_rank], np.arange(1, rank.max() + 2))
+    steps = [by_rank[a:z] for a, z in zip(edge[:-1], edge[1:], strict=True)]
+    last = np.append(of[1:] != of[:-1], True)
+    for k in steps:
+        k = k[~last[later[k]]]
+        out = np.einsum("ds,dst->dt", come[later[k]], through[k])
+        come[later[k] + 1] = out / out.sum(1, keepdims=True)
+    for k in reversed(steps):
+        out = np.einsum("dst,dt->ds", through[k], go[later[k]])
+        go[later[k] - 1] = out / out.max(1, keepdims=True)
+    return come, go
+
+
 def expected_counts(seq: np.ndarray, first: np.ndarray, length: np.ndarray, m: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expectation step over the pieces of some documents: start, transition and emission counts."""
+    """Expectation step over some whole documents: start, transition and emission counts."""
     s = len(m.start)
-    _, at, size = lanes(first, length, PIECE)
+    of, at, size = lanes(first, length, PIECE)
+    come, go = borders(seq, of, at, size, m)
+    is_first = np.append(True, of[1:] != of[:-1])[:len(of)]
     start, step, emit = np.zeros(s), np.zeros((s, s)), np.zeros_like(m.emit)
     order = np.argsort(-size, kind="stable")
     for i in range(0, len(order), 4096):
         own = order[i:i + 4096]
         a, n_tokens = at[own], size[own]
         live = np.searchsorted(-n_tokens, -np.arange(n_tokens[0]), "left")
+        begin = np.where(is_first[own][:, None], m.start, come[own] @ m.step)
         states, scales, kinds = [], [], []
         for t, n in enumerate(live):
             kind = seq[a[:n] + t]
-            now = (np.repeat(m.start[None, :], n, 0) if t == 0 else states[-1][:n] @ m.step) * m.emit[kind]
+            now = (begin[:n] if t == 0 else states[-1][:n] @ m.step) * m.emit[kind]
             total = now.sum(1, keepdims=True)
             states.append(now / total)
             scales.append(total)
             kinds.append(kind)
-        after = np.ones((len(own), s))
+        end = np.empty((len(own), s))
+        for t, n in enumerate(live):
+            end[:n] = states[t]
+        after = go[own] / (end * go[own]).sum(1, keepdims=True)
         for t in range(len(live) - 1, -1, -1):
             n = live[t]
             states[t] *= after[:n]                         # posterior of the states at t
-            if t:
-                back = m.emit[kinds[t]] * after[:n] / scales[t]
-                before = states[t - 1][:n]
-                step += m.step * (before.T @ back)
-                after[:n] = back @ m.step.T
-        start += states[0].sum(0)
+            back = m.emit[kinds[t]] * after[:n] / scales[t]
+            before = states[t - 1][:n] if t else come[own]           # no step leads to a document's first token
+            step += m.step * (before.T @ back)
+            after[:n] = back @ m.step.T
+        start += states[0][is_first[own]].sum(0)
         kind = np.concatenate(kinds)
         post = np.concatenate(states)
         for k in range(s):

@@ -318,3 +318,15 @@ def test_pipeline_stages_on_awkward_rows(spark, docs_of, tmp_path):
 def test_entry_lists_every_operator():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_expected_counts_do_not_depend_on_pieces(monkeypatch):
+    rng = np.random.default_rng(8)
+    m = language_model.Hmm(rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(4) * 0.5, 4), rng.dirichlet(np.ones(1025), 4).T)
+    length = np.array([700, 1, 256, 0, 257, 1100, 30])
+    seq, first = rng.integers(0, 1025, length.sum()).astype(np.uint16), np.cumsum(length) - length
+    got = language_model.expected_counts(seq, first, length, m)
+    monkeypatch.setattr(language_model, "PIECE", 2000)
+    for a, b in zip(got, language_model.expected_counts(seq, first, length, m), strict=True):
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-12)
+    assert np.isclose(got[0].sum(), 6) and np.isclose(got[1].sum(), length.sum() - 6)
