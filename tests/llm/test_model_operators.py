@@ -330,3 +330,11 @@ def test_expected_counts_do_not_depend_on_pieces(monkeypatch):
     for a, b in zip(got, language_model.expected_counts(seq, first, length, m), strict=True):
         assert np.allclose(a, b, rtol=1e-9, atol=1e-12)
     assert np.isclose(got[0].sum(), 6) and np.isclose(got[1].sum(), length.sum() - 6)
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, b + " more"), (3, c), (1, None), (None, c), (4, a)]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(kept.collect(), key=str) == sorted(spark.createDataFrame([(1, a), (1, b), (3, c), (1, None), (None, c)], "doc_id long, text string").collect(), key=str)
