@@ -53,7 +53,10 @@ def signatures(code: np.ndarray, first: np.ndarray) -> np.ndarray:
         v = (low ^ _SEED[0, k]) * _SEED[1, k]
         v ^= v >> np.uint32(15)
         v *= _SEED[2, k]
-        out[:, k] = np.minimum.reduceat(v, first) >> np.uint32(16)
+        least = np.minimum.reduceat(v, first)               # tends to 0 in large sets, so its bits are mixed again
+        least = (least ^ (least >> np.uint32(16))) * np.uint32(0x7FEB352D)
+        least = (least ^ (least >> np.uint32(15))) * np.uint32(0x846CA68B)
+        out[:, k] = (least ^ (least >> np.uint32(16))) & np.uint32(0xFFFF)
     return out
 
 
@@ -69,7 +72,7 @@ def _sketch(batches: Iterable[pa.RecordBatch], size: int, shard_bytes: int) -> I
                 sums = np.stack([np.add.reduceat(tx.mix(code + np.uint64(s)), first) for s in (1, 2)], axis=1)
                 for d, a, b in zip(used.tolist(), sums, signatures(code, first), strict=True):
                     key[d], sig[d] = a.tobytes(), b.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], ["id", "key", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(key, pa.binary()), pa.array(sig, pa.binary()), pa.array(np.diff(offsets[i:j + 1]).astype(np.int64))], ["id", "key", "sig", "bytes"])
 
 
 def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
@@ -91,7 +94,7 @@ def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
 def likely_pairs(sig: np.ndarray, left: np.ndarray, right: np.ndarray | None, band: int, fewest: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows (left x right, or all pairs of left) whose first common band is ``band`` and that survive the pruning."""
     bands = np.ascontiguousarray(sig).view(np.uint64)
-    found = []
+    found = [(left[:0], left[:0])]                                    # a block may be empty
     for i in range(0, len(left), 128):
         a = left[i:i + 128]
         b = left if right is None else right
@@ -176,7 +179,7 @@ def _verify(batches: Iterable[pa.RecordBatch], size: int, numerator: int, denomi
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: tuple[int, int] = (4, 5),
-                    tolerance: float = 1e-6, block_rows: int = 256, shard_bytes: int = 2 << 20) -> DataFrame:
+                    tolerance: float = 1e-6, block_rows: int = 256, block_bytes: int = 16 << 20, shard_bytes: int = 2 << 20) -> DataFrame:
     """(id, n_links, component), a row for each row of ``docs``.
 
     A link is a pair of documents whose sets of ``size``-word n-grams have a Jaccard
@@ -189,19 +192,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     A true link is missed only if no band agrees (below 1e-7 at the threshold) or if
     the pruning errs (about ``tolerance``).  Buckets and links stay distributed: buckets
-    of more than ``block_rows`` classes are split into pairs of blocks, each a task of
-    its own, so no task holds a hot bucket, and no pair is ever a row.
+    of more than ``block_rows`` classes or ``block_bytes`` of text are split into pairs of blocks,
+    each a task of its own, so no task holds a hot bucket, and no pair is ever a row.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    sketch = keep(rows.mapInArrow(lambda it: _sketch(it, size, shard_bytes), "id long, key binary, sig binary"))
-    classes = keep(sketch.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.any_value("sig").alias("sig")))
-    entries = classes.select("id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(
-        b.alias("band"), F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))).alias("bucket")))).alias("e")).select("id", "e.band", "e.bucket")
+    sketch = keep(rows.mapInArrow(lambda it: _sketch(it, size, shard_bytes), "id long, key binary, sig binary, bytes long"))
+    classes = keep(sketch.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.any_value("sig").alias("sig"), F.max("bytes").alias("bytes")))
+    entries = classes.select("id", "bytes", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(
+        b.alias("band"), F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))).alias("bucket")))).alias("e")).select("id", "bytes", "e.band", "e.bucket")
     # buckets with the same documents need to be looked at only once, in the first band
-    buckets = entries.groupBy("bucket", "band").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("y")).where("m > 1")
-    buckets = buckets.groupBy("m", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("f")).select("m", "f.band", "f.bucket")
-    met = entries.join(buckets, ["bucket", "band"]).join(classes.select("id", "weight", "sig"), "id")
-    n_blocks = F.ceil(F.col("m") / block_rows).cast("int")
+    buckets = entries.groupBy("bucket", "band").agg(F.count("*").alias("m"), F.sum("bytes").alias("all_bytes"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit("again"))).alias("y")).where("m > 1")
+    buckets = buckets.groupBy("m", "all_bytes", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("f")).select("m", "all_bytes", "f.band", "f.bucket")
+    met = entries.drop("bytes").join(buckets, ["bucket", "band"]).join(classes.select("id", "weight", "sig"), "id")
+    n_blocks = F.least(F.col("m"), F.greatest(F.ceil(F.col("m") / block_rows), F.ceil(F.col("all_bytes") / block_bytes))).cast("int")
     dealt = (met.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), n_blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
              .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})

@@ -332,6 +332,21 @@ def test_expected_counts_do_not_depend_on_pieces(monkeypatch):
     assert np.isclose(got[0].sum(), 6) and np.isclose(got[1].sum(), length.sum() - 6)
 
 
+def test_large_sets_share_no_minhash_values_by_chance():
+    rng = np.random.default_rng(3)
+    sig = jaccard.signatures(rng.integers(0, 2**64, 600_000, dtype=np.uint64), np.array([0, 300_000]))
+    assert (sig[0] == sig[1]).sum() <= 2
+
+
+def test_jaccard_blocks_by_bytes(spark, docs_of, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = [f"w{x}" for x in rng.integers(0, 9999, 60)]
+    texts = [" ".join(base + [f"end{k}"]) for k in range(12)]
+    want = jaccard.near_duplicates(docs_of(texts)).orderBy("id").collect()
+    assert all(r["n_links"] == 11 and r["component"] == 1 for r in want)
+    assert jaccard.near_duplicates(docs_of(texts), block_bytes=1000).orderBy("id").collect() == want
+
+
 def test_pipeline_keeps_different_texts_of_one_id(spark):
     import corpus_pipeline
     a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
