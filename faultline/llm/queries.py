@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, contamination, jaccard, language_model, pii, quality, secret_scan, toxicity, url_rules, vectors
+from . import bpe, contamination, fill_in_middle, jaccard, language_model, license_scan, pii, quality, resampling, secret_scan, toxicity, url_rules, vectors
 from .common import ORACLE, QUERIES, query, shared_folder, table  # noqa: F401
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -112,3 +112,45 @@ def op3_ngram_jaccard(spark, sf_dir):
 def op7_hmm_language_model(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return language_model.score_texts(docs, fold(7) == 2).withColumnRenamed("id", "doc_id")
+
+
+# CRC-32 of a word in SQL: a step a bit over the bytes of its UTF-8 form.
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(1, len(hex(encode(f))) // 2 + 1), lambda i: [CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))), 4294967295)"""
+
+
+@query("op11_importance_resampling", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+df AS (SELECT r, unnest(w) AS f FROM d), bf AS (SELECT unnest({_WORDS}) AS f FROM benchmark),
+v AS (SELECT f, {_CRC} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN v USING (f) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM bf JOIN v USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT count(*) FROM df) + 10000) AS DOUBLE) / ((s + 1) * ((SELECT count(*) FROM bf) + 10000)))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (bucket)),
+m AS (SELECT r, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM df JOIN v USING (f) JOIN g USING (bucket) GROUP BY r),
+x AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, len(w) >= 20 AS large,
+             CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN m USING (r)),
+y AS (SELECT *, CAST(weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM x),
+z AS (SELECT *, row_number() OVER (PARTITION BY large ORDER BY score DESC, doc_id NULLS LAST) AS i, count(*) OVER (PARTITION BY large) AS n FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN large AND i <= 10 * n // 100 THEN i END AS rank FROM z""")
+def op11_importance_resampling(spark, sf_dir):
+    found = resampling.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_license_scan")
+def op12_license_scan(spark, sf_dir):
+    return license_scan.summary(license_scan.find_notices(table(spark, sf_dir, "documents"), carry=["doc_id"]))
+
+
+@query("op13_fill_in_middle", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hx FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls, CAST('0x' || substr(hx, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hx, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(hx, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(hx, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS a, greatest(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS z,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(ls[1:a], '') AS pre, array_to_string(ls[a + 1:z], '') AS mid, array_to_string(ls[z + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN length(pre) END AS BIGINT) AS prefix_chars, CAST(CASE WHEN form <> 'plain' THEN length(mid) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p""")
+def op13_fill_in_middle(spark, sf_dir):
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), carry=["doc_id"], output=False, restored=True)
+    return made.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
