@@ -1,7 +1,7 @@
 """Model training, scoring and explanation on Spark ML.
 
 Estimators are Spark ML's distributed ones (RandomForest, GBT, OneVsRest,
-PCA).  Where Spark ML's definition differs from the upstream one, the
+PCA); boosting for all classes at once is in :mod:`boosting`, exact explanations in :mod:`explain`.  Where Spark ML's definition differs from the upstream one, the
 difference is made explicit here: imputation is an exact median, scaling uses
 the population std (J1/J2 in :mod:`quality`), PCA input is centred, and the
 one-vs-rest ensemble's per-class probabilities are renormalised to sum to 1.
@@ -53,14 +53,26 @@ def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler
 
 def random_forest(features: Sequence[str], label: str = "label_idx", weight: str | None = "weight",
                   trees: int = 250, depth: int = 25, min_leaf: int = 2, seed: int = 42) -> Pipeline:
-    """Random forest (Spark caps depth at 30)."""
+    """Random forest (Spark caps depth at 30).
+
+    Each row's nodes are kept beside it, so that deep forests aren't sent to the tasks at every level, and
+    room for the statistics of many nodes saves passes."""
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=min(depth, 30),
-                                minInstancesPerNode=min_leaf, seed=seed)
+                                minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True, maxMemoryInMB=1024)
     if weight:
         rf.setWeightCol(weight)
     return Pipeline(stages=[assembler(features), rf])
 
 
+def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit on rows that are dealt over all cores and kept while the estimator passes over them."""
+    rows = df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())).persist()
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def gbt_binary(features: Sequence[str], label: str = "y", weight: str | None = "weight", iters: int = 200,
                lr: float = 0.05, depth: int = 6, seed: int = 42, validation: str | None = None) -> Pipeline:
     """J6 (and J8 when ``validation`` names a boolean column: early stopping on validation loss)."""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.functions.constants import SENSOR_COLUMNS
+from faultline.operators import boosting as bo
 from faultline.operators import models as mo
 from faultline.sources.tables import sensor_matrix
 
@@ -118,28 +119,31 @@ FULL_FOREST, FULL_BOOSTING = (250, 25), (200, 6)
 @pytest.fixture
 def sizes(monkeypatch):
     """Sizes of the models that queries ask for; what they get is small."""
+    import inspect
     asked = []
-
-    def spied(make, trees, of=lambda stage: stage):
-        def build(*args, **kwargs):
-            pipeline = make(*args, **kwargs)
-            stage = of(pipeline.getStages()[-1])
-            asked.append((stage.getOrDefault(trees), stage.getMaxDepth()))
-            stage.set(stage.getParam(trees), 2)
-            stage.set(stage.maxDepth, 2)
-            return pipeline
-        return build
-
-    monkeypatch.setattr(mo, "random_forest", spied(mo.random_forest, "numTrees"))
-    monkeypatch.setattr(mo, "gbt_binary", spied(mo.gbt_binary, "maxIter"))
-    monkeypatch.setattr(mo, "ovr_gbt", spied(mo.ovr_gbt, "maxIter", lambda stage: stage.getClassifier()))
+    forest, boost = mo.random_forest, bo.boost
+    default = {k: p.default for k, p in inspect.signature(boost).parameters.items()}
+
+    def small_forest(*args, **kwargs):
+        pipeline = forest(*args, **kwargs)
+        stage = pipeline.getStages()[-1]
+        asked.append((stage.getNumTrees(), stage.getMaxDepth()))
+        stage._set(numTrees=2, maxDepth=2)
+        return pipeline
+
+    def small_boosting(*args, **kwargs):
+        asked.append((kwargs.get("rounds", default["rounds"]), kwargs.get("depth", default["depth"])))
+        return boost(*args, **kwargs | {"rounds": 2, "depth": 2})
+
+    monkeypatch.setattr(mo, "random_forest", small_forest)
+    monkeypatch.setattr(bo, "boost", small_boosting)
     return asked
 
 
 @pytest.mark.parametrize("name, want, held_out", [
-    ("j6_gbt_binary_scores", [FULL_BOOSTING], True), ("j7_ovr_gbt_probabilities", [FULL_BOOSTING], True), ("j8_early_stopping_report", [FULL_BOOSTING], False),
-    ("j10_probability_tables", [FULL_FOREST, FULL_BOOSTING], True), ("j10_probability_audit", [(100, 25), (40, 25)], False),
-    ("j11_risk_series", [FULL_FOREST], False), ("j14_shapley_importance", [FULL_FOREST], False), ("j18_model_persistence", [FULL_FOREST], False)])
+    ("j6_gbt_binary_scores", [FULL_BOOSTING], True), ("j7_boosted_probabilities", [FULL_BOOSTING], True), ("j8_early_stopping_report", [FULL_BOOSTING], False),
+    ("j10_probability_tables", [FULL_FOREST, FULL_BOOSTING], True), ("j11_risk_series", [FULL_BOOSTING], False), ("j14_shapley_importance", [FULL_FOREST], False),
+    ("j18_model_persistence", [FULL_FOREST], False)])
 def test_registered_models_have_the_full_size(spark, sizes, name, want, held_out):
     import __spark_entry__
     out = __spark_entry__.queries()[name](spark, SF001)
@@ -148,28 +152,6 @@ def test_registered_models_have_the_full_size(spark, sizes, name, want, held_out
         assert out.count() and out.where("sample % 5 <> 0").count() == 0
 
 
-def test_boosting_draws_rows_and_columns():
-    gbt = mo.ovr_gbt(FEATS).getStages()[-1].getClassifier()
-    assert gbt.getSubsamplingRate() == 0.9 and gbt.getFeatureSubsetStrategy() == "0.9"
-
-
-def test_shapley_query_draws_from_the_whole_training_fold(spark, sizes, monkeypatch):
-    import inspect
-
-    from faultline.plans import model_queries as mq
-    seen, real = {}, mo.monte_carlo_shapley
-    few = inspect.signature(real).parameters["permutations"].default
-
-    def spied(model, rows, background, features, permutations=few):
-        seen.update(rows=rows.count(), background=background.count(), permutations=permutations)
-        return real(model, rows.limit(5), background, features, 1)
-
-    monkeypatch.setattr(mo, "monte_carlo_shapley", spied)
-    assert mq.j14(spark, SF001).count()
-    m = mq.with_fold(sensor_matrix(spark, SF001))
-    assert seen == {"rows": m.where("fold = 'test'").count(), "background": m.where("fold = 'train'").count(), "permutations": few}
-
-
 def test_rolling_waits_for_samples_out_of_order_and_skips_nulls(spark, tmp_path):
     import datetime
     import time
