@@ -4,6 +4,7 @@ state carried across micro-batches) and returns the sink as a DataFrame.
 Stream results must equal the batch operators, so the batch oracles apply."""
 from __future__ import annotations
 
+import datetime
 import os
 import uuid
 
@@ -42,6 +43,13 @@ def publish(spark, sf_dir: str, name: str, copies: int = 1, by_time: bool = Fals
     return base
 
 
+def heartbeat(spark, src: str, schema, **values) -> None:
+    """One row more, long after all others: its event time moves the watermark past them, so that windows
+    and runs end.  On a live stream the next events do that."""
+    row = {f.name: values.get(f.name) for f in schema.fields}
+    spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema).coalesce(1).write.mode("append").parquet(src)
+
+
 def _params(spark, sf_dir):
     """Batch-fitted baselines, materialised once: the static side of a
     stream-static join is otherwise re-evaluated in every micro-batch."""
@@ -51,7 +59,7 @@ def _params(spark, sf_dir):
 
 def _alarm_stream(spark, sf_dir, name):
     base = publish(spark, sf_dir, name)
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    s = st.telemetry_stream(st.stream_session(spark), os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
     out = st.stateful_alarms(s, _params(spark, sf_dir), alq.TUNING, EVENTS_INJECTION, idle_ms=IDLE_MS)
     st.run_to_completion(out, os.path.join(base, "out"), os.path.join(base, "chk"))
     return spark.read.parquet(os.path.join(base, "out"))
@@ -79,7 +87,7 @@ SELECT run_key, sample,
 FROM telemetry""")
 def k5(spark, sf_dir):
     base = publish(spark, sf_dir, "k5")
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    s = st.telemetry_stream(st.stream_session(spark), os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
     out = st.stateful_rolling(s, "xmeas_13", (10, 20), idle_ms=IDLE_MS)
     st.run_to_completion(out, os.path.join(base, "out"), os.path.join(base, "chk"))
     r = spark.read.parquet(os.path.join(base, "out"))
@@ -107,23 +115,23 @@ _SEVERITY_SQL = "CASE WHEN value >= 150 THEN 'CRITICAL' WHEN value >= 100 THEN '
 
 
 def _windowed(spark, sf_dir, **kind):
-    """Counts by window and severity over a stream of incidents; the sink holds the complete result."""
+    """Counts by window and severity over a stream of incidents, published in ranges of event time.
+
+    The watermark lies two ranges behind the newest incident, so none of a range is late."""
     base = st.scratch(spark, f"k6-{uuid.uuid4().hex[:12]}")
-    inc = incidents(spark, sf_dir).select("id", "ts", "severity")
     src = os.path.join(base, "in")
-    inc.repartition(4).write.parquet(src)
-    s = spark.readStream.schema(inc.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    counts = st.windowed_counts(s, watermark="60 days", **kind)
-    sink = os.path.join(base, "out")
-
-    def overwrite(batch, _):
-        batch.write.mode("overwrite").parquet(sink)
-    w = (counts.writeStream.outputMode("complete").foreachBatch(overwrite)
-         .option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True))
-    st.start_with_state_partitions(w, spark, None).awaitTermination()
-    r = spark.read.parquet(sink)
+    inc = incidents(spark, sf_dir).select("id", "ts", "severity").withColumn("_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    lo, hi = inc.agg(F.min("_ms"), F.max("_ms")).first()
+    width = ((hi or 0) - (lo or 0)) // SLICES + 1
+    for k in range(SLICES):
+        inc.where(F.floor((F.col("_ms") - (lo or 0)) / width) == k).drop("_ms").write.mode("append").parquet(src)
+    schema = inc.drop("_ms").schema
+    heartbeat(spark, src, schema, ts=datetime.datetime(2200, 1, 1), severity="none")
+    s = st.stream_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
+    counts = st.windowed_counts(s, watermark=f"{2 * width} milliseconds", **kind)
+    st.run_to_completion(counts, os.path.join(base, "out"), os.path.join(base, "chk"))
     at = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c)
-    return r.select(at("window_start"), at("window_end"), "severity", "n")
+    return spark.read.schema(counts.schema).parquet(os.path.join(base, "out")).select(at("window_start"), at("window_end"), "severity", "n")
 
 
 @register("k6_stream_windowed_alert_counts", "K6", f"""
@@ -160,3 +168,16 @@ def k7(spark, sf_dir):
     d = st.dedup_samples(s, watermark="6 days").select("run_key", "sample")
     st.run_to_completion(d, os.path.join(base, "out"), os.path.join(base, "chk"))
     return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("k7_stream_dedup_report", "K7", "WITH " + Q.TELEMETRY + """
+SELECT run_key, count(*) AS n_samples, 2 * count(*) AS n_copies FROM telemetry GROUP BY run_key""")
+def k7_report(spark, sf_dir):
+    """Each slice is delivered three times: one arrival of each sample goes on, the two copies are counted."""
+    base = publish(spark, sf_dir, "k7r", copies=3, by_time=True)
+    src = os.path.join(base, "in")
+    heartbeat(spark, src, st.TELEMETRY_STREAM_SCHEMA, run_key="heartbeat", sample=1, ts=datetime.datetime(2200, 1, 1))
+    s = st.telemetry_stream(st.stream_session(spark), src, files_per_trigger=FILES_PER_TRIGGER)
+    st.run_to_completion(st.counted_dedup(s, delay_ms=6 * 86_400_000), os.path.join(base, "out"), os.path.join(base, "chk"))
+    r = spark.read.parquet(os.path.join(base, "out")).where("run_key <> 'heartbeat'")
+    return r.groupBy("run_key").agg(F.count("sample").alias("n_samples"), F.sum("copies").alias("n_copies"))

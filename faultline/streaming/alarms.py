@@ -2,12 +2,14 @@
 
 K1  telemetry file source        ``readStream.schema(S).parquet`` + maxFilesPerTrigger
 K2  live alert stream            stateless: probabilities + catalogue (stream-static join)
-K3  stateful EWMA + ROC + latch  ``applyInPandasWithState`` keyed by run
+K3  stateful EWMA + ROC + latch  ``transformWithStateInPandas`` keyed by run
 K4  rising-edge alert events     previous ``is_fault`` kept in the same state
-K5  rolling features             per-run ring buffer of the last ``max(windows)`` values
-K6  windowed alert counts        watermark + tumbling / sliding / session windows
-K7  late and duplicate samples   ``dropDuplicatesWithinWatermark`` + state drops
-                                  samples at or before the last one seen
+K5  rolling features             a map state of the last ``max(windows)`` values
+K6  windowed alert counts        watermark + tumbling / sliding / session windows, each emitted once
+K7  late and duplicate samples   ``dropDuplicatesWithinWatermark``, or a seen-set that counts what it drops
+
+Keyed state is a value a run, a map of the samples that wait, and an event-time timer that closes
+idle runs, in the RocksDB state store: a batch writes what changed, not the whole state.
 
 Per-run baselines (EWMA mean/std, ROC threshold, ramp end) need pre-fault
 samples, which a stream cannot wait for: they come from a batch-fitted params
@@ -17,13 +19,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.alarms import Latch, Tuning, latch_inputs, visited
 
@@ -46,42 +49,39 @@ def telemetry_stream(spark: SparkSession, path: str, files_per_trigger: int = 1,
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path))
 
 
-def start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None):
-    """Start a streaming query with an explicit number of state partitions.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for stateful streams: the caller's settings, RocksDB state and a number of state partitions.
 
-    A stateful query takes its partition count from ``spark.sql.shuffle.partitions``
-    when it first starts and keeps it in the checkpoint for its lifetime; it
-    is set for the start only and the session value restored."""
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    A stateful query takes these when it first starts and keeps them in its checkpoint for its lifetime.  The
+    caller's session, in which others may start queries meanwhile, is not touched."""
+    s = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            s.conf.set(key, value)
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    s.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return s
 
 
-def run_to_completion(stream: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
-                      fmt: str = "parquet", state_partitions: int | None = None) -> None:
+def run_to_completion(stream: DataFrame, sink_path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> dict[str, Any]:
     """Drive a streaming query over everything available (AvailableNow) into a
-    file sink with a reliable checkpoint; blocks until done."""
-    w = (stream.writeStream.format(fmt).outputMode(mode).option("path", sink_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    q = start_with_state_partitions(w, stream.sparkSession, state_partitions)
+    file sink with a reliable checkpoint; blocks until done.
+
+    Returns what its progress reports say: ``late``, rows dropped behind the watermark, and
+    ``state_rows``, rows held in state after each batch."""
+    q = (stream.writeStream.format(fmt).outputMode(mode).option("path", sink_path)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    states = [[dict(o) if isinstance(o, dict) else {"numRowsDroppedByWatermark": o.numRowsDroppedByWatermark, "numRowsTotal": o.numRowsTotal} for o in p.stateOperators] for p in q.recentProgress]
+    return {"late": sum(o["numRowsDroppedByWatermark"] for p in states for o in p), "state_rows": [sum(o["numRowsTotal"] for o in p) for p in states]}
 
 
 # --------------------------------------------------------------------------
 # K3 / K4 keyed state: EWMA, ROC, latch, rising edge
 # --------------------------------------------------------------------------
-ALARM_STATE = T.StructType([
-    T.StructField("last", T.LongType()), T.StructField("z", T.DoubleType()), T.StructField("latch", T.IntegerType()),
-    T.StructField("prev_fault", T.IntegerType()), T.StructField("late", T.LongType()),
-    T.StructField("held_sample", T.ArrayType(T.LongType())), T.StructField("held_x", T.ArrayType(T.DoubleType())),
-    T.StructField("held_fault", T.ArrayType(T.IntegerType())), T.StructField("params", T.ArrayType(T.DoubleType())),
-])
-START = (0, None, 0, None, 0, [], [], [], [])          # runs begin at sample 1; one that begins later waits as if for a gap
-
 ALARM_OUT = T.StructType([
     T.StructField("run_key", T.StringType()), T.StructField("sample", T.IntegerType()),
     T.StructField("z", T.DoubleType()), T.StructField("roc_abs", T.DoubleType()),
@@ -103,132 +103,191 @@ def due(sample: np.ndarray, last: int, reorder: int) -> int:
     return max(ready, int(np.searchsorted(sample, sample[-1] - reorder, "right")))
 
 
-def _alarm_fn(t: Tuning, inject: int, col: str, reorder: int, idle_ms: int):
-    fsm = Latch(t.n_on, t.n_off, t.lockout, t.max_latch)
-    moves, latched = fsm.moves().tolist(), fsm.S0
+class RunProcessor(StatefulProcessor):
+    """What the processors of a run share: samples that wait, late ones, and closing an idle run.
+
+    ``run`` holds (last sample, late samples, timer) and what a subclass adds, ``waiting`` a row a sample that waits."""
+    fields: Sequence[str] = ()                  # columns of a waiting sample, doubles
+    own = ""                                    # what a subclass adds to ``run``, as DDL
+    start: tuple = ()
+
+    def __init__(self, reorder: int, idle_ms: int):
+        self.reorder, self.idle_ms = reorder, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "last long, late long, timer long" + self.own)
+        self.waiting = handle.getMapState("waiting", "sample long", ", ".join(f"{f} double" for f in self.fields))
 
-    def averages(x: np.ndarray, z: float | None) -> tuple[np.ndarray, np.ndarray]:
+    def goes_on(self, key: tuple, rows: pd.DataFrame, values: tuple, late: int) -> tuple[pd.DataFrame | None, tuple]:
+        """Output and new values for samples in order."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows), ignore_index=True)
+        last, late, timer, *values = self.run.get() or (0, 0, None, *self.start)     # runs begin at sample 1; one that begins later waits as if for a gap
+        fresh = arrived[arrived["sample"] > last]
+        late += len(arrived) - len(fresh)
+        held = [(k[0], *v) for k, v in self.waiting.iterator()]
+        waiting = pd.concat([pd.DataFrame(held, columns=["sample", *self.fields]), fresh[["sample", *self.fields]]] if held else [fresh[["sample", *self.fields]]])
+        waiting = waiting.drop_duplicates("sample").sort_values("sample")
+        n = due(waiting["sample"].to_numpy(), last, self.reorder)
+        go, rest = waiting.iloc[:n], waiting.iloc[n:]
+        kept = {k for k, *_ in held}
+        for k in kept.intersection(go["sample"].tolist()):
+            self.waiting.removeKey((k,))
+        for k, *v in rest.itertuples(index=False):
+            if k not in kept:
+                self.waiting.updateValue((int(k),), tuple(None if x != x else float(x) for x in v))
+        out, values = self.goes_on(key, go, self.primed(arrived, tuple(values)), late)
+        now, newest = timerValues.getCurrentWatermarkInMs(), arrived["event_ms"].max()
+        closes = int(max(now, newest if newest == newest else now)) + self.idle_ms
+        if closes > (timer or 0):
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(closes)
+            timer = closes
+        self.run.update((int(go["sample"].iloc[-1]) if n else last, int(late), timer, *values))
+        if out is not None:
+            yield out
+
+    def primed(self, arrived: pd.DataFrame, values: tuple) -> tuple:
+        return values
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        """The run is idle: what waits goes out, and its state is removed."""
+        state = self.run.get()
+        if state is not None:
+            _, late, _, *values = state
+            held = sorted((k[0], *v) for k, v in self.waiting.iterator())
+            rest = pd.DataFrame(held, columns=["sample", *self.fields]).astype({f: float for f in self.fields})
+            out, _ = self.goes_on(key, rest, tuple(values), late)
+            self.run.clear()
+            self.waiting.clear()
+            if out is not None:
+                yield out
+
+    def close(self) -> None:
+        pass
+
+
+class AlarmProcessor(RunProcessor):
+    """EWMA, rate of change, bands, latch and rising edge of a run, from where the last batch left them."""
+    fields = ("x", "is_fault")
+    own = ", z double, latch int, prev_fault int, mu_z double, sig_z double, roc_thr double, t_max double"
+    start = (None, 0, None, None, None, None, None)
+
+    def __init__(self, t: Tuning, inject: int, reorder: int, idle_ms: int):
+        super().__init__(reorder, idle_ms)
+        fsm = Latch(t.n_on, t.n_off, t.lockout, t.max_latch)
+        self.tuning, self.inject, self.moves, self.latched = t, inject, fsm.moves().tolist(), fsm.S0
+
+    def primed(self, arrived: pd.DataFrame, values: tuple) -> tuple:
+        return (*values[:3], *[float(arrived[p].iloc[0]) for p in PARAMS])
+
+    def averages(self, x: np.ndarray, z: float | None) -> tuple[np.ndarray, np.ndarray]:
         """EWMA after each value, and its change; a missing value leaves it as it is."""
-        out, change = np.full(len(x), np.nan), np.zeros(len(x))
+        out, change, alpha = np.full(len(x), np.nan), np.zeros(len(x)), self.tuning.alpha
         for i, v in enumerate(x):
-            new = z if np.isnan(v) else v if z is None else t.alpha * v + (1 - t.alpha) * z
+            new = z if np.isnan(v) else v if z is None else alpha * v + (1 - alpha) * z
             change[i] = 0.0 if z is None or new is None else abs(new - z)
             z = new
             out[i] = np.nan if z is None else z
         return out, change
 
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, z, latch, prev_fault, late, held_s, held_x, held_f, params = state.get if state.exists else START
-        waiting = pd.DataFrame({"sample": np.array(held_s, dtype=np.int64), col: np.array(held_x, dtype=float), "is_fault": np.array(held_f, dtype=np.int64)})
-        expired = state.hasTimedOut
-        if not expired:
-            arrived = pd.concat(list(batches), ignore_index=True)
-            params = [float(arrived[p].iloc[0]) for p in PARAMS]
-            newest = arrived["event_ms"].max()
-            fresh = arrived[arrived["sample"] > last]
-            waiting = pd.concat([waiting, fresh[["sample", col, "is_fault"]]]).drop_duplicates("sample").sort_values("sample")
-            late += len(arrived) - len(fresh)
-        n = len(waiting) if expired else due(waiting["sample"].to_numpy(), last, reorder)
-        go, rest = waiting.iloc[:n], waiting.iloc[n:]
-        if expired:
-            state.remove()
-        if n:
-            mu, sig, roc_thr, t_max = params
-            sample = go["sample"].to_numpy()
-            zs, roc = averages(go[col].to_numpy(dtype=float), z)
-            width = (t.sigma + t.tail * np.clip((sample - inject) / max(t_max - inject, 1.0), 0, 1)) * sig
-            low, high = mu - width - t.pad, mu + width + t.pad
-            breach = (zs < low) | (zs > high)
-            clear = ~breach if t.hysteresis is None else (zs >= low + t.hysteresis) & (zs <= high - t.hysteresis)
-            states = visited(moves, latch, latch_inputs(breach, clear).tolist())
-            fault = go["is_fault"].to_numpy()
-            before = np.concatenate([[-1 if prev_fault is None else prev_fault], fault[:-1]])
-            yield pd.DataFrame({
-                "run_key": key[0], "sample": sample.astype("int32"), "z": zs, "roc_abs": roc, "breach": breach, "in_clear": clear, "roc_pre": (roc > roc_thr) & ~breach,
-                "alarm": (np.array(states) >= latched).astype("int32"), "is_fault": fault.astype("int32"), "rising_edge": ((before == 0) & (fault == 1)).astype("int32"), "late_samples": late})
-            last, z, latch, prev_fault = int(sample[-1]), None if np.isnan(zs[-1]) else float(zs[-1]), states[-1], int(fault[-1])
-        if not expired:
-            state.update((last, z, latch, prev_fault, late, rest["sample"].tolist(), rest[col].tolist(), [int(f) for f in rest["is_fault"]], params))
-            expire_after(state, newest, idle_ms)
-    return fn
-
-
-def expire_after(state: GroupState, newest: float, idle_ms: int) -> None:
-    """Let the state expire once the watermark is ``idle_ms`` past the run's newest event time."""
-    now = state.getCurrentWatermarkMs()
-    state.setTimeoutTimestamp(int(max(now, newest if newest == newest else now)) + idle_ms)
+    def goes_on(self, key, rows, values, late):
+        z, latch, prev_fault, mu, sig, roc_thr, t_max = values
+        if not len(rows):
+            return None, values
+        t = self.tuning
+        sample, fault = rows["sample"].to_numpy(dtype=np.int64), rows["is_fault"].to_numpy().astype(np.int64)
+        zs, roc = self.averages(rows["x"].to_numpy(dtype=float), z)
+        width = (t.sigma + t.tail * np.clip((sample - self.inject) / max(t_max - self.inject, 1.0), 0, 1)) * sig
+        low, high = mu - width - t.pad, mu + width + t.pad
+        breach = (zs < low) | (zs > high)
+        clear = ~breach if t.hysteresis is None else (zs >= low + t.hysteresis) & (zs <= high - t.hysteresis)
+        states = visited(self.moves, latch, latch_inputs(breach, clear).tolist())
+        before = np.concatenate([[-1 if prev_fault is None else prev_fault], fault[:-1]])
+        out = pd.DataFrame({
+            "run_key": key[0], "sample": sample.astype("int32"), "z": zs, "roc_abs": roc, "breach": breach, "in_clear": clear, "roc_pre": (roc > roc_thr) & ~breach,
+            "alarm": (np.array(states) >= self.latched).astype("int32"), "is_fault": fault.astype("int32"), "rising_edge": ((before == 0) & (fault == 1)).astype("int32"), "late_samples": late})
+        return out, (None if np.isnan(zs[-1]) else float(zs[-1]), int(states[-1]), int(fault[-1]), mu, sig, roc_thr, t_max)
 
 
 def stateful_alarms(stream: DataFrame, params: DataFrame, tuning: Tuning, inject: int, col: str = "xmeas_13",
                     threshold: float = 0.35, reorder: int = 8, idle_ms: int = 86_400_000, ts: str = "ts") -> DataFrame:
     """K3/K4: per-run EWMA, ROC, band flags, latched alarm and rising edge,
     with state carried across micro-batches.  ``params``: run_key, mu_z, sig_z,
-    roc_thr, t_max (batch-fitted baselines).
+    roc_thr, t_max (batch-fitted baselines).  The stream must be of a ``stream_session``.
 
     Samples that arrive out of order wait until the gap before them is filled or they lie
     ``reorder`` samples behind the newest.  A sample that comes after its successor
     went on is dropped and counted in ``late_samples``.  A run that falls ``idle_ms`` of
     event time behind the watermark is closed: what waits goes out and its state is removed."""
     s = watermarked(stream, ts, idle_ms).join(params.select("run_key", *PARAMS), "run_key")
-    s = s.withColumn("is_fault", F.coalesce((F.col("p_fault") >= threshold).cast("int"), F.lit(0)))
-    s = s.select("run_key", F.col("sample").cast("long").alias("sample"), F.col(col).cast("double").alias(col), *[F.col(p).cast("double").alias(p) for p in PARAMS], "is_fault", "event_time", "event_ms")
-    return s.groupBy("run_key").applyInPandasWithState(
-        _alarm_fn(tuning, inject, col, reorder, idle_ms), ALARM_OUT, ALARM_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    s = s.withColumn("is_fault", F.coalesce((F.col("p_fault") >= threshold).cast("double"), F.lit(0.0)))
+    s = s.select("run_key", F.col("sample").cast("long").alias("sample"), F.col(col).cast("double").alias("x"), *[F.col(p).cast("double").alias(p) for p in PARAMS], "is_fault", "event_time", "event_ms")
+    return s.groupBy("run_key").transformWithStateInPandas(AlarmProcessor(tuning, inject, reorder, idle_ms), ALARM_OUT, "append", "EventTime")
 
 
 # --------------------------------------------------------------------------
-# K5 rolling features from a ring buffer
+# K5 rolling features from a ring of values
 # --------------------------------------------------------------------------
+class RollingProcessor(RunProcessor):
+    """Trailing mean and std; ``recent`` holds the last values by their place modulo the widest window."""
+    fields = ("x",)
+    own = ", seen long"
+    start = (0,)
+
+    def __init__(self, col: str, windows: Sequence[int], reorder: int, idle_ms: int):
+        super().__init__(reorder, idle_ms)
+        self.col, self.windows, self.widest = col, tuple(windows), max(windows)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.recent = handle.getMapState("recent", "place int", "x double")
+
+    def goes_on(self, key, rows, values, late):
+        (seen,) = values
+        n = len(rows)
+        if not n:
+            return None, values
+        ring = {k[0]: v[0] for k, v in self.recent.iterator()}
+        before = [ring.get((seen - i) % self.widest) if i <= seen else None for i in range(self.widest - 1, 0, -1)]
+        x = np.concatenate([np.array([np.nan if v is None else v for v in before]), rows["x"].to_numpy(dtype=float)])
+        out = {"run_key": key[0], "sample": rows["sample"].to_numpy().astype("int32")}
+        for w in self.windows:
+            view = np.lib.stride_tricks.sliding_window_view(x[self.widest - w:], w)
+            some = ~np.isnan(view)
+            count = some.sum(axis=1)
+            mean = np.where(some, view, 0.0).sum(axis=1) / np.maximum(count, 1)
+            square = np.where(some, (view - mean[:, None]) ** 2, 0.0).sum(axis=1)
+            out[f"{self.col}_roll_mean_{w}"] = np.where(count > 0, mean, np.nan)
+            out[f"{self.col}_roll_std_{w}"] = np.where(count > 1, np.sqrt(square / np.maximum(count - 1, 1)), 0.0)
+        for place in range(max(seen, seen + n - self.widest), seen + n):
+            v = x[self.widest - 1 + place - seen]
+            self.recent.updateValue((place % self.widest,), (None if np.isnan(v) else float(v),))
+        return pd.DataFrame(out | {"late_samples": late}), (seen + n,)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        self.recent.clear()
+
+
 def stateful_rolling(stream: DataFrame, col: str, windows: Sequence[int] = (10, 20), reorder: int = 8, idle_ms: int = 86_400_000, ts: str = "ts") -> DataFrame:
     """K5: trailing mean and sample std per window for each new sample; the
     state keeps the last ``max(windows)`` values of the run, until the run is ``idle_ms`` behind the watermark.
 
     A missing value takes its place in the window and is skipped, as in batch.  Samples out of order wait,
     late ones are dropped and counted in ``late_samples``, and a closed run lets go what waits, as in stateful_alarms."""
-    wmax = max(windows)
-    out_fields = [T.StructField("run_key", T.StringType()), T.StructField("sample", T.IntegerType())]
+    fields = [T.StructField("run_key", T.StringType()), T.StructField("sample", T.IntegerType())]
     for w in windows:
-        out_fields += [T.StructField(f"{col}_roll_mean_{w}", T.DoubleType()),
-                       T.StructField(f"{col}_roll_std_{w}", T.DoubleType())]
-    out_fields.append(T.StructField("late_samples", T.LongType()))
-    out_schema = T.StructType(out_fields)
-    state_schema = T.StructType([
-        T.StructField("last", T.LongType()), T.StructField("buf", T.ArrayType(T.DoubleType())), T.StructField("late", T.LongType()),
-        T.StructField("held_sample", T.ArrayType(T.LongType())), T.StructField("held_x", T.ArrayType(T.DoubleType()))])
-
-    def fn(key, batches, state: GroupState):
-        last, buf, late, held_s, held_x = state.get if state.exists else (0, [], 0, [], [])
-        waiting = pd.DataFrame({"sample": np.array(held_s, dtype=np.int64), col: np.array(held_x, dtype=float)})
-        expired = state.hasTimedOut
-        if not expired:
-            arrived = pd.concat(list(batches), ignore_index=True)
-            newest = arrived["event_ms"].max()
-            fresh = arrived[arrived["sample"] > last]
-            waiting = pd.concat([waiting, fresh[["sample", col]]]).drop_duplicates("sample").sort_values("sample")
-            late += len(arrived) - len(fresh)
-        n = len(waiting) if expired else due(waiting["sample"].to_numpy(), last, reorder)
-        go, rest = waiting.iloc[:n], waiting.iloc[n:]
-        if expired:
-            state.remove()
-        buf = np.array(buf, dtype=float)
-        rows = []
-        for sample, x in zip(go["sample"].tolist(), go[col].to_numpy(dtype=float), strict=True):
-            buf = np.append(buf, x)[-wmax:]
-            rec = [key[0], sample]
-            for w in windows:
-                v = buf[-w:]
-                v = v[~np.isnan(v)]
-                rec += [float(v.mean()) if len(v) else None, float(v.std(ddof=1)) if len(v) > 1 else 0.0]
-            rows.append([*rec, late])
-            last = sample
-        if not expired:
-            state.update((last, buf.tolist(), late, rest["sample"].tolist(), rest[col].tolist()))
-            expire_after(state, newest, idle_ms)
-        if rows:
-            yield pd.DataFrame(rows, columns=[f.name for f in out_fields]).astype({"sample": "int32"})
-
-    s = watermarked(stream, ts, idle_ms).select("run_key", F.col("sample").cast("long").alias("sample"), F.col(col).cast("double").alias(col), "event_time", "event_ms")
-    return s.groupBy("run_key").applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+        fields += [T.StructField(f"{col}_roll_mean_{w}", T.DoubleType()), T.StructField(f"{col}_roll_std_{w}", T.DoubleType())]
+    fields.append(T.StructField("late_samples", T.LongType()))
+    s = watermarked(stream, ts, idle_ms).select("run_key", F.col("sample").cast("long").alias("sample"), F.col(col).cast("double").alias("x"), "event_time", "event_ms")
+    out = s.groupBy("run_key").transformWithStateInPandas(RollingProcessor(col, windows, reorder, idle_ms), T.StructType(fields), "append", "EventTime")
+    means = [c for c in out.columns if "_roll_mean_" in c]
+    return out.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in means else F.col(c) for c in out.columns])
 
 
 # --------------------------------------------------------------------------
@@ -236,7 +295,10 @@ def stateful_rolling(stream: DataFrame, col: str, windows: Sequence[int] = (10,
 # --------------------------------------------------------------------------
 def windowed_counts(alerts: DataFrame, ts: str = "ts", by: str = "severity", size: str = "1 hour",
                     slide: str | None = None, session_gap: str | None = None, watermark: str = "2 hours") -> DataFrame:
-    """K6: alert counts per event-time window (tumbling, sliding or session)."""
+    """K6: alert counts per event-time window (tumbling, sliding or session).
+
+    In append mode each window is emitted once, when the watermark passes its end, and its state is
+    dropped; rows behind the watermark are not counted in (run_to_completion reports how many)."""
     w = with_event_time(alerts, ts).withWatermark("event_time", watermark)
     if session_gap:
         win = F.session_window("event_time", session_gap)
@@ -252,6 +314,60 @@ def dedup_samples(stream: DataFrame, ts: str = "ts", keys: Sequence[str] = ("run
     return with_event_time(stream, ts).withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+class SeenProcessor(StatefulProcessor):
+    """First arrivals of the samples of a (run, block), and how many copies were dropped."""
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "sample long", "event_ms long")
+        self.block = handle.getValueState("block", "copies long, timer long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows), ignore_index=True)
+        copies, timer = self.block.get() or (0, None)
+        known = {k[0] for k in self.seen.keys()}
+        first = arrived.drop_duplicates("sample")
+        first = first[~first["sample"].isin(known)]
+        for sample, ms in zip(first["sample"].tolist(), first["event_ms"].tolist(), strict=True):
+            self.seen.updateValue((int(sample),), (int(ms),))
+        now = timerValues.getCurrentWatermarkInMs()
+        closes = int(max(now, arrived["event_ms"].max())) + self.keep_ms
+        if closes > (timer or 0):
+            if timer:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(closes)
+            timer = closes
+        self.block.update((int(copies + len(arrived) - len(first)), timer))
+        if len(first):
+            yield pd.DataFrame({"run_key": key[0], "sample": first["sample"].astype("int64"), "copies": pd.array([None] * len(first), dtype="Int64")})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        """The watermark is past all samples of the block: its copies are told and its state is removed."""
+        state = self.block.get()
+        if state is not None:
+            self.seen.clear()
+            self.block.clear()
+            yield pd.DataFrame({"run_key": [key[0]], "sample": pd.array([None], dtype="Int64"), "copies": pd.array([state[0]], dtype="Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def counted_dedup(stream: DataFrame, ts: str = "ts", delay_ms: int = 3_600_000, block: int = 1024) -> DataFrame:
+    """K7: first arrivals of each (run, sample), and the number of copies that were dropped.
+
+    A row with ``sample`` is a first arrival; one without tells the ``copies`` dropped of a (run, block of
+    ``block`` samples) once the watermark, ``delay_ms`` behind the newest event, is ``delay_ms`` past the block's newest
+    sample, when what was seen of it is forgotten.  Rows behind the watermark are dropped before
+    they get here; run_to_completion reports how many.  A run is split into blocks, so none fills a task."""
+    s = watermarked(stream, ts, delay_ms).withColumn("block", F.floor((F.col("sample") - 1) / block))
+    s = s.select("run_key", "block", F.col("sample").cast("long").alias("sample"), F.col("event_ms").cast("long").alias("event_ms"), "event_time")
+    return s.groupBy("run_key", "block").transformWithStateInPandas(SeenProcessor(delay_ms), "run_key string, sample long, copies long", "append", "EventTime")
+
+
 def watermarked(stream: DataFrame, ts: str, delay_ms: int) -> DataFrame:
     """With event_time as the watermark column, and event_ms."""
     s = with_event_time(stream, ts).withWatermark("event_time", f"{delay_ms} milliseconds")

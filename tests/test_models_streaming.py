@@ -100,8 +100,8 @@ def test_samples_out_of_order_wait_and_late_ones_are_counted(spark, tmp_path):
         rows = [("a", 0, 0, s, float(s), 0.0, 0.0, 0.9 if s > 3 else 0.1, 1, s, datetime.datetime(2026, 1, 1, 0, s)) for s in samples]
         spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         time.sleep(1.1)                                                   # files are read in the order of their times
-    s = st.telemetry_stream(spark, f"{tmp_path}/in")
-    st.run_to_completion(st.stateful_alarms(s, params, t, 3, reorder=5), f"{tmp_path}/out", f"{tmp_path}/chk", state_partitions=2)
+    s = st.telemetry_stream(st.stream_session(spark, 2), f"{tmp_path}/in")
+    st.run_to_completion(st.stateful_alarms(s, params, t, 3, reorder=5), f"{tmp_path}/out", f"{tmp_path}/chk")
     out = spark.read.parquet(f"{tmp_path}/out").orderBy("sample").collect()
     assert [r["sample"] for r in out] == [1, 2, 3, 4, 5, 6, 7, 9]
     z, want = None, []
@@ -164,8 +164,8 @@ def test_rolling_waits_for_samples_out_of_order_and_skips_nulls(spark, tmp_path)
         rows = [("a", 0, 0, s, None if s in (1, 4) else float(s * s), 0.0, 0.0, 0.1, 1, s, datetime.datetime(2026, 1, 1, 0, s)) for s in samples]
         spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         time.sleep(1.1)                                                   # files are read in the order of their times
-    s = st.telemetry_stream(spark, f"{tmp_path}/in")
-    st.run_to_completion(st.stateful_rolling(s, "xmeas_13", (2, 3), reorder=5), f"{tmp_path}/out", f"{tmp_path}/chk", state_partitions=2)
+    s = st.telemetry_stream(st.stream_session(spark, 2), f"{tmp_path}/in")
+    st.run_to_completion(st.stateful_rolling(s, "xmeas_13", (2, 3), reorder=5), f"{tmp_path}/out", f"{tmp_path}/chk")
     out = spark.read.parquet(f"{tmp_path}/out").orderBy("sample").toPandas()
     want = [1, 2, 3, 4, 5, 6, 7, 9]
     assert out["sample"].tolist() == want and out["late_samples"].max() == 1
