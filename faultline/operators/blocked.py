@@ -132,7 +132,7 @@ def doubling_scan(blocks: DataFrame, key: str | Sequence[str], values: Sequence[
 # Exact dense ordinal without a per-key window
 # --------------------------------------------------------------------------
 def ordinal_within(df: DataFrame, key: str, order: Sequence[str], out: str = "pos") -> DataFrame:
-    """``row_number() over (partition by key order by order)`` for any key skew.
+    """``row_number() over (partition by key order by order)`` for any key skew, as a long.
 
     A global sort range-partitions the rows (a hot key is split over many
     partitions by the sampled range bounds).  The sorted rows are checkpointed
@@ -154,7 +154,7 @@ def ordinal_within(df: DataFrame, key: str, order: Sequence[str], out: str = "po
     firsts = (g.groupBy("_p", key).agg(F.min("_g").alias("_gm"))
               .withColumn("_first", F.min("_gm").over(Window.partitionBy(key)))
               .drop("_gm"))
-    res = g.join(firsts, ["_p", key]).withColumn(out, (F.col("_g") - F.col("_first") + 1).cast("int"))
+    res = g.join(firsts, ["_p", key]).withColumn(out, F.col("_g") - F.col("_first") + 1)
     return res.drop("_mid", "_p", "_i", "_off", "_g", "_first")
 
 

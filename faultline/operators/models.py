@@ -162,7 +162,7 @@ def monte_carlo_shapley(model: PipelineModel, rows: DataFrame, background: DataF
     bg = ordinal_within(background.select(F.lit(0).alias("_all"), *[F.col(f).alias(f"z_{f}") for f in features]), "_all", [f"z_{f}" for f in features], out="_bid").drop("_all")
     nb = bg.count()
     rp = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("_perm"))
-    rp = rp.withColumn("_bid", (F.pmod(F.xxhash64("_rid", "_perm", F.lit(seed)), F.lit(nb)) + 1).cast("int"))
+    rp = rp.withColumn("_bid", (F.pmod(F.xxhash64("_rid", "_perm", F.lit(seed)), F.lit(nb)) + 1))
     rp = rp.join(bg, "_bid").checkpoint(eager=True)              # both points of a pair are built from the same draw
     rp = rp.withColumn("_rank", F.array(*[F.xxhash64("_rid", "_perm", F.lit(i), F.lit(seed)) for i in range(k)]))
     pts = rp.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import LEAKAGE_WORDS_BINARY, LEAKAGE_WORDS_MULTICLASS
-from .blocked import global_prefix, ordinal_within
+from .blocked import global_prefix
+from .selection import among_first
 
 
 # --------------------------------------------------------------------------
@@ -139,47 +140,48 @@ def stratified_run_split(runs: DataFrame, test_pct: int = 20, seed: int = 42, la
     """Run-level stratified split.  Per label, the first
     ``min(ceil(pct * n / 100), n - 1)`` runs in seeded hash order are ``test``,
     the rest ``train`` (exact integer arithmetic for the cut)."""
-    h = runs.withColumn("_h", seeded_hash(key, seed=seed))
-    r = ordinal_within(h, label, ["_h"], out="_rank")
-    n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(n, label)
     # every class keeps at least one training run (a class of one run trains only)
-    n_test = F.least(F.ceil(F.col("_n") * F.lit(test_pct) / F.lit(100)), F.col("_n") - 1)
-    return r.withColumn("fold", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_h", "_rank", "_n")
+    r = among_first(runs, F.col(label), seeded_hash(key, seed=seed), lambda _, n: [min(-(-n * test_pct // 100), n - 1)], ["_test"])
+    return r.withColumn("fold", F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
 def stratified_row_split(df: DataFrame, label: str, row_key: Sequence[str], pcts=(70, 15),
                          seed: int = 42) -> DataFrame:
     """I4: row-level stratified train/val/test (leaky for time series; kept as an option)."""
-    h = df.withColumn("_h", seeded_hash(*row_key, seed=seed))
-    r = ordinal_within(h, label, ["_h"], out="_rank")
-    n = r.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(n, label)
     a, b = pcts
-    fold = (F.when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(a) / F.lit(100)), "train")
-            .when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(a + b) / F.lit(100)), "val").otherwise("test"))
-    return r.withColumn("fold", fold).drop("_h", "_rank", "_n")
+    r = among_first(df, F.col(label), seeded_hash(*row_key, seed=seed), lambda _, n: [n * a // 100, n * (a + b) // 100], ["_train", "_val"])
+    return r.withColumn("fold", F.when(F.col("_train"), "train").when(F.col("_val"), "val").otherwise("test")).drop("_train", "_val")
 
 
 def exact_sample(df: DataFrame, n: int, row_key: Sequence[str], seed: int = 42, check: bool = True) -> DataFrame:
     """Exactly ``n`` rows in seeded hash order; error if fewer exist."""
-    if check:
-        have = df.count()
-        if have < n:
-            raise ValueError(f"need {n} rows, have {have}")
-    ranked = ordinal_within(df.withColumn("_h", seeded_hash(*row_key, seed=seed)).withColumn("_all", F.lit(0)), "_all", ["_h"], out="_rank")
-    return ranked.where(F.col("_rank") <= n).drop("_h", "_all", "_rank")
+    have = df.count() if check else n
+    if have < n:
+        raise ValueError(f"need {n} rows, have {have}")
+    return among_first(df, F.lit("all"), seeded_hash(*row_key, seed=seed), lambda *_: [n], ["_in"]).where("_in").drop("_in")
 
 
 def capped_composition(df: DataFrame, label: str, caps: dict[int, int], row_key: Sequence[str],
                        seed: int = 42) -> DataFrame:
     """At most ``caps[c]`` rows of each class c (shrink to what exists), by seeded hash.
 
-    Rows of other classes (a null label too) are left out.  The rank in the class comes
-    from one range sort, so a hot class is spread over many tasks."""
-    keep = df.where(F.col(label).isin(list(caps))).withColumn("_h", seeded_hash(*row_key, seed=seed))
-    cap = F.element_at(F.create_map(*[x for c, v in caps.items() for x in (F.lit(c), F.lit(v))]), F.col(label))
-    return ordinal_within(keep, label, ["_h"], out="_rank").where(F.col("_rank") <= cap).drop("_h", "_rank")
+    Rows of other classes (a null label too) are left out."""
+    few = {str(c): n for c, n in caps.items()}
+    return among_first(df.where(F.col(label).isin(list(caps))), F.col(label), seeded_hash(*row_key, seed=seed), lambda c, n: [min(few[c], n)], ["_in"]).where("_in").drop("_in")
+
+
+def capped_compositions(df: DataFrame, label: str, fold: str, caps: dict[str, dict[tuple, int]], row_key: Sequence[str], seed: int = 42, out: str = "composition") -> DataFrame:
+    """Several compositions at once: a row for each one (``out``) that takes the row.
+
+    ``caps[name][fold, class]``: at most so many rows of that class and fold; a composition takes
+    none of folds and classes that it doesn't name.  All cuts are found in the same passes."""
+    names, group = list(caps), F.concat_ws("|", F.col(fold).cast("string"), F.col(label).cast("string"))
+    few = [{f"{f}|{c}": n for (f, c), n in caps[name].items()} for name in names]
+    some = df.where(group.isin(sorted({g for by in few for g in by})))
+    flags = [f"_in_{i}" for i in range(len(names))]
+    marked = among_first(some, group, seeded_hash(*row_key, seed=seed), lambda g, n: [min(by.get(g, 0), n) for by in few], flags)
+    taken = F.filter(F.array(*[F.when(F.col(f), F.lit(name)) for f, name in zip(flags, names, strict=True)]), lambda x: x.isNotNull())
+    return marked.withColumn(out, F.explode(taken)).drop(*flags)
 
 
 def composition_class(fault: str = "faultNumber", label: str = "y_true") -> Column:

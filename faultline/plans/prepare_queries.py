@@ -179,20 +179,6 @@ def i6(spark, sf_dir):
     return pr.exact_sample(telemetry(spark, sf_dir), 500, ["run_key", "sample"]).select("run_key", "sample")
 
 
-@register("i7_capped_composition", "I7", "WITH " + Q.SCORED + """,
-pool AS (SELECT run_key, sample, 0 AS class FROM scored WHERE faultNumber = 0
-         UNION ALL SELECT run_key, sample, 1 FROM scored WHERE faultNumber > 0 AND sample > 20),
-h AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY md5(run_key || '|' || CAST(sample AS VARCHAR) || '|42')) AS rk FROM pool),
-caps(composition, class, cap) AS (VALUES ('balanced_50_50', 0, 300), ('balanced_50_50', 1, 300), ('imbalanced_90_10', 0, 2700), ('imbalanced_90_10', 1, 300))
-SELECT composition, run_key, sample, class FROM h JOIN caps USING (class) WHERE rk <= cap""")
-def i7(spark, sf_dir):
-    """Both class compositions; the second asks for more normal rows than small tables have."""
-    pool = scored(spark, sf_dir).withColumn("class", pr.composition_class())
-    out = [pr.capped_composition(pool, "class", caps, ["run_key", "sample"]).select(F.lit(name).alias("composition"), "run_key", "sample", "class")
-           for name, caps in (("balanced_50_50", {0: 300, 1: 300}), ("imbalanced_90_10", {0: 2700, 1: 300}))]
-    return out[0].unionByName(out[1])
-
-
 # upstream's caps of each composition, as (fold, class) -> rows.
 COMPOSITIONS = {"balanced_50_50": {("train", 0): 200_000, ("train", 1): 200_000, ("val", 0): 50_000, ("val", 1): 50_000},
                 "imbalanced_90_10": {("train", 0): 450_000, ("train", 1): 50_000, ("val", 0): 50_000, ("val", 1): 50_000},
@@ -212,13 +198,8 @@ def i7_full(spark, sf_dir):
     """The three class compositions with upstream's caps, shrunk to what exists in each fold of runs (70/15/15 by hash)."""
     part = F.conv(F.substring(pr.seeded_hash("run_key"), 1, 7), 16, 10).cast("long") % 20
     pool = scored(spark, sf_dir).withColumn("class", pr.composition_class()).withColumn("fold", F.when(part < 14, "train").when(part < 17, "val").otherwise("test"))
-    out = None
-    for name, caps in COMPOSITIONS.items():
-        for fold in dict.fromkeys(f for f, _ in caps):
-            rows = pr.capped_composition(pool.where(F.col("fold") == fold), "class", {c: n for (f, c), n in caps.items() if f == fold}, ["run_key", "sample"])
-            rows = rows.select(F.lit(name).alias("composition"), "fold", "run_key", "sample", "class")
-            out = rows if out is None else out.unionByName(rows)
-    return out
+    rows = pr.capped_compositions(pool, "class", "fold", COMPOSITIONS, ["run_key", "sample"])
+    return rows.select("composition", "fold", "run_key", "sample", "class")
 
 
 @register("i2_pooled_run_sample", "I2", "WITH " + Q.TELEMETRY + """,

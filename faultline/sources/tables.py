@@ -60,7 +60,7 @@ def telemetry(spark: SparkSession, sf_dir: str, null_every: int | None = None) -
         # materialised once as a parquet table in the cluster's checkpoint folder:
         # every query then scans it with column pruning and filter pushdown
         path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"telemetry-{uuid.uuid4().hex[:12]}")
-        ordinal_within(ev, "user_id", ["ts", "event_id"], out="sample").write.parquet(path)
+        ordinal_within(ev, "user_id", ["ts", "event_id"], out="sample").withColumn("sample", F.col("sample").cast("int")).write.parquet(path)
         base = spark.read.parquet(path)
         _MATERIALISED[key] = base
     value = F.col("value")
