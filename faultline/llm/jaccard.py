@@ -72,7 +72,7 @@ def _sketch(batches: Iterable[pa.RecordBatch], size: int, shard_bytes: int) -> I
                 sums = np.stack([np.add.reduceat(tx.mix(code + np.uint64(s)), first) for s in (1, 2)], axis=1)
                 for d, a, b in zip(used.tolist(), sums, signatures(code, first), strict=True):
                     key[d], sig[d] = a.tobytes(), b.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(key, pa.binary()), pa.array(sig, pa.binary()), pa.array(np.diff(offsets[i:j + 1]).astype(np.int64))], ["id", "key", "sig", "bytes"])
+            yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("sum").slice(i, j - i), pa.array(key, pa.binary()), pa.array(sig, pa.binary()), pa.array(np.diff(offsets[i:j + 1]).astype(np.int64))], ["id", "sum", "key", "sig", "bytes"])
 
 
 def fewest_matches(threshold: float, tolerance: float) -> dict[int, int]:
@@ -144,7 +144,7 @@ def common_counts(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(at, kind="stable")
     row, at = row[order], at[order]
-    total = np.zeros((len(sets), len(sets)), dtype=np.float32)      # exact up to 2^24 common n-grams
+    total = np.zeros((len(sets), len(sets)))
     for a in range(0, len(codes), 2048):
         i, j = np.searchsorted(at, [a, a + 2048])
         part = np.zeros((len(sets), 2048), dtype=np.float32)
@@ -156,8 +156,8 @@ def common_counts(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
 def _verify(batches: Iterable[pa.RecordBatch], size: int, numerator: int, denominator: int) -> Iterator[pa.RecordBatch]:
     """Exact similarity of the surviving pairs; links (weighted by class size) and the smallest id in reach, per document."""
     for _, table in grouped(batches, "task"):
-        ids, first = np.unique(table["id"].to_numpy(), return_index=True)
-        table = table.take(pa.array(first))
+        table = table.sort_by("id")                             # a row a class
+        ids = table["id"].to_numpy()
         data, offsets = tx.utf8(table["text"])
         doc, code = shingles(tx.words(data, offsets), size)
         edge = np.searchsorted(doc, np.arange(len(ids) + 1))
@@ -187,17 +187,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ASCII letters and digits and of non-ASCII characters, A-Z lower-cased; a text of
     fewer words has one n-gram of them all.  A text without words (null too) links with
     nothing.  n_links counts other rows, copies included; component is the smallest id
-    reachable over links.  Repeated rows are copies; different texts under one id count
-    as one document.  ids are integers; a row with a null id is left out.
+    reachable over links.  Repeated rows are copies; different texts under one id are documents
+    of their own, each with its own links.  ids are integers; a row with a null id is left out.
 
     A true link is missed only if no band agrees (below 1e-7 at the threshold) or if
     the pruning errs (about ``tolerance``).  Buckets and links stay distributed: buckets
     of more than ``block_rows`` classes or ``block_bytes`` of text are split into pairs of blocks,
     each a task of its own, so no task holds a hot bucket, and no pair is ever a row.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    sketch = keep(rows.mapInArrow(lambda it: _sketch(it, size, shard_bytes), "id long, key binary, sig binary, bytes long"))
-    classes = keep(sketch.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.any_value("sig").alias("sig"), F.max("bytes").alias("bytes")))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("sum")).where("id IS NOT NULL")
+    sketch = keep(rows.mapInArrow(lambda it: _sketch(it, size, shard_bytes), "id long, sum long, key binary, sig binary, bytes long"))
+    # a class is known by a number of its own; its text is that of its least (id, text hash)
+    classes = sketch.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "sum")).alias("of"), F.count("*").alias("weight"), F.any_value("sig").alias("sig"), F.max("bytes").alias("bytes"))
+    classes = keep(classes.select("key", F.col("of.id").alias("doc"), "of.sum", "weight", "sig", "bytes", F.monotonically_increasing_id().alias("id")))
     entries = classes.select("id", "bytes", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(
         b.alias("band"), F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))).alias("bucket")))).alias("e")).select("id", "bytes", "e.band", "e.bucket")
     # buckets with the same documents need to be looked at only once, in the first band
@@ -211,9 +213,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
              .select(F.xxhash64("bucket", "band", "lo", "hi").alias("task"), "id", "weight", "sig", "band", "block", "lo", "hi"))
     fewest = fewest_matches(threshold[0] / threshold[1], tolerance)
     likely = keep(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: _prune(it, fewest), "task long, id long, weight long, partners binary"))
-    found = keep(likely.join(rows, "id").repartition("task").sortWithinPartitions("task").mapInArrow(
-        lambda it: _verify(it, size, *threshold), "id long, links long, low long"))
-    per_class = (classes.select("key", "id", "weight").join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left")
-                 .join(components(classes, found.select(F.col("id").alias("a"), F.col("low").alias("b"))), "id", "left")
-                 .select("key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component"))
+    texts = rows.groupBy(F.col("id").alias("doc"), "sum").agg(F.any_value("text").alias("text"))          # repeated rows are one before they travel
+    found = likely.join(classes.select("id", "doc", "sum"), "id").join(texts, ["doc", "sum"]).select("task", "id", "weight", "partners", "text")
+    found = keep(found.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: _verify(it, size, *threshold), "id long, links long, low long"))
+    reach = components(classes, found.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    named = reach.join(classes.select("id", "doc"), "id")
+    named = named.join(named.groupBy("component").agg(F.min("doc").alias("least")), "component").select("id", "least")
+    per_class = (classes.select("key", "id", "weight").join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left").join(named, "id")
+                 .select("key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.col("least").alias("component")))
     return sketch.select("id", "key").join(per_class, "key", "left").select("id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("component", "id").alias("component"))
