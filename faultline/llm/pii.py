@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, stored
-from .spans import apart, find_all, let, written
+from .spans import apart, chunks, cut, find_all, let, merged, written
 
 # Base patterns.  Possessive repeats and look-behind keep long runs linear and change no match.
 _LOCAL = "A-Za-z0-9._%+-"
@@ -71,10 +71,9 @@ def luhn(digits: Column) -> Column:
     return total % 10 == 0
 
 
-def _votes(text: Column, h: Column, kind: str, strict: Column) -> Column:
-    before, after = F.substring(text, h["begin"], F.lit(1)), F.substring(text, h["end"] + 1, F.lit(1))
-    start = F.greatest(h["begin"] - 40, F.lit(0))
-    ahead = F.substring(text, start + 1, h["begin"] - start)
+def _votes(pieces: Column, h: Column, kind: str, strict: Column) -> Column:
+    before, after = cut(pieces, h["begin"] - 1, h["begin"]), cut(pieces, h["end"], h["end"] + 1)
+    ahead = cut(pieces, F.greatest(h["begin"] - 40, F.lit(0)), h["begin"])
     one = [strict, ~F.when(h["begin"] > 0, before).otherwise(F.lit("")).rlike("[A-Za-z0-9]") & ~after.rlike("[A-Za-z0-9]"),
            (_digits(h["hit"]) if kind == "card" else h["hit"]).rlike(GAZETTEER[kind]), ahead.rlike(CUES), ~ahead.rlike(COUNTER)]
     return sum((F.when(v, F.lit(1 << k)).otherwise(0) for k, v in enumerate(one)), F.lit(0))
@@ -82,6 +81,10 @@ def _votes(text: Column, h: Column, kind: str, strict: Column) -> Column:
 
 def candidates(text: Column) -> Column:
     """All proposed spans of a text with their votes as bits; base marks those of the base patterns."""
+    return let(chunks(text), lambda pieces: _candidates(text, pieces))
+
+
+def _candidates(text: Column, pieces: Column) -> Column:
     def of(kind: str, pattern: str, size=None, strict=None) -> Column:
         hits = find_all(text, pattern)
         if size:
@@ -90,7 +93,7 @@ def candidates(text: Column) -> Column:
         strict = strict or (lambda h: h["hit"].rlike(STRICT[kind]) if STRICT[kind] else F.lit(True))
         is_base = {"ip": lambda s: s, "card": lambda s: s}.get(kind, lambda s: F.lit(kind in KINDS[:4]))
         return F.transform(hits, lambda h: let(strict(h), lambda s: F.struct(
-            h["begin"].alias("begin"), F.lit(order).alias("order"), h["end"].alias("end"), F.lit(kind).alias("kind"), is_base(s).alias("base"), _votes(text, h, kind, s).alias("votes"))))
+            h["begin"].alias("begin"), F.lit(order).alias("order"), h["end"].alias("end"), F.lit(kind).alias("kind"), is_base(s).alias("base"), _votes(pieces, h, kind, s).alias("votes"))))
 
     loose = find_all(text, "|".join(LOOSE.values()))
     parts = [of("email", EMAIL), of("ip", IP), of("card", CARD, (12, 19), lambda h: luhn(_digits(h["hit"]))), of("phone", PHONE, (9, 15))]
@@ -100,7 +103,7 @@ def candidates(text: Column) -> Column:
         for k in reversed(list(LOOSE)):
             mine = F.regexp_replace(h["hit"], LOOSE[k], "") == ""
             kind = F.when(mine, F.lit(k)).otherwise(kind)
-            votes = F.when(mine, _votes(text, h, k, h["hit"].rlike(STRICT[k]))).otherwise(votes)
+            votes = F.when(mine, _votes(pieces, h, k, h["hit"].rlike(STRICT[k]))).otherwise(votes)
         return F.struct(h["begin"].alias("begin"), F.lit(4).alias("order"), h["end"].alias("end"), kind.alias("kind"), strict.alias("base"), votes.alias("votes"))
 
     return F.concat(*[p.cast(_CANDIDATE) for p in parts], F.transform(loose, loose_kind).cast(_CANDIDATE))
@@ -200,19 +203,16 @@ def redact(found: DataFrame, *, text_col: str = "text") -> DataFrame:
     """Replace every span by its kind in brackets, as in ``[EMAIL]``; overlapping spans become one.
 
     Texts without spans stay as they are."""
-    merged = F.aggregate(F.array_sort(F.concat("base", "added")), F.array().cast("array<struct<begin:int,end:int,kind:string>>"), lambda acc, s: F.when(
-        _last(acc)["end"] > s["begin"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-            _last(acc)["begin"].alias("begin"), F.greatest(_last(acc)["end"], s["end"]).alias("end"), _last(acc)["kind"].alias("kind")))))
-        .otherwise(F.concat(acc, F.array(F.struct(s["begin"].alias("begin"), s["end"].alias("end"), s["kind"].alias("kind"))))))
-    text = F.col(text_col)
-    piece = lambda m: lambda s, i: F.concat(F.substring(text, _from(m, i) + 1, s["begin"] - _from(m, i)), F.lit("["), F.upper(F.regexp_replace(s["kind"], "_like$", "")), F.lit("]"))
-    done = let(merged, lambda m: F.concat(F.array_join(F.transform(m, piece(m)), ""), F.substring(text, F.element_at(m, -1)["end"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("base") + F.size("added") > 0, done).otherwise(text)).drop("base", "added")
-
+    def done(v: Column) -> Column:
+        m, pieces = v["m"], v["p"]
+        name = lambda s: F.concat(F.lit("["), F.upper(F.regexp_replace(s["kind"], "_like$", "")), F.lit("]"))
+        return F.concat(F.array_join(F.transform(m, lambda s, i: F.concat(cut(pieces, _from(m, i), s["begin"]), name(s))), ""),
+                        cut(pieces, F.element_at(m, -1)["end"], F.size(pieces) * 512))
 
-def _last(spans: Column) -> Column:
-    return F.get(spans, F.size(spans) - 1)
+    text, spans = F.col(text_col), F.concat("base", "added")
+    one = let(F.struct(merged(spans).alias("m"), chunks(text).alias("p")), done)
+    return found.withColumn(text_col, F.when(F.size("base") + F.size("added") > 0, one).otherwise(text)).drop("base", "added")
 
 
-def _from(merged: Column, i: Column) -> Column:
-    return F.coalesce(F.get(merged, i - 1)["end"], F.lit(0))
+def _from(spans: Column, i: Column) -> Column:
+    return F.coalesce(F.get(spans, i - 1)["end"], F.lit(0))

@@ -92,7 +92,8 @@ def scored_tokens(text: Column) -> Column:
 
 
 def _codes(token: Column, alphabet: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: F.instr(alphabet, F.substring(token, i, F.lit(1))) - 1)
+    """The place of each character in the alphabet, from one split of the token."""
+    return F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.instr(alphabet, c) - 1)
 
 
 def _bin(n: Column) -> Column:
