@@ -10,9 +10,9 @@ start anywhere and have gaps, and everything runs on (run, block) groups:
   block is the composition of the earlier blocks' affine maps, combined by the
   doubling scan.  The block length is capped so ``d^-r`` stays below e^600.
 * The deadband latch is a finite-state machine with a bounded state space.
-  Every block's transition table (end state for every start state) is
-  computed from the block's rows alone; tables compose associatively
-  (doubling scan on the JVM with ``transform``/``element_at``); finally each
+  Every block's transition map (end state for every start state, as runs of
+  start states that end alike) is computed from the block's rows alone; maps compose
+  associatively and shrink (doubling scan on the JVM); finally each
   block is replayed from its now-known start state.  Batch and stream step
   through the same array of moves.
 """
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import BASELINE_EPS, SAMPLE_MINUTES
+from ..session import stored
 from .blocked import BLK, DEFAULT_BLOCK, block_of, doubling_scan, halo_select, running_agg
 
 
@@ -84,6 +85,7 @@ def ewma(df: DataFrame, col: str, out: str, alpha: float, key: str = "run_key",
         local = F.coalesce(F.last(x, ignorenulls=True).over(running), F.lit(0.0))
     rows = (rows.withColumn("_loc", local).withColumn("_dec", decay)
             .withColumn("_seeded", F.col("_loc") + F.col("_dec") * F.first(x, ignorenulls=True).over(running)))
+    rows = stored(rows, "ewma")              # read by the block maps and by the rows that they are joined to
     # a block maps the value that enters it, c, to a c + b; without one it ends at s
     maps = rows.groupBy(key, BLK).agg(F.max_by("_dec", pos).alias("_a"), F.max_by("_loc", pos).alias("_b"), F.max_by("_seeded", pos).alias("_s"))
 
@@ -105,13 +107,8 @@ def alarm_signals(df: DataFrame, col: str, inject: int, tuning: Tuning, key: str
     """Per row: ``z`` (EWMA), ``roc_abs``, band limits, ``breach_naive``,
     ``breach`` (EWMA outside the padded band), ``in_clear`` (inside the inner
     hysteresis band), ``roc_pre`` (rate-of-change pre-alarm)."""
-    z = ewma(df, col, "z", tuning.alpha, key, pos, block, diff_out="roc_abs")
-    # EWMA and ROC are causal: the baselines need only each run's pre-injection
-    # prefix (filter pushed to the scan), plus the run length
-    pre = ewma(df.where(F.col(pos) <= inject), col, "z", tuning.alpha, key, pos, block, diff_out="roc_abs")
-    base = baselines(pre, col, inject, tuning, key, pos).drop("t_max").join(
-        df.groupBy(key).agg(F.max(pos).alias("t_max")), key, "right")
-    j = z.join(base, key)
+    z = stored(ewma(df, col, "z", tuning.alpha, key, pos, block, diff_out="roc_abs"), "signals")      # read by the baselines and by the rows
+    j = z.join(baselines(z, col, inject, tuning, key, pos), key)
     ramp = F.least(F.greatest((F.col(pos).cast("double") - F.lit(inject)) /
                               F.greatest(F.col("t_max").cast("double") - F.lit(inject), F.lit(1.0)), F.lit(0.0)),
                    F.lit(1.0))
@@ -215,11 +212,21 @@ def latch_inputs(breach, clear) -> np.ndarray:
 
 
 def through(moves: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-    """End state for every start state."""
-    state = np.arange(moves.shape[1])
-    for k in inputs:
-        state = moves[k][state]
-    return state
+    """End state for every start state.  Inputs drive states together, so only the different ones
+    still on the way, few after some steps, are moved on."""
+    states = of = np.arange(moves.shape[1])
+    for i, k in enumerate(inputs):
+        states = moves[k][states]
+        if i % 16 == 0 and len(states) > 1:
+            states, again = np.unique(states, return_inverse=True)
+            of = again[of]
+    return states[of]
+
+
+def as_runs(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of equal end states: start states from first[k] to before first[k + 1] end in to[k]."""
+    first = np.flatnonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))
+    return first, ends[first]
 
 
 def visited(moves: list[list[int]], start: int, inputs) -> list[int]:
@@ -238,24 +245,29 @@ def deadband_latch(df: DataFrame, tuning: Tuning, breach: str = "breach", clear:
     fsm = Latch(tuning.n_on, tuning.n_off, tuning.lockout, tuning.max_latch)
     moves, latched = fsm.moves(), fsm.S0
     # read by the block tables, the list of last blocks and the replay: computed once
-    rows = df.withColumn(BLK, block_of(pos, block)).checkpoint()
+    rows = stored(df.withColumn(BLK, block_of(pos, block)), "latch")
     # only blocks with a successor need their table
     last = rows.groupBy(key).agg(F.max(BLK).alias("_last"))
     need = rows.join(last, key).where(F.col(BLK) < F.col("_last")).select(key, BLK, pos, breach, clear)
 
     def tables(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos)
-        end = through(moves, latch_inputs(pdf[breach], pdf[clear]))
-        return pd.DataFrame({key: [pdf[key].iloc[0]], BLK: [int(pdf[BLK].iloc[0])], "_f": [end.tolist()]})
+        first, to = as_runs(through(moves, latch_inputs(pdf[breach], pdf[clear])))
+        return pd.DataFrame({key: [pdf[key].iloc[0]], BLK: [int(pdf[BLK].iloc[0])], "_f": [[{"first": int(a), "to": int(b)} for a, b in zip(first, to)]]})
     key_type = df.schema[key].dataType.simpleString()
-    tabs = need.groupBy(key, BLK).applyInPandas(tables, f"{key} {key_type}, {BLK} long, _f array<int>")
+    runs = "array<struct<first:int,to:int>>"
+    tabs = need.groupBy(key, BLK).applyInPandas(tables, f"{key} {key_type}, {BLK} long, _f {runs}")
 
     def comb(e, lt):
-        later = lt["_f"]
-        return {"_f": F.transform(e["_f"], lambda s: F.element_at(later, s + 1))}
+        # where each run of the earlier block goes on: the last run of the later one that begins at or before its end
+        at = lambda s: F.element_at(F.filter(lt["_f"], lambda x: x["first"] <= s), -1)["to"]
+        moved = F.transform(e["_f"], lambda x: F.struct(x["first"].alias("first"), at(x["to"]).alias("to")))
+        # runs that now end alike become one
+        shrunk = F.aggregate(moved, F.array().cast(runs), lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["to"] == x["to"]), acc).otherwise(F.concat(acc, F.array(x))))
+        return {"_f": shrunk}
     # a run's last block has no table but does have a predecessor
-    ends = tabs.unionByName(last.select(key, F.col("_last").alias(BLK), F.lit(None).cast("array<int>").alias("_f")))
-    starts = doubling_scan(ends, key, ["_f"], comb).select(key, BLK, F.element_at("_f", 1).alias("_start"))
+    ends = tabs.unionByName(last.select(key, F.col("_last").alias(BLK), F.lit(None).cast(runs).alias("_f")))
+    starts = doubling_scan(ends, key, ["_f"], comb).select(key, BLK, F.element_at("_f", 1)["to"].alias("_start"))
     rows = rows.join(starts, [key, BLK], "left").withColumn("_start", F.coalesce(F.col("_start"), F.lit(0)).cast("int"))
     out_schema = T.StructType([f for f in rows.schema.fields] + [T.StructField(out, T.IntegerType())])
     as_lists = moves.tolist()

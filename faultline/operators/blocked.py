@@ -29,6 +29,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 DEFAULT_BLOCK = 1024
 BLK = "_blk"
 HOME = "_home"
@@ -111,11 +113,12 @@ def doubling_scan(blocks: DataFrame, key: str | Sequence[str], values: Sequence[
     their run (a window over the table of blocks, one row for ``block`` rows of
     data), so block numbers may have gaps.  Each round joins every block with the one
     ``2^r`` ranks earlier, and the rounds end when no block has an unread
-    predecessor.  Rounds are checkpointed so lineage stays linear.
+    predecessor.  Rounds are written out so lineage stays linear.
     """
     keys = [key] if isinstance(key, str) else list(key)
     in_run = Window.partitionBy(*keys).orderBy(BLK)
-    cur = blocks.select(*keys, BLK, F.row_number().over(in_run).alias("_rank"), *values).checkpoint(eager=True)
+    cur = blocks.select(*keys, BLK, F.row_number().over(in_run).alias("_rank"), *values)
+    cur = stored(cur, "scan")
     longest = cur.agg(F.max("_rank")).first()[0] or 0
     step = 1
     while step < longest - 1:        # the last block's own value is never needed
@@ -123,7 +126,7 @@ def doubling_scan(blocks: DataFrame, key: str | Sequence[str], values: Sequence[
                              *[F.col(v).alias(f"_e_{v}") for v in values])
         joined = cur.join(earlier, on=keys + ["_rank"], how="left")
         comb = combine({v: F.col(f"_e_{v}") for v in values}, {v: F.col(v) for v in values})
-        cur = joined.select(*keys, BLK, "_rank", *[F.when(F.col("_met"), comb[v]).otherwise(F.col(v)).alias(v) for v in values]).checkpoint(eager=True)
+        cur = stored(joined.select(*keys, BLK, "_rank", *[F.when(F.col("_met"), comb[v]).otherwise(F.col(v)).alias(v) for v in values]), "scan")
         step *= 2
     return cur.select(*keys, BLK, *[F.lag(v).over(Window.partitionBy(*keys).orderBy("_rank")).alias(v) for v in values])
 

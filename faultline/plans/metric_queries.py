@@ -188,21 +188,18 @@ def d21(spark, sf_dir):
 
 
 def _models(spark, sf_dir):
+    """Both models' predictions of a row side by side, spread out by model: one scan for both."""
     c = with_class_probabilities(cascade(spark, sf_dir))
-    c = c.withColumn("pred_class", F.array_position("probs", F.array_max("probs")).cast("int"))
-    a = c.select("fold", "y_true_mc", F.lit("cascade").alias("model"), "y_pred")
-    b = c.select("fold", "y_true_mc", F.lit("argmax").alias("model"),
-                 F.when(F.col("is_fault") == 1, F.col("pred_class")).otherwise(F.lit(0)).alias("y_pred"))
-    return a.unionByName(b)
+    best = F.array_position("probs", F.array_max("probs")).cast("int")
+    both = F.array(F.struct(F.lit("cascade").alias("model"), F.col("y_pred").cast("int").alias("y_pred")),
+                   F.struct(F.lit("argmax").alias("model"), F.when(F.col("is_fault") == 1, best).otherwise(F.lit(0)).alias("y_pred")))
+    return c.select("fold", "y_true_mc", F.inline(both))
 
 
 def _comparison(spark, sf_dir):
     rep = me.classification_report(_models(spark, sf_dir), "y_true_mc", "y_pred", ["model", "fold"])
-    acc = rep.where(F.col("label") == "accuracy").select("model", "fold", F.col("f1").alias("accuracy"))
-    mac = rep.where(F.col("label") == "macro avg").select("model", "fold", F.col("precision").alias("macro_precision"),
-                                                          F.col("recall").alias("macro_recall"),
-                                                          F.col("f1").alias("macro_f1"))
-    return acc.join(mac, ["model", "fold"])
+    of = lambda label, value, name: F.max(F.when(F.col("label") == label, F.col(value))).alias(name)
+    return rep.groupBy("model", "fold").agg(of("accuracy", "f1", "accuracy"), of("macro avg", "precision", "macro_precision"), of("macro avg", "recall", "macro_recall"), of("macro avg", "f1", "macro_f1"))
 
 
 MODELS_SQL = CASCADE + """,

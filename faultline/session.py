@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = None,
@@ -51,3 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="faultline-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Compute once and cut the lineage: write as a table under the shared checkpoint folder and read it back.
+
+    Unlike ``checkpoint()``, which computes rows a second time to write them, this is one pass, and
+    readers get column pruning and pushed filters."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "stored", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
