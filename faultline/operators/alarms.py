@@ -108,7 +108,9 @@ def alarm_signals(df: DataFrame, col: str, inject: int, tuning: Tuning, key: str
     ``breach`` (EWMA outside the padded band), ``in_clear`` (inside the inner
     hysteresis band), ``roc_pre`` (rate-of-change pre-alarm)."""
     z = stored(ewma(df, col, "z", tuning.alpha, key, pos, block, diff_out="roc_abs"), "signals")      # read by the baselines and by the rows
-    j = z.join(baselines(z, col, inject, tuning, key, pos), key)
+    # the baselines read only each run's pre-injection prefix (filter pushed to the scan), and the run length
+    base = baselines(z.where(F.col(pos) <= inject), col, inject, tuning, key, pos).drop("t_max").join(z.groupBy(key).agg(F.max(pos).alias("t_max")), key, "right")
+    j = z.join(base, key)
     ramp = F.least(F.greatest((F.col(pos).cast("double") - F.lit(inject)) /
                               F.greatest(F.col("t_max").cast("double") - F.lit(inject), F.lit(1.0)), F.lit(0.0)),
                    F.lit(1.0))
