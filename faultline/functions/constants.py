@@ -231,6 +231,9 @@ OPERATOR_CATALOG = [
     (20, "Fault 20 — Unknown", "Unknown", "Unknown", ["Plant-wide"], "Broaden diagnostics",
      "Treat as reserved benchmark class · follow site abnormal event protocol.", 30),
 ]
+ACTION_DETAIL_FAULT = "Contact process engineer if deviation persists."
+ACTION_DETAIL_NORMAL = "Continue monitoring reactor exotherm and separator delta-P. No model alarm on this timestep."
+SNAPSHOT_SENSOR_DEFAULTS = {"reactor_temp": 120, "flow_rate": 41, "separator_pressure": 77, "vibration": 18}
 SNAPSHOT_FALLBACK_SYSTEMS = ["R-101", "Catalyst system"]
 CLASS13_DESCRIPTION = "Reaction Kinetics Slow Drift"
 MAINTENANCE_IMPACT_CRITICAL = "Immediate production / safety exposure"

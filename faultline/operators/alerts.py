@@ -131,9 +131,12 @@ def rising_edges(df: DataFrame, flag: str = "is_fault", key: str = "run_key", po
 # J19 operator snapshot
 # --------------------------------------------------------------------------
 def operator_snapshot(df: DataFrame, p: str = "p_fault", is_fault: str = "is_fault", cls: str = "fault_type_pred",
-                      health: str = "health_score", pos: str = "sample") -> DataFrame:
+                      health: str = "health_score", pos: str = "sample", sensors: dict[str, str] | None = None) -> DataFrame:
     """Per scored sample: plant state, class, severity, maintenance risk,
-    clamped scores, failure window, action and affected systems."""
+    clamped scores, failure window, action and affected systems.
+
+    sensors: the columns that the panel shows as reactor_temp, separator_pressure, flow_rate and
+    vibration (a valve reading, scaled); a missing reading, and a panel without a column, shows its default."""
     spark = df.sparkSession
     fault = F.col(is_fault) == 1
     class_id = S.clamp(F.round(F.col(cls)), 1, 20).cast("int")
@@ -144,6 +147,7 @@ def operator_snapshot(df: DataFrame, p: str = "p_fault", is_fault: str = "is_fau
     d = d.join(F.broadcast(cat), F.col("_cls") == F.col("_fid"), "left")
     desc = F.when(F.col("_cls") == 13, F.lit(K.CLASS13_DESCRIPTION)).otherwise(F.coalesce("_desc", F.lit("Unknown fault")))
     action = S.recommended_action(F.col("_cls"))
+    reading = lambda name: F.coalesce(F.col(sensors[name]).cast("double") if sensors and name in sensors else F.lit(None).cast("double"), F.lit(float(K.SNAPSHOT_SENSOR_DEFAULTS[name])))
     return d.select(
         "*",
         F.when(fault, F.col("_cls")).alias("fault_id"),
@@ -160,6 +164,9 @@ def operator_snapshot(df: DataFrame, p: str = "p_fault", is_fault: str = "is_fau
         .otherwise(F.array(F.lit("Plant-wide"))).alias("affected_systems"),
         S.clamp(F.col(health), 0.0, 100.0).alias("system_health_pct"),
         S.clamp(F.col(p), 0.0, 0.99).alias("anomaly_score"),
+        F.when(fault, F.concat_ws(" ", action, F.lit(K.ACTION_DETAIL_FAULT))).otherwise(F.lit(K.ACTION_DETAIL_NORMAL)).alias("action_detail"),
+        S.clamp(F.col(p), 0.0, 1.0).alias("anomaly_index"),
+        *[(F.least(F.lit(0.99), F.lit(0.35) + reading(c) / 200) if c == "vibration" else reading(c)).alias(c) for c in K.SNAPSHOT_SENSOR_DEFAULTS],
     ).drop("_cls", "_risk", "_fid", "_sys", "_desc")
 
 

@@ -125,11 +125,10 @@ def _fit_now(spark, sf_dir):
     return rows, params, imp
 
 
-def alert_stream(spark, sf_dir, every: int = 5, faults=None):
+def alert_stream(spark, sf_dir, every: int = 1, faults=None):
     rows, params, imp = _fit(spark, sf_dir)
     stream = rows if faults is None else rows.where(F.col("faultNumber").isin(list(faults)))
-    stream = pr.every_kth(stream if faults is not None else stream.where(F.col("fold") == "test"), every)
-    stream = with_class_probabilities(stream)
+    stream = with_class_probabilities(pr.every_kth(stream, every) if every > 1 else stream)
     base = F.to_timestamp_ntz(F.lit(BASE_TS))
     return al.build_alerts(stream, "probs", base, FEATS, params, imp)
 
@@ -141,7 +140,7 @@ params AS (
   UNION ALL SELECT 'xmeas_9', 1, median(xmeas_9), avg(xmeas_9), stddev_pop(xmeas_9), var_samp(xmeas_9) FROM tr
   UNION ALL SELECT 'xmv_10', 2, median(xmv_10), avg(xmv_10), stddev_pop(xmv_10), var_samp(xmv_10) FROM tr),
 pp AS (SELECT *, CASE WHEN sd = 0 THEN 1.0 ELSE sd END AS scale, v / sum(v) OVER () AS imp FROM params),
-st AS (SELECT * FROM sf WHERE fold = 'test' AND (sample - 1) % 5 = 0),
+st AS (SELECT * FROM sf),
 al AS (
   SELECT s.run_key, s.sample AS sample_index, s.simulationRun AS simulation_run, s.faultNumber AS ground_truth_fault_id,
          strftime(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (s.sample - 1) MINUTE * 3, '%Y-%m-%dT%H:%M:%S') AS timestamp,
@@ -203,7 +202,7 @@ def j16(spark, sf_dir):
 PANEL_FAULTS = (0, 1, 4, 6, 11, 14)
 
 
-@register("j17_alert_panel", "J17", _j16_sql().replace("WHERE fold = 'test' AND (sample - 1) % 5 = 0", f"WHERE faultNumber IN {PANEL_FAULTS} AND (sample - 1) % 10 = 0"))
+@register("j17_alert_panel", "J17", _j16_sql().replace("st AS (SELECT * FROM sf)", f"st AS (SELECT * FROM sf WHERE faultNumber IN {PANEL_FAULTS} AND (sample - 1) % 10 = 0)"))
 def j17(spark, sf_dir):
     """The alerts of the panel's faults, every tenth sample of all their runs."""
     return flat_alerts(alert_stream(spark, sf_dir, every=10, faults=PANEL_FAULTS))
@@ -244,18 +243,24 @@ SELECT p.run_key, p.sample, p.plant_status,
             ELSE 'Plant running normally' END AS detected_fault,
        CASE WHEN p.is_fault = 1 THEN coalesce(o.systems, 'R-101, Catalyst system') ELSE 'Plant-wide' END AS affected_systems,
        round(least(greatest(p.health_score, 0.0), 100.0), 6) AS system_health_pct,
-       round(least(greatest(p.p_fault, 0.0), 0.99), 6) AS anomaly_score
+       round(least(greatest(p.p_fault, 0.0), 0.99), 6) AS anomaly_score,
+       CASE WHEN p.is_fault = 1 THEN {ACTION_SQL.format(c='p.cls')} || ' ' || {_q(K.ACTION_DETAIL_FAULT)} ELSE {_q(K.ACTION_DETAIL_NORMAL)} END AS action_detail,
+       round(least(greatest(p.p_fault, 0.0), 1.0), 6) AS anomaly_index, round(coalesce(p.xmeas_9, 120), 6) AS reactor_temp,
+       round(coalesce(p.xmeas_13, 77), 6) AS separator_pressure, round(coalesce(p.xmv_10, 41), 6) AS flow_rate,
+       round(least(0.99, 0.35 + coalesce(minute(p.ts), 18) / 200), 6) AS vibration
 FROM ps p LEFT JOIN opcat o ON o.fault_id = p.cls"""
 
 
 @register("j19_operator_snapshot", "J19 H9 H10 H11 H19 H22", _snapshot_sql())
 def j19(spark, sf_dir):
     s = scored(spark, sf_dir).withColumnRenamed("pred_fault", "fault_type_pred")
-    o = al.operator_snapshot(s)
+    s = s.withColumn("xmv_11", F.minute("ts"))
+    o = al.operator_snapshot(s, sensors={"reactor_temp": "xmeas_9", "separator_pressure": "xmeas_13", "flow_rate": "xmv_10", "vibration": "xmv_11"})
     return o.select("run_key", "sample", "plant_status", "fault_id", "severity", "maintenance_risk", "confidence_pct",
                     r6("risk_score").alias("risk_score"), "risk_level", "failure_window_minutes", "recommended_action",
                     "detected_fault", F.array_join("affected_systems", ", ").alias("affected_systems"),
-                    r6("system_health_pct").alias("system_health_pct"), r6("anomaly_score").alias("anomaly_score"))
+                    r6("system_health_pct").alias("system_health_pct"), r6("anomaly_score").alias("anomaly_score"), "action_detail",
+                    *[r6(c).alias(c) for c in ("anomaly_index", "reactor_temp", "separator_pressure", "flow_rate", "vibration")])
 
 
 # --------------------------------------------------------------------------
@@ -531,13 +536,15 @@ def j21(spark, sf_dir):
 # --------------------------------------------------------------------------
 @register("a13_replay_rows", "A13", "WITH " + Q.SCORED + """
 SELECT run_key, sample, round(p_fault, 6) AS p_fault, round(health_score, 6) AS health_score, is_fault,
-       CASE WHEN is_fault = 1 THEN pred_fault ELSE 0 END AS fault_type, round(xmeas_13, 6) AS xmeas_13, round(xmeas_9, 6) AS xmeas_9, xmv_10
+       CASE WHEN is_fault = 1 THEN pred_fault ELSE 0 END AS fault_type, round(xmeas_13, 6) AS xmeas_13, round(xmeas_9, 6) AS xmeas_9, xmv_10,
+       CAST(minute(ts) AS DOUBLE) AS xmv_11
 FROM scored""")
 def a13_rows(spark, sf_dir):
-    """The replay's rows: every sample of every run with its scores and sensors."""
+    """The replay's rows: every sample of every run with its scores and four sensors (the fourth is the minute of its time)."""
     s = scored(spark, sf_dir)
     return s.select("run_key", "sample", r6("p_fault").alias("p_fault"), r6("health_score").alias("health_score"), "is_fault",
-                    F.when(F.col("is_fault") == 1, F.col("pred_fault")).otherwise(0).alias("fault_type"), r6("xmeas_13").alias("xmeas_13"), r6("xmeas_9").alias("xmeas_9"), "xmv_10")
+                    F.when(F.col("is_fault") == 1, F.col("pred_fault")).otherwise(0).alias("fault_type"), r6("xmeas_13").alias("xmeas_13"), r6("xmeas_9").alias("xmeas_9"), "xmv_10",
+                    F.minute("ts").cast("double").alias("xmv_11"))
 
 
 @register("a13_replay_summary", "A13 D25", "WITH " + Q.SCORED + """

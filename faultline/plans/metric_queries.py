@@ -187,7 +187,7 @@ def d21(spark, sf_dir):
                     r6("missed_fault_rate").alias("missed_fault_rate"), r6("accuracy").alias("accuracy"))
 
 
-def _models(spark, sf_dir):
+def models(spark, sf_dir):
     """Both models' predictions of a row side by side, spread out by model: one scan for both."""
     c = with_class_probabilities(cascade(spark, sf_dir))
     best = F.array_position("probs", F.array_max("probs")).cast("int")
@@ -197,7 +197,7 @@ def _models(spark, sf_dir):
 
 
 def _comparison(spark, sf_dir):
-    rep = me.classification_report(_models(spark, sf_dir), "y_true_mc", "y_pred", ["model", "fold"])
+    rep = me.classification_report(models(spark, sf_dir), "y_true_mc", "y_pred", ["model", "fold"])
     of = lambda label, value, name: F.max(F.when(F.col("label") == label, F.col(value))).alias(name)
     return rep.groupBy("model", "fold").agg(of("accuracy", "f1", "accuracy"), of("macro avg", "precision", "macro_precision"), of("macro avg", "recall", "macro_recall"), of("macro avg", "f1", "macro_f1"))
 

@@ -15,8 +15,10 @@ from ..functions.constants import SENSOR_COLUMNS
 from ..operators import boosting as bo
 from ..operators import explain as ex
 from ..operators import features as fe
+from ..operators import metrics as me
 from ..operators import models as mo
 from ..operators import prepare as pr
+from ..operators import store
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import sensor_matrix
 from . import sql as Q
@@ -320,6 +322,30 @@ def j18(spark, sf_dir):
     return a.join(b, "sample").select("sample", (F.col("p1") == F.col("p2")).alias("same_prediction"))
 
 
+@register("j18_best_model", "J18 J1 J2 J3 F3", TEST_ROWS.format(", TRUE AS same_scores, TRUE AS is_best"))
+def j18_best(spark, sf_dir):
+    """Forest and boosted trees, each stored with the preprocessing it was fitted behind and its
+    held-out report; the better one is loaded and scores the held-out rows as before it was stored."""
+    idx, d = _folds(spark, sf_dir)
+    train, test = d.where(F.col("fold") == "train"), d.where(F.col("fold") == "test").select("sample", "faultNumber", *SENS)
+    labels = [str(int(x)) for x in idx.labels]
+    fits = {"boosted": lambda rows: bo.boost(rows, SENS, "label_idx", classes=len(labels), weight="weight"), "random_forest": lambda rows: mo.fit(mo.random_forest(SENS), rows)}
+    root = os.path.join(ensure_checkpoint_dir(spark), "models", uuid.uuid4().hex)
+    both, fitted = None, {}
+    for name, fit in fits.items():
+        fitted[name] = store.fit_behind_preprocessor(train, SENS, labels, fit)
+        scored = fitted[name].score(test).select(F.lit(name).alias("model"), "sample", "faultNumber", "probs", fitted[name].predicted().cast("int").alias("y_pred"))
+        both = scored if both is None else both.unionByName(scored)
+    both = both.checkpoint()
+    found = store.report_metrics(me.classification_report(both, "faultNumber", "y_pred", ["model"]))
+    for name, model in fitted.items():
+        store.save(spark, root, name, model, found[name])
+    best, model = store.load_best(spark, root)
+    is_best = all(found[best]["macro_f1"] >= m["macro_f1"] for m in found.values())
+    again = model.score(test).select("sample", F.col("probs").alias("again"))
+    return both.where(F.col("model") == best).join(again, "sample").select("sample", "faultNumber", (F.col("probs") == F.col("again")).alias("same_scores"), F.lit(is_best).alias("is_best"))
+
+
 def _stopped(spark, sf_dir):
     """Boosted trees that stop 20 rounds after the least loss on the validation fold, and the rows."""
     idx, d = _folds(spark, sf_dir)

@@ -57,19 +57,19 @@ def b13(spark, sf_dir):
     return z.select("run_key", "sample", F.round("xmeas_13", 6).alias("xmeas_13"))
 
 
-_I1 = "WITH " + Q.TELEMETRY + f""",
+I1_SQL = "WITH " + Q.TELEMETRY + f""",
 runs AS (SELECT DISTINCT run_key, faultNumber, simulationRun FROM telemetry),
 r AS (SELECT *, row_number() OVER (PARTITION BY faultNumber ORDER BY {MD5}) AS rk FROM runs)"""
 
 
-@register("i1_sample_runs_per_fault", "I1 I2 I3", _I1 + """
+@register("i1_sample_runs_per_fault", "I1 I2 I3", I1_SQL + """
 SELECT run_key, faultNumber, simulationRun, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= 3""")
 def i1(spark, sf_dir):
     s = pr.sample_runs_per_fault(runs_table(spark, sf_dir), 3)
     return s.select("run_key", "faultNumber", "simulationRun", F.col("rank").cast("int").alias("rank"))
 
 
-@register("c1_semi_join_runs", "C1 A4", _I1 + """
+@register("c1_semi_join_runs", "C1 A4", I1_SQL + """
 SELECT t.run_key, t.sample FROM telemetry t WHERE t.run_key IN (SELECT run_key FROM r WHERE rk <= 3)""")
 def c1(spark, sf_dir):
     keys = pr.sample_runs_per_fault(runs_table(spark, sf_dir), 3).select("run_key")
@@ -126,12 +126,13 @@ def c5(spark, sf_dir):
 
 @register("d2_dataset_summary", "D2", _I5 + """
 SELECT count(*) FILTER (WHERE fold = 'train') AS n_train, count(*) FILTER (WHERE fold = 'test') AS n_test,
-       3 AS n_features, count(DISTINCT target_fault_label) AS n_classes
+       (SELECT count(*) FROM (SELECT unnest(json_keys(to_json(one))) AS c FROM (SELECT * FROM scored LIMIT 1) one) WHERE starts_with(c, 'xmeas_') OR starts_with(c, 'xmv_')) AS n_features,
+       count(DISTINCT target_fault_label) AS n_classes
 FROM sf""")
 def d2(spark, sf_dir):
     s = split_rows(spark, sf_dir)
     return s.agg(F.count_if(F.col("fold") == "train").alias("n_train"), F.count_if(F.col("fold") == "test").alias("n_test"),
-                 F.lit(3).alias("n_features"), F.count_distinct("target_fault_label").alias("n_classes"))
+                 F.lit(sum(c.startswith(("xmeas_", "xmv_")) for c in s.columns)).alias("n_features"), F.count_distinct("target_fault_label").alias("n_classes"))
 
 
 @register("d8_run_sizes", "D8", "WITH " + Q.SCORED + """

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import scalars as S
 from ..operators import compare as cmp
+from ..operators import prepare as pr
 from ..operators import quality as qa
 from ..sources import ingest as ing
 from ..sources.tables import sensor_matrix, telemetry, with_class_probabilities
 from ..session import ensure_checkpoint_dir
 from . import sql as Q
 from .alert_queries import _q
-from .metric_queries import REPORT_SQL
+from .metric_queries import MODELS_SQL, models
+from .prepare_queries import I1_SQL, runs_table
 from .registry import register
 from .telemetry_queries import scored
 
@@ -113,60 +115,100 @@ def a1(spark, sf_dir):
 @register("a2_cached_ingest", "A2", "WITH " + Q.TELEMETRY + """
 SELECT 'test' AS split, faultNumber, simulationRun, sample, CAST(xmeas_13 AS FLOAT) AS xmeas_13 FROM telemetry""")
 def a2(spark, sf_dir):
-    """The cache is built from CSV once; a second call with a source that now differs reads the same
-    cache, and a source that doesn't exist is skipped."""
+    """A copy built from a first version of the source is built again once the source has changed;
+    a source that doesn't exist is skipped."""
     base = os.path.join(ensure_checkpoint_dir(spark), "a2", uuid.uuid4().hex)
     t = telemetry(spark, sf_dir).select("faultNumber", "simulationRun", "sample", "xmeas_13")
-    t.write.option("header", True).csv(f"{base}/csv")
-    ing.cached_ingest(spark, {"test": f"{base}/csv", "train": f"{base}/absent"}, f"{base}/cache")
-    t.where("sample = 1").write.option("header", True).csv(f"{base}/other")
-    out = ing.cached_ingest(spark, {"test": f"{base}/other"}, f"{base}/cache")
+    for rows in (t.where("sample = 1"), t):
+        rows.write.mode("overwrite").option("header", True).csv(f"{base}/csv")
+        out = ing.cached_ingest(spark, {"test": f"{base}/csv", "train": f"{base}/absent"}, f"{base}/cache")
     return out.select("split", F.col("faultNumber").cast("int").alias("faultNumber"), "simulationRun", "sample", "xmeas_13")
 
 
-@register("a17_dashboard_bundle", "A17", "WITH " + Q.SCORED + """,
+@register("a2_rejected_values", "A1 A2", "WITH " + Q.TELEMETRY + """,
+bad AS (SELECT CASE WHEN event_id % 7 = 0 THEN 'sample' END AS k, CASE WHEN event_id % 5 = 0 THEN 'xmeas_13' END AS v FROM telemetry)
+SELECT 'sample' AS "column", count(*) AS n_values, count(*) AS n_rows_dropped FROM bad WHERE k IS NOT NULL
+UNION ALL SELECT 'xmeas_13', count(*), count(k) FROM bad WHERE v IS NOT NULL""")
+def a2_rejected(spark, sf_dir):
+    """Text that isn't a number in some rows' sample and sensor is counted and doesn't stop the ingest."""
+    base = os.path.join(ensure_checkpoint_dir(spark), "a2", uuid.uuid4().hex)
+    t = telemetry(spark, sf_dir)
+    spoilt = lambda c, k, text: F.when(F.col("event_id") % k == 0, F.lit(text)).otherwise(F.col(c).cast("string")).alias(c)
+    t.select("faultNumber", "simulationRun", spoilt("sample", 7, "?"), spoilt("xmeas_13", 5, "1,5e")).write.option("header", True).csv(f"{base}/csv")
+    return ing.rejected_values(spark, f"{base}/csv")
+
+
+A4_FAULTS = (1, 4, 6, 11, 14)
+
+
+@register("a4_key_filtered_scan", "A4 C1", I1_SQL + f"""
+SELECT t.run_key, t.sample FROM telemetry t JOIN r USING (run_key) WHERE rk <= 3 AND r.faultNumber IN {A4_FAULTS}""")
+def a4(spark, sf_dir):
+    """Three runs of each of some faults, from a copy that is partitioned by fault and clustered by run."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "a4", uuid.uuid4().hex)
+    t = telemetry(spark, sf_dir).select("faultNumber", "simulationRun", "sample", "run_key")
+    ing.write_runs(t, path)
+    keys = pr.sample_runs_per_fault(runs_table(spark, sf_dir), 3).where(F.col("faultNumber").isin(*A4_FAULTS))
+    return ing.scan_keys(spark.read.schema(t.schema).parquet(path), keys).select("run_key", "sample")
+
+
+@register("a17_dashboard_bundle", "A17", MODELS_SQL + """,
 k AS (SELECT count(*) FILTER (WHERE y_true = 1 AND is_fault = 1) AS tp, count(*) FILTER (WHERE y_true = 1) AS pos,
              count(*) FILTER (WHERE y_true = 0 AND is_fault = 1) AS fp, count(*) FILTER (WHERE y_true = 0) AS neg,
-             count(*) FILTER (WHERE faultNumber = 99) AS never FROM scored)
-SELECT 'notebook' AS source,
-       coalesce(nullif(round(CAST(tp AS DOUBLE) / pos, 4), 0), 0.9) AS recall,
+             count(*) FILTER (WHERE faultNumber = 99) AS never FROM scored),
+top AS (SELECT model, accuracy, macro_f1 FROM cmp WHERE fold = 'test' ORDER BY macro_f1 DESC, model LIMIT 1),
+newest AS (SELECT run_key FROM scored GROUP BY run_key ORDER BY max(ts) DESC, run_key LIMIT 1),
+risk AS (SELECT run_key AS risk_run, count(*) AS risk_points, round(max(p_fault), 6) AS risk_max,
+                min(CASE WHEN y_true = 1 THEN sample END) - 1 AS fault_onset_index FROM scored JOIN newest USING (run_key) GROUP BY run_key),
+watch AS (SELECT count(*) AS n_incidents FROM prf JOIN top USING (model) WHERE fold = 'test' AND r < 0.88)
+SELECT 'notebook' AS source, model AS champion, round(accuracy, 4) AS champion_accuracy, round(macro_f1, 4) AS champion_macro_f1,
+       3 AS feature_count, risk_run, risk_points, risk_max, coalesce(fault_onset_index, -1) AS fault_onset_index,
+       n_incidents, coalesce(nullif(round(CAST(tp AS DOUBLE) / pos, 4), 0), 0.9) AS recall,
        coalesce(nullif(round(CAST(fp AS DOUBLE) / neg, 4), 0), 0.2) AS false_alarm_rate,
        coalesce(nullif(CAST(never AS DOUBLE), 0), 0.35) AS threshold
-FROM k""")
+FROM k, top, risk, watch""")
 def a17(spark, sf_dir):
-    """Defaults overridden by artefacts computed from the data; a zero metric
-    counts as missing (the threshold artefact here is deliberately absent)."""
+    """Defaults overridden by artefacts computed from the data: the champion with its row of the
+    held-out comparison, the newest risk series, incidents of weak classes and the binary
+    metrics, of which a zero counts as missing (the threshold artefact here is deliberately absent)."""
+    from ..operators import alerts as al
+    from ..operators import metrics as me
     s = scored(spark, sf_dir)
-    art = s.agg((F.count_if((F.col("y_true") == 1) & (F.col("is_fault") == 1)) / F.count_if(F.col("y_true") == 1))
-                .alias("recall"),
-                (F.count_if((F.col("y_true") == 0) & (F.col("is_fault") == 1)) / F.count_if(F.col("y_true") == 0))
-                .alias("false_alarm_rate"),
-                F.count_if(F.col("faultNumber") == 99).cast("double").alias("threshold"))
-    art = art.select(F.lit("notebook").alias("source"), F.round("recall", 4).alias("recall"),
-                     F.round("false_alarm_rate", 4).alias("false_alarm_rate"), "threshold")
-    defaults = {"source": "default", "recall": 0.9, "false_alarm_rate": 0.2, "threshold": 0.35}
-    return ing.dashboard_bundle(defaults, art)
-
-
-@register("a8_metrics_manifest", "A8", REPORT_SQL + """
-SELECT round(max(CASE WHEN label = 'accuracy' THEN f1 END), 4) AS accuracy,
-       round(max(CASE WHEN label = 'macro avg' THEN f1 END), 4) AS macro_f1,
-       round(max(CASE WHEN label = 'weighted avg' THEN f1 END), 4) AS weighted_f1,
-       string_agg(label || ':' || printf('%.4f/%.4f/%.4f/%d', round(precision, 4), round(recall, 4), round(f1, 4), support), ' ' ORDER BY label)
-           FILTER (WHERE label NOT IN ('accuracy', 'macro avg', 'weighted avg')) AS per_class,
-       'cascade' AS best_model
-FROM report""")
+    rate = lambda y, name: F.round(F.count_if((F.col("y_true") == y) & (F.col("is_fault") == 1)) / F.count_if(F.col("y_true") == y), 4).alias(name)
+    binary = s.agg(rate(1, "recall"), rate(0, "false_alarm_rate"), F.count_if(F.col("faultNumber") == 99).cast("double").alias("threshold"))
+    report = me.classification_report(models(spark, sf_dir).where(F.col("fold") == "test"), "y_true_mc", "y_pred", ["model"]).checkpoint()    # a row a model and class
+    champion = ing.metrics_manifest(report).where(F.col("model") == F.col("best_model")).select(
+        F.col("model").alias("champion"), F.col("accuracy").alias("champion_accuracy"), F.col("macro_f1").alias("champion_macro_f1"))
+    newest = s.groupBy("run_key").agg(F.max("ts").alias("last")).orderBy(F.col("last").desc(), "run_key").limit(1).select("run_key")
+    risk = s.join(newest, "run_key", "left_semi").agg(F.max("run_key").alias("risk_run"), F.count("*").alias("risk_points"), F.round(F.max("p_fault"), 6).alias("risk_max"),
+                                                      F.min(F.when(F.col("y_true") == 1, F.col("sample") - 1)).alias("fault_onset_index"))
+    classes = report.join(champion, F.col("model") == F.col("champion"), "left_semi").where(F.col("label").try_cast("int").isNotNull())
+    watch = al.recall_watch(classes.select(F.col("label").cast("int").alias("label"), "recall", F.lit(None).cast("string").alias("name"))).agg(F.count("*").alias("n_incidents"))
+    features = sum(c.startswith(("xmeas_", "xmv_")) for c in s.columns)
+    art = binary.crossJoin(champion).crossJoin(risk).crossJoin(watch)                # one row each
+    art = art.withColumns({"source": F.lit("notebook"), "feature_count": F.lit(features)})
+    defaults = {"source": "default", "champion": None, "champion_accuracy": None, "champion_macro_f1": None, "feature_count": None, "risk_run": None, "risk_points": None,
+                "risk_max": None, "fault_onset_index": -1, "n_incidents": None, "recall": 0.9, "false_alarm_rate": 0.2, "threshold": 0.35}
+    return ing.dashboard_bundle(defaults, art, zero_is_missing=["recall", "false_alarm_rate", "threshold"])
+
+
+@register("a8_metrics_manifest", "A8", MODELS_SQL + """,
+w AS (SELECT model, sum(f * support) / sum(support) AS weighted_f1,
+             string_agg(c || ':' || printf('%.4f/%.4f/%.4f/%d', round(p, 4), round(r, 4), round(f, 4), CAST(support AS BIGINT)), ' ' ORDER BY CAST(c AS VARCHAR)) AS per_class
+      FROM prf WHERE fold = 'test' GROUP BY model)
+SELECT model, round(accuracy, 4) AS accuracy, round(macro_f1, 4) AS macro_f1, round(weighted_f1, 4) AS weighted_f1, per_class,
+       first_value(model) OVER (ORDER BY macro_f1 DESC, model) AS best_model
+FROM cmp JOIN w USING (model) WHERE fold = 'test'""")
 def a8(spark, sf_dir):
+    """The manifest of both models' held-out reports, written as JSON and read back; the best one is found, not told."""
     from ..operators import metrics as me
-    from .metric_queries import cascade
-    rep = me.classification_report(cascade(spark, sf_dir), "y_true_mc", "y_pred")
-    man = ing.metrics_manifest(rep, "cascade")
+    rep = me.classification_report(models(spark, sf_dir).where(F.col("fold") == "test"), "y_true_mc", "y_pred", ["model"])
     path = os.path.join(ensure_checkpoint_dir(spark), "reports", f"manifest-{uuid.uuid4().hex[:12]}")
-    ing.write_report(man.coalesce(1), path, fmt="json")     # one small document
+    ing.write_report(ing.metrics_manifest(rep).coalesce(1), path, fmt="json")     # one small document
     back = spark.read.json(path)
     text = F.transform("per_class", lambda c: F.concat(c["label"], F.lit(":"), F.format_string(
         "%.4f/%.4f/%.4f/%d", c["precision"], c["recall"], c["f1"], c["support"])))
-    return back.select("accuracy", "macro_f1", "weighted_f1", F.array_join(text, " ").alias("per_class"), "best_model")
+    return back.select("model", "accuracy", "macro_f1", "weighted_f1", F.array_join(text, " ").alias("per_class"), "best_model")
 
 
 @register("b5_fault_period_after_features", "B5", "WITH " + Q.SCORED + """,

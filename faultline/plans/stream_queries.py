@@ -97,11 +97,8 @@ def k5(spark, sf_dir):
 @register("k2_stream_alerts", "K2 J16", aq._j16_sql())
 def k2(spark, sf_dir):
     rows, params, imp = aq._fit(spark, sf_dir)
-    from .prepare_queries import run_folds
-    test_runs = run_folds(spark, sf_dir).where(F.col("fold") == "test").select("run_key")   # materialised
     base = publish(spark, sf_dir, "k2")
     s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
-    s = s.join(test_runs, "run_key", "left_semi").where((F.col("sample") - 1) % 5 == 0)
     from ..operators import alerts as ops
     from ..sources.tables import with_class_probabilities
     a = ops.build_alerts(with_class_probabilities(s), "probs", F.to_timestamp_ntz(F.lit(aq.BASE_TS)),

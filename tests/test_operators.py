@@ -189,24 +189,13 @@ def test_outlier_constant_sensor(spark):
     assert out["c"].n_outliers == 0 and out["v"].n_outliers == 1
 
 
-def test_scan_runs_and_cache(spark, tmp_path):
-    from faultline.sources import ingest as ing
+def test_scan_runs(spark):
     from faultline.sources.tables import telemetry
     t = telemetry(spark, SF001)
     some = t.select("faultNumber", "simulationRun").first()
     assert pr.scan_runs(t, some.faultNumber, [some.simulationRun]).count() > 0
     with pytest.raises(ValueError):
         pr.scan_runs(t, 5, [-1])
-    csv = str(tmp_path / "raw.csv")
-    t.select(F.col("faultNumber").alias(" faultNumber "), "simulationRun", "sample",
-             F.col("xmeas_13").alias("xmeas_13 ")).write.option("header", True).csv(csv)
-    out = str(tmp_path / "cache")
-    first = ing.cached_ingest(spark, {"training": csv, "testing": str(tmp_path / "missing.csv")}, out)
-    n = first.count()
-    again = ing.cached_ingest(spark, {"training": csv}, out)            # ignore: nothing rebuilt
-    assert again.count() == n and dict(again.dtypes)["xmeas_13"] == "float"
-    forced = ing.cached_ingest(spark, {"training": csv}, out, force=True)
-    assert forced.count() == n
 
 
 @pytest.mark.parametrize("accuracy", [50, 100_000])

@@ -14,7 +14,7 @@ from faultline.plans import registry  # noqa: E402
 EXTRA = {
     "B9": "`operators.prepare.check_features` (lists features that are absent or no number); tests",
     "B10": "`operators.prepare.check_no_leakage` (union of both word lists); tests",
-    "A2": "`sources.ingest.cached_ingest` (build once, `force` rebuilds, missing sources skipped); tests",
+    "A2": "`sources.ingest.cached_ingest` (a manifest of the sources' files decides between reuse and rebuild; missing sources skipped); tests",
 }
 
 
