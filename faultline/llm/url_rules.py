@@ -1,19 +1,23 @@
 """URL rules by a sort-merge range join (DataFrame functions only).
 
-A host's canonical key is its labels reversed, each followed by a dot
-(``a.example.org`` -> ``org.example.a.``), so that a rule host and all its
-subdomains are the interval [key, key with the last dot replaced by a slash).
-Intervals of different rule hosts are nested or disjoint.  Distinct hosts and
-interval borders are sorted together by key; a sweep carries the stack of the
-rules whose intervals are open, and each url takes the longest rule of its
-host's stack whose path is a prefix of its own.
+A key is the host's labels reversed, each followed by a dot, then a separator and the path
+(``a.example.org`` and ``/es/x`` -> ``org.example.a.`` | ``/es/x``), as bytes.  What starts with a key is
+the interval from the key to the key followed by FF, a byte that UTF-8 never uses.  Intervals of keys are nested
+or disjoint, so a sweep over sorted keys needs one stack: a beginning puts a rule on it, an end takes it off.
+The stack is kept as pointers.  Each border names the rule on top from there on: a beginning itself,
+an end the rule beneath (its parent), so a border is one row however deeply rules are nested.
+
+The host part and the path part of a rule are prefixes of their own, so there are two sweeps.  The first finds for
+each distinct host the innermost rule host around it; that one's ancestors are its chain.  The second sweeps each
+distinct (host, path) once for every rule host of its chain, against the rules' whole keys.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STACK = "array<struct<rule_host:string,path:string,verdict:string>>"
+from .common import keep
+
 _A_Z, _a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -28,42 +32,63 @@ def path_of(url: Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit("."))
+    return F.encode(F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit(".")), "UTF-8")
 
 
-def rule_borders(rules: DataFrame) -> DataFrame:
-    """(key, turn, stack): the open rules from each interval border on.
+def rule_key(host: Column, path: Column) -> Column:
+    """Host and path in one; FE, which UTF-8 never uses either, comes between them."""
+    return F.concat(host_key(host), F.lit(b"\xfe"), F.encode(path, "UTF-8"))
 
-    turn orders equal keys: 0 an interval ends, 1 one begins (2 is a host)."""
-    nodes = rules.groupBy("rule_host").agg(F.sort_array(F.collect_set(F.struct("rule_host", "path", "verdict"))).alias("own"))
-    labels = F.split("rule_host", r"\.", -1)
-    up = nodes.select(F.col("rule_host").alias("node"), F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("rule_host"))
-    stacks = up.join(nodes, "rule_host").groupBy("node").agg(
-        F.flatten(F.collect_list("own")).alias("open"),
-        F.flatten(F.collect_list(F.when(F.col("rule_host") != F.col("node"), F.col("own")))).alias("outer"))
-    key = host_key(F.col("node"))
-    after = F.concat(F.regexp_replace(key, r"\.$", ""), F.lit("/"))
-    return stacks.select(F.inline(F.array(
-        F.struct(key.alias("key"), F.lit(1).alias("turn"), F.col("open").cast(STACK).alias("stack")),
-        F.struct(after.alias("key"), F.lit(0).alias("turn"), F.col("outer").cast(STACK).alias("stack")))))
-
-
-def sweep(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(host, stack) for distinct hosts.
-
-    One range shuffle sorts hosts and borders by key.  Each range keeps its own
-    sweep, and starts from the last border of the ranges before it (one row a range)."""
-    points = hosts.select("host", host_key(F.col("host")).alias("key"), F.lit(2).alias("turn"), F.lit(None).cast(STACK).alias("stack"))
-    borders = rule_borders(rules).select(F.lit(None).cast("string").alias("host"), "key", "turn", "stack")
-    both = points.unionByName(borders).repartitionByRange("key").withColumn("range", F.spark_partition_id()).checkpoint()
-    last = both.where("stack IS NOT NULL").groupBy("range").agg(F.max_by("stack", F.struct("key", "turn")).alias("left"))
-    ranges = both.groupBy("range").agg(F.lit(1).alias("one")).join(last, "range", "left")
+
+def with_parents(intervals: DataFrame, group: Column, part: Column) -> DataFrame:
+    """(key, part, parent): ``intervals`` (distinct keys) with the key of the innermost interval around each, if any.
+
+    ``part`` is the key's varying text within its ``group``.  Of a key only those prefixes are looked up that are as
+    long as some other key of the group: one equi-join, linear in the rules times their nesting."""
+    keys = intervals.select("key", group.alias("group"), part.alias("part")).withColumn("size", F.octet_length("part"))
+    sizes = keys.groupBy("group").agg(F.collect_set("size").alias("sizes"))                  # at most as many as the longest key is long
+    shorter = F.explode(F.filter("sizes", lambda n: n < F.col("size")))
+    prefixes = keys.join(sizes, "group").select("key", "group", "part", shorter.alias("n")).select("key", "group", F.expr("substring(part, 1, n)").alias("part"))
+    around = prefixes.join(keys.select(F.col("key").alias("outer"), "group", "part", "size"), ["group", "part"])
+    return keys.select("key", "part").join(around.groupBy("key").agg(F.max_by("outer", "size").alias("parent")), "key", "left")
+
+
+def borders(intervals: DataFrame) -> DataFrame:
+    """(key, turn, top): which interval is on top of the stack from each border on (null: none).
+
+    turn orders equal keys: a beginning (1) comes before a point (2); ends have keys of their own."""
+    return intervals.select(F.inline(F.array(
+        F.struct("key", F.lit(1).alias("turn"), F.col("key").alias("top")),
+        F.struct(F.concat("key", F.lit(b"\xff")).alias("key"), F.lit(1).alias("turn"), F.col("parent").alias("top")))))
+
+
+def sweep(points: DataFrame, intervals: DataFrame) -> DataFrame:
+    """``points`` (key, and others) with top: the key of the innermost of the nested intervals (key, parent) around it.
+
+    One range shuffle sorts points and borders.  Each range keeps its own sweep, and
+    starts from the last border of the ranges before it (one row a range).  Points with equal keys may lie in several ranges."""
+    others = [c for c in points.columns if c != "key"]
+    both = (points.withColumns({"turn": F.lit(2), "border": F.lit(None).cast("struct<top:binary>")})
+            .unionByName(borders(intervals).select("key", "turn", F.struct("top").alias("border")), allowMissingColumns=True))
+    ranged = both.repartitionByRange("key", "turn", *others)
+    both = keep(ranged.withColumn("range", F.spark_partition_id()))
+    last = both.where("turn = 1").groupBy("range").agg(F.max_by("border", "key").alias("left"))
+    ranges = both.select("range").distinct().join(last, "range", "left")
     carried = ranges.select("range", F.last("left", ignorenulls=True).over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
     inside = Window.partitionBy("range").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    return (both.withColumn("here", F.last("stack", ignorenulls=True).over(inside)).where("turn = 2")
-            .join(carried, "range", "left")
-            .select("host", F.coalesce("here", "carried", F.array().cast(STACK)).alias("stack")))
+    return (both.withColumn("here", F.last("border", ignorenulls=True).over(inside)).where("turn = 2")
+            .join(carried, "range", "left").select("key", *others, F.coalesce("here", "carried")["top"].alias("top")))
+
+
+def rule_hosts_around(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, rule_host): for distinct hosts the rule hosts that are the host itself or a domain above it."""
+    labels = F.split("rule_host", r"\.", -1)
+    nodes = keep(rules.select("rule_host").distinct().withColumn("key", host_key(F.col("rule_host"))))
+    nested = keep(with_parents(nodes, F.element_at(labels, -1), F.col("key")))
+    above = nodes.select("key", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("rule_host"))
+    chain = above.join(nodes.select("rule_host"), "rule_host").select(F.col("key").alias("top"), "rule_host")
+    tops = sweep(hosts.select("host", host_key(F.col("host")).alias("key")), nested).where("top IS NOT NULL")
+    return tops.join(chain, "top").select("host", "rule_host")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -79,16 +104,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", defa
     verdict is the default.  Repeated pages are rows of their own.  Other columns
     pass through; an input column named like an added one is replaced.
 
-    A host with a third of all pages is one row in the sweep; AQE splits its rows in the
-    join that brings the stack back.
+    Borders are two rows a rule, whatever the nesting.  A url is swept once (all its pages together) for each
+    rule host above it, of which there are no more than its host has labels.  A url with a third of all
+    pages is one row in the sweep; AQE splits its rows in the join that brings the result back.
     """
-    rules = rules.select("rule_host", "path", "verdict").na.drop().where("rule_host <> ''")
-    pages = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).drop("rule", "verdict", "stack", "best")
-    stacks = sweep(pages.select("host").distinct(), rules)
-    fit = F.transform(F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"])), lambda r: F.struct(
-        (F.length(r["rule_host"]) + F.length(r["path"])).alias("length"), F.length(r["rule_host"]).alias("host_length"),
-        F.concat(r["rule_host"], r["path"]).alias("rule"), r["verdict"].alias("verdict")))
-    best = F.array_max(fit)
-    return (pages.join(stacks, "host", "left").withColumn("best", best)
+    rules = keep(rules.select("rule_host", "path", "verdict").na.drop().where("rule_host <> ''").groupBy("rule_host", "path").agg(F.max("verdict").alias("verdict"))
+                 .withColumn("key", rule_key(F.col("rule_host"), F.col("path"))))
+    pages = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}).drop("rule", "verdict", "best")
+    urls = pages.select("host", "path").distinct()
+    around = rule_hosts_around(pages.select("host").distinct(), rules)
+    points = urls.join(around, "host").select("host", "path", "rule_host", rule_key(F.col("rule_host"), F.col("path")).alias("key"))
+    nested = keep(with_parents(rules, F.col("rule_host"), F.encode("path", "UTF-8")))
+    found = sweep(points, nested).where("top IS NOT NULL").select("host", F.col("path").alias("url_path"), F.col("top").alias("key"))
+    fits = found.join(rules, "key").groupBy("host", "url_path").agg(F.max(F.struct(
+        (F.length("rule_host") + F.length("path")).alias("length"), F.length("rule_host").alias("host_length"),
+        F.concat("rule_host", "path").alias("rule"), "verdict")).alias("best"))
+    return (pages.join(fits.withColumnRenamed("url_path", "path"), ["host", "path"], "left")
             .withColumns({"rule": F.col("best")["rule"], "verdict": F.coalesce(F.col("best")["verdict"], F.lit(default))})
-            .drop("stack", "best"))
+            .drop("best"))

@@ -248,6 +248,39 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(pages.limit(0), table).count() == 0
 
 
+def test_url_rules_nested_deeply(spark):
+    """Random nested rules and urls on few labels, in one and in many ranges."""
+    rng = random.Random(5)
+    host = lambda: ".".join(rng.choice("ab") for _ in range(rng.randint(1, 4)))
+    path = lambda: "".join(rng.choice(["/", "x", "xx", "é", "\U0010ffff", ""]) for _ in range(rng.randint(0, 5)))
+    rules = sorted({(host(), path(), rng.choice(["allow", "block"])) for _ in range(300)})
+    urls = [f"http://{host()}/{path()}" for _ in range(400)]
+    table = spark.createDataFrame(rules, "rule_host string, path string, verdict string")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    expected = [brute_verdict(u, rules) for u in urls]
+    for partitions in (1, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            got = url_rules.judge_urls(pages, table).orderBy("page_id").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        assert [(r["host"], r["path"], r["rule"], r["verdict"]) for r in got] == expected
+
+
+def test_url_rules_are_linear_in_rules(spark):
+    """100 000 rules, half of them nested paths of one host and half hosts beneath it: two borders a rule."""
+    paths = spark.range(50_000).select(F.lit("com").alias("rule_host"), F.concat(F.lit("/"), F.regexp_replace(F.col("id").cast("string"), "(.)", "$1/")).alias("path"))
+    hosts = spark.range(50_000).select(F.concat(F.lit("h"), "id", F.lit(".com")).alias("rule_host"), F.lit("").alias("path"))
+    rules = paths.unionByName(hosts).withColumn("verdict", F.lit("block"))
+    keyed = rules.withColumn("key", url_rules.rule_key(F.col("rule_host"), F.col("path")))
+    assert url_rules.borders(url_rules.with_parents(keyed, F.col("rule_host"), F.encode("path", "UTF-8"))).count() == 200_000
+    pages = spark.range(3000).select("id", F.concat(F.lit("http://h"), F.col("id") * 20, F.lit(".com/"), F.regexp_replace((F.col("id") * 7).cast("string"), "(.)", "$1/"), F.lit("z")).alias("url"))
+    got = {r["id"]: (r["rule"], r["verdict"]) for r in url_rules.judge_urls(pages, rules).select("id", "rule", "verdict").collect()}
+    for i in range(3000):
+        by_host, by_path = (f"h{i * 20}.com" if i * 20 < 50_000 else ""), "com/" + "".join(c + "/" for c in str(i * 7))
+        assert got[i] == (max(by_host, by_path, key=lambda r: (len(r), r.count("h"))), "block")
+
+
 def test_native_operators_have_no_python(spark, docs_of):
     rules = spark.createDataFrame(list(queries.URL_RULES), "rule_host string, path string, verdict string").checkpoint()
     pages = spark.range(5).select(F.lit("http://a.org/").alias("url")).withColumn("page_id", F.lit(1))
