@@ -102,7 +102,20 @@ def op9_embedding_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
-@query("op3_ngram_jaccard")
+@query("op3_ngram_jaccard", rf"""
+WITH RECURSIVE dw AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+grams AS (SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+sets AS (SELECT rid, count(*) AS n, md5(string_agg(gram, ',' ORDER BY gram)) AS key FROM grams GROUP BY rid),
+classes AS (SELECT key, min(rid) AS c, any_value(n) AS n, count(*) AS weight, min(doc_id) AS least FROM sets JOIN dw USING (rid) GROUP BY key),
+of_class AS (SELECT c, n, gram FROM grams JOIN classes ON rid = c),
+met AS (SELECT a.c AS a, b.c AS b, a.n + b.n AS n, count(*) AS common FROM of_class a JOIN of_class b ON a.gram = b.gram AND a.c < b.c GROUP BY ALL),
+pairs AS (SELECT a, b FROM met WHERE 5 * common >= 4 * (n - common)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+low AS (SELECT reach.a AS c, min(least) AS least FROM reach JOIN classes ON classes.c = reach.b GROUP BY reach.a),
+degree AS (SELECT links.a AS c, sum(weight) AS others FROM links JOIN classes ON classes.c = links.b GROUP BY links.a)
+SELECT doc_id, CAST(coalesce(weight - 1 + coalesce(others, 0), 0) AS BIGINT) AS n_links, coalesce(low.least, doc_id) AS class_id, doc_id = coalesce(low.least, doc_id) AS kept
+FROM dw LEFT JOIN sets USING (rid) LEFT JOIN classes USING (key) LEFT JOIN low USING (c) LEFT JOIN degree USING (c)""")
 def op3_ngram_jaccard(spark, sf_dir):
     found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_links", F.col("component").alias("class_id"), (F.col("id") == F.col("component")).alias("kept"))
