@@ -120,11 +120,14 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, bits: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
-        max_rows: int = 12_000, bits: int = 18, shard_bytes: int = 2 << 20, **options) -> Model:
-    """Weights from a sample of at most about ``max_rows`` labelled documents (the documented bound).
+        max_rows: int = 12_000, max_bytes: int = 128 << 20, bits: int = 18, shard_bytes: int = 2 << 20, **options) -> Model:
+    """Weights from a sample of labelled documents: at most about ``max_rows`` of them, with at most about
+    ``max_bytes`` of text together (the documented bounds), chosen by hashes of the id whatever their length.
 
-    The driver gets the hashed features of the sampled documents, not their texts."""
+    The driver gets the hashed features of the sampled documents, not their texts: about twice the bytes of these."""
     rows = labelled_sample(docs.select(id_col, text_col), labels, label_col, max_rows, id_col)
+    size = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    rows = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("bytes")), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_bytes / max(size, 1))))
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("label", T.IntegerType()), T.StructField("feature", T.BinaryType()), T.StructField("size", T.BinaryType())])
 
     def featurise(batches: Iterable[pa.RecordBatch]):
