@@ -45,6 +45,11 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(train), pa.array(total.astype(np.int64))], ["word", "train", "total"])
 
 
+def _sums(at: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``weights`` by place, as doubles even where there are none (bincount gives integers then)."""
+    return np.bincount(at, weights=weights, minlength=n).astype(np.float64)
+
+
 def _position(table: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Index in the sorted table, -1 where it is absent."""
     if not len(table):
@@ -53,24 +58,32 @@ def _position(table: np.ndarray, code: np.ndarray) -> np.ndarray:
     return np.where(table[at] == code, at, -1)
 
 
-def _rare(batches: Iterable[pa.RecordBatch], frequent: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """The tokens of all other words, packed by part of the vocabulary."""
+def _rare(batches: Iterable[pa.RecordBatch], frequent: np.ndarray, parts: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """The tokens of all other words, packed by part of the vocabulary and slice of the documents."""
     for rows, w in _shards(batches, 8 << 20):
         size = np.diff(w.first)
         rare = np.flatnonzero(_position(frequent, w.code) < 0)
         uid = np.repeat(rows.column("uid").to_numpy(), size)[rare]
-        held = np.repeat(rows.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint8), size)[rare]
         code = w.code[rare]
-        yield _packed((code % np.uint64(parts)).astype(np.int64), {"code": code, "uid": uid, "held": held}, "part")
+        task = (code % np.uint64(parts)).astype(np.int64) * slices + uid % slices
+        yield _packed(task, {"code": code, "uid": uid, "train": None}, "task")
+
+
+def _rare_counts(batches: Iterable[pa.RecordBatch], parts: int, slices: int) -> Iterator[pa.RecordBatch]:
+    """The words' training counts, packed by part, for every slice of it."""
+    for batch in batches:
+        code, train = batch.column("word").to_numpy().view(np.uint64), batch.column("train").to_numpy()
+        for j in range(slices):
+            yield _packed((code % np.uint64(parts)).astype(np.int64) * slices + j, {"code": code, "uid": None, "train": train}, "task")
 
 
-def _packed(key: np.ndarray, columns: dict[str, np.ndarray], name: str) -> pa.RecordBatch:
-    """One row for each value of ``key``, with its entries of all columns as binary arrays."""
+def _packed(key: np.ndarray, columns: dict[str, np.ndarray | None], name: str) -> pa.RecordBatch:
+    """One row for each value of ``key``, with its entries of all columns as binary arrays (None: a null column)."""
     order = np.argsort(key, kind="stable")
     used, edge = np.unique(key[order], return_index=True)
     edge = np.append(edge, len(key))
-    cut = lambda x: pa.array([x[a:z].tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *[cut(c[order]) for c in columns.values()]], [name, *columns])
+    cut = lambda x: pa.nulls(len(used), pa.binary()) if x is None else pa.array([x[a:z].tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(used), *[cut(c if c is None else c[order]) for c in columns.values()]], [name, *columns])
 
 
 def _unpacked(table: pa.Table, kinds: dict[str, type]) -> list[np.ndarray]:
@@ -78,16 +91,17 @@ def _unpacked(table: pa.Table, kinds: dict[str, type]) -> list[np.ndarray]:
 
 
 def _look_up(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Sum of log10(count + 1) and number of known tokens by document in one part of the
+    """Sum of log10(count + 1) and number of known tokens by document in one slice of one part of the
     vocabulary, packed by bucket of documents."""
-    for _, table in grouped(batches, "part"):
-        code, uid, held = _unpacked(table, {"code": np.uint64, "uid": np.int64, "held": np.uint8})
-        _, at = np.unique(code, return_inverse=True)
-        count = np.bincount(at, weights=1 - held)
-        del code
+    for _, table in grouped(batches, "task"):
+        counted = pa.compute.is_valid(table["train"])
+        word, train = _unpacked(table.filter(counted), {"code": np.uint64, "train": np.int64})
+        code, uid = _unpacked(table.filter(pa.compute.invert(counted)), {"code": np.uint64, "uid": np.int64})
+        order = np.argsort(word)
+        count = train[order][np.searchsorted(word[order], code)] if len(code) else np.zeros(0, np.int64)         # every token's word is counted
         docs, own = np.unique(uid, return_inverse=True)
-        log = np.bincount(own, weights=np.log10(count + 1)[at])
-        known = np.bincount(own, weights=(count > 0)[at]).astype(np.int64)
+        log = _sums(own, np.log10(count + 1), len(docs))
+        known = np.bincount(own, weights=count > 0, minlength=len(docs)).astype(np.int64)
         yield _packed(docs % buckets, {"uid": docs, "log": log, "known": known}, "bucket")
 
 
@@ -96,7 +110,7 @@ def _sum_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, table in grouped(batches, "bucket"):
         uid, log, known = _unpacked(table, {"uid": np.int64, "log": np.float64, "known": np.int64})
         docs, own = np.unique(uid, return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.bincount(own, weights=log)), pa.array(np.bincount(own, weights=known).astype(np.int64))], ["uid", "rare_log", "rare_known"])
+        yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(_sums(own, log, len(docs))), pa.array(np.bincount(own, weights=known).astype(np.int64))], ["uid", "rare_log", "rare_known"])
 
 
 def _classes(batches: Iterable[pa.RecordBatch], frequent: np.ndarray, count: np.ndarray, class_log: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -106,10 +120,10 @@ def _classes(batches: Iterable[pa.RecordBatch], frequent: np.ndarray, count: np.
         doc = w.doc()
         at = _position(frequent, w.code)
         usual = at >= 0
-        log = np.bincount(doc[usual], weights=np.log10(count[at[usual]] + 1.0), minlength=len(n))
+        log = _sums(doc[usual], np.log10(count[at[usual]] + 1.0), len(n))
         known = np.bincount(doc[usual], weights=count[at[usual]] > 0, minlength=len(n)).astype(np.int64)
         kind = (w.code >> np.uint64(64 - CLASS_BITS)).astype(np.uint16)
-        inside = np.bincount(doc, weights=class_log[kind], minlength=len(n))
+        inside = _sums(doc, class_log[kind], len(n))
         seq = [np.append(kind[a:z], np.uint16(END)).tobytes() for a, z in zip(w.first[:-1], w.first[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in ("uid", "id", "held_out")], pa.array(n + 1), pa.array(log), pa.array(known), pa.array(inside), pa.array(seq, pa.binary())],
                                          ["uid", "id", "held_out", "n_tokens", "log", "known", "inside", "seq"])
@@ -317,9 +331,10 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
     fingerprints.
 
     Words with 1/65536 of all tokens or more, at most 65536 of them, are broadcast with
-    their counts; no other word can be a hot key.  The tokens of the others are
-    shuffled packed by part of the vocabulary, to where their word is counted, and the
-    sums come back packed by bucket of documents.
+    their counts.  The tokens of the others are shuffled packed by part of the vocabulary, to
+    where their words' counts go too, and the sums come back packed by bucket of documents.  There are as many
+    parts as tokens fill at ``part_tokens`` each, and each part is cut into slices of the documents, as many as
+    the most frequent of these words fills: no task gets more than about two shares of tokens, whatever the words.
     """
     spark = docs.sparkSession
     rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("uid"), F.col(id_col).alias("id"), held_out.cast("boolean").alias("held_out"), F.col(text_col).alias("text"))
@@ -336,12 +351,14 @@ def score_texts(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", te
     usual = counts.where(F.col("total") * FREQUENT >= all_tokens).collect()           # at most FREQUENT rows
     usual = sorted((r["word"] % 2**64, r["train"]) for r in usual)
     frequent, count = np.array([u[0] for u in usual], dtype=np.uint64), np.array([u[1] for u in usual], dtype=np.float64)
-    n_rare = all_tokens - (counts.where(F.col("total") * FREQUENT >= all_tokens).agg(F.sum("total")).first()[0] or 0)
+    others = counts.where(F.col("total") * FREQUENT < all_tokens)
+    n_rare, most = (x or 0 for x in others.agg(F.sum("total"), F.max("total")).first())
     class_log = np.log10(in_class + seen + 1)
     known_words = spark.sparkContext.broadcast((frequent, count, class_log))
-    parts = max(1, -(-n_rare // part_tokens))
-    sums = (rows.select("uid", "held_out", "text").mapInArrow(lambda it: _rare(it, known_words.value[0], parts), "part int, code binary, uid binary, held binary")
-            .repartition("part").sortWithinPartitions("part").mapInArrow(lambda it: _look_up(it, parts), "bucket int, uid binary, log binary, known binary")
+    parts, slices = max(1, -(-n_rare // part_tokens)), max(1, -(-most // part_tokens))
+    dealt = (rows.select("uid", "text").mapInArrow(lambda it: _rare(it, known_words.value[0], parts, slices), "task long, code binary, uid binary, train binary")
+             .unionAll(others.select("word", "train").mapInArrow(lambda it: _rare_counts(it, parts, slices), "task long, code binary, uid binary, train binary")))
+    sums = (dealt.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: _look_up(it, parts), "bucket long, uid binary, log binary, known binary")
             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum_up, "uid long, rare_log double, rare_known long"))
     sequences = keep(rows.mapInArrow(lambda it: _classes(it, *known_words.value), _sequence_schema(rows)))
     unigram = (in_class + 0.5) / (in_class + 0.5).sum()

@@ -201,6 +201,9 @@ def test_toxic_sentences_are_located(spark, docs_of):
     for r, t, (_, y) in zip(found, rows, labels, strict=True):
         assert (r["score"] >= 0.7) == bool(y)
         assert [("fool" in t[s["begin"]:s["end"]]) for s in r["offending"]] == [True] * y
+    assert (toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), max_bytes=1 << 30).weight == model.weight).all()      # the bound isn't reached
+    none = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), max_bytes=1)
+    assert toxicity.score(docs, none).where("score BETWEEN 0 AND 1").count() == 600
     p = np.array([0.1, 0.5, 0.2])
     assert toxicity.noisy_or(p, np.array([0, 0, 2]), 3) == pytest.approx([0.55, 0, 0.2])
 
@@ -241,8 +244,10 @@ def brute_base(docs, modulus=7, out=2):
     return [(len(ws), sum(count[w] > 0 for w in ws), n, held[k], sum(math.log10((count[w] + 1) / (n + 1 * (v + 1))) for w in ws)) for k, ws in tokens.items()]
 
 
-@pytest.mark.parametrize("part_tokens", [2_000_000, 50])
-def test_language_model_counts(spark, docs_of, part_tokens):
+@pytest.mark.parametrize("part_tokens, frequent", [(2_000_000, 65_536), (50, 65_536), (50, 20), (2_000_000, 20)])
+def test_language_model_counts(spark, docs_of, part_tokens, frequent, monkeypatch):
+    """Words are broadcast, or (with ``frequent`` 20 most of them) shuffled, in one part and slice or in many."""
+    monkeypatch.setattr(language_model, "FREQUENT", frequent)
     rng = random.Random(6)
     texts = [" ".join(prose(rng, rng.choice([1, 5, 50, 400]), 3000)) for _ in range(80)] + [None, "", "É é É É A a\x0bb\x1cc", "zz " * 5000]
     docs = list(enumerate(texts, 1))
@@ -256,6 +261,8 @@ def test_language_model_counts(spark, docs_of, part_tokens):
     assert [g[5] for g in got] == pytest.approx([w[5] for w in want], rel=1e-9)
     assert all(math.isfinite(g[6]) and g[6] < 0 for g in got)
     assert language_model.score_texts(frame.limit(0), F.lit(False), rounds=1).count() == 0
+    empty = language_model.score_texts(docs_of([None, "", ""]), F.lit(False), rounds=1).collect()          # no word in any text
+    assert [(r["n_tokens"], r["n_known"]) for r in empty] == [(1, 1)] * 3
     alone = language_model.score_texts(frame.limit(3), F.lit(True), rounds=1).collect()      # nothing to learn from
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in alone)
 
