@@ -179,9 +179,13 @@ def _verify(batches: Iterable[pa.RecordBatch], size: int, numerator: int, denomi
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: tuple[int, int] = (4, 5),
-                    tolerance: float = 1e-6, block_rows: int = 256, block_bytes: int = 16 << 20, shard_bytes: int = 2 << 20) -> DataFrame:
+                    tolerance: float = 1e-6, block_rows: int = 256, block_bytes: int = 16 << 20, shard_bytes: int = 2 << 20, texts_apart: bool = False) -> DataFrame:
     """(id, n_links, component), a row for each row of ``docs``.
 
+    With ``texts_apart`` also text_hash (xxhash64 of the text) and first: whether the row holds the text
+    with the least (id, text_hash) of its component, so that one text of a component is first even
+    where one id has several.
+
     A link is a pair of documents whose sets of ``size``-word n-grams have a Jaccard
     similarity of at least numerator / denominator (``threshold``).  Words are runs of
     ASCII letters and digits and of non-ASCII characters, A-Z lower-cased; a text of
@@ -199,7 +203,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sketch = keep(rows.mapInArrow(lambda it: _sketch(it, size, shard_bytes), "id long, sum long, key binary, sig binary, bytes long"))
     # a class is known by a number of its own; its text is that of its least (id, text hash)
     classes = sketch.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "sum")).alias("of"), F.count("*").alias("weight"), F.any_value("sig").alias("sig"), F.max("bytes").alias("bytes"))
-    classes = keep(classes.select("key", F.col("of.id").alias("doc"), "of.sum", "weight", "sig", "bytes", F.monotonically_increasing_id().alias("id")))
+    classes = keep(classes.select("key", "of", F.col("of.id").alias("doc"), "of.sum", "weight", "sig", "bytes", F.monotonically_increasing_id().alias("id")))
     entries = classes.select("id", "bytes", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(
         b.alias("band"), F.xxhash64(b, F.substring("sig", b * 2 * ROWS + 1, F.lit(2 * ROWS))).alias("bucket")))).alias("e")).select("id", "bytes", "e.band", "e.bucket")
     # buckets with the same documents need to be looked at only once, in the first band
@@ -217,8 +221,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = likely.join(classes.select("id", "doc", "sum"), "id").join(texts, ["doc", "sum"]).select("task", "id", "weight", "partners", "text")
     found = keep(found.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: _verify(it, size, *threshold), "id long, links long, low long"))
     reach = components(classes, found.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    named = reach.join(classes.select("id", "doc"), "id")
-    named = named.join(named.groupBy("component").agg(F.min("doc").alias("least")), "component").select("id", "least")
+    named = reach.join(classes.select("id", "of"), "id")
+    named = named.join(named.groupBy("component").agg(F.min("of").alias("least")), "component").select("id", "least")
     per_class = (classes.select("key", "id", "weight").join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left").join(named, "id")
-                 .select("key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.col("least").alias("component")))
-    return sketch.select("id", "key").join(per_class, "key", "left").select("id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("component", "id").alias("component"))
+                 .select("key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "least"))
+    out = sketch.select("id", "sum", "key").join(per_class, "key", "left")
+    more = [F.col("sum").alias("text_hash"), F.coalesce(F.col("least") == F.struct("id", "sum"), F.lit(True)).alias("first")] if texts_apart else []
+    return out.select("id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), F.coalesce("least.id", "id").alias("component"), *more)

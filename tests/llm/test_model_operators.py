@@ -360,3 +360,18 @@ def test_pipeline_keeps_different_texts_of_one_id(spark):
     rows = [(1, a), (1, b), (1, b), (2, b + " more"), (3, c), (1, None), (None, c), (4, a)]
     kept = corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(kept.collect(), key=str) == sorted(spark.createDataFrame([(1, a), (1, b), (3, c), (1, None), (None, c)], "doc_id long, text string").collect(), key=str)
+
+
+def test_pipeline_keeps_the_same_one_of_repeated_rows(spark):
+    rows = [(1, "x y z", "en", k % 4) for k in range(40)] + [(1, "x y z", None, 7), (2, "p q", None, None)]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, text_hash int").repartition(parts)
+        assert sorted(corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect()) == [(1, "x y z", "en", 0), (2, "p q", None, None)]
+
+
+def test_jaccard_names_one_first_text_of_a_component(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b + " more"), (3, a + " more"), (4, None), (4, "")], "doc_id long, text string")
+    found = jaccard.near_duplicates(docs, texts_apart=True).join(docs.withColumn("text_hash", F.xxhash64("text")).withColumnRenamed("doc_id", "id"), ["id", "text_hash"])
+    assert sorted((r["id"], r["text"] or "") for r in found.where("first").collect()) == [(1, a), (1, b), (4, ""), (4, "")]
+    assert sorted(r["n_links"] for r in found.collect()) == [0, 0, 1, 1, 2, 2, 2]
