@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import contamination, jaccard, pii, quality, queries
-from faultline.llm.common import keep, stored, table
+from faultline.llm.common import stored, table
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -42,26 +42,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _restored(quality.score(_plain(docs), forest).where("score >= 0.5"), docs, F.lit(False))
 
 
-def number_texts(docs: DataFrame) -> DataFrame:
-    """docs with _text_id: one number for each pair of doc_id and text, in the order of doc_id.
-
-    Where no doc_id has two texts it is the doc_id; else the distinct pairs are numbered by one range sort."""
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    if rows.groupBy("doc_id").agg(F.min("_text").alias("a"), F.max("_text").alias("z")).where("a <> z").isEmpty():
-        return docs.withColumn("_text_id", F.col("doc_id"))
-    pairs = keep(rows.select("doc_id", "_text").distinct().orderBy("doc_id", "_text"))
-    pairs = keep(pairs.withColumn("_text_id", F.monotonically_increasing_id()))
-    return stored(rows.join(pairs, ["doc_id", "_text"]).drop("_text"), "pipeline-texts")
-
-
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates (one row if that is repeated).
-
-    Different texts under one doc_id are documents of their own: only copies and near duplicates are dropped."""
-    rows = number_texts(docs.where("doc_id IS NOT NULL"))
-    found = jaccard.near_duplicates(rows, id_col="_text_id")
-    first = found.where("id = component").select(F.col("id").alias("_text_id")).distinct()
-    return rows.join(first, "_text_id", "left_semi").dropDuplicates(["_text_id"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """The document with the smallest id of each group of near duplicates.
+
+    Different texts under one doc_id are documents of their own: only copies and near duplicates are dropped.
+    Of rows with the same doc_id and text the one whose other columns read least (as JSON) stays."""
+    rows = _plain(docs.where("doc_id IS NOT NULL")).withColumn("text_hash", F.xxhash64("text"))
+    found = jaccard.near_duplicates(rows, texts_apart=True)
+    first = found.where("first").select(F.col("id").alias("doc_id"), "text_hash").distinct()
+    kept = rows.join(first, ["doc_id", "text_hash"], "left_semi")
+    others = [c for c in rows.columns if c.startswith("other_column_")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    one = kept.groupBy("doc_id", "text_hash").agg(F.min_by(F.struct("text", *others), order).alias("row")).select("doc_id", "row.*")
+    return _restored(one, docs, F.lit(False)).unionByName(docs.where("doc_id IS NULL"))
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
