@@ -22,10 +22,12 @@ from .common import components, grouped, keep, smallest_in_reach
 
 
 class Index(NamedTuple):
-    centroids: np.ndarray      # (cells, d)
+    top: np.ndarray            # (groups, d) centroids of groups of cells
+    centroids: np.ndarray      # (cells, d), the cells of a group side by side
+    first: np.ndarray          # where each group's cells begin, and the number of cells
     books: list[np.ndarray]    # of each subspace (codewords, width)
     bounds: list[int]          # where the subspaces begin, and d
-    gap: np.ndarray            # (cells, cells): how far past the border of two cells a query still probes
+    reach: float               # past the border of two cells a query still probes, for each unit between their centroids
 
 
 def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,36 +52,71 @@ def kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
 def fit_index(sample: np.ndarray, cells: int, radius: float, *, subspaces: int = 8, codewords: int = 256, margin: float = 3.0, seed: int = 11) -> Index:
     """Centroids and codebooks from sampled unit vectors.
 
-    gap: a neighbour's offset of length ``radius`` in an unrelated direction has a component of
-    about radius / sqrt(dimension) along the line between two centroids; queries probe a cell
+    Cells are found in two steps, sqrt(cells) groups first and then the cells of each group, so that fitting and
+    placing cost sqrt(cells) distances a vector.
+
+    reach: a neighbour's offset of length ``radius`` in an unrelated direction has a component of
+    about radius / sqrt(dimension) along the line between two centroids; queries probe a group or cell
     up to ``margin`` such deviations beyond its border.  The dimension is the effective one
     of the residuals, (sum of eigenvalues)^2 / sum of their squares."""
     sample = sample.astype(np.float32)
     d = sample.shape[1]
-    centroids = kmeans(sample, cells, 8, seed)
-    own = np.concatenate([nearest(sample[i:i + 8192], centroids)[0] for i in range(0, len(sample), 8192)])
-    residual = sample - centroids[own]
+    top = kmeans(sample, math.ceil(math.sqrt(cells)), 8, seed)
+    group = np.concatenate([nearest(sample[i:i + 8192], top)[0] for i in range(0, len(sample), 8192)])
+    inner = []
+    for g in range(len(top)):
+        mine = sample[group == g]
+        inner.append(kmeans(mine, round(cells * len(mine) / len(sample)), 8, seed + g) if len(mine) else top[g:g + 1])
+    centroids, first = np.concatenate(inner), np.cumsum([0, *map(len, inner)])
+    residual = np.empty_like(sample)
+    for g, centre in enumerate(inner):
+        at = np.flatnonzero(group == g)
+        residual[at] = sample[at] - centre[nearest(sample[at], centre)[0]]
     bounds = [round(k * d / min(subspaces, d)) for k in range(min(subspaces, d) + 1)]
     words = max(1, min(codewords, len(sample) // 8))
     books = [kmeans(residual[:, a:z], words, 6, seed + a) for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
     spread = np.cov(residual.T).reshape(d, d) if len(sample) > 2 else np.eye(d)
     effective = max(1.0, np.trace(spread) ** 2 / max((spread**2).sum(), 1e-12))
-    square = (centroids**2).sum(1)
-    apart = np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * centroids @ centroids.T, 0))
-    return Index(centroids, books, bounds, (margin * radius / math.sqrt(effective) * apart).astype(np.float32))
+    return Index(top, centroids, first, books, bounds, margin * radius / math.sqrt(effective))
+
+
+def probed(x: np.ndarray, index: Index) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Own cell and probed cells (ascending) of each row.
+
+    Groups are chosen by their borders; the own cell is the nearest one of them all, and the cells of all of them
+    are tested against its borders."""
+    def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * a @ b.T, 0))
+
+    home, near = nearest(x, index.top)
+    groups = near[np.arange(len(x)), home][:, None] - near <= index.reach * distance(index.top, index.top)[home]
+    groups[np.arange(len(x)), home] = True
+    asked = [(slice(*index.first[g:g + 2]), np.flatnonzero(groups[:, g])) for g in np.flatnonzero(groups.any(0))]
+    own, most = np.zeros(len(x), dtype=np.int64), np.full(len(x), -np.inf, dtype=np.float32)
+    for cells, row in asked:
+        best, near = nearest(x[row], index.centroids[cells])
+        near = near[np.arange(len(row)), best]
+        more = near > most[row]
+        own[row[more]], most[row[more]] = best[more] + cells.start, near[more]
+    found = []
+    for cells, row in asked:
+        centre = index.centroids[cells]
+        q, cell = np.nonzero(most[row][:, None] - nearest(x[row], centre)[1] <= index.reach * distance(index.centroids[own[row]], centre) + 1e-6)
+        found.append(np.stack([row[q], cell + cells.start]))
+    row, cell = np.concatenate(found, axis=1)
+    cell = cell[np.argsort(row, kind="stable")].astype(np.int32)
+    return own, np.split(cell, np.cumsum(np.bincount(row, minlength=len(x)))[:-1])
 
 
 def place(unit: np.ndarray, index: Index) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
     """Own cell, probed cells, codes and coding error of each unit vector."""
     x = unit.astype(np.float32)
-    own, near = nearest(x, index.centroids)
-    probed = near[np.arange(len(x)), own][:, None] - near <= index.gap[own]
-    probed[np.arange(len(x)), own] = True
+    own, probes = probed(x, index)
     residual = x - index.centroids[own]
     codes = np.stack([nearest(residual[:, a:z], book)[0] for a, z, book in zip(index.bounds[:-1], index.bounds[1:], index.books, strict=True)], axis=1)
     back = np.concatenate([book[codes[:, k]] for k, book in enumerate(index.books)], axis=1)
     error = np.sqrt(((residual - back).astype(np.float64) ** 2).sum(1))
-    return own, [np.flatnonzero(p).astype(np.int32) for p in probed], codes.astype(np.uint8), error
+    return own, probes, codes.astype(np.uint8), error
 
 
 def code_distances(x: np.ndarray, cell: int, codes: np.ndarray, index: Index) -> np.ndarray:
@@ -94,11 +131,13 @@ def code_distances(x: np.ndarray, cell: int, codes: np.ndarray, index: Index) ->
 
 
 def _prepare(batches: Iterable[pa.RecordBatch], d: int) -> Iterator[pa.RecordBatch]:
-    """id and padded unit vector; null for rows that can't be compared."""
+    """id and unit vector, shorter ones padded to ``d``; null for rows that can't be compared."""
     for batch in batches:
         column = batch.column("v").cast(pa.list_(pa.float64()))
         size = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         values = column.flatten().to_numpy(zero_copy_only=False)      # null components read as nan
+        values, fits = values[np.repeat(size <= d, size)], size <= d
+        size = np.where(fits, size, 0)
         x = np.zeros((len(size), d))
         row = np.repeat(np.arange(len(size)), size)
         x[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = values
@@ -159,27 +198,30 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
     Equal vectors are one class and are compared once.  A vector that is null, empty or
     zero, or holds null or non-finite components, links with nothing.  Shorter vectors
-    count as padded with zeros.  Repeated rows are vectors of their own.  ids are
-    integers; a row with a null id is left out.
+    than most count as padded with zeros; one that is longer than the commonest length (of
+    two equally common ones the longer) is malformed and links with nothing.  Repeated rows are
+    vectors of their own.  ids are integers; a row with a null id is left out.
 
-    The index is fitted on at most about ``sample_rows`` vectors (chosen by a hash) and
-    holds all vectors.  The number of cells is 4 sqrt(n), at most sample_rows / 16.
+    The index holds all vectors.  It has 4 sqrt(n) cells and is fitted on about ``sample_rows`` vectors
+    (chosen by a hash), or on four a cell if that is more: 16 sqrt(n), half a million for a thousand million.
     Cells with over ``block_rows`` members or queries are dealt in blocks of that size to
     several tasks, so that a task never holds a whole hot cell.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("v")).where("id IS NOT NULL")
-    d = rows.agg(F.max(F.size("v"))).first()[0] or 0
-    if d <= 0:
+    common = rows.where(F.size("v") > 0).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    d = common["d"] if common else 0
+    if not d:
         return rows.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component"))
     unit = keep(rows.mapInArrow(lambda it: _prepare(it, d), "id long, unit binary"))
     classes = keep(unit.where("unit IS NOT NULL").groupBy("unit").agg(F.min("id").alias("id"), F.count("*").alias("weight")))
     n = classes.count()
-    share = min(1.0, sample_rows / max(n, 1))
+    cells = math.ceil(4 * math.sqrt(n))
+    share = min(1.0, max(sample_rows, 4 * cells) / max(n, 1))
     sample = classes.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * share)).select("unit").toArrow()["unit"]
     points = np.sort(np.array(sample.to_pylist(), dtype=object)) if len(sample) else []
     points = np.frombuffer(b"".join(points), dtype=np.float64).reshape(-1, d) if len(points) else np.eye(1, d)
-    cells = max(1, min(math.ceil(4 * math.sqrt(n)), len(points) // 16))
+    cells = max(1, min(cells, len(points) // 4))
     shared = spark.sparkContext.broadcast(fit_index(points, cells, math.sqrt(max(0.0, 2 - 2 * least))))
 
     def indexed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +255,10 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
                         task += [(c << 40) | j << 20 | h % q for j in range(m)]
                         row += [k] * m
                         member += [False] * m
-                out = b.take(pa.array(row, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(task, pa.int64()), pa.array(member), *out.columns], ["task", "member", *out.schema.names])
+                every, members = pa.array(row, pa.int64()), pa.array([k if m else None for k, m in zip(row, member, strict=True)], pa.int64())
+                # a query needs neither code nor probes
+                columns = [b.column(c).take(members if c in ("probes", "code") else every) for c in b.schema.names]
+                yield pa.RecordBatch.from_arrays([pa.array(task, pa.int64()), pa.array(member), *columns], ["task", "member", *b.schema.names])
 
     def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for task, table in grouped(batches, "task"):

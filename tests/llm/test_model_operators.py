@@ -375,3 +375,27 @@ def test_jaccard_names_one_first_text_of_a_component(spark):
     found = jaccard.near_duplicates(docs, texts_apart=True).join(docs.withColumn("text_hash", F.xxhash64("text")).withColumnRenamed("doc_id", "id"), ["id", "text_hash"])
     assert sorted((r["id"], r["text"] or "") for r in found.where("first").collect()) == [(1, a), (1, b), (4, ""), (4, "")]
     assert sorted(r["n_links"] for r in found.collect()) == [0, 0, 1, 1, 2, 2, 2]
+
+
+def test_vectors_longer_than_most_are_left_alone(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(40, 8)).tolist()
+    rows = list(enumerate(base + base[:3])) + [(100, [1.0] * 500_000), (101, [1.0] * 500_000), (102, base[0] + [0.0])]
+    found = {r["id"]: (r["n_links"], r["component"]) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [found[k] for k in (100, 101, 102)] == [(0, 100), (0, 101), (0, 102)]
+    assert [found[k] for k in (0, 1, 2, 40, 41, 42, 9)] == [(1, 0), (1, 1), (1, 2), (1, 0), (1, 1), (1, 2), (0, 9)]
+
+
+def test_probes_of_many_cells_find_the_neighbours():
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(400, 32))
+    x = np.repeat(centre, 20, 0) + rng.normal(size=(8000, 32)) * 0.16
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = vectors.fit_index(x[::2], 360, math.sqrt(0.1))
+    own, probes, codes, error = vectors.place(x, index)
+    assert len(index.centroids) == index.first[-1] and abs(len(index.centroids) - 360) < 40
+    assert all(o in p and (np.diff(p) > 0).all() for o, p in zip(own, probes, strict=True))
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.95, 1))
+    met = [own[j] in probes[i] or own[i] in probes[j] for i, j in zip(a, b, strict=True)]
+    assert len(a) > 10_000 and np.mean(met) > 0.99
+    assert np.mean([len(p) for p in probes]) < 60
