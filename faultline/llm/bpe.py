@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import text as tx
+from .common import lean
 
 # Fixed value: the public pre-tokenisation pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -246,7 +247,7 @@ def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", carry: l
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     added = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())] + [T.StructField("decoded", T.StringType())] * decoded
     return docs.select(*dict.fromkeys([*carry, text_col])).mapInArrow(
-        lambda it: _encode(it, spec.value, text_col, carry, shard_bytes, decoded), T.StructType([docs.schema[c] for c in carry] + added))
+        lambda it: lean(_encode(it, spec.value, text_col, carry, shard_bytes, decoded)), T.StructType([docs.schema[c] for c in carry] + added))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -254,4 +255,4 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     with open(vocabulary, "rb") as f:
         spec = encoded.sparkSession.sparkContext.broadcast(f.read())
     encoded = encoded.drop("decoded")
-    return encoded.mapInArrow(lambda it: _decode(it, spec.value), T.StructType(encoded.schema.fields + [T.StructField("decoded", T.StringType())]))
+    return encoded.mapInArrow(lambda it: lean(_decode(it, spec.value)), T.StructType(encoded.schema.fields + [T.StructField("decoded", T.StringType())]))

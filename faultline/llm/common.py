@@ -108,6 +108,21 @@ def smallest_in_reach(n: int, a, b):
             return low
 
 
+def lean(batches):
+    """The batches; at their end, memory that the process has freed but keeps goes back to the system.
+
+    Python workers outlive their tasks, and idle ones sit beside the tasks of later stages."""
+    import ctypes
+    import pyarrow as pa
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+        if trim:
+            trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write as a table of the shared checkpoint folder and read it back (compressed, unlike a checkpoint)."""
     import uuid

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
+from .common import lean
 
 
 class Wavelet:
@@ -280,7 +281,7 @@ def benchmark_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
         rows = b.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).distinct().collect()   # at most about block_bytes
         bench = spark.sparkContext.broadcast(bench_windows([(r["i"], r["t"]) for r in rows], window))
         names = [f"_{n.name}_{k}" for n in added] if blocks > 1 else [n.name for n in added]
-        got = out.mapInArrow(lambda it, bench=bench: _scan(it, bench.value, text_col, shard_bytes), T.StructType(out.schema.fields + added))
+        got = out.mapInArrow(lambda it, bench=bench: lean(_scan(it, bench.value, text_col, shard_bytes)), T.StructType(out.schema.fields + added))
         out = got.withColumnsRenamed(dict(zip([n.name for n in added], names, strict=True)))
     if blocks > 1:
         # words hit by different blocks: merge the runs; a word is hit if any block hits it

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .common import components, grouped, keep, smallest_in_reach
+from .common import components, grouped, keep, lean, smallest_in_reach
 
 HASHES, ROWS = 128, 4                     # MinHash values of 16 bits; values in a band
 BANDS = HASHES // ROWS
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     each a task of its own, so no task holds a hot bucket, and no pair is ever a row.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("sum")).where("id IS NOT NULL")
-    sketch = keep(rows.mapInArrow(lambda it: _sketch(it, size, shard_bytes), "id long, sum long, key binary, sig binary, bytes long"))
+    sketch = keep(rows.mapInArrow(lambda it: lean(_sketch(it, size, shard_bytes)), "id long, sum long, key binary, sig binary, bytes long"))
     # a class is known by a number of its own; its text is that of its least (id, text hash)
     classes = sketch.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "sum")).alias("of"), F.count("*").alias("weight"), F.any_value("sig").alias("sig"), F.max("bytes").alias("bytes"))
     classes = keep(classes.select("key", "of", F.col("of.id").alias("doc"), "of.sum", "weight", "sig", "bytes", F.monotonically_increasing_id().alias("id")))
@@ -216,10 +216,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
              .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
              .select(F.xxhash64("bucket", "band", "lo", "hi").alias("task"), "id", "weight", "sig", "band", "block", "lo", "hi"))
     fewest = fewest_matches(threshold[0] / threshold[1], tolerance)
-    likely = keep(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: _prune(it, fewest), "task long, id long, weight long, partners binary"))
+    likely = keep(dealt.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: lean(_prune(it, fewest)), "task long, id long, weight long, partners binary"))
     texts = rows.groupBy(F.col("id").alias("doc"), "sum").agg(F.any_value("text").alias("text"))          # repeated rows are one before they travel
     found = likely.join(classes.select("id", "doc", "sum"), "id").join(texts, ["doc", "sum"]).select("task", "id", "weight", "partners", "text")
-    found = keep(found.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: _verify(it, size, *threshold), "id long, links long, low long"))
+    found = keep(found.repartition("task").sortWithinPartitions("task").mapInArrow(lambda it: lean(_verify(it, size, *threshold)), "id long, links long, low long"))
     reach = components(classes, found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     named = reach.join(classes.select("id", "of"), "id")
     named = named.join(named.groupBy("component").agg(F.min("of").alias("least")), "component").select("id", "least")

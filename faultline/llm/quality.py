@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
+from .common import lean
 
 # Byte classes of the statistics.
 _CLASSES = ("upper", "lower", "digit", "space", "newline", "stop", "comma", "bar", "symbol", "high")
@@ -180,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", id_col: s
         for batch, x in _batches(batches, text_col, shard_bytes):
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([r.tobytes() for r in x], pa.binary())], ["label", "x"])
 
-    got = rows.select(F.col(id_col), F.col(text_col), "label").mapInArrow(featurise, schema).toArrow()
+    got = rows.select(F.col(id_col), F.col(text_col), "label").mapInArrow(lambda it: lean(featurise(it)), schema).toArrow()
     x = np.frombuffer(b"".join(got["x"].to_pylist()), dtype=np.float32).reshape(-1, len(STATISTICS))
     y = np.array(got["label"].to_pylist(), dtype=np.float64)
     order = np.lexsort((*x.T, y))          # whatever order the tasks ended in
@@ -200,4 +201,4 @@ def score(docs: DataFrame, forest: Forest, *, text_col: str = "text", carry: lis
         for batch, x in _batches(batches, text_col, shard_bytes):
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(model.value.score(x), pa.float64())], [*carry, "score"])
 
-    return docs.select(*dict.fromkeys([*carry, text_col])).mapInArrow(run, T.StructType([docs.schema[c] for c in carry] + [T.StructField("score", T.DoubleType())]))
+    return docs.select(*dict.fromkeys([*carry, text_col])).mapInArrow(lambda it: lean(run(it)), T.StructType([docs.schema[c] for c in carry] + [T.StructField("score", T.DoubleType())]))
