@@ -168,3 +168,23 @@ def test_full_width_matches_spark_scores(spark):
     pdf = df.toPandas()
     want = bo.probabilities(model.margins_of(pdf[FEATURES].to_numpy(dtype=float)))
     assert all(np.allclose(got[i], p) for i, p in zip(pdf["id"], want, strict=True)) and len(SENSOR_COLUMNS) == 52
+
+
+def test_blocks_are_filled_however_rows_come():
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pydict({"v": list(range(a, b))}) for a, b in ((0, 7), (7, 7), (7, 8), (8, 30))]
+    got = [t.column("v").to_pylist() for t in bo._filled(batches, 8)]
+    assert got == [list(range(a, min(a + 8, 30))) for a in range(0, 30, 8)] and list(bo._filled([], 8)) == []
+
+
+def test_rows_of_many_blocks_are_dealt_over_the_cores(spark):
+    """A level of many blocks is one job of two stages on rows that stay in memory, not one task's pass over all of them."""
+    sc, df = spark.sparkContext, table(spark, n=1000)
+    sc.setJobGroup("dealt", "dealt")
+    try:
+        model = bo.boost(df, FEATURES, "y", classes=3, rounds=3, depth=2, block_rows=100)
+        stages = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup("dealt") for s in sc.statusTracker().getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    level = [s.numTasks for s in stages if s and "partitionBy" in s.name]
+    assert model.rounds == 3 and len(level) == 3 * 2 and set(level) == {min(10, sc.defaultParallelism)}
