@@ -43,6 +43,12 @@ def publish(spark, sf_dir: str, name: str, copies: int = 1, by_time: bool = Fals
     return base
 
 
+def files_per_trigger(spark, src: str) -> int:
+    """Files a micro-batch takes: about a slice's (all its copies), so that the batches, each of which starts jobs, reads the
+    static side and commits the state, stay as many as the slices while the files grow with the data."""
+    return max(FILES_PER_TRIGGER, -(-len(spark.read.schema(st.TELEMETRY_STREAM_SCHEMA).parquet(src).inputFiles()) // SLICES))
+
+
 def heartbeat(spark, src: str, schema, **values) -> None:
     """One row more, long after all others: its event time moves the watermark past them, so that windows
     and runs end.  On a live stream the next events do that."""
@@ -59,7 +65,8 @@ def _params(spark, sf_dir):
 
 def _alarm_stream(spark, sf_dir, name):
     base = publish(spark, sf_dir, name)
-    s = st.telemetry_stream(st.stream_session(spark), os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    src = os.path.join(base, "in")
+    s = st.telemetry_stream(st.stream_session(spark), src, files_per_trigger=files_per_trigger(spark, src))
     out = st.stateful_alarms(s, _params(spark, sf_dir), alq.TUNING, EVENTS_INJECTION, idle_ms=IDLE_MS)
     st.run_to_completion(out, os.path.join(base, "out"), os.path.join(base, "chk"))
     return spark.read.parquet(os.path.join(base, "out"))
@@ -87,7 +94,8 @@ SELECT run_key, sample,
 FROM telemetry""")
 def k5(spark, sf_dir):
     base = publish(spark, sf_dir, "k5")
-    s = st.telemetry_stream(st.stream_session(spark), os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    src = os.path.join(base, "in")
+    s = st.telemetry_stream(st.stream_session(spark), src, files_per_trigger=files_per_trigger(spark, src))
     out = st.stateful_rolling(s, "xmeas_13", (10, 20), idle_ms=IDLE_MS)
     st.run_to_completion(out, os.path.join(base, "out"), os.path.join(base, "chk"))
     r = spark.read.parquet(os.path.join(base, "out"))
@@ -98,7 +106,8 @@ def k5(spark, sf_dir):
 def k2(spark, sf_dir):
     rows, params, imp = aq._fit(spark, sf_dir)
     base = publish(spark, sf_dir, "k2")
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    src = os.path.join(base, "in")
+    s = st.telemetry_stream(spark, src, files_per_trigger=files_per_trigger(spark, src))
     from ..operators import alerts as ops
     from ..sources.tables import with_class_probabilities
     a = ops.build_alerts(with_class_probabilities(s), "probs", F.to_timestamp_ntz(F.lit(aq.BASE_TS)),
@@ -161,7 +170,8 @@ def k6_session(spark, sf_dir):
 SELECT run_key, sample FROM telemetry""")
 def k7(spark, sf_dir):
     base = publish(spark, sf_dir, "k7", copies=2, by_time=True)
-    s = st.telemetry_stream(spark, os.path.join(base, "in"), files_per_trigger=FILES_PER_TRIGGER)
+    src = os.path.join(base, "in")
+    s = st.telemetry_stream(spark, src, files_per_trigger=files_per_trigger(spark, src))
     d = st.dedup_samples(s, watermark="6 days").select("run_key", "sample")
     st.run_to_completion(d, os.path.join(base, "out"), os.path.join(base, "chk"))
     return spark.read.parquet(os.path.join(base, "out"))
@@ -174,7 +184,7 @@ def k7_report(spark, sf_dir):
     base = publish(spark, sf_dir, "k7r", copies=3, by_time=True)
     src = os.path.join(base, "in")
     heartbeat(spark, src, st.TELEMETRY_STREAM_SCHEMA, run_key="heartbeat", sample=1, ts=datetime.datetime(2200, 1, 1))
-    s = st.telemetry_stream(st.stream_session(spark), src, files_per_trigger=FILES_PER_TRIGGER)
+    s = st.telemetry_stream(st.stream_session(spark), src, files_per_trigger=files_per_trigger(spark, src))
     st.run_to_completion(st.counted_dedup(s, delay_ms=6 * 86_400_000), os.path.join(base, "out"), os.path.join(base, "chk"))
     r = spark.read.parquet(os.path.join(base, "out")).where("run_key <> 'heartbeat'")
     return r.groupBy("run_key").agg(F.count("sample").alias("n_samples"), F.sum("copies").alias("n_copies"))

@@ -103,6 +103,12 @@ def due(sample: np.ndarray, last: int, reorder: int) -> int:
     return max(ready, int(np.searchsorted(sample, sample[-1] - reorder, "right")))
 
 
+def whole(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """A key's rows of a batch, which come in one part unless they are many."""
+    parts = list(rows)
+    return parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+
+
 class RunProcessor(StatefulProcessor):
     """What the processors of a run share: samples that wait, late ones, and closing an idle run.
 
@@ -119,26 +125,31 @@ class RunProcessor(StatefulProcessor):
         self.run = handle.getValueState("run", "last long, late long, timer long" + self.own)
         self.waiting = handle.getMapState("waiting", "sample long", ", ".join(f"{f} double" for f in self.fields))
 
-    def goes_on(self, key: tuple, rows: pd.DataFrame, values: tuple, late: int) -> tuple[pd.DataFrame | None, tuple]:
-        """Output and new values for samples in order."""
+    def goes_on(self, key: tuple, rows: dict[str, np.ndarray], values: tuple, late: int) -> tuple[pd.DataFrame | None, tuple]:
+        """Output and new values for samples in order (an array of each field and of ``sample``)."""
         raise NotImplementedError
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True)
+        # arrays, not data frames: a batch brings a run a few rows, and there are as many calls as runs
+        arrived = whole(rows)
         last, late, timer, *values = self.run.get() or (0, 0, None, *self.start)     # runs begin at sample 1; one that begins later waits as if for a gap
-        fresh = arrived[arrived["sample"] > last]
-        late += len(arrived) - len(fresh)
+        sample, columns = arrived["sample"].to_numpy(dtype=float), [arrived[f].to_numpy(dtype=float) for f in self.fields]
+        fresh = sample > last
+        late += int(len(sample) - fresh.sum())
         held = [(k[0], *v) for k, v in self.waiting.iterator()]
-        waiting = pd.concat([pd.DataFrame(held, columns=["sample", *self.fields]), fresh[["sample", *self.fields]]] if held else [fresh[["sample", *self.fields]]])
-        waiting = waiting.drop_duplicates("sample").sort_values("sample")
-        n = due(waiting["sample"].to_numpy(), last, self.reorder)
-        go, rest = waiting.iloc[:n], waiting.iloc[n:]
-        kept = {k for k, *_ in held}
+        sample, columns = sample[fresh].astype(np.int64), [c[fresh] for c in columns]
+        if held:
+            before = np.array(held, dtype=float)
+            sample, columns = np.concatenate([before[:, 0].astype(np.int64), sample]), [np.concatenate([before[:, i], c]) for i, c in enumerate(columns, 1)]
+        sample, first = np.unique(sample, return_index=True)
+        n = due(sample, last, self.reorder)
+        waiting = {"sample": sample} | {f: c[first] for f, c in zip(self.fields, columns, strict=True)}
+        go, kept = {f: c[:n] for f, c in waiting.items()}, {k for k, *_ in held}
         for k in kept.intersection(go["sample"].tolist()):
             self.waiting.removeKey((k,))
-        for k, *v in rest.itertuples(index=False):
+        for k, *v in zip(*(c[n:].tolist() for c in waiting.values()), strict=True):
             if k not in kept:
-                self.waiting.updateValue((int(k),), tuple(None if x != x else float(x) for x in v))
+                self.waiting.updateValue((k,), tuple(None if x != x else x for x in v))
         out, values = self.goes_on(key, go, self.primed(arrived, tuple(values)), late)
         now, newest = timerValues.getCurrentWatermarkInMs(), arrived["event_ms"].max()
         closes = int(max(now, newest if newest == newest else now)) + self.idle_ms
@@ -147,7 +158,7 @@ class RunProcessor(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(closes)
             timer = closes
-        self.run.update((int(go["sample"].iloc[-1]) if n else last, int(late), timer, *values))
+        self.run.update((int(go["sample"][-1]) if n else last, int(late), timer, *values))
         if out is not None:
             yield out
 
@@ -159,8 +170,8 @@ class RunProcessor(StatefulProcessor):
         state = self.run.get()
         if state is not None:
             _, late, _, *values = state
-            held = sorted((k[0], *v) for k, v in self.waiting.iterator())
-            rest = pd.DataFrame(held, columns=["sample", *self.fields]).astype({f: float for f in self.fields})
+            held = np.array(sorted(((k[0], *v) for k, v in self.waiting.iterator()), key=lambda row: row[0]), dtype=float).reshape(-1, 1 + len(self.fields))
+            rest = {"sample": held[:, 0].astype(np.int64)} | {f: held[:, i] for i, f in enumerate(self.fields, 1)}
             out, _ = self.goes_on(key, rest, tuple(values), late)
             self.run.clear()
             self.waiting.clear()
@@ -197,11 +208,11 @@ class AlarmProcessor(RunProcessor):
 
     def goes_on(self, key, rows, values, late):
         z, latch, prev_fault, mu, sig, roc_thr, t_max = values
-        if not len(rows):
+        if not len(rows["sample"]):
             return None, values
         t = self.tuning
-        sample, fault = rows["sample"].to_numpy(dtype=np.int64), rows["is_fault"].to_numpy().astype(np.int64)
-        zs, roc = self.averages(rows["x"].to_numpy(dtype=float), z)
+        sample, fault = rows["sample"], rows["is_fault"].astype(np.int64)
+        zs, roc = self.averages(rows["x"], z)
         width = (t.sigma + t.tail * np.clip((sample - self.inject) / max(t_max - self.inject, 1.0), 0, 1)) * sig
         low, high = mu - width - t.pad, mu + width + t.pad
         breach = (zs < low) | (zs > high)
@@ -249,13 +260,13 @@ class RollingProcessor(RunProcessor):
 
     def goes_on(self, key, rows, values, late):
         (seen,) = values
-        n = len(rows)
+        n = len(rows["sample"])
         if not n:
             return None, values
         ring = {k[0]: v[0] for k, v in self.recent.iterator()}
         before = [ring.get((seen - i) % self.widest) if i <= seen else None for i in range(self.widest - 1, 0, -1)]
-        x = np.concatenate([np.array([np.nan if v is None else v for v in before]), rows["x"].to_numpy(dtype=float)])
-        out = {"run_key": key[0], "sample": rows["sample"].to_numpy().astype("int32")}
+        x = np.concatenate([np.array([np.nan if v is None else v for v in before]), rows["x"]])
+        out = {"run_key": key[0], "sample": rows["sample"].astype("int32")}
         for w in self.windows:
             view = np.lib.stride_tricks.sliding_window_view(x[self.widest - w:], w)
             some = ~np.isnan(view)
@@ -315,24 +326,26 @@ def dedup_samples(stream: DataFrame, ts: str = "ts", keys: Sequence[str] = ("run
 
 
 class SeenProcessor(StatefulProcessor):
-    """First arrivals of the samples of a (run, block), and how many copies were dropped."""
+    """First arrivals of the samples of a (run, block), and how many copies were dropped.
+
+    What a block has seen is a bit a sample in its one value: a batch reads and writes it once, whatever it brings."""
 
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
+    def __init__(self, keep_ms: int, size: int):
+        self.keep_ms, self.size = keep_ms, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "sample long", "event_ms long")
-        self.block = handle.getValueState("block", "copies long, timer long")
+        self.block = handle.getValueState("block", "copies long, timer long, seen binary")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True)
-        copies, timer = self.block.get() or (0, None)
-        known = {k[0] for k in self.seen.keys()}
-        first = arrived.drop_duplicates("sample")
-        first = first[~first["sample"].isin(known)]
-        for sample, ms in zip(first["sample"].tolist(), first["event_ms"].tolist(), strict=True):
-            self.seen.updateValue((int(sample),), (int(ms),))
+        arrived = whole(rows)
+        copies, timer, bits = self.block.get() or (0, None, bytes(-(-self.size // 8)))
+        seen = np.unpackbits(np.frombuffer(bits, np.uint8))
+        sample = arrived["sample"].to_numpy(dtype=np.int64)
+        first = sample[np.sort(np.unique(sample, return_index=True)[1])]
+        place = first - 1 - int(key[1]) * self.size
+        first, place = first[seen[place] == 0], place[seen[place] == 0]
+        seen[place] = 1
         now = timerValues.getCurrentWatermarkInMs()
         closes = int(max(now, arrived["event_ms"].max())) + self.keep_ms
         if closes > (timer or 0):
@@ -340,15 +353,14 @@ class SeenProcessor(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(closes)
             timer = closes
-        self.block.update((int(copies + len(arrived) - len(first)), timer))
+        self.block.update((int(copies + len(sample) - len(first)), timer, np.packbits(seen).tobytes()))
         if len(first):
-            yield pd.DataFrame({"run_key": key[0], "sample": first["sample"].astype("int64"), "copies": pd.array([None] * len(first), dtype="Int64")})
+            yield pd.DataFrame({"run_key": key[0], "sample": first, "copies": pd.array([None] * len(first), dtype="Int64")})
 
     def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         """The watermark is past all samples of the block: its copies are told and its state is removed."""
         state = self.block.get()
         if state is not None:
-            self.seen.clear()
             self.block.clear()
             yield pd.DataFrame({"run_key": [key[0]], "sample": pd.array([None], dtype="Int64"), "copies": pd.array([state[0]], dtype="Int64")})
 
@@ -365,7 +377,7 @@ def counted_dedup(stream: DataFrame, ts: str = "ts", delay_ms: int = 3_600_000,
     they get here; run_to_completion reports how many.  A run is split into blocks, so none fills a task."""
     s = watermarked(stream, ts, delay_ms).withColumn("block", F.floor((F.col("sample") - 1) / block))
     s = s.select("run_key", "block", F.col("sample").cast("long").alias("sample"), F.col("event_ms").cast("long").alias("event_ms"), "event_time")
-    return s.groupBy("run_key", "block").transformWithStateInPandas(SeenProcessor(delay_ms), "run_key string, sample long, copies long", "append", "EventTime")
+    return s.groupBy("run_key", "block").transformWithStateInPandas(SeenProcessor(delay_ms, block), "run_key string, sample long, copies long", "append", "EventTime")
 
 
 def watermarked(stream: DataFrame, ts: str, delay_ms: int) -> DataFrame:

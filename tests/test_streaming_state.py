@@ -92,3 +92,20 @@ def test_the_session_of_the_caller_is_not_changed(spark):
     s = st.stream_session(spark, 3)
     assert s.conf.get("spark.sql.shuffle.partitions") == "3" and s.conf.get("spark.sql.streaming.stateStore.providerClass") == st.ROCKSDB
     assert spark.conf.get("spark.sql.shuffle.partitions") == before and s.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_batches_stay_as_many_as_the_slices_however_many_files(spark, tmp_path):
+    from faultline.plans import stream_queries as sq
+    rows = [(f"r{k}", 0, 0, 1, 1.0, 0.0, 0.0, 0.1, 1, k, datetime.datetime(2026, 1, 1)) for k in range(60)]
+    spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).repartition(60).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/in")
+    assert sq.files_per_trigger(spark, f"{tmp_path}/in") == 60 // sq.SLICES
+    assert sq.files_per_trigger(spark, sq.publish(spark, "/root/testdata/sf0.001", "few") + "/in") == sq.FILES_PER_TRIGGER
+
+
+def test_what_a_block_has_seen_is_one_value(spark, tmp_path):
+    """A row of state a block, its timers aside, not one a sample."""
+    publish(spark, f"{tmp_path}/in", [("a", s, s) for s in range(1, 200)])
+    s = st.telemetry_stream(st.stream_session(spark, 2), f"{tmp_path}/in")
+    told = st.run_to_completion(st.counted_dedup(s, block=64), f"{tmp_path}/out", f"{tmp_path}/chk")
+    assert spark.read.parquet(f"{tmp_path}/out").where("sample IS NOT NULL").count() == 199
+    assert max(told["state_rows"]) <= 4 * 4
