@@ -97,7 +97,7 @@ def test_the_session_of_the_caller_is_not_changed(spark):
 def test_batches_stay_as_many_as_the_slices_however_many_files(spark, tmp_path):
     from faultline.plans import stream_queries as sq
     rows = [(f"r{k}", 0, 0, 1, 1.0, 0.0, 0.0, 0.1, 1, k, datetime.datetime(2026, 1, 1)) for k in range(60)]
-    spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).repartition(60).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/in")
+    spark.createDataFrame(rows, st.TELEMETRY_STREAM_SCHEMA).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/in")
     assert sq.files_per_trigger(spark, f"{tmp_path}/in") == 60 // sq.SLICES
     assert sq.files_per_trigger(spark, sq.publish(spark, "/root/testdata/sf0.001", "few") + "/in") == sq.FILES_PER_TRIGGER
 
