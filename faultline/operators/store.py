@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from . import models as mo
 from .boosting import Boosted
+from .forest import Forest
 from .quality import fit_preprocessor
 
 ABOUT = "name string, kind string, features array<string>, labels array<string>, metrics string, saved_at timestamp"
+OWN = {"boosted": Boosted, "forest": Forest}
 
 
 class _Sensors(Params):
@@ -60,16 +62,16 @@ class Preprocessor(Estimator, _Sensors, DefaultParamsReadable, DefaultParamsWrit
 
 
 class Stored:
-    """A classifier behind its preprocessing: ``before`` is a pipeline model, ``model`` a further one or boosted trees."""
+    """A classifier behind its preprocessing: ``before`` is a pipeline model, ``model`` a further one, boosted trees or a forest."""
 
-    def __init__(self, before: PipelineModel, model: PipelineModel | Boosted, features: Sequence[str], labels: Sequence[str]):
+    def __init__(self, before: PipelineModel, model: PipelineModel | Boosted | Forest, features: Sequence[str], labels: Sequence[str]):
         self.before, self.model, self.features, self.labels = before, model, list(features), [str(x) for x in labels]
 
     def score(self, df: DataFrame, out: str = "probs") -> DataFrame:
         """df with the array of probabilities, in the order of ``labels``; the features come out as they went in."""
         kept = {f"raw_{f}": F.col(f) for f in self.features}
         rows = self.before.transform(df.withColumns(kept))
-        rows = self.model.score(rows, out) if isinstance(self.model, Boosted) else mo.score(self.model, rows, out).drop("features", "rawPrediction", "probability", "prediction")
+        rows = self.model.score(rows, out).drop("prediction") if isinstance(self.model, Boosted | Forest) else mo.score(self.model, rows, out).drop("features", "rawPrediction", "probability", "prediction")
         return rows.withColumns({f: F.col(f"raw_{f}") for f in self.features}).drop(*kept)
 
     def predicted(self, probs: str = "probs") -> F.Column:
@@ -77,7 +79,7 @@ class Stored:
         return F.element_at(F.array(*[F.lit(x) for x in self.labels]), F.array_position(probs, F.array_max(probs)).cast("int"))
 
 
-def fit_behind_preprocessor(train: DataFrame, features: Sequence[str], labels: Sequence[str], fit: Callable[[DataFrame], PipelineModel | Boosted]) -> Stored:
+def fit_behind_preprocessor(train: DataFrame, features: Sequence[str], labels: Sequence[str], fit: Callable[[DataFrame], PipelineModel | Boosted | Forest]) -> Stored:
     """Fit the preprocessing on ``train``, then ``fit`` on what comes out of it."""
     before = PipelineModel([Preprocessor(sensors=list(features)).fit(train)])
     return Stored(before, fit(before.transform(train)), features, labels)
@@ -87,11 +89,11 @@ def save(spark: SparkSession, root: str, name: str, stored: Stored, metrics: dic
     """Preprocessing, classifier and, last, a row that says what they are: without it a model counts as absent."""
     path = os.path.join(root, name)
     stored.before.write().overwrite().save(os.path.join(path, "before"))
-    if isinstance(stored.model, Boosted):
+    if isinstance(stored.model, Boosted | Forest):
         stored.model.save(spark, os.path.join(path, "model"))
     else:
         stored.model.write().overwrite().save(os.path.join(path, "model"))
-    kind = "boosted" if isinstance(stored.model, Boosted) else "pipeline"
+    kind = next((kind for kind, of in OWN.items() if isinstance(stored.model, of)), "pipeline")
     about = spark.createDataFrame([(name, kind, stored.features, stored.labels, json.dumps(metrics))], ABOUT.removesuffix(", saved_at timestamp"))
     about.withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").json(os.path.join(path, "about"))
 
@@ -106,7 +108,7 @@ def load(spark: SparkSession, root: str, name: str) -> tuple[Stored, dict[str, f
     if about is None:
         raise ValueError(f"no stored model {name} under {root}")
     part = os.path.join(path, "model")
-    model = Boosted.load(spark, part) if about["kind"] == "boosted" else PipelineModel.load(part)
+    model = OWN[about["kind"]].load(spark, part) if about["kind"] in OWN else PipelineModel.load(part)
     return Stored(PipelineModel.load(os.path.join(path, "before")), model, about["features"], about["labels"]), json.loads(about["metrics"])
 
 
