@@ -188,3 +188,29 @@ def test_rows_of_many_blocks_are_dealt_over_the_cores(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
     level = [s.numTasks for s in stages if s and "partitionBy" in s.name]
     assert model.rounds == 3 and len(level) == 3 * 2 and set(level) == {min(10, sc.defaultParallelism)}
+
+
+def test_a_round_is_one_job_if_there_is_a_class_for_every_core(spark):
+    """Blocks that a task can hold together are sent once; the tasks grow whole trees, the same ones as level by level."""
+    sc, rng = spark.sparkContext, np.random.default_rng(7)
+    k = sc.defaultParallelism + 1
+    x = np.round(rng.normal(size=(900, 4)), 3)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y = rng.integers(0, k, 900)
+    y[x[:, 0] > 0.5], y[x[:, 1] > 0.8] = 1, 2
+    rows = [(*[None if np.isnan(v) else float(v) for v in r], int(c), float(rng.integers(1, 4)), i % 5 == 0) for i, (r, c) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y int, w double, held boolean").checkpoint()
+    kwargs = dict(classes=k, weight="w", validation="held", rounds=4, depth=3, rate=0.3, least_hessian=0.2, bins=16)
+    one = bo.boost(df, FEATURES, "y", **kwargs)
+    levels = bo.boost(df, FEATURES, "y", block_rows=70, task_bytes=0, **kwargs)
+    sc.setJobGroup("by class", "by class")
+    try:
+        trees = bo.boost(df, FEATURES, "y", block_rows=70, keep_every=2, **kwargs)
+        stages = {i for j in sc.statusTracker().getJobIdsForGroup("by class") for i in sc.statusTracker().getJobInfo(j).stageIds}
+        dealt = [s.numTasks for s in map(sc.statusTracker().getStageInfo, stages) if s and "partitionBy" in s.name and s.numCompletedTasks]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert same(one, levels) and same(one, trees) and np.allclose(one.losses, trees.losses) and (one.trees.feature >= 0).sum() > 20
+    assert len(dealt) == 4 + 1
+    part = bo.boost(df, FEATURES, "y", **kwargs | {"rounds": 2})
+    assert same(one, bo.boost(df, FEATURES, "y", model=part, block_rows=70, **kwargs))
