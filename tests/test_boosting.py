@@ -214,3 +214,20 @@ def test_a_round_is_one_job_if_there_is_a_class_for_every_core(spark):
     assert len(dealt) == 4 + 1
     part = bo.boost(df, FEATURES, "y", **kwargs | {"rounds": 2})
     assert same(one, bo.boost(df, FEATURES, "y", model=part, block_rows=70, **kwargs))
+
+
+def test_memory_of_explained_rows_does_not_grow_with_the_leaves():
+    """Rows meet some leaves at a time, in the outputs as in the Shapley values."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    x, most = rng.normal(size=(64, 6)), {}
+    for n in (2_000, 40_000):
+        feature = np.argsort(rng.random((n, 6)), axis=1)[:, :5]
+        t = ex.Leaves(feature, rng.normal(size=(n, 5)) - 1, rng.normal(size=(n, 5)) + 1, np.ones((n, 5), bool), rng.uniform(0.1, 0.9, (n, 5)), rng.normal(size=(n, 2)))
+        for f in (lambda: ex.predict(x, [t], room=1 << 16), lambda: ex.shapley(x, [t], 6, room=1 << 16)):
+            tracemalloc.start()
+            f()
+            most.setdefault(n, []).append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+        assert np.allclose(ex.predict(x, [t], room=1 << 12), ex.reached(x, t).all(axis=2).astype(float) @ t.value)
+    assert all(many < 1.5 * few + 2**20 for few, many in zip(most[2_000], most[40_000], strict=True))
