@@ -231,3 +231,15 @@ def test_memory_of_explained_rows_does_not_grow_with_the_leaves():
             tracemalloc.stop()
         assert np.allclose(ex.predict(x, [t], room=1 << 12), ex.reached(x, t).all(axis=2).astype(float) @ t.value)
     assert all(many < 1.5 * few + 2**20 for few, many in zip(most[2_000], most[40_000], strict=True))
+
+
+def test_outputs_come_with_the_shapley_values():
+    """One pass over the leaves gives both, with missing values and a leaf that all rows reach."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(30, 5))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    feature = np.argsort(rng.random((200, 5)), axis=1)[:, :3]
+    t = ex.Leaves(feature, rng.normal(size=(200, 3)) - 1, rng.normal(size=(200, 3)) + 1, rng.random((200, 3)) < 0.5, rng.uniform(0.1, 0.9, (200, 3)), rng.normal(size=(200, 2)))
+    none = ex.Leaves(np.zeros((1, 0), int), *[np.zeros((1, 0))] * 4, np.array([[0.25, 0.5]]))
+    phi, outputs = ex.explained(x, [none, t], 5, room=100)
+    assert np.allclose(outputs, ex.predict(x, [none, t])) and np.allclose(phi.sum(axis=1) + ex.base_value([none, t]), outputs)
